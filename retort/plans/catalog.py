@@ -24,4 +24,5 @@ def load_all() -> None:
     """Import every module that registers queries."""
     from retort.plans import (  # noqa: F401
         q_clean,
+        q_tags,
     )
