@@ -25,4 +25,5 @@ def load_all() -> None:
     from retort.plans import (  # noqa: F401
         q_clean,
         q_tags,
+        q_tokens,
     )
