@@ -171,8 +171,11 @@ def first_assignee(col, default: str = "Unknown") -> Column:
 
 def url_term(col) -> Column:
     """Percent-encode a term as a URL path segment ('/' kept)."""
-    enc = F.replace(F.url_encode(_c(col)), F.lit("+"), F.lit("%20"))
-    return F.replace(enc, F.lit("%2F"), F.lit("/"))
+    # form encoding differs from path quoting on ' ', '*', '~' and '/'
+    enc = F.url_encode(_c(col))
+    for a, b in (("+", "%20"), ("*", "%2A"), ("%7E", "~"), ("%2F", "/")):
+        enc = F.replace(enc, F.lit(a), F.lit(b))
+    return enc
 
 
 def join_text(title, abstract) -> Column:

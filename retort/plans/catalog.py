@@ -26,4 +26,6 @@ def load_all() -> None:
         q_clean,
         q_tags,
         q_tokens,
+        q_patents,
+        q_lookup,
     )

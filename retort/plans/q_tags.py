@@ -233,7 +233,9 @@ def q_strip_paren(spark, sf):
     return t.select("term_id", "term", T.strip_paren("term").alias("cleaned"))
 
 
-@register("url_term")
+@register("url_term", """
+SELECT p_partkey AS term_id, replace(url_encode(concat_ws(' ', p_name, p_brand, p_type)), '%2F', '/') AS url_term
+FROM part""")
 def q_url_term(spark, sf):
     p = read_table(spark, sf, "part")
     term = F.concat_ws(" ", "p_name", "p_brand", "p_type")
