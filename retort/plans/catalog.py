@@ -28,4 +28,5 @@ def load_all() -> None:
         q_tokens,
         q_patents,
         q_lookup,
+        q_graph,
     )
