@@ -76,14 +76,17 @@ def _structure(tokens: DataFrame) -> DataFrame:
     u = u.withColumn("branch", F.sum((F.col("kind") == "open").cast("int")).over(
         _w("depth").orderBy("pos").rowsBetween(Window.unboundedPreceding, 0)))
     grp = _w("depth", "branch").orderBy("pos").rowsBetween(Window.unboundedPreceding, -1)
-    # value an atom leaves for later atoms of its group; a dot leaves -1
-    val = F.when(F.col("kind") == "atom", F.col("atom_idx")).when(F.col("kind") == "dot", F.lit(-1))
+    # value an atom leaves for later atoms of its group: (index, token,
+    # position); a dot leaves index -1
+    me = F.struct(F.col("atom_idx").alias("idx"), F.col("tok").alias("tok"), F.col("pos").alias("pos"))
+    dot = F.struct(F.lit(-1).alias("idx"), F.lit(None).cast("string").alias("tok"), F.lit(-1).alias("pos"))
+    val = F.when(F.col("kind") == "atom", me).when(F.col("kind") == "dot", dot)
     u = u.withColumn("_bp", F.last(val, ignorenulls=True).over(grp))
     # hand the anchor's value (the branch point) to its '(' row
-    u = u.withColumn("_bp_open", F.max(F.when(F.col("is_anchor"), F.coalesce("_bp", F.lit(-1)))).over(_w("pos")))
-    val2 = F.when(F.col("kind") == "atom", F.col("atom_idx")).when(F.col("kind") == "dot", F.lit(-1)) \
-        .when(F.col("kind") == "open", F.col("_bp_open"))
-    u = u.withColumn("prev", F.last(val2, ignorenulls=True).over(grp))
+    u = u.withColumn("_bp_open", F.max(F.when(F.col("is_anchor"), F.coalesce("_bp", dot))).over(_w("pos")))
+    val2 = val.when(F.col("kind") == "open", F.col("_bp_open"))
+    u = u.withColumn("prev_atom", F.last(val2, ignorenulls=True).over(grp))
+    u = u.withColumn("prev", F.col("prev_atom")["idx"])
     # subtree end of an atom: the first ')' or '.' after it in its group
     ahead = _w("depth", "branch").orderBy("pos").rowsBetween(1, Window.unboundedFollowing)
     u = u.withColumn("_end", F.first(F.when(F.col("kind").isin("close", "dot"), F.col("pos") - 1),
@@ -126,24 +129,33 @@ def _atom_props(t: DataFrame) -> DataFrame:
 
 
 def _chain_and_ring_bonds(s: DataFrame) -> DataFrame:
-    """One row per bond (src < dst by position): mol_id, src, dst, symbol,
-    ring_closure, and for tree bonds the child's subtree position range."""
+    """One row per bond: mol_id, src, dst, endpoint tokens and positions,
+    symbol, ring_closure, and for tree bonds the child's subtree range."""
     chain = (s.where((F.col("kind") == "atom") & F.col("prev").isNotNull() & (F.col("prev") >= 0))
              .select("mol_id", F.col("prev").alias("src"), F.col("atom_idx").alias("dst"),
+                     F.col("prev_atom")["tok"].alias("src_tok"), F.col("tok").alias("dst_tok"),
+                     F.col("prev_atom")["pos"].alias("src_pos"), F.col("pos").alias("dst_pos"),
                      _bond_symbol(F.col("prev_tok"), F.col("prev_kind")).alias("symbol"),
                      F.lit(False).alias("ring_closure"), F.col("pos").alias("sub_start"), "sub_end"))
     labels = (s.where(F.col("kind") == "ring")
               .withColumn("_k", F.row_number().over(_w("tok").orderBy("pos")))
               .withColumn("_pair", ((F.col("_k") + 1) / 2).cast("int")))
-    ring = (labels.groupBy("mol_id", "tok", "_pair").agg(
-        F.min(F.struct("pos", "prev", _bond_symbol(F.col("prev_tok"), F.col("prev_kind")).alias("sym"))).alias("a"),
-        F.max(F.struct("pos", "prev", _bond_symbol(F.col("prev_tok"), F.col("prev_kind")).alias("sym"))).alias("b"))
-        .select("mol_id", F.col("a.prev").alias("src"), F.col("b.prev").alias("dst"),
-                F.coalesce("a.sym", "b.sym").alias("symbol"), F.lit(True).alias("ring_closure"),
-                F.lit(None).cast("int").alias("sub_start"), F.lit(None).cast("int").alias("sub_end")))
+    end = F.struct("pos", "prev_atom", _bond_symbol(F.col("prev_tok"), F.col("prev_kind")).alias("sym"))
+    ring = (labels.groupBy("mol_id", "tok", "_pair").agg(F.min(end).alias("a"), F.max(end).alias("b"))
+            .select("mol_id", F.col("a.prev_atom.idx").alias("src"), F.col("b.prev_atom.idx").alias("dst"),
+                    F.col("a.prev_atom.tok").alias("src_tok"), F.col("b.prev_atom.tok").alias("dst_tok"),
+                    F.col("a.prev_atom.pos").alias("src_pos"), F.col("b.prev_atom.pos").alias("dst_pos"),
+                    F.coalesce("a.sym", "b.sym").alias("symbol"), F.lit(True).alias("ring_closure"),
+                    F.lit(None).cast("int").alias("sub_start"), F.lit(None).cast("int").alias("sub_end")))
     return chain.unionByName(ring)
 
 
+def _tok_aromatic(tok: Column) -> Column:
+    """Aromatic as written: a lower-case organic atom or bracket symbol."""
+    sym = F.when(tok.startswith("["), F.regexp_extract(tok, BRACKET_RE, 2)).otherwise(tok)
+    return (F.length(sym) > 0) & (sym == F.lower(sym)) & (sym != "*")
+
+
 def graph(mols: DataFrame, col: str = "smiles"):
     """(atoms with features, bonds with features) for ``mols(mol_id, smiles)``.
 
@@ -151,27 +163,23 @@ def graph(mols: DataFrame, col: str = "smiles"):
            features ARRAY<DOUBLE>(21)
     bonds: mol_id, src, dst (both directions), bond_type, conjugated,
            in_ring, features ARRAY<DOUBLE>(7)
+
+    After the one shuffle on ``mol_id`` in ``_structure`` every step is a
+    window or aggregate keyed by ``mol_id`` first, so no join re-shuffles.
     """
     s = _structure(token_rows(mols, col))
-    a = _atom_props(s.where(F.col("kind") == "atom"))
     b = _chain_and_ring_bonds(s)
-    # in-ring: closures per molecule (a short list) against each tree bond's subtree
-    pos_of = s.where(F.col("kind") == "atom").select("mol_id", "atom_idx", "pos")
-    closures = (b.where("ring_closure")
-                .join(pos_of.withColumnRenamed("atom_idx", "src").withColumnRenamed("pos", "ps"), ["mol_id", "src"])
-                .join(pos_of.withColumnRenamed("atom_idx", "dst").withColumnRenamed("pos", "pd"), ["mol_id", "dst"])
-                .groupBy("mol_id").agg(F.collect_list(F.struct("ps", "pd")).alias("_cl")))
-    b = b.join(closures, "mol_id", "left")
-    crossed = F.exists(F.coalesce("_cl", F.array().cast("array<struct<ps:int,pd:int>>")),
-                       lambda c: c["ps"].between(F.col("sub_start"), F.col("sub_end"))
+    # in-ring: each tree bond against its molecule's closures (a short list)
+    mol = _w()
+    closures = F.collect_list(F.when(F.col("ring_closure"), F.struct(F.col("src_pos").alias("ps"),
+                                                                    F.col("dst_pos").alias("pd")))).over(mol)
+    b = b.withColumn("_cl", closures)
+    crossed = F.exists("_cl", lambda c: c["ps"].between(F.col("sub_start"), F.col("sub_end"))
                        != c["pd"].between(F.col("sub_start"), F.col("sub_end")))
     b = b.withColumn("in_ring", F.col("ring_closure") | crossed).drop("_cl")
-    arom = a.select("mol_id", "atom_idx", "aromatic")
-    b = (b.join(arom.withColumnRenamed("atom_idx", "src").withColumnRenamed("aromatic", "src_arom"), ["mol_id", "src"])
-         .join(arom.withColumnRenamed("atom_idx", "dst").withColumnRenamed("aromatic", "dst_arom"), ["mol_id", "dst"]))
     sym = F.col("symbol")
-    implicit = F.when(F.col("src_arom") & F.col("dst_arom") & F.col("in_ring"), F.lit("AROMATIC")) \
-        .otherwise(F.lit("SINGLE"))
+    implicit = F.when(_tok_aromatic(F.col("src_tok")) & _tok_aromatic(F.col("dst_tok")) & F.col("in_ring"),
+                      F.lit("AROMATIC")).otherwise(F.lit("SINGLE"))
     btype = F.when(sym.isNull(), implicit)
     for k, v in BOND_NAME.items():
         btype = btype.when(sym == k, F.lit(v))
@@ -179,17 +187,25 @@ def graph(mols: DataFrame, col: str = "smiles"):
     order = F.when(btype == "AROMATIC", 1.5).when(btype == "DOUBLE", 2.0).when(btype == "TRIPLE", 3.0) \
         .when(btype == "SINGLE", 1.0).otherwise(F.when(sym == "$", 4.0).otherwise(1.0))
     b = b.withColumn("bond_type", btype).withColumn("order", order)
-    # per-atom bond sums for degree, hydrogens, hybridisation, unsaturation
-    ends = b.select("mol_id", F.col("src").alias("atom_idx"), "bond_type", "order").unionByName(
-        b.select("mol_id", F.col("dst").alias("atom_idx"), "bond_type", "order"))
-    per_atom = ends.groupBy("mol_id", "atom_idx").agg(
-        F.count(F.lit(1)).alias("degree"),
-        F.sum("order").alias("valence_sum"),
-        F.count_if(F.col("bond_type") == "TRIPLE").alias("n_triple"),
-        F.count_if(F.col("bond_type") == "DOUBLE").alias("n_double"),
-        F.count_if(F.col("bond_type") == "AROMATIC").alias("n_arom"))
-    a = a.join(per_atom, ["mol_id", "atom_idx"], "left").fillna(
-        {"degree": 0, "valence_sum": 0.0, "n_triple": 0, "n_double": 0, "n_arom": 0})
+    # atom rows and bond-end rows side by side, windowed per atom
+    a0 = _atom_props(s.where(F.col("kind") == "atom"))
+    ends = b.select("mol_id", F.explode(F.array(
+        F.struct(F.col("src").alias("atom_idx"), F.col("src").alias("src"), F.col("dst").alias("dst")),
+        F.struct(F.col("dst").alias("atom_idx"), F.col("src").alias("src"), F.col("dst").alias("dst")))).alias("e"),
+        "symbol", "bond_type", "order", "ring_closure", "in_ring")
+    ends = ends.select("mol_id", "e.atom_idx", "e.src", "e.dst", "symbol", "bond_type", "order",
+                       "ring_closure", "in_ring", F.lit(True).alias("_end"))
+    rows = a0.unionByName(ends, allowMissingColumns=True).withColumn("_end", F.coalesce("_end", F.lit(False)))
+    per_atom = _w("atom_idx")
+    is_end = F.col("_end")
+    rows = (rows
+            .withColumn("degree", F.count_if(is_end).over(per_atom))
+            .withColumn("valence_sum", F.coalesce(F.sum(F.when(is_end, F.col("order"))).over(per_atom), F.lit(0.0)))
+            .withColumn("n_triple", F.count_if(is_end & (F.col("bond_type") == "TRIPLE")).over(per_atom))
+            .withColumn("n_double", F.count_if(is_end & (F.col("bond_type") == "DOUBLE")).over(per_atom))
+            .withColumn("n_arom", F.count_if(is_end & (F.col("bond_type") == "AROMATIC")).over(per_atom))
+            .withColumn("unsaturated", (F.col("n_triple") + F.col("n_double") + F.col("n_arom")) > 0))
+    a = rows.where(~is_end).drop("src", "dst", "symbol", "bond_type", "order", "ring_closure", "in_ring", "_end")
     a = a.withColumn("implicit_h", implicit_h(F.col("element"), F.col("aromatic"), F.col("valence_sum"),
                                               F.col("bracket")))
     a = a.withColumn("total_h", F.col("explicit_h") + F.col("implicit_h"))
@@ -197,23 +213,26 @@ def graph(mols: DataFrame, col: str = "smiles"):
            .when((F.col("n_double") > 0) | (F.col("n_arom") > 0) | F.col("aromatic"), F.lit("SP2"))
            .otherwise(F.lit("SP3")))
     a = a.withColumn("hybridization", hyb)
-    a = a.withColumn("unsaturated", (F.col("n_triple") + F.col("n_double") + F.col("n_arom")) > 0)
     a = a.withColumn("features", F.concat(
         one_hot(F.col("element"), K.ATOM_TYPES),
         F.array(F.col("charge").cast("double"), F.col("aromatic").cast("double"), F.col("degree").cast("double"),
                 F.col("total_h").cast("double"), F.col("chiral").cast("double")),
         one_hot(F.col("hybridization"), K.HYBRIDIZATIONS)))
-    unsat = a.select("mol_id", "atom_idx", "unsaturated")
-    b = (b.join(unsat.withColumnRenamed("atom_idx", "src").withColumnRenamed("unsaturated", "su"), ["mol_id", "src"])
-         .join(unsat.withColumnRenamed("atom_idx", "dst").withColumnRenamed("unsaturated", "du"), ["mol_id", "dst"]))
-    b = b.withColumn("conjugated", (F.col("bond_type") == "AROMATIC")
-                     | ((F.col("bond_type") == "SINGLE") & F.col("su") & F.col("du")))
-    b = b.withColumn("features", F.concat(one_hot(F.col("bond_type"), K.BOND_TYPES),
-                                          F.array(F.col("conjugated").cast("double"), F.col("in_ring").cast("double"))))
-    cols = ["mol_id", "src", "dst", "symbol", "bond_type", "ring_closure", "conjugated", "in_ring", "features"]
-    fwd = b.select(*cols)
-    rev = b.select("mol_id", F.col("dst").alias("src"), F.col("src").alias("dst"), *cols[3:])
-    return a, fwd.unionByName(rev)
+    # the two ends of each bond meet again per (mol_id, src, dst)
+    bd = (rows.where(is_end).groupBy("mol_id", "src", "dst")
+          .agg(F.first("symbol", ignorenulls=True).alias("symbol"), F.first("bond_type").alias("bond_type"),
+               F.first("ring_closure").alias("ring_closure"), F.first("in_ring").alias("in_ring"),
+               F.bool_and("unsaturated").alias("_both_unsat")))
+    bd = bd.withColumn("conjugated", (F.col("bond_type") == "AROMATIC")
+                       | ((F.col("bond_type") == "SINGLE") & F.col("_both_unsat")))
+    bd = bd.withColumn("features", F.concat(one_hot(F.col("bond_type"), K.BOND_TYPES),
+                                            F.array(F.col("conjugated").cast("double"),
+                                                    F.col("in_ring").cast("double"))))
+    cols = ["symbol", "bond_type", "ring_closure", "conjugated", "in_ring", "features"]
+    both = bd.select("mol_id", F.explode(F.array(F.struct(F.col("src").alias("s"), F.col("dst").alias("d")),
+                                                 F.struct(F.col("dst").alias("s"), F.col("src").alias("d")))).alias("p"),
+                     *cols)
+    return a, both.select("mol_id", F.col("p.s").alias("src"), F.col("p.d").alias("dst"), *cols)
 
 
 def implicit_h(element: Column, aromatic: Column, valence_sum: Column, bracket: Column) -> Column:
