@@ -29,4 +29,5 @@ def load_all() -> None:
         q_patents,
         q_lookup,
         q_graph,
+        q_vectors,
     )
