@@ -30,4 +30,5 @@ def load_all() -> None:
         q_lookup,
         q_graph,
         q_vectors,
+        q_similarity,
     )

@@ -11,7 +11,7 @@ from retort.operators import patents as P
 from retort.plans import adapters as A
 from retort.plans import oracle as O
 from retort.plans.catalog import register
-from retort.session import read_table
+from retort.session import read_table, spread
 
 PATENTS = f"""patents AS (
   SELECT printf('US-%07d', doc_id) AS publication_number, doc_id,
@@ -71,7 +71,7 @@ def q_newest_limit(spark, sf):
 
 
 def patent_candidates(spark, sf):
-    p = A.patents(spark, sf)
+    p = spread(A.patents(spark, sf))
     return p.select("publication_number", "doc_id", P.candidates(T.join_text("title", "abstract")).alias("cands"))
 
 

@@ -61,3 +61,14 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Round-robin the rows over the cluster when a frame has fewer
+    partitions than task slots (e.g. one large single-row-group file) and
+    the work per row is heavy; a frame that already spans the cluster is
+    returned unchanged."""
+    slots = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < slots:
+        return df.repartition(slots)
+    return df
