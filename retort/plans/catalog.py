@@ -31,4 +31,5 @@ def load_all() -> None:
         q_graph,
         q_vectors,
         q_similarity,
+        q_sources,
     )
