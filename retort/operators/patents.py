@@ -125,6 +125,16 @@ def resolve_names(df: DataFrame, dictionary: DataFrame, col: str = "name") -> Da
     return df.withColumn("_nkey", normalise_name(col)).join(d, "_nkey").drop("_nkey")
 
 
+def name_dictionary(compounds: DataFrame, name: str = "name", order=("source_rank", "ordinal")) -> DataFrame:
+    """Dictionary for C4: one ``(name, smiles)`` per normalised name, the
+    first compound in plan order that has a SMILES (partial aggregate, so
+    a name held by many compounds is reduced map-side)."""
+    from retort.operators.clean import dedupe_first, drop_missing
+    present = drop_missing(compounds.select(name, "smiles", *order), ["smiles"])
+    keyed = present.select(normalise_name(name).alias("_nkey"), *order, "smiles")
+    return dedupe_first(keyed, key="_nkey", order=order).select(F.col("_nkey").alias("name"), "smiles")
+
+
 def patent_compound_id(pub, name) -> Column:
     """AI_{publication}_{first 8 characters of the name}."""
     return F.concat(F.lit("AI_"), pub, F.lit("_"), F.left(name, F.lit(8)))
@@ -184,5 +194,5 @@ def patent_record(df: DataFrame) -> DataFrame:
         first_assignee("assignee_harmonized").alias("assignee"))
 
 
-__all__ = ["relevant_patents", "newest", "scan_patents", "candidates", "first_n", "resolve_names",
+__all__ = ["relevant_patents", "newest", "scan_patents", "candidates", "first_n", "resolve_names", "name_dictionary",
            "resolve_identity", "format_ids", "patent_record", "join_text"]

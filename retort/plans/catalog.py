@@ -32,4 +32,5 @@ def load_all() -> None:
         q_vectors,
         q_similarity,
         q_sources,
+        q_learn,
     )

@@ -180,3 +180,30 @@ def q_strip_artifacts(spark, sf):
            .when(F.col("turn") % 3 == 1, F.concat(F.lit(" SMILES: "), "raw_text"))
            .otherwise(F.col("raw_text")))
     return a.select("key", T.strip_artifacts(raw).alias("cleaned"))
+
+
+# mentions: a part name per line item, in two spellings, and a name with no entry
+_MENTION_SQL = ("CASE WHEN l_linenumber % 7 = 0 THEN p_name || ' salt' WHEN l_linenumber % 2 = 0 THEN upper(p_name) "
+                "ELSE ' ' || p_name || chr(9) END")
+
+
+@register("resolve_names", O.with_ctes(O.samples_cte(), O.COMPOUNDS) + f""",
+dict AS (
+  SELECT nkey AS name, smiles FROM (
+    SELECT nkey, smiles, row_number() OVER (PARTITION BY nkey ORDER BY source_rank, ordinal) AS rn
+    FROM (SELECT lower({O.ptrim_sql('name')}) AS nkey, smiles, source_rank, ordinal
+          FROM compounds WHERE smiles IS NOT NULL AND length(smiles) > 0))
+  WHERE rn = 1),
+mentions AS (
+  SELECT l_orderkey, l_linenumber, {_MENTION_SQL} AS name FROM lineitem JOIN part ON l_partkey = p_partkey)
+SELECT m.l_orderkey, m.l_linenumber, m.name, d.smiles
+FROM mentions m JOIN dict d ON lower({O.ptrim_sql('m.name')}) = d.name""")
+def q_resolve_names(spark, sf):
+    li = read_table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey")
+    part = read_table(spark, sf, "part").select("p_partkey", "p_name")
+    mention = (F.when(F.col("l_linenumber") % 7 == 0, F.concat("p_name", F.lit(" salt")))
+               .when(F.col("l_linenumber") % 2 == 0, F.upper("p_name"))
+               .otherwise(F.concat(F.lit(" "), "p_name", F.lit("\t"))))
+    m = li.join(part, li.l_partkey == part.p_partkey).select("l_orderkey", "l_linenumber", mention.alias("name"))
+    out = P.resolve_names(m, P.name_dictionary(A.compounds(spark, sf)))
+    return out.select("l_orderkey", "l_linenumber", "name", "smiles")
