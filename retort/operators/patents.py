@@ -108,7 +108,10 @@ def candidates(text, patterns=K.CHEMICAL_PATTERNS, indicators=K.CHEMICAL_INDICAT
 def first_n(df: DataFrame, array_col: str, n: int, name: str = "name") -> DataFrame:
     """The first ``n`` items of an array column as rows (with ``pos``)."""
     rest = [c for c in df.columns if c != array_col]
-    return (df.select(*rest, F.posexplode(array_col).alias("pos", name))
+    # the _outer form keeps Catalyst from inferring a size(array) > 0 filter
+    # and pushing it below an upstream repartition, which would evaluate an
+    # expensive array expression twice; empty arrays give pos NULL, dropped here
+    return (df.select(*rest, F.posexplode_outer(array_col).alias("pos", name))
             .where(F.col("pos") < n))
 
 

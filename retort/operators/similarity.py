@@ -45,8 +45,15 @@ def shingles_of(words_col, k: int = SHINGLE_WORDS) -> Column:
 
 
 def with_shingles(df: DataFrame, key: str, text: str, k: int = SHINGLE_WORDS) -> DataFrame:
-    """(id, sh) per document (work spread over the cluster first)."""
-    w = spread(df.select(key, text)).select(F.col(key).alias("id"), words(text).alias("_w"))
+    """(id, sh) per document with at least one word (work spread over the
+    cluster first).
+
+    Blank documents are dropped by a cheap test on the raw text, before the
+    spread: a filter on ``size(sh)`` would be pushed below the repartition
+    and build every document's shingles twice.
+    """
+    present = df.select(key, text).where(F.col(text).rlike(r"[^ \t\n\r]"))
+    w = spread(present).select(F.col(key).alias("id"), words(text).alias("_w"))
     return w.select("id", shingles_of("_w", k).alias("sh"))
 
 
@@ -67,8 +74,9 @@ def similar(corpus: DataFrame, refs: DataFrame | None = None, threshold: int = 9
     docs = with_shingles(corpus, key, text, k).withColumn("side", F.lit("d"))
     if refs is not None:
         docs = docs.unionByName(with_shingles(refs, key, text, k).withColumn("side", F.lit("r")))
-    docs = docs.where(F.size("sh") > 0).withColumn("size", F.size("sh"))
-    long = docs.select("id", "side", "size", F.explode("sh").alias("g"))
+    docs = docs.withColumn("size", F.size("sh"))
+    # every set is non-empty; explode_outer avoids an inferred, pushed-down size filter
+    long = docs.select("id", "side", "size", F.explode_outer("sh").alias("g"))
     freq = long.groupBy("g").agg(F.count(F.lit(1)).alias("df"))
     ranked = long.join(freq, "g")
     w = Window.partitionBy("side", "id").orderBy("df", "g")
@@ -104,7 +112,7 @@ def similar_lsh(corpus: DataFrame, threshold: int = 90, key: str = "doc_id", tex
     estimated Jaccard distance <= 1 - threshold/100)."""
     from pyspark.ml.feature import HashingTF, MinHashLSH
 
-    docs = with_shingles(corpus, key, text, k).where(F.size("sh") > 0)
+    docs = with_shingles(corpus, key, text, k)
     feats = HashingTF(inputCol="sh", outputCol="f", numFeatures=num_features, binary=True).transform(docs)
     model = MinHashLSH(inputCol="f", outputCol="h", numHashTables=tables, seed=seed).fit(feats)
     pairs = model.approxSimilarityJoin(feats, feats, 1.0 - threshold / 100.0, distCol="dist")
