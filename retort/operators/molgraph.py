@@ -2,8 +2,8 @@
 
 SMILES is a depth-first listing, so atoms and bonds follow from running
 counts over each molecule's tokens; no per-row parser runs. All windows
-are partitioned by ``mol_id`` first, so one hash shuffle on ``mol_id``
-serves every window and aggregate below (a hash partitioning on
+are partitioned by ``mol_id`` first, so one hash shuffle of the molecules
+on ``mol_id`` serves every window and aggregate below (a hash partitioning on
 ``mol_id`` satisfies any clustering that starts with it). A molecule is
 small, so no window group grows with the data.
 
@@ -31,6 +31,7 @@ from pyspark.sql import functions as F
 from retort import constants as K
 from retort.functions.smiles import token_kind, tokenize, valid_smiles
 from retort.functions.text import one_hot
+from retort.session import ensure_checkpoint_dir
 
 BRACKET_RE = r"^\[(\d*)([A-Z][a-z]?|[a-z]{1,2}|\*)(@[A-Z]{2}\d*|@{1,2})?(H\d*)?([+-]+\d*)?(:\d+)?\]$"
 BOND_ORDER = {"-": 1.0, "/": 1.0, "\\": 1.0, "=": 2.0, "#": 3.0, ":": 1.5, "$": 4.0}
@@ -43,10 +44,27 @@ def _w(*parts):
     return Window.partitionBy("mol_id", *parts)
 
 
+def _shuffle_partitions(spark) -> int:
+    try:
+        return int(spark.conf.get("spark.sql.shuffle.partitions"))
+    except (TypeError, ValueError):
+        return spark.sparkContext.defaultParallelism
+
+
 def token_rows(mols: DataFrame, col: str = "smiles") -> DataFrame:
-    """(mol_id, pos, tok, kind) for valid molecules, single-backslash pattern."""
-    valid = mols.where(valid_smiles(F.col(col)))
-    return (valid.select("mol_id", F.posexplode(tokenize(col, K.SMILES_PATTERN_FIXED)).alias("pos", "tok"))
+    """(mol_id, pos, tok, kind) for valid molecules, single-backslash pattern.
+
+    Molecules (one short row each) are hash-partitioned on ``mol_id`` before
+    the CPU-heavy validation and tokenisation, so that work runs in parallel
+    and the token rows inherit the partitioning every later window needs: the
+    one shuffle moves molecules, not tokens. The validity test sits inside
+    the outer generator, where Catalyst cannot push it below the shuffle.
+    """
+    spark = mols.sparkSession
+    m = mols.select("mol_id", col).repartition(_shuffle_partitions(spark), "mol_id")
+    toks = F.when(valid_smiles(F.col(col)), tokenize(col, K.SMILES_PATTERN_FIXED))
+    return (m.select("mol_id", F.posexplode_outer(toks).alias("pos", "tok"))
+            .where(F.col("pos").isNotNull())
             .withColumn("kind", token_kind(F.col("tok"))))
 
 
@@ -55,7 +73,7 @@ def _structure(tokens: DataFrame) -> DataFrame:
     (``prev``), and the bond symbol written before it."""
     step = F.when(F.col("kind") == "open", 1).when(F.col("kind") == "close", -1).otherwise(0)
     by_pos = _w().orderBy("pos")
-    t = (tokens.repartition("mol_id")
+    t = (tokens
          .withColumn("_run", F.sum(step).over(by_pos.rowsBetween(Window.unboundedPreceding, 0)))
          # a ')' belongs to the branch it closes
          .withColumn("depth", F.when(F.col("kind") == "close", F.col("_run") + 1).otherwise(F.col("_run")))
@@ -64,14 +82,17 @@ def _structure(tokens: DataFrame) -> DataFrame:
          .withColumn("atom_idx", F.when(F.col("kind") == "atom",
                                         F.sum((F.col("kind") == "atom").cast("int"))
                                         .over(by_pos.rowsBetween(Window.unboundedPreceding, 0)) - 1))
-         .withColumn("is_anchor", F.lit(False))
          .drop("_run"))
-    anchors = (t.where(F.col("kind") == "open")
-               .select("mol_id", "pos", F.lit("(").alias("tok"), F.lit("anchor").alias("kind"),
-                       (F.col("depth") - 1).alias("depth"), F.lit(None).cast("string").alias("prev_tok"),
-                       F.lit(None).cast("string").alias("prev_kind"), F.lit(None).cast("int").alias("atom_idx"),
-                       F.lit(True).alias("is_anchor")))
-    u = t.unionByName(anchors)
+    # every '(' also yields an anchor row one level up, generated from the
+    # same row (a self-union would recompute the windows above)
+    cols = ["mol_id", "pos", "tok", "kind", "depth", "prev_tok", "prev_kind", "atom_idx"]
+    me_row = F.struct(*[F.col(c) for c in cols], F.lit(False).alias("is_anchor"))
+    anchor = F.struct(F.col("mol_id"), F.col("pos"), F.lit("(").alias("tok"), F.lit("anchor").alias("kind"),
+                      (F.col("depth") - 1).alias("depth"), F.lit(None).cast("string").alias("prev_tok"),
+                      F.lit(None).cast("string").alias("prev_kind"), F.lit(None).cast("int").alias("atom_idx"),
+                      F.lit(True).alias("is_anchor"))
+    both = F.when(F.col("kind") == "open", F.array(me_row, anchor)).otherwise(F.array(me_row))
+    u = t.select(F.explode(both).alias("_r")).select("_r.*")
     # branch = opens so far at this depth (anchors sit one level up, never opens)
     u = u.withColumn("branch", F.sum((F.col("kind") == "open").cast("int")).over(
         _w("depth").orderBy("pos").rowsBetween(Window.unboundedPreceding, 0)))
@@ -167,7 +188,11 @@ def graph(mols: DataFrame, col: str = "smiles"):
     After the one shuffle on ``mol_id`` in ``_structure`` every step is a
     window or aggregate keyed by ``mol_id`` first, so no join re-shuffles.
     """
-    s = _structure(token_rows(mols, col))
+    # the structure feeds chain bonds, ring bonds and atoms: materialise it
+    # once in the shared checkpoint folder (its mol_id partitioning is kept,
+    # so the windows below still need no shuffle)
+    ensure_checkpoint_dir(mols.sparkSession)
+    s = _structure(token_rows(mols, col)).checkpoint(eager=True)
     b = _chain_and_ring_bonds(s)
     # in-ring: each tree bond against its molecule's closures (a short list)
     mol = _w()
