@@ -1,16 +1,16 @@
 """Multi-label classification as distributed MLlib jobs (I2, re-aimed).
 
 The reference trains one network that emits a score per label. Here each
-label gets its own binary ``HashingTF -> LogisticRegression`` pipeline on
-the token array of a row: hashing keeps the feature space fixed (no
-vocabulary pass, no driver-side dictionary), and MLlib's optimiser runs
+label gets its own binary ``LogisticRegression`` on hashed term features
+of the row's token array (hashed once for all labels): hashing keeps the
+feature space fixed (no vocabulary pass, no driver-side dictionary), and
+MLlib's optimiser runs
 treeAggregate over the partitions, so the training set never reaches one
 task. The driver loops over labels only (a handful), never over rows.
 """
 
 from __future__ import annotations
 
-from pyspark.ml import Pipeline
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import HashingTF
 from pyspark.ml.functions import vector_to_array
@@ -18,32 +18,42 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from retort.operators.clean import union_sources
+from retort.session import ensure_checkpoint_dir
 
 NUM_FEATURES = 1 << 18
 MAX_ITER = 20
 REG_PARAM = 0.01
 
 
-def train_multilabel(df: DataFrame, tokens: str, labels, split: str = "split", train_value: str = "train",
-                     num_features: int = NUM_FEATURES, max_iter: int = MAX_ITER, reg_param: float = REG_PARAM):
-    """One fitted pipeline per label column, trained on the ``train`` rows."""
-    train = df.where(F.col(split) == train_value)
+def featurize(df: DataFrame, tokens: str, num_features: int = NUM_FEATURES) -> DataFrame:
+    """Hashed binary term features of a token array, computed once for all
+    labels and checkpointed to the shared folder: every label's optimiser
+    passes and the scoring pass read it instead of re-deriving the tokens."""
+    ensure_checkpoint_dir(df.sparkSession)
+    tf = HashingTF(inputCol=tokens, outputCol="features", numFeatures=num_features, binary=True)
+    return tf.transform(df).drop(tokens).checkpoint(eager=True)
+
+
+def train_multilabel(feats: DataFrame, labels, split: str = "split", train_value: str = "train",
+                     max_iter: int = MAX_ITER, reg_param: float = REG_PARAM):
+    """One fitted binary model per label column, trained on the ``train``
+    rows of a featurised frame."""
+    train = feats.where(F.col(split) == train_value)
     models = {}
     for label in labels:
-        stages = [HashingTF(inputCol=tokens, outputCol="_tf", numFeatures=num_features, binary=True),
-                  LogisticRegression(featuresCol="_tf", labelCol="_y", predictionCol="_pred",
-                                     probabilityCol="_prob", rawPredictionCol="_raw",
-                                     maxIter=max_iter, regParam=reg_param)]
-        models[label] = Pipeline(stages=stages).fit(train.withColumn("_y", F.col(label).cast("double")))
+        lr = LogisticRegression(featuresCol="features", labelCol="_y", predictionCol="_pred",
+                                probabilityCol="_prob", rawPredictionCol="_raw",
+                                maxIter=max_iter, regParam=reg_param)
+        models[label] = lr.fit(train.withColumn("_y", F.col(label).cast("double")))
     return models
 
 
-def score_multilabel(df: DataFrame, models, key: str, split: str = "split") -> DataFrame:
+def score_multilabel(feats: DataFrame, models, key: str, split: str = "split") -> DataFrame:
     """Long form ``(key, split, label, y, z, p, prediction)``: one row per
     (row, label); ``z`` is the logit, ``p`` its sigmoid."""
     parts = []
     for label, model in models.items():
-        scored = model.transform(df.withColumn("_y", F.col(label).cast("double")))
+        scored = model.transform(feats.withColumn("_y", F.col(label).cast("double")))
         parts.append(scored.select(
             key, split, F.lit(label).alias("label"), F.col("_y").alias("y"),
             vector_to_array("_raw")[1].alias("z"), vector_to_array("_prob")[1].alias("p"),

@@ -28,8 +28,8 @@ def labelled_documents(spark, sf):
 
 
 def multilabel_scores(spark, sf):
-    df = labelled_documents(spark, sf)
-    return ML.score_multilabel(df, ML.train_multilabel(df, "tokens", LABELS), "doc_id")
+    feats = ML.featurize(labelled_documents(spark, sf), "tokens")
+    return ML.score_multilabel(feats, ML.train_multilabel(feats, LABELS), "doc_id")
 
 
 @register("multilabel_scores")
