@@ -18,7 +18,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from retort.session import spread
+from retort.session import ensure_checkpoint_dir, spread
 
 SHINGLE_WORDS = 5
 _BLANKS = "[ \\t\\n\\r]+"
@@ -113,7 +113,10 @@ def similar_lsh(corpus: DataFrame, threshold: int = 90, key: str = "doc_id", tex
     from pyspark.ml.feature import HashingTF, MinHashLSH
 
     docs = with_shingles(corpus, key, text, k)
-    feats = HashingTF(inputCol="sh", outputCol="f", numFeatures=num_features, binary=True).transform(docs)
+    # both sides of the self-join read the hashed sets: build them once
+    ensure_checkpoint_dir(corpus.sparkSession)
+    feats = (HashingTF(inputCol="sh", outputCol="f", numFeatures=num_features, binary=True)
+             .transform(docs).select("id", "f").checkpoint(eager=True))
     model = MinHashLSH(inputCol="f", outputCol="h", numHashTables=tables, seed=seed).fit(feats)
     pairs = model.approxSimilarityJoin(feats, feats, 1.0 - threshold / 100.0, distCol="dist")
     return (pairs.where(F.col("datasetA.id") < F.col("datasetB.id"))
