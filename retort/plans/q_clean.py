@@ -88,3 +88,24 @@ FROM (SELECT row_id, '[' || array_to_string(list_transform(applications, lambda
 def q_parse_list(spark, sf):
     df = A.compounds(spark, sf).select("row_id", T.list_literal("applications").alias("lit"))
     return df.select("row_id", F.array_join(T.parse_list("lit"), "|").alias("parsed"))
+
+
+# one-hot over the first five sources; the sixth falls into the 'Unknown' slot
+ONE_HOT_CATS = A.SOURCE_ORDER[:5] + ["Unknown"]
+
+
+def _one_hot_sql(col: str, cats) -> str:
+    known = cats[:-1]
+    hits = ", ".join(f"CASE WHEN {col} = '{c}' THEN 1 ELSE 0 END" for c in known)
+    miss = f"CASE WHEN {col} IN ({', '.join(repr(c) for c in known)}) THEN 0 ELSE 1 END"
+    return f"concat_ws(' ', {hits}, {miss})"
+
+
+@register("one_hot", f"""
+SELECT p_partkey, {_one_hot_sql('p_type', ONE_HOT_CATS)} AS one_hot FROM part""")
+def q_one_hot(spark, sf):
+    from retort.session import read_table
+    p = read_table(spark, sf, "part")
+    v = T.one_hot(F.col("p_type"), ONE_HOT_CATS)
+    return p.select("p_partkey", F.array_join(F.transform(v, lambda x: x.cast("int").cast("string")), " ")
+                    .alias("one_hot"))

@@ -80,6 +80,14 @@ def q_candidates(spark, sf):
     return patent_candidates(spark, sf).select("doc_id", F.array_join("cands", "|").alias("candidates"))
 
 
+@register("candidates_ctx")
+def q_candidates_ctx(spark, sf):
+    """G6 alone: the context-pattern captures, stripped, non-blank, first 5."""
+    p = spread(A.patents(spark, sf))
+    c = P.candidates(T.join_text("title", "abstract"), patterns=[])
+    return p.select("doc_id", F.array_join(c, "|").alias("candidates"))
+
+
 @register("first_n")
 def q_first_n(spark, sf):
     return P.first_n(patent_candidates(spark, sf), "cands", 3).select("doc_id", "pos", "name")
