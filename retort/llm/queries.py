@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from retort.llm import pii, secrets, tokens
+from retort.llm import packing, pii, secrets, simhash, tokens
 
 TOKENIZER = "word_bpe_49k.json"
 
@@ -21,6 +21,14 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+def op1_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(documents(spark, sf_dir), shingle=3, radius=3)
+
+
+def op3_mixture_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(documents(spark, sf_dir), tokenizer_path(), eos=2, window=4096)
+
+
 def op7_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.digest(secrets.find_secrets(documents(spark, sf_dir)))
 
@@ -34,6 +42,6 @@ def op9_pii_anchors(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op7_secret_scan, op8_token_counts, op9_pii_anchors)
+    f.__name__: f for f in (op1_simhash_dedup, op3_mixture_packing, op7_secret_scan, op8_token_counts, op9_pii_anchors)
 }
 ORACLE: dict[str, str] = {}
