@@ -97,7 +97,7 @@ def encode(docs: DataFrame, path: str, eos: int) -> DataFrame:
         for batch in batches:
             for part in byte_slices(batch, "text"):
                 queues = part.column("queue").to_pylist()
-                ids = [enc.ids(t) + end for t in bytes_of(part)]
+                ids = [x + end for x in enc.ids_of(bytes_of(part))]
                 before = []
                 for q, x in zip(queues, ids):
                     before.append(used[q])

@@ -9,6 +9,8 @@ from __future__ import annotations
 
 import functools
 import os
+from array import array
+from collections.abc import Iterable
 
 import numpy as np
 import pyarrow as pa
@@ -17,7 +19,10 @@ from pyspark.sql import DataFrame
 from retort.llm.common import bytes_of, per_text
 
 #: Words a worker keeps, in each of two generations.
-CACHED_WORDS = 250_000
+CACHED_WORDS = 300_000
+#: Stops cut from a new word's end, and the ASCII letters and digits they may follow.
+STOPS = b".,;:!?"
+ALNUM = frozenset(b"0123456789ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz")
 
 
 class WordEncoder:
@@ -31,32 +36,59 @@ class WordEncoder:
         self.tok.no_truncation()
         self.tok.no_padding()
         self.dtype, self.cached = np.dtype(dtype), cached
+        self.code = {2: "H", 4: "I"}[self.dtype.itemsize]
         self.young: dict[bytes, bytes] = {}
         self.old: dict[bytes, bytes] = {}
 
-    def learn(self, words: list[bytes]) -> dict[bytes, bytes]:
-        """The table, holding every word of ``words``."""
+    @staticmethod
+    def words(text: bytes) -> list[bytes]:
+        """The words, A-Z in lower case as the tokenizer's normalizer has them. Special strings are
+        matched before it, in their own case, so a text that may hold one keeps its case."""
+        return text.split() if b"<|" in text else text.lower().split()
+
+    def learn(self, words: Iterable[bytes]) -> dict[bytes, bytes]:
+        """The table, holding every word of ``words`` (distinct)."""
         if len(self.young) > self.cached:
             self.old, self.young = self.young, {}
         young, old = self.young, self.old
-        new = []
+        new, ended = set(), []
         for w in set(words).difference(young):
             ids = old.get(w)
-            if ids is None:
-                new.append(w)
-            else:
+            if ids is not None:
                 young[w] = ids
+                continue
+            # a stop after a letter or digit is a piece of its own
+            stem = w.rstrip(STOPS)
+            if len(stem) < len(w) and stem and (stem[-1] in ALNUM or len(stem) > 1 and stem[-2] == 0xC3 and stem[-1] not in (0x97, 0xB7)):
+                stop = w[len(stem):]
+                ended.append((w, stem, stop))
+                for part in (stem, stop):
+                    if part not in young:
+                        if (ids := old.get(part)) is None:
+                            new.add(part)
+                        else:
+                            young[part] = ids
+            else:
+                new.add(w)
+        new, code = list(new), self.code
         for i in range(0, len(new), 4096):
             part = new[i : i + 4096]
             encoded = self.tok.encode_batch_fast([w.decode("utf-8", "replace") for w in part], add_special_tokens=False)
             for w, e in zip(part, encoded):
-                young[w] = np.array(e.ids, self.dtype).tobytes()
+                young[w] = array(code, e.ids).tobytes()
+        for w, stem, stop in ended:
+            young[w] = young[stem] + young[stop]
         return young
 
     def ids(self, text: bytes) -> bytes:
-        words = text.split()
+        words = self.words(text)
         return b"".join(map(self.learn(words).__getitem__, words))
 
+    def ids_of(self, texts: list[bytes]) -> list[bytes]:
+        split = [self.words(t) for t in texts]
+        table = self.learn(set().union(*split)).__getitem__
+        return [b"".join(map(table, words)) for words in split]
+
 
 @functools.lru_cache(maxsize=4)
 def encoder(path: str, dtype: str = "<u4") -> WordEncoder:
@@ -72,14 +104,11 @@ class PrefixTable:
     the two arrays give the count of every prefix that ends outside a word. A prefix that ends within
     a word adds the count of that one word's own prefix; no more than that word is ever encoded."""
 
-    def __init__(self, text: bytes, enc: WordEncoder):
-        words = text.split()
-        table, width = enc.learn(words), enc.dtype.itemsize
+    def __init__(self, text: bytes, enc: WordEncoder, words: list[bytes] | None = None, table: dict[bytes, bytes] | None = None):
+        self._words, self._ends = enc.words(text) if words is None else words, None
+        table, n = (enc.learn(self._words) if table is None else table).__getitem__, len(self._words)
         self.text, self.enc = text, enc
-        n = len(words)
-        tokens = np.fromiter((len(table[w]) for w in words), np.int64, n) // width
-        self.counts = np.cumsum(tokens)
-        self._words, self._ends = words, None
+        self.counts = np.cumsum(np.fromiter(map(len, map(table, self._words)), np.int64, n) // enc.dtype.itemsize)
 
     @property
     def total(self) -> int:
@@ -88,9 +117,10 @@ class PrefixTable:
     @property
     def ends(self) -> np.ndarray:
         if self._ends is None:
+            folded = self.text if b"<|" in self.text else self.text.lower()
             ends, at = np.empty(len(self._words), np.int64), 0
             for i, w in enumerate(self._words):
-                at = self.text.index(w, at) + len(w)
+                at = folded.index(w, at) + len(w)
                 ends[i] = at
             self._ends = ends
         return self._ends
@@ -100,8 +130,7 @@ class PrefixTable:
         i = int(np.searchsorted(self.ends, n_bytes, side="right"))
         done = int(self.counts[i - 1]) if i else 0
         start = int(self.ends[i - 1]) if i else 0
-        rest = self.text[start:n_bytes].split()
-        return done + (len(self.enc.ids(rest[0])) // self.enc.dtype.itemsize if rest else 0)
+        return done + len(self.enc.ids(self.text[start:n_bytes])) // self.enc.dtype.itemsize
 
     def fit(self, limit: int) -> int:
         """Words of the longest prefix of whole words with at most ``limit`` tokens."""
@@ -117,8 +146,10 @@ def token_counts(docs: DataFrame, path: str, limit: int) -> DataFrame:
     def run(batch):
         enc, size, total, fit = encoder(path, "<u2" if _small(path) else "<u4"), [], [], []
         texts = bytes_of(batch)
-        for t in texts:
-            table = PrefixTable(t, enc)
+        split = [enc.words(t) for t in texts]
+        known = enc.learn(set().union(*split))
+        for t, words in zip(texts, split):
+            table = PrefixTable(t, enc, words, known)
             size.append(len(t))
             total.append(table.total)
             fit.append(table.fit(limit))
