@@ -6,7 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from retort.llm import packing, pii, secrets, simhash, tokens
+from retort.llm import packing, pii, secrets, simhash, tokens, warc
+from retort.llm.common import scratch_table
 
 TOKENIZER = "word_bpe_49k.json"
 
@@ -25,6 +26,12 @@ def op1_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(documents(spark, sf_dir), shingle=3, radius=3)
 
 
+def op2_warc_chain(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch_table(spark, "archive")
+    warc.write_archive(spark.read.parquet(f"{sf_dir}/pages.parquet"), path)
+    return warc.digest(warc.resolved(warc.read_archive(spark, path)))
+
+
 def op3_mixture_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(documents(spark, sf_dir), tokenizer_path(), eos=2, window=4096)
 
@@ -42,6 +49,6 @@ def op9_pii_anchors(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_simhash_dedup, op3_mixture_packing, op7_secret_scan, op8_token_counts, op9_pii_anchors)
+    f.__name__: f for f in (op1_simhash_dedup, op2_warc_chain, op3_mixture_packing, op7_secret_scan, op8_token_counts, op9_pii_anchors)
 }
 ORACLE: dict[str, str] = {}
