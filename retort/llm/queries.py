@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from retort.llm import packing, pii, secrets, simhash, tokens, warc
+from retort.llm import fingerprint, packing, pii, secrets, simhash, tokens, warc
 from retort.llm.common import scratch_table
 
 TOKENIZER = "word_bpe_49k.json"
@@ -36,6 +36,10 @@ def op3_mixture_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(documents(spark, sf_dir), tokenizer_path(), eos=2, window=4096)
 
 
+def op4_quartile_digest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprint.fingerprints(documents(spark, sf_dir))
+
+
 def op7_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.digest(secrets.find_secrets(documents(spark, sf_dir)))
 
@@ -49,6 +53,6 @@ def op9_pii_anchors(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_simhash_dedup, op2_warc_chain, op3_mixture_packing, op7_secret_scan, op8_token_counts, op9_pii_anchors)
+    f.__name__: f for f in (op1_simhash_dedup, op2_warc_chain, op3_mixture_packing, op4_quartile_digest, op7_secret_scan, op8_token_counts, op9_pii_anchors)
 }
 ORACLE: dict[str, str] = {}
