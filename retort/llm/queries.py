@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from retort.llm import fingerprint, packing, pii, secrets, simhash, tokens, warc
+from retort.llm import fingerprint, packing, pii, secrets, simhash, substring, tokens, warc
 from retort.llm.common import scratch_table
 
 TOKENIZER = "word_bpe_49k.json"
@@ -52,7 +52,12 @@ def op9_pii_anchors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.digest(pii.find_pii(documents(spark, sf_dir)))
 
 
+def op10_super_kmers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring.digest(substring.remove_repeats(documents(spark, sf_dir), window=50))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_simhash_dedup, op2_warc_chain, op3_mixture_packing, op4_quartile_digest, op7_secret_scan, op8_token_counts, op9_pii_anchors)
+    f.__name__: f for f in (op1_simhash_dedup, op2_warc_chain, op3_mixture_packing, op4_quartile_digest, op7_secret_scan,
+                            op8_token_counts, op9_pii_anchors, op10_super_kmers)
 }
 ORACLE: dict[str, str] = {}
