@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from retort.llm import fingerprint, packing, pii, secrets, simhash, substring, tokens, toxicity, warc
+from retort.llm import decontaminate, fingerprint, packing, pii, secrets, simhash, substring, tokens, toxicity, warc
 from retort.llm.common import scratch_table
 
 TOKENIZER = "word_bpe_49k.json"
@@ -46,6 +46,10 @@ def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score(docs, model, threshold=0.3)
 
 
+def op6_benchmark_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.leaks(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
 def op7_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.digest(secrets.find_secrets(documents(spark, sf_dir)))
 
@@ -63,7 +67,7 @@ def op10_super_kmers(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_simhash_dedup, op2_warc_chain, op3_mixture_packing, op4_quartile_digest, op5_toxicity, op7_secret_scan,
+    f.__name__: f for f in (op1_simhash_dedup, op2_warc_chain, op3_mixture_packing, op4_quartile_digest, op5_toxicity, op6_benchmark_leaks, op7_secret_scan,
                             op8_token_counts, op9_pii_anchors, op10_super_kmers)
 }
 ORACLE: dict[str, str] = {}
