@@ -5,11 +5,12 @@ spend before (its deficit). After r rounds source s has therefore served
 
     C_s(r) = min(T_s, floor(r * quantum_s))
 
-tokens of its T_s, and the rounds laid end to end are the stream that windows are cut from. Since the
+tokens of its T_s (a source with a small share saves its quanta until they make a piece of ``GRAIN``
+tokens, so that it isn't cut into crumbs), and the rounds laid end to end are the stream that windows are cut from. Since the
 state after any round is this closed form, every task places its own documents exactly, with the deficits
 that earlier windows and other partitions carry over, and no task walks the stream. A window holds the
-target shares to within a token a source; when a queue runs dry the others fill the windows, so only the
-last one is short.
+target shares to within a token a source (``GRAIN`` for small ones); when a queue runs dry the others
+fill the windows, so only the last one is short.
 
 Tokens are encoded once, kept as 16 or 32 bit ids in a compressed table in the shared folder. Queue
 positions come from sums for each (task, source), not from a sort, so a source with a third of all rows
@@ -31,7 +32,9 @@ from retort.llm.common import byte_slices, bytes_of, materialize
 from retort.llm.tokens import _small, encoder
 
 #: Shares are held as integers of this resolution.
-RESOLUTION = 1 << 20
+RESOLUTION = 1 << 18
+#: Least tokens that a source with a smaller quantum serves at once.
+GRAIN = 64
 PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
 
 
@@ -42,25 +45,32 @@ class RoundRobin:
         self.T = np.array(totals, np.int64)
         self.w = np.array(weights, np.int64)
         self.window, self.D = window, int(sum(weights))
+        self.grain = np.where(self.w * window < GRAIN * self.D, min(GRAIN, window), 1)
 
     def served(self, r: np.ndarray) -> np.ndarray:
         """C_s(r): queues by rounds."""
         q, rest = np.divmod(np.asarray(r, np.int64) * self.window, self.D)
-        w = self.w[:, None]
-        return np.minimum(self.T[:, None], q * w + rest * w // self.D)
+        w, grain = self.w[:, None], self.grain[:, None]
+        return np.minimum(self.T[:, None], (q * w + rest * w // self.D) // grain * grain)
 
     def round_of(self, queue: int, token: int) -> int:
         """The round that serves the token at this place of the queue."""
-        return -(-(token + 1) * self.D // (self.window * int(self.w[queue]))) - 1
+        grain = int(self.grain[queue])
+        return -(-(token // grain + 1) * grain * self.D // (self.window * int(self.w[queue]))) - 1
+
+    def rounds_of(self, queue: int, first: int, n: int) -> np.ndarray:
+        """The rounds that serve ``n`` tokens from the place ``first`` on."""
+        grain = int(self.grain[queue])
+        if grain == 1:
+            return np.arange(self.round_of(queue, first), self.round_of(queue, first + n - 1) + 1)
+        return np.unique([self.round_of(queue, g * grain) for g in range(first // grain, (first + n - 1) // grain + 1)])
 
     def place(self, queue: np.ndarray, first: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, ...]:
         """Pieces of documents that take ``n`` tokens of ``queue`` from its place ``first`` on:
         (document, start in it, length, place in the stream), by document and start."""
-        r0 = np.array([self.round_of(q, a) for q, a in zip(queue.tolist(), first.tolist())], np.int64)
-        r1 = np.array([self.round_of(q, a) for q, a in zip(queue.tolist(), (first + n - 1).tolist())], np.int64)
-        reps = r1 - r0 + 1
-        doc = np.repeat(np.arange(len(n)), reps)
-        r = np.arange(len(doc)) - np.repeat(np.cumsum(reps) - reps, reps) + r0[doc]
+        each = [self.rounds_of(*x) for x in zip(queue.tolist(), first.tolist(), n.tolist())]
+        doc = np.repeat(np.arange(len(n)), [len(x) for x in each])
+        r = np.concatenate([*each, np.empty(0, np.int64)]).astype(np.int64)
         rounds, back = np.unique(r, return_inverse=True)
         before, after = self.served(rounds), self.served(rounds + 1)
         ahead = np.cumsum(after - before, axis=0) - (after - before) + before.sum(axis=0)
