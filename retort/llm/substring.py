@@ -25,7 +25,7 @@ from retort.llm.common import byte_slices, bytes_of, materialize
 #: Words of the m-grams that minimisers are taken from.
 GRAM = 12
 #: Super-k-mers of one minimiser that a task sorts at once.
-HOT = 5000
+HOT = 1000
 ODD = np.uint64(0x9E3779B97F4A7C15)
 LAST = (1 << 63) - 1
 
