@@ -169,13 +169,22 @@ SPLIT_SEED = 42
 SPLIT_TEST_FRACTION = 0.2
 SIMILARITY_THRESHOLD = 90
 
-# --- Public element data (standard atomic weights, default valences) --------
+# --- Public element data (standard atomic weights; of the longest-lived isotope where there is none) --------
 ATOMIC_WEIGHTS = {
-    "H": 1.008, "B": 10.81, "C": 12.011, "N": 14.007, "O": 15.999,
-    "F": 18.998, "Na": 22.99, "Si": 28.085, "P": 30.974, "S": 32.065,
-    "Cl": 35.453, "K": 39.098, "Br": 79.904, "I": 126.904,
-}
-DEFAULT_VALENCE = {
-    "B": 3, "C": 4, "N": 3, "O": 2, "P": 3, "S": 2,
-    "F": 1, "Cl": 1, "Br": 1, "I": 1,
+    "H": 1.008, "He": 4.003, "Li": 6.94, "Be": 9.012, "B": 10.81, "C": 12.011, "N": 14.007, "O": 15.999,
+    "F": 18.998, "Ne": 20.18, "Na": 22.99, "Mg": 24.305, "Al": 26.982, "Si": 28.085, "P": 30.974, "S": 32.065,
+    "Cl": 35.453, "Ar": 39.948, "K": 39.098, "Ca": 40.078, "Sc": 44.956, "Ti": 47.867, "V": 50.942, "Cr": 51.996,
+    "Mn": 54.938, "Fe": 55.845, "Co": 58.933, "Ni": 58.693, "Cu": 63.546, "Zn": 65.38, "Ga": 69.723, "Ge": 72.63,
+    "As": 74.922, "Se": 78.971, "Br": 79.904, "Kr": 83.798, "Rb": 85.468, "Sr": 87.62, "Y": 88.906, "Zr": 91.224,
+    "Nb": 92.906, "Mo": 95.95, "Tc": 98.0, "Ru": 101.07, "Rh": 102.906, "Pd": 106.42, "Ag": 107.868, "Cd": 112.414,
+    "In": 114.818, "Sn": 118.71, "Sb": 121.76, "Te": 127.6, "I": 126.904, "Xe": 131.293, "Cs": 132.905, "Ba": 137.327,
+    "La": 138.905, "Ce": 140.116, "Pr": 140.908, "Nd": 144.242, "Pm": 145.0, "Sm": 150.36, "Eu": 151.964, "Gd": 157.25,
+    "Tb": 158.925, "Dy": 162.5, "Ho": 164.93, "Er": 167.259, "Tm": 168.934, "Yb": 173.045, "Lu": 174.967, "Hf": 178.49,
+    "Ta": 180.948, "W": 183.84, "Re": 186.207, "Os": 190.23, "Ir": 192.217, "Pt": 195.084, "Au": 196.967, "Hg": 200.592,
+    "Tl": 204.38, "Pb": 207.2, "Bi": 208.98, "Po": 209.0, "At": 210.0, "Rn": 222.0, "Fr": 223.0, "Ra": 226.0,
+    "Ac": 227.0, "Th": 232.038, "Pa": 231.036, "U": 238.029, "Np": 237.0, "Pu": 244.0, "Am": 243.0, "Cm": 247.0,
+    "Bk": 247.0, "Cf": 251.0, "Es": 252.0, "Fm": 257.0, "Md": 258.0, "No": 259.0, "Lr": 262.0,
 }
+
+# --- SMILES bracket atom: isotope, symbol, chirality, hydrogens, charge, class
+BRACKET_ATOM = r"^\[(\d{0,3})([A-Z][a-z]?|[a-z]{1,2}|\*)(@[A-Z]{2}\d{0,2}|@{1,2})?(H\d?)?([+-]+\d{0,2})?(:\d{1,9})?\]$"

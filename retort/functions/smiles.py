@@ -51,32 +51,52 @@ def valid_smiles(col) -> Column:
     True when the string is non-empty, every character is consumed by the
     (single-backslash) token pattern, no token is stray ('+', '@', '>' ...
     outside brackets), it starts with an atom, parentheses never go below
-    zero and end balanced, no branch or string ends on a bond, and every
-    ring label occurs an even number of times. No valence or aromaticity
-    check is made.
+    zero and end balanced, no branch or string ends on a bond, every branch
+    holds an atom, brackets are well formed, every ring label occurs an even
+    number of times and no ring closes onto its own atom or the next one.
+    No valence or aromaticity check is made.
     """
     s = _c(col)
-    toks = tokenize(s, K.SMILES_PATTERN_FIXED)
-    kinds = F.transform(toks, token_kind)
+    # one-element arrays bind the tokens and their kinds, so each is worked out once a row
+    toks = F.array(F.struct(s.alias("s"), tokenize(s, K.SMILES_PATTERN_FIXED).alias("t")))
+    kinds = F.transform(toks, lambda b: F.struct(b["s"].alias("s"), b["t"].alias("t"), F.transform(b["t"], token_kind).alias("k")))
+    return F.coalesce(F.element_at(F.transform(kinds, lambda b: _structure_ok(b["s"], b["t"], b["k"])), 1), F.lit(False))
+
+
+def _structure_ok(s: Column, toks: Column, kinds: Column) -> Column:
     covered = F.length(F.array_join(toks, "")) == F.length(s)
     no_other = ~F.array_contains(kinds, "other")
     first_atom = F.try_element_at(kinds, F.lit(1)) == F.lit("atom")
     last_ok = ~F.try_element_at(kinds, F.lit(-1)).isin("bond", "open", "dot")
+    step = lambda k: F.when(k == "open", 1).when(k == "close", -1).otherwise(0)
     depth = F.aggregate(
-        kinds,
-        F.struct(F.lit(0).alias("d"), F.lit(0).alias("lo")),
-        lambda acc, k: F.struct(
-            (acc["d"] + F.when(k == "open", 1).when(k == "close", -1).otherwise(0)).alias("d"),
-            F.least(acc["lo"], acc["d"] + F.when(k == "open", 1).when(k == "close", -1).otherwise(0)).alias("lo"),
-        ),
-    )
-    balanced = (depth["d"] == 0) & (depth["lo"] >= 0)
-    rings = F.filter(toks, lambda t: t.rlike(r"^(%[0-9]{2}|[0-9])$"))
-    paired = F.forall(F.array_distinct(rings),
-                      lambda r: F.size(F.filter(rings, lambda x: x == r)) % 2 == 0)
-    # a bond directly before ')' or '.' is dangling
-    pairs = F.arrays_zip(F.slice(kinds, 1, F.greatest(F.size(kinds) - 1, F.lit(0))),
-                         F.slice(kinds, 2, F.greatest(F.size(kinds) - 1, F.lit(0))))
-    no_dangling = ~F.exists(pairs, lambda p: (p["0"] == "bond") & p["1"].isin("close", "dot", "bond"))
-    return (s.isNotNull() & (F.length(s) > 0) & covered & no_other & first_atom
-            & F.coalesce(last_ok, F.lit(False)) & balanced & paired & no_dangling)
+        kinds, F.struct(F.lit(0).alias("d"), F.lit(0).alias("lo")),
+        lambda acc, k: F.struct((acc["d"] + step(k)).alias("d"), F.least(acc["lo"], acc["d"] + step(k)).alias("lo")),
+        lambda acc: (acc["d"] == 0) & (acc["lo"] >= 0))
+    # a bond directly before ')' or '.' is dangling; a branch starts with an atom
+    pairs = F.zip_with(kinds, F.slice(kinds, 2, F.greatest(F.size(kinds) - 1, F.lit(0))), lambda a, b: F.struct(a.alias("a"), b.alias("b")))
+    no_bad_pair = ~F.exists(pairs, lambda p: F.coalesce(((p["a"] == "bond") & p["b"].isin("close", "dot", "bond"))
+                                                      | ((p["a"] == "open") & p["b"].isin("close", "open")), F.lit(False)))
+    brackets = F.forall(toks, lambda t: ~t.startswith("[") | t.rlike(K.BRACKET_ATOM))
+    return (s.isNotNull() & (F.length(s) > 0) & covered & no_other & F.coalesce(first_atom, F.lit(False))
+            & F.coalesce(last_ok, F.lit(False)) & depth & no_bad_pair & brackets & _rings_ok(toks, kinds))
+
+
+def _rings_ok(toks: Column, kinds: Column) -> Column:
+    """Ring labels pair up in order; the two ends of a pair lie on different atoms that are not neighbours
+    in the chain already."""
+    ends = F.filter(F.transform(kinds, lambda k, i: F.when(k == "ring", F.struct(
+        F.element_at(toks, i + 1).alias("label"), i.alias("pos"),
+        F.size(F.filter(F.slice(kinds, F.lit(1), i + 1), lambda x: x == "atom")).alias("atom")))), lambda e: e.isNotNull())
+
+    def pair_ok(a: Column, b: Column) -> Column:
+        between = F.slice(kinds, a["pos"] + 1, b["pos"] - a["pos"])
+        next_to = (b["atom"] == a["atom"] + 1) & ~F.exists(between, lambda k: k.isin("close", "dot"))
+        return b.isNotNull() & (b["atom"] != a["atom"]) & ~next_to
+
+    def label_ok(own: Column) -> Column:
+        return F.forall(F.transform(own, lambda e, j: F.when(j % 2 == 0, pair_ok(e, F.try_element_at(own, j + 2))).otherwise(True)), lambda ok: ok)
+
+    labels = F.array_distinct(F.transform(ends, lambda e: e["label"]))
+    groups = F.transform(labels, lambda r: F.filter(ends, lambda e: e["label"] == r))
+    return F.forall(F.transform(groups, label_ok), lambda ok: ok)

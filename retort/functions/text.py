@@ -63,9 +63,9 @@ def parse_list(col) -> Column:
 
 
 def list_literal(arr) -> Column:
-    """Render an array<string> as a Python list literal (what CSV sinks held)."""
-    quoted = F.transform(_c(arr), lambda x: F.concat(F.lit("'"), x, F.lit("'")))
-    return F.concat(F.lit("["), F.array_join(quoted, ", "), F.lit("]"))
+    """Render an array<string> as a list literal that ``parse_list`` reads back: JSON, so quotes,
+    backslashes and line breaks inside items are escaped."""
+    return F.to_json(_c(arr))
 
 
 def _answer_item(x: Column) -> Column:

@@ -33,8 +33,7 @@ from retort.functions.smiles import token_kind, tokenize, valid_smiles
 from retort.functions.text import one_hot
 from retort.session import ensure_checkpoint_dir
 
-BRACKET_RE = r"^\[(\d*)([A-Z][a-z]?|[a-z]{1,2}|\*)(@[A-Z]{2}\d*|@{1,2})?(H\d*)?([+-]+\d*)?(:\d+)?\]$"
-BOND_ORDER = {"-": 1.0, "/": 1.0, "\\": 1.0, "=": 2.0, "#": 3.0, ":": 1.5, "$": 4.0}
+BRACKET_RE = K.BRACKET_ATOM
 BOND_NAME = {"-": "SINGLE", "/": "SINGLE", "\\": "SINGLE", "=": "DOUBLE", "#": "TRIPLE", ":": "AROMATIC"}
 ALLOWED_VALENCES = {"B": [3], "C": [4], "N": [3, 5], "O": [2], "P": [3, 5], "S": [2, 4, 6],
                     "F": [1], "Cl": [1], "Br": [1], "I": [1]}
@@ -137,11 +136,11 @@ def _atom_props(t: DataFrame) -> DataFrame:
         F.concat(F.upper(F.substring(sym, 1, 1)), F.substring(sym, 2, 2)))
     hpart = F.regexp_extract(tok, BRACKET_RE, 4)
     hcount = F.when(br & (hpart == "H"), 1).when(br & (F.length(hpart) > 1),
-                                                  F.substring(hpart, 2, 5).cast("int")).otherwise(0)
+                                                  F.substring(hpart, 2, 5).try_cast("int")).otherwise(0)
     cpart = F.regexp_extract(tok, BRACKET_RE, 5)
     sign = F.when(F.substring(cpart, 1, 1) == "-", -1).otherwise(1)
     digits = F.regexp_extract(cpart, r"(\d+)$", 1)
-    charge = F.when(~br | (F.length(cpart) == 0), 0).when(F.length(digits) > 0, sign * digits.cast("int")) \
+    charge = F.when(~br | (F.length(cpart) == 0), 0).when(F.length(digits) > 0, sign * digits.try_cast("int")) \
         .otherwise(sign * F.length(cpart))
     chiral = br & (F.length(F.regexp_extract(tok, BRACKET_RE, 3)) > 0)
     return t.select("mol_id", "atom_idx", "pos", "tok", sym.alias("symbol"), element.alias("element"),

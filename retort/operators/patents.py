@@ -77,16 +77,20 @@ def scan_patents(df: DataFrame, limit: int, **filter_args) -> DataFrame:
 
 
 # Java's regex engine recurses once per iteration of a repeated group, so
-# "(?:\s+[a-z]+)*" overflows the task stack on long texts. The letter /
-# blank run before the digits is deterministic, so this flat form matches
-# exactly the same spans (checked against Python re on the test documents).
+# "(?:\s+[a-z]+)*" overflows the task stack on long texts, and a run of words
+# without digits after it is searched again from each of its words. All starts
+# within a run end alike, so the run is taken once, possessively, with the
+# digits if they follow; runs that do not end in digits are then dropped.
 _JVM_EQUIVALENT = {
-    r"\b[A-Z][a-z]*(?:\s+[a-z]+)*\s+\d+\b": r"\b[A-Z][a-z\s]*\s\d+\b",
+    r"\b[A-Z][a-z]*(?:\s+[a-z]+)*\s+\d+\b": (r"\b[A-Z][a-z\s]*+(?:(?<=\s)\d+\b)?", r"(?U)\d$"),
 }
 
 
-def jvm_pattern(p: str) -> str:
-    return _JVM_EQUIVALENT.get(p, p)
+def pattern_matches(t: Column, p: str) -> Column:
+    """All matches of one pattern, Python-``re`` semantics."""
+    pattern, ends = _JVM_EQUIVALENT.get(p, (p, None))
+    found = F.regexp_extract_all(t, F.lit("(?iU)" + pattern), 0)
+    return F.filter(found, lambda x: x.rlike(ends)) if ends else found
 
 
 def candidates(text, patterns=K.CHEMICAL_PATTERNS, indicators=K.CHEMICAL_INDICATORS, n: int = 5) -> Column:
@@ -98,7 +102,7 @@ def candidates(text, patterns=K.CHEMICAL_PATTERNS, indicators=K.CHEMICAL_INDICAT
     order; first ``n``.
     """
     t = text if isinstance(text, Column) else F.col(text)
-    g5 = [F.filter(F.transform(F.regexp_extract_all(t, F.lit("(?iU)" + jvm_pattern(p)), 0), ptrim),
+    g5 = [F.filter(F.transform(pattern_matches(t, p), ptrim),
                    lambda x: (F.length(x) > 3) & (F.length(x) < 50)) for p in patterns]
     g6 = [F.filter(F.transform(F.regexp_extract_all(t, F.lit("(?iU)" + p), 1), ptrim),
                    lambda x: F.length(x) > 0) for p in indicators]

@@ -3,8 +3,7 @@ C5, B5, G11).
 
 The keyword dictionary is small and fixed, so category lookups compile to
 one CASE expression per row (no join, no shuffle). A dictionary given as a
-table is either folded into that expression after a size check or, when
-large, joined on exact substrings (an equi-join Spark can hash-partition).
+table is joined on exact substrings (an equi-join Spark can hash-partition).
 """
 
 from __future__ import annotations
@@ -15,8 +14,7 @@ from pyspark.sql import functions as F
 from retort import constants as K
 from retort.functions.smiles import token_kind, tokenize, valid_smiles
 from retort.functions.text import ptrim, slug
-
-MAX_INLINE_KEYWORDS = 5000
+from retort.operators.clean import dedupe_first
 
 
 def _c(col) -> Column:
@@ -49,37 +47,26 @@ def name_categories(col, mapping=K.APPLICATION_MAPPING) -> Column:
         F.filter(hits, lambda x: x.isNotNull()))
 
 
-def mapping_from_dim(dim: DataFrame, limit: int = MAX_INLINE_KEYWORDS):
-    """Fold a ``(cat_rank, category, keyword)`` table into an ordered
-    mapping. Only for a dictionary of checked, bounded size."""
-    n = dim.count()
-    if n > limit:
-        raise ValueError(f"keyword table has {n} rows (> {limit}); use categories_by_join")
-    rows = dim.select("cat_rank", "category", "keyword").orderBy("cat_rank", "keyword").collect()
-    mapping: dict[tuple[int, str], list[str]] = {}
-    for r in rows:
-        mapping.setdefault((r.cat_rank, r.category), []).append(r.keyword)
-    return [(cat, words) for (_, cat), words in sorted(mapping.items())]
-
-
-def categories_by_join(df: DataFrame, key: str, col: str, dim: DataFrame,
-                       max_keyword_len: int = 64) -> DataFrame:
-    """C2/C3 against a large keyword table: every substring of the hint with
-    a length some keyword has is equi-joined to the keywords.
+def categories_by_join(df: DataFrame, key: str, col: str, dim: DataFrame) -> DataFrame:
+    """C2/C3 against a keyword table ``(cat_rank, category, keyword)`` of any
+    size: every substring of the lower-cased hint with a length some keyword
+    has is equi-joined to the lower-cased keywords.
 
     Returns ``(key, first_category, categories)``; rows without a hit get
-    'unknown' and an empty list. Meant for short hints (names, terms).
+    'unknown' and an empty list. Meant for short hints (names, terms): the
+    substrings of a hint number its length times the keyword lengths.
     """
-    lens = sorted(r[0] for r in dim.select(F.length("keyword")).distinct().collect()
-                  if r[0] is not None and r[0] <= max_keyword_len)
+    words = dim.where(F.length("keyword") > 0).select(F.lower("keyword").alias("keyword"), "cat_rank", "category").distinct()
+    lens = sorted(r[0] for r in words.select(F.length("keyword")).distinct().collect())  # one number a length
     low = F.lower(F.col(col))
-    subs = F.flatten(F.array(*[
-        F.when(F.length(low) >= L,
-               F.transform(F.sequence(F.lit(1), F.length(low) - L + 1), lambda i, L=L: F.substring(low, i, L)))
-        .otherwise(F.array().cast("array<string>"))
-        for L in lens]))
+
+    def cut(n: int) -> Column:
+        starts = F.sequence(F.lit(1), F.length(low) - n + 1)
+        return F.when(F.length(low) >= n, F.transform(starts, lambda i: F.substring(low, i, n))).otherwise(F.array().cast("array<string>"))
+
+    subs = F.flatten(F.array(*[cut(n) for n in lens])) if lens else F.array().cast("array<string>")
     grams = df.select(key, F.explode(F.array_distinct(subs)).alias("keyword"))
-    hits = grams.join(dim.select("keyword", "cat_rank", "category"), "keyword")
+    hits = grams.join(words, "keyword")
     per_key = hits.groupBy(key).agg(
         F.min(F.struct("cat_rank", "category"))["category"].alias("first_category"),
         F.array_sort(F.collect_set(F.struct("cat_rank", "category")))["category"].alias("categories"))
@@ -175,6 +162,8 @@ def answer_status(raw_text, landed_status=None) -> Column:
     return st
 
 
-def exclude_seen(df: DataFrame, seen: DataFrame, key: str = "smiles") -> DataFrame:
-    """Drop rows whose key was already collected (left anti join)."""
-    return df.join(seen.select(key).distinct(), key, "left_anti")
+def exclude_seen(df: DataFrame, seen: DataFrame, key: str = "smiles", order=()) -> DataFrame:
+    """C1 + E1: rows whose key was not collected before (left anti join), each
+    key once: the first in ``order`` where that is given."""
+    left = df.join(seen.select(key).distinct(), key, "left_anti")
+    return dedupe_first(left, key, order) if order else left.dropDuplicates([key])

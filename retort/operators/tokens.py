@@ -1,10 +1,8 @@
 """SMILES token sequences: vocabulary, ids, encode/decode.
 
-The vocabulary is the distinct token set of a corpus: its size is bounded
-by the token alphabet, not by the data. Encoding folds a vocabulary of
-checked size into a map literal so each row is encoded in place (no
-shuffle); a larger vocabulary goes through a join on ``(token)`` and a
-regroup on the row key.
+The vocabulary is the distinct token set of a corpus. Encoding and decoding
+join it on the token (the id) and regroup by row key, whatever its size; only
+the fixed fallback list is looked up in place.
 """
 
 from __future__ import annotations
@@ -16,8 +14,6 @@ from retort import constants as K
 from retort.functions.smiles import encode, tokenize
 from retort.operators.indexing import dense_index
 
-INLINE_VOCAB_LIMIT = 100_000
-
 
 def special_tokens_df(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame(list(enumerate(K.SPECIAL_TOKENS)), "id BIGINT, token STRING")
@@ -38,48 +34,38 @@ def build_vocab(df: DataFrame, col: str = "smiles", pattern: str = K.SMILES_PATT
     return special_tokens_df(df.sparkSession).unionByName(corpus.select("id", "token"))
 
 
-def _vocab_arrays(vocab: DataFrame, limit: int):
-    n = vocab.count()
-    if n > limit:
-        return None
-    rows = vocab.select("token", "id").collect()
-    return [r.token for r in rows], [int(r.id) for r in rows]
-
-
-def encode_tokens(df: DataFrame, vocab: DataFrame, col: str = "smiles", key: str = "row_id",
-                  special: bool = True, pattern: str = K.SMILES_PATTERN,
-                  inline_limit: int = INLINE_VOCAB_LIMIT) -> DataFrame:
+def encode_tokens(df: DataFrame, vocab: DataFrame | None = None, col: str = "smiles", key: str = "row_id",
+                  special: bool = True, pattern: str = K.SMILES_PATTERN) -> DataFrame:
     """C8 + G4: token ids (unknown -> <unk>), optionally in <bos> .. <eos>.
 
-    Returns the input columns plus ``ids``.
+    Without ``vocab`` the fixed fallback list is used in place. A vocabulary
+    table of any size is joined on the token, and each row's ids are put back
+    in order (``key`` must be unique). Returns the input columns plus ``ids``.
     """
-    arrays = _vocab_arrays(vocab, inline_limit)
     toks = tokenize(col, pattern)
-    if arrays is not None:
-        keys, vals = arrays
-        lookup = F.map_from_arrays(F.lit(keys), F.lit(vals).cast("array<bigint>"))
-        ids = F.transform(toks, lambda t: F.coalesce(F.try_element_at(lookup, t), F.lit(K.UNK_ID).cast("bigint")))
+    if vocab is None:
+        fixed = F.array(*[F.lit(t) for t in K.SPECIAL_TOKENS + K.DEFAULT_VOCAB])
+        at = F.transform(toks, lambda t: F.coalesce(F.array_position(fixed, t), F.lit(0)))
+        ids = F.transform(at, lambda i: F.when(i > 0, i - 1).otherwise(F.lit(K.UNK_ID)).cast("bigint"))
         return df.withColumn("ids", encode(ids, special))
-    # large vocabulary: long form, join, ordered regroup per row
     long = df.select(key, F.posexplode(toks).alias("pos", "token"))
     hit = long.join(vocab.select("token", "id"), "token", "left")
-    per_row = hit.groupBy(key).agg(F.array_sort(F.collect_list(
-        F.struct("pos", F.coalesce("id", F.lit(K.UNK_ID).cast("bigint")).alias("id")))).alias("_p"))
-    out = df.join(per_row, key, "left").withColumn(
-        "ids", F.coalesce(F.transform("_p", lambda s: s["id"]), F.array().cast("array<bigint>"))).drop("_p")
+    out = _in_order(df, hit, key, F.coalesce("id", F.lit(K.UNK_ID).cast("bigint")), "ids", "array<bigint>")
     return out.withColumn("ids", encode(F.col("ids"), special))
 
 
-def decode_tokens(df: DataFrame, vocab: DataFrame, col: str = "ids", skip_special: bool = True,
-                  inline_limit: int = INLINE_VOCAB_LIMIT) -> DataFrame:
-    """Ids back to text; specials skipped, unknown ids give ''."""
-    arrays = _vocab_arrays(vocab, inline_limit)
-    if arrays is None:
-        raise ValueError("vocabulary too large to decode inline")
-    keys, vals = arrays
-    lookup = F.map_from_arrays(F.lit(vals).cast("array<bigint>"), F.lit(keys))
-    ids = F.col(col)
+def decode_tokens(df: DataFrame, vocab: DataFrame, col: str = "ids", key: str = "row_id", skip_special: bool = True) -> DataFrame:
+    """Ids back to text by a join on the id; specials skipped, unknown
+    ids give ''. Returns the input columns plus ``decoded``."""
+    long = df.select(key, F.posexplode(col).alias("pos", "id"))
     if skip_special:
-        ids = F.filter(ids, lambda i: ~i.isin(list(range(len(K.SPECIAL_TOKENS)))))
-    toks = F.transform(ids, lambda i: F.coalesce(F.try_element_at(lookup, i), F.lit("")))
-    return df.withColumn("decoded", F.array_join(toks, ""))
+        long = long.where(F.col("id") >= len(K.SPECIAL_TOKENS))
+    hit = long.join(vocab.select("id", "token"), "id", "left")
+    out = _in_order(df, hit, key, F.coalesce("token", F.lit("")), "_tokens", "array<string>")
+    return out.withColumn("decoded", F.array_join("_tokens", "")).drop("_tokens")
+
+
+def _in_order(df: DataFrame, hit: DataFrame, key: str, value, name: str, kind: str) -> DataFrame:
+    """``df`` with each row's values of ``hit`` as an array by ``pos`` (a row's own tokens: a bounded group)."""
+    per_row = hit.groupBy(key).agg(F.array_sort(F.collect_list(F.struct("pos", value.alias("v")))).alias("_p"))
+    return df.join(per_row, key, "left").withColumn(name, F.coalesce(F.transform("_p", lambda s: s["v"]), F.array().cast(kind))).drop("_p")

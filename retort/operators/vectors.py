@@ -5,8 +5,8 @@ recombination, linear scoring, pooling, graph convolution, BCE loss
 Per-token quantities (softmax, top-k) live in one row per token as arrays,
 so they are computed in place without a shuffle. Quantities that combine
 rows (pooling, load, propagation, loss) are group-bys with partial
-aggregation. Weight matrices are parameters: they are folded into the
-expression only after a size check.
+aggregation. A weight table is reduced to one array by a scalar subquery
+(a model's matrix: parameters, not data).
 """
 
 from __future__ import annotations
@@ -16,8 +16,6 @@ from pyspark.sql import functions as F
 
 from retort import constants as K
 
-MAX_INLINE_WEIGHTS = 1_000_000
-
 
 def _c(col) -> Column:
     return F.col(col) if isinstance(col, str) else col
@@ -83,22 +81,18 @@ def combine(routes: DataFrame, outputs: DataFrame, token: str = "token_id") -> D
     return j.groupBy(token, "dim").agg(F.sum(F.col("weight") * F.col("value")).alias("value"))
 
 
-def weight_rows(W: DataFrame, limit: int = MAX_INLINE_WEIGHTS):
-    """Collect a (row_id, weights array, bias) table of checked size."""
-    n = W.count()
-    dim = W.select(F.max(F.size("w"))).first()[0] or 0
-    if n * dim > limit:
-        raise ValueError(f"weight matrix {n} x {dim} too large to inline; join it instead")
-    return [(r.k, list(r.w), float(r.b)) for r in W.orderBy("k").collect()]
+def with_weights(df: DataFrame, W: DataFrame, name: str = "weights") -> DataFrame:
+    """Add a weight table ``(k, w, b)`` as one array of structs by ``k``: a scalar subquery, so the table is
+    worked out inside the query and no value passes through the driver's code."""
+    rows = W.agg(F.array_sort(F.collect_list(F.struct("k", "w", "b"))).alias("rows")).scalar()
+    return df.select("*", rows.alias(name))
 
 
 def linear(x, rows) -> Column:
-    """Scores x . w_k + b_k for each weight row, as an array (in row
-    order). ``rows`` is a small list of (k, w, b)."""
+    """Scores x . w_k + b_k for each weight row, as an array in order of ``k``. ``rows`` is an array of
+    structs (k, w, b), as ``with_weights`` adds it."""
     xv = F.transform(_c(x), lambda v: v.cast("double"))
-    scores = [F.aggregate(F.zip_with(xv, F.lit(w).cast("array<double>"), lambda a, b: a * b),
-                          F.lit(0.0), lambda acc, v: acc + v) + F.lit(b) for _, w, b in rows]
-    return F.array(*scores)
+    return F.transform(_c(rows), lambda r: F.aggregate(F.zip_with(xv, r["w"], lambda a, b: a * b), F.lit(0.0), lambda acc, v: acc + v) + r["b"])
 
 
 def mean_pool(nodes: DataFrame, graph: str, vec: str) -> DataFrame:

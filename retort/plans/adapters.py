@@ -5,10 +5,11 @@ work grows with them. The same rules are written as SQL in
 ``retort.plans.oracle`` for the DuckDB check.
 
 compounds   part x the 18 inline samples (joined on p_partkey % 18); every
-            part row is one collected compound. A suffix of
-            (p_partkey div 18) % 7 extra carbons gives ~126 distinct SMILES,
-            and p_size 50 / 49 / 48 mark a missing, an empty and a malformed
-            (unbalanced) SMILES so the cleaning steps have work to do.
+            part row is one collected compound. A chain that spells
+            p_partkey div 18 in binary (C for 0, N for 1) makes SMILES as
+            distinct as the rows, but that every tenth value repeats the one
+            before it; p_size 50 / 49 / 48 mark a missing, an empty and a
+            malformed (unbalanced) SMILES so the cleaning steps have work to do.
 patents     documents as patent rows (title = first line, abstract = text).
 answers     assistant turns of conversations as landed answers.
 vectors     embeddings (64-d) as router logits / node features.
@@ -24,7 +25,6 @@ from retort.session import read_table
 
 SAMPLES = K.INDUSTRIAL_SAMPLES + K.PHARMA_SAMPLES
 N_SAMPLES = len(SAMPLES)
-SUFFIX_VARIANTS = 7
 # plan order of sources (first wins on duplicate SMILES)
 SOURCE_ORDER = ["PROMO", "STANDARD", "SMALL", "MEDIUM", "LARGE", "ECONOMY"]
 
@@ -48,7 +48,9 @@ def compounds(spark: SparkSession, sf_dir: str) -> DataFrame:
     # 18 fixed rows: a size-bounded broadcast
     s = F.broadcast(samples_df(spark))
     joined = part.join(s, (part.p_partkey % N_SAMPLES) == s.sample_idx)
-    suffix = F.repeat(F.lit("C"), ((F.col("p_partkey") / N_SAMPLES).cast("bigint") % SUFFIX_VARIANTS).cast("int"))
+    k = (F.col("p_partkey") / N_SAMPLES).cast("bigint")
+    k = k - F.when(k % 10 == 9, 1).otherwise(0)
+    suffix = F.when(k == 0, "").otherwise(F.translate(F.bin(k), "01", "CN"))
     smiles = (F.when(F.col("p_size") == 50, F.lit(None).cast("string"))
               .when(F.col("p_size") == 49, F.lit(""))
               .when(F.col("p_size") == 48, F.concat("sample_smiles", F.lit(")")))

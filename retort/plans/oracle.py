@@ -34,14 +34,15 @@ COMPOUNDS = f"""compounds AS (
          CASE WHEN p_size = 50 THEN NULL
               WHEN p_size = 49 THEN ''
               WHEN p_size = 48 THEN sample_smiles || ')'
-              ELSE sample_smiles || repeat('C', CAST((p_partkey // {A.N_SAMPLES}) % {A.SUFFIX_VARIANTS} AS INTEGER))
+              ELSE sample_smiles || CASE WHEN k = 0 THEN '' ELSE translate(bin(k), '01', 'CN') END
          END AS smiles,
          p_name AS name, p_type AS source,
          {_source_rank('p_type')} AS source_rank,
          p_partkey AS ordinal,
          printf('CMP_%08d', p_partkey) AS compound_id,
          list_concat(sample_apps, string_split(p_name, ' '), [p_type, p_brand]) AS applications
-  FROM part JOIN samples ON p_partkey % {A.N_SAMPLES} = sample_idx)"""
+  FROM (SELECT *, p_partkey // {A.N_SAMPLES} - CASE WHEN p_partkey // {A.N_SAMPLES} % 10 = 9 THEN 1 ELSE 0 END AS k FROM part)
+  JOIN samples ON p_partkey % {A.N_SAMPLES} = sample_idx)"""
 
 # python-strip-like trim of ASCII blanks, lower, drop blanks, distinct, sort
 def clean_tags_sql(expr: str) -> str:

@@ -38,6 +38,29 @@ def q_name_categories(spark, sf):
                      .alias("categories"))
 
 
+def _keyword_table(spark):
+    """The keyword mapping as the table form takes it."""
+    rows = [(i, cat, w) for i, (cat, words) in enumerate(K.APPLICATION_MAPPING) for w in words]
+    return spark.createDataFrame(rows, "cat_rank INT, category STRING, keyword STRING")
+
+
+def _table_categories(spark, sf):
+    df = A.compounds(spark, sf).select("row_id", F.array_join("applications", " ").alias("hint"))
+    return G.categories_by_join(df, "row_id", "hint", _keyword_table(spark))
+
+
+@register("hint_category_table", BASE + f"""
+SELECT row_id, {O.hint_category_sql(HINT)} AS category FROM compounds""")
+def q_hint_category_table(spark, sf):
+    return _table_categories(spark, sf).select("row_id", F.col("first_category").alias("category"))
+
+
+@register("name_categories_table", BASE + f"""
+SELECT row_id, array_to_string({O.name_categories_sql(HINT)}, '|') AS categories FROM compounds""")
+def q_name_categories_table(spark, sf):
+    return _table_categories(spark, sf).select("row_id", F.array_join("categories", "|").alias("categories"))
+
+
 @register("smiles_valid", BASE + f"""
 SELECT smiles, valid FROM ({O.smiles_view("(SELECT DISTINCT smiles FROM present)")})""")
 def q_smiles_valid(spark, sf):
@@ -211,12 +234,13 @@ def q_keyword_flags(spark, sf):
 
 @register("exclude_seen", BASE + """
 SELECT row_id, smiles FROM present
-WHERE source <> 'PROMO' AND smiles NOT IN (SELECT smiles FROM present WHERE source = 'PROMO')""")
+WHERE source <> 'PROMO' AND smiles NOT IN (SELECT smiles FROM present WHERE source = 'PROMO')
+QUALIFY row_number() OVER (PARTITION BY smiles ORDER BY source_rank, ordinal) = 1""")
 def q_exclude_seen(spark, sf):
     df = C.drop_missing(A.compounds(spark, sf), ["smiles"])
     seen = df.where(F.col("source") == "PROMO")
     later = df.where(F.col("source") != "PROMO")
-    return G.exclude_seen(later, seen).select("row_id", "smiles")
+    return G.exclude_seen(later, seen, order=("source_rank", "ordinal")).select("row_id", "smiles")
 
 
 @register("strip_paren", """

@@ -53,6 +53,17 @@ SELECT row_id, array_to_string(list_concat([{K.BOS_ID}],
          [{K.EOS_ID}]), ' ') AS ids
 FROM cleaned""")
 def q_encode_tokens(spark, sf):
+    df = TK.encode_tokens(_cleaned(spark, sf))
+    return df.select("row_id", F.array_join("ids", " ").alias("ids"))
+
+
+@register("encode_tokens_join", BASE + f"""
+SELECT row_id, array_to_string(list_concat([{K.BOS_ID}],
+         list_transform(regexp_extract_all(smiles, {PAT}, 1),
+                        lambda t: CASE WHEN list_contains({DEFAULT_LIST}, t) THEN list_position({DEFAULT_LIST}, t) - 1 ELSE {K.UNK_ID} END),
+         [{K.EOS_ID}]), ' ') AS ids
+FROM cleaned""")
+def q_encode_tokens_join(spark, sf):
     df = TK.encode_tokens(_cleaned(spark, sf), TK.default_vocab(spark))
     return df.select("row_id", F.array_join("ids", " ").alias("ids"))
 

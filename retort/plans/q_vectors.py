@@ -14,18 +14,37 @@ from retort.session import read_table
 
 E = K.NUM_EXPERTS
 OUT_DIM = 16     # expert e's output: components 16e .. 16e+15
-NODE_DIM = 8     # node features for the graph convolution
+NODE_DIM = 64    # node features for the graph convolution
 SCALE = 10.0     # logit scale of the scored components
 
 
-def _routes(spark, sf, first: int = 1):
+def _weights(emb, layer: int = 0):
+    """Router of a layer: one weight row for each expert, over the whole vector."""
+    return V.centroid_weights(emb.select((F.floor(F.col("vec_id") / E**layer) % E).cast("int").alias("k"), "embedding"), "k", "embedding")
+
+
+def _routes(spark, sf, layer: int = 0):
     emb = read_table(spark, sf, "embeddings")
-    probs = V.softmax_array(F.slice("embedding", first, E))
+    emb = V.with_weights(emb, _weights(emb, layer))
+    probs = V.softmax_array(F.transform(V.linear("embedding", "weights"), lambda v: v * SCALE))
     return emb.select(F.col("vec_id").alias("token_id"), probs.alias("probs")) \
         .withColumn("gates", V.top_k_gate("probs"))
 
 
-PROBS_SQL = f"""logits AS (SELECT vec_id, list_transform(embedding[{{a}}:{{b}}], lambda v: CAST(v AS DOUBLE)) AS x FROM embeddings),
+def _linear_sql(key: str, name: str = "") -> str:
+    """CTEs cent, wb and scored(vec_id, k, score) of a nearest-centroid linear form by ``key``."""
+    return f"""cent{name} AS (
+  SELECT k, list(value ORDER BY i) AS w
+  FROM (SELECT {key} AS k, i, avg(CAST(embedding[i] AS DOUBLE)) AS value
+        FROM (SELECT *, unnest(range(1, len(embedding) + 1)) AS i FROM embeddings) GROUP BY k, i)
+  GROUP BY k),
+wb{name} AS (SELECT k, w, -0.5 * list_sum(list_transform(w, lambda v: v * v)) AS b FROM cent{name}),
+scored{name} AS (SELECT e.vec_id, wb{name}.k AS k,
+       list_sum(list_transform(range(1, len(wb{name}.w) + 1), lambda i: CAST(e.embedding[i] AS DOUBLE) * wb{name}.w[i])) + wb{name}.b AS score
+FROM embeddings e, wb{name})"""
+
+
+PROBS_SQL = f"""logits AS (SELECT vec_id, list(score * {SCALE} ORDER BY k) AS x FROM scored GROUP BY vec_id),
 ex AS (SELECT vec_id, list_transform(x, lambda v: exp(v - list_max(x))) AS e FROM logits),
 probs AS (SELECT vec_id, CAST(i - 1 AS INTEGER) AS expert_id, e[i] / list_sum(e) AS prob
           FROM (SELECT vec_id, e, unnest(range(1, len(e) + 1)) AS i FROM ex)),
@@ -35,9 +54,8 @@ gates AS (SELECT vec_id, expert_id, CAST(rn - 1 AS INTEGER) AS rank, prob,
           FROM ranked WHERE rn <= {K.TOP_K})"""
 
 
-def _probs_sql(layer: int = 0) -> str:
-    a = layer * E + 1
-    return PROBS_SQL.format(a=a, b=a + E - 1)
+def _probs_sql(layer: int = 0, name: str = "") -> str:
+    return _linear_sql(f"CAST((vec_id // {E**layer}) % {E} AS INTEGER)", name) + ",\n" + PROBS_SQL.replace("FROM scored", f"FROM scored{name}")
 
 
 @register("softmax", "WITH " + _probs_sql() + """
@@ -66,7 +84,7 @@ def q_routing_load(spark, sf):
 
 
 @register("routing_loss", "WITH " + ",\n".join(
-    _probs_sql(layer).replace("logits AS", f"logits{layer} AS").replace("FROM logits", f"FROM logits{layer}")
+    _probs_sql(layer, str(layer)).replace("logits AS", f"logits{layer} AS").replace("FROM logits", f"FROM logits{layer}")
     .replace("ex AS", f"ex{layer} AS").replace("FROM ex", f"FROM ex{layer}")
     .replace("probs AS", f"probs{layer} AS").replace("FROM probs", f"FROM probs{layer}")
     .replace("ranked AS", f"ranked{layer} AS").replace("FROM ranked", f"FROM ranked{layer}")
@@ -77,7 +95,7 @@ loads AS (
   FROM (SELECT 0 AS layer, * FROM ranked0 UNION ALL SELECT 1 AS layer, * FROM ranked1) GROUP BY layer, expert_id)
 SELECT round(sum({K.LOAD_BALANCE_COEFF * E} * f_i * p_i), 6) AS routing_loss FROM loads""")
 def q_routing_loss(spark, sf):
-    layers = [V.routing_load(_routes(spark, sf, first=1 + layer * E)) for layer in (0, 1)]
+    layers = [V.routing_load(_routes(spark, sf, layer)) for layer in (0, 1)]
     both = layers[0].unionByName(layers[1])
     return V.routing_loss(both).select(F.round("routing_loss", 6).alias("routing_loss"))
 
@@ -108,23 +126,13 @@ def q_mean_pool(spark, sf):
     return V.mean_pool(emb, "label", "embedding").select("label", "dim", F.round("value", 6).alias("value"))
 
 
-@register("linear_score", """
-WITH cent AS (
-  SELECT label AS k, list(value ORDER BY i) AS w
-  FROM (SELECT label, i, avg(CAST(embedding[i] AS DOUBLE)) AS value
-        FROM (SELECT label, embedding, unnest(range(1, len(embedding) + 1)) AS i FROM embeddings) GROUP BY label, i)
-  GROUP BY label),
-wb AS (SELECT k, w, -0.5 * list_sum(list_transform(w, lambda v: v * v)) AS b FROM cent)
-SELECT e.vec_id, wb.k AS label,
-       round(list_sum(list_transform(range(1, len(wb.w) + 1), lambda i: CAST(e.embedding[i] AS DOUBLE) * wb.w[i])) + wb.b, 6)
-         AS score
-FROM embeddings e, wb""")
+@register("linear_score", "WITH " + _linear_sql("label") + """
+SELECT vec_id, k AS label, round(score, 6) AS score FROM scored""")
 def q_linear_score(spark, sf):
     emb = read_table(spark, sf, "embeddings")
-    rows = V.weight_rows(V.centroid_weights(emb, "label", "embedding"))
-    scores = V.linear("embedding", rows)
-    ks = F.array(*[F.lit(k) for k, _, _ in rows])
-    return emb.select("vec_id", F.posexplode(F.arrays_zip(ks.alias("k"), scores.alias("s"))).alias("i", "z")) \
+    emb = V.with_weights(emb, V.centroid_weights(emb, "label", "embedding"))
+    ks = F.transform("weights", lambda r: r["k"])
+    return emb.select("vec_id", F.explode(F.arrays_zip(ks.alias("k"), V.linear("embedding", "weights").alias("s"))).alias("z")) \
         .select("vec_id", F.col("z.k").alias("label"), F.round("z.s", 6).alias("score"))
 
 
@@ -157,7 +165,7 @@ SELECT node AS vec_id, dim, round(value, 6) AS value FROM {prev}"""
 @register("gcn_propagate", _gcn_sql())
 def q_gcn_propagate(spark, sf):
     emb = read_table(spark, sf, "embeddings")
-    n = emb.agg(F.max("vec_id") + 1).first()[0]
+    n = emb.agg((F.max("vec_id") + 1).alias("n")).scalar()
     edges = emb.select(F.col("vec_id").alias("src"), ((F.col("vec_id") + 1) % n).alias("dst")).unionByName(
         emb.select(F.col("vec_id").alias("src"), ((F.col("vec_id") * 3 + 1) % n).alias("dst")))
     nodes = emb.select(F.col("vec_id").alias("node"), F.posexplode(F.slice("embedding", 1, NODE_DIM))
@@ -167,23 +175,26 @@ def q_gcn_propagate(spark, sf):
 
 
 def _cells(spark, sf):
+    """Logits of both labels from the whole vector (nearest-centroid form, by vec_id parity), with targets."""
     emb = read_table(spark, sf, "embeddings")
+    emb = V.with_weights(emb, V.centroid_weights(emb.select((F.col("vec_id") % 2).cast("int").alias("k"), "embedding"), "k", "embedding"))
     lab = read_table(spark, sf, "labels")
-    j = emb.join(lab, emb.vec_id == lab.doc_id).select("vec_id", "embedding", "quality", "toxic")
+    j = emb.join(lab, emb.vec_id == lab.doc_id).select("vec_id", V.linear("embedding", "weights").alias("logits"), "quality", "toxic")
     j = L.assign_batches(j, "vec_id", K.BATCH_SIZE)
-    z = lambda i: (F.col("embedding")[i].cast("double") * SCALE)
+    z = lambda i: (F.col("logits")[i] * SCALE)
     return j.select("batch", F.explode(F.array(
         F.struct(z(0).alias("z"), F.col("quality").cast("double").alias("y")),
         F.struct(z(1).alias("z"), F.col("toxic").cast("double").alias("y")))).alias("c")).select("batch", "c.z", "c.y")
 
 
-@register("bce_loss", f"""
-WITH j AS (
-  SELECT vec_id, embedding, quality, toxic,
+@register("bce_loss", "WITH " + _linear_sql("CAST(vec_id % 2 AS INTEGER)") + f""",
+logits AS (SELECT vec_id, list(score ORDER BY k) AS x FROM scored GROUP BY vec_id),
+j AS (
+  SELECT vec_id, x, quality, toxic,
          (row_number() OVER (ORDER BY vec_id) - 1) // {K.BATCH_SIZE} AS batch
-  FROM embeddings JOIN labels ON vec_id = doc_id),
-cells AS (SELECT batch, CAST(embedding[1] AS DOUBLE) * {SCALE} AS z, CAST(quality AS DOUBLE) AS y FROM j
-          UNION ALL SELECT batch, CAST(embedding[2] AS DOUBLE) * {SCALE}, CAST(toxic AS DOUBLE) FROM j),
+  FROM logits JOIN labels ON vec_id = doc_id),
+cells AS (SELECT batch, x[1] * {SCALE} AS z, CAST(quality AS DOUBLE) AS y FROM j
+          UNION ALL SELECT batch, x[2] * {SCALE}, CAST(toxic AS DOUBLE) FROM j),
 per AS (SELECT batch, avg(greatest(z, 0.0) - z * y + ln(1 + exp(-abs(z)))) AS l FROM cells GROUP BY batch)
 SELECT count(*) AS n_batches, round(avg(l), 6) AS loss FROM per""")
 def q_bce_loss(spark, sf):

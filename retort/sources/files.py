@@ -1,20 +1,20 @@
 """File sources and sinks: compound CSVs, SDF, landed JSON pages, landed
 answers (A1-A5, A8, A10).
 
-Every reader declares its schema up front (no inference pass) and reads
-with Spark's splittable file sources; nothing is parsed on the driver.
+JSON, SDF and answer readers declare their schema up front; CSV takes column
+names from each path's header. All read with Spark's splittable file sources
+unless a caller asks for records that span lines; nothing is parsed on the driver.
 """
 
 from __future__ import annotations
 
 import logging
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from retort.functions.text import list_literal, parse_list, ptrim
-from retort.operators.indexing import dense_index
 
 log = logging.getLogger("retort.sources")
 
@@ -45,17 +45,19 @@ def write_compounds(df: DataFrame, path: str, fmt: str = "parquet") -> bool:
 
 
 # ------------------------------------------------------------------ A1
-def read_compound_csvs(spark: SparkSession, paths) -> DataFrame:
+def read_compound_csvs(spark: SparkSession, paths, multi_line: bool = False) -> DataFrame:
     """A1: read each CSV alone; a path that cannot be read or lacks
     ``smiles``/``applications`` is skipped with a warning; the rest are
     concatenated (required columns only). Nothing valid -> typed empty
     frame. ``applications`` is parsed from its list literal; rows whose
     literal does not parse get ``applications`` NULL and ``parse_ok``
-    false (quarantine) instead of failing the job."""
+    false (quarantine) instead of failing the job. Files split across tasks;
+    ``multi_line`` reads quoted line breaks at the price of one task a file
+    (the sink escapes line breaks, so its own files never need it)."""
     frames = []
     for p in ([paths] if isinstance(paths, str) else list(paths)):
         try:
-            df = (spark.read.option("header", True).option("multiLine", True).option("escape", '"')
+            df = (spark.read.option("header", True).option("multiLine", multi_line).option("escape", '"')
                   .csv(p))
             cols = df.columns
         except Exception as e:
@@ -79,28 +81,41 @@ def read_compound_csvs(spark: SparkSession, paths) -> DataFrame:
 
 
 # ------------------------------------------------------------------ A2
-SDF_PROP = r"(?m)^>[ \t]*<([^>]+)>[^\n]*\n((?:[^\n]+\n?)*)"
-
-
-def read_sdf(spark: SparkSession, path: str) -> DataFrame:
+def read_sdf(spark: SparkSession, path: str, cap: int | None = None, keep_broken: bool = False) -> DataFrame:
     """A2: one row per SDF record (records end with ``$$$$``), with its
     property map and 0-based record index in file order.
 
-    Read as text with ``$$$$\\n`` as the line separator, so files split
-    across tasks without losing records. Records without an ``M  END``
-    line are broken and skipped.
+    Read as text with ``$$$$`` as the line separator, so files split across
+    tasks without losing records; either line end is read. A property given
+    twice keeps its last value. Records without an ``M  END`` line are broken:
+    skipped, or kept with ``ok`` false by ``keep_broken``. ``cap`` keeps
+    records by their index.
     """
-    raw = (spark.read.option("lineSep", "$$$$\n").text(path)
-           .select(F.regexp_replace("value", "\r", "").alias("rec"), F.input_file_name().alias("_file"),
-                   F.monotonically_increasing_id().alias("_mid")))
-    raw = raw.where(F.length(ptrim(F.col("rec"))) > 0)
-    idx = dense_index(raw, [F.col("_file"), F.col("_mid")], name="mol_idx")
-    names = F.regexp_extract_all(F.col("rec"), F.lit(SDF_PROP), 1)
-    values = F.transform(F.regexp_extract_all(F.col("rec"), F.lit(SDF_PROP), 2),
-                         lambda v: F.regexp_replace(v, "\n$", ""))
-    props = F.map_from_arrays(F.transform(names, ptrim), values)
+    text = F.regexp_replace(F.regexp_replace("value", "\r\n?", "\n"), "^\n", "")
+    raw = (spark.read.option("lineSep", "$$$$").text(path)
+           .select(text.alias("rec"), F.col("_metadata.file_path").alias("_file"), F.col("_metadata.file_block_start").alias("_block"))
+           .where(F.length(ptrim(F.col("rec"))) > 0)
+           .withColumn("_mid", F.monotonically_increasing_id()))
+    # the rows of a byte range are numbered in a row; one total for each range places the ranges
+    blocks = raw.groupBy("_file", "_block").agg(F.count(F.lit(1)).alias("_n"), F.min("_mid").alias("_from"))
+    before = F.sum("_n").over(Window.orderBy("_file", "_block")) - F.col("_n")
+    idx = raw.join(blocks.withColumn("_before", before), ["_file", "_block"]).withColumn("mol_idx", F.col("_before") + F.col("_mid") - F.col("_from"))
+    if cap is not None:
+        idx = idx.where(F.col("mol_idx") < cap)
+    # "> <NAME> ..." up to a blank line; cut with plain string functions, so long values cost no regex stack
+    items = F.transform(F.filter(F.split("rec", "\n>(?=[^\n]*<)"), lambda x, i: i > 0), lambda x: F.struct(
+        ptrim(F.regexp_extract(x, "<([^>\n]+)>", 1)).alias("k"), _sdf_value(F.substring_index(x, "\n", 1), x).alias("v")))
+    props = F.map_from_entries(F.filter(items, lambda e, i: ~F.exists(F.filter(items, lambda o, j: j > i), lambda o: o["k"] == e["k"])))
     ok = F.col("rec").contains("M  END")
-    return idx.select("mol_idx", props.alias("props"), ok.alias("ok")).where("ok").drop("ok")
+    out = idx.select("mol_idx", F.when(ok, props).alias("props"), ok.alias("ok"))
+    return out if keep_broken else out.where("ok").drop("ok")
+
+
+def _sdf_value(head, item):
+    """The lines after an item's header, up to the first blank one."""
+    rest = F.substr(item, F.length(head) + 2)
+    value = F.when(F.startswith(rest, F.lit("\n")), "").otherwise(F.substring_index(rest, "\n\n", 1))
+    return F.regexp_replace(value, "\n$", "")
 
 
 SDF_FIELDS = ["DRUGBANK_ID", "DATABASE_ID", "GENERIC_NAME", "COMMON_NAME", "DRUG_NAME", "SYNONYMS",
@@ -113,8 +128,11 @@ def sdf_columns(df: DataFrame, fields=SDF_FIELDS) -> DataFrame:
 
 
 # ------------------------------------------------------------------ A3-A5
+BAD_PAGE = "_corrupt_record"
+
 MOLECULE_PAGE = T.StructType([
     T.StructField("page", T.LongType()),
+    T.StructField(BAD_PAGE, T.StringType()),
     T.StructField("molecules", T.ArrayType(T.StructType([
         T.StructField("molecule_structures", T.StructType([T.StructField("canonical_smiles", T.StringType())])),
         T.StructField("molecule_chembl_id", T.StringType()),
@@ -143,11 +161,9 @@ IDENTIFIER_PAGE = T.StructType([
 def explode_molecule_pages(pages: DataFrame) -> DataFrame:
     """A3 body: one row per molecule; a NULL structure object gives NULL
     SMILES (no failure); missing id -> CHEMBL_UNKNOWN_<page>_<offset>;
-    missing name -> the id. Pages after the first empty one are ignored."""
-    empty = pages.where((F.size(F.coalesce("molecules", F.array())) == 0) & (F.col("page") > 0))
-    first_empty = empty.agg(F.min("page")).scalar()
-    kept = pages.where(F.col("page") < F.coalesce(first_empty, F.lit(1 << 62)))
-    m = kept.select("page", F.posexplode("molecules").alias("offset", "m"))
+    missing name -> the id. A page without its number counts as page 0; an
+    empty page has no rows. The stream takes the same rows."""
+    m = pages.select(F.coalesce("page", F.lit(0)).alias("page"), F.posexplode("molecules").alias("offset", "m"))
     ident = F.coalesce(F.col("m.molecule_chembl_id"),
                        F.format_string("CHEMBL_UNKNOWN_%d_%d", F.col("page"), F.col("page") * 100))
     return m.select("page", "offset",
@@ -156,9 +172,21 @@ def explode_molecule_pages(pages: DataFrame) -> DataFrame:
                     F.coalesce(F.col("m.pref_name"), ident).alias("name"))
 
 
-def read_molecule_pages(spark: SparkSession, path: str) -> DataFrame:
-    """A3: landed molecule pages (one JSON page per line)."""
-    return explode_molecule_pages(spark.read.schema(MOLECULE_PAGE).json(path))
+def read_molecule_pages(spark: SparkSession, path: str, pretty: bool = False) -> DataFrame:
+    """A3: landed molecule pages: one JSON page per line, or with ``pretty``
+    one (indented) page per file. Lines that are no page: ``bad_pages``."""
+    return explode_molecule_pages(_pages(spark, path, pretty))
+
+
+def bad_pages(spark: SparkSession, path: str, pretty: bool = False) -> DataFrame:
+    """Quarantine of A3: (file, text) of lines (with ``pretty``: files) that are no JSON."""
+    lines = spark.read.option("wholetext", pretty).text(path).select(F.col("_metadata.file_path").alias("file"), F.col("value").alias("text"))
+    return lines.where((F.length(ptrim(F.col("text"))) > 0) & F.try_parse_json("text").isNull())
+
+
+def _pages(spark: SparkSession, path: str, pretty: bool) -> DataFrame:
+    return (spark.read.schema(MOLECULE_PAGE).option("multiLine", pretty).option("mode", "PERMISSIVE")
+            .option("columnNameOfCorruptRecord", BAD_PAGE).json(path))
 
 
 def read_property_pages(spark: SparkSession, path: str) -> DataFrame:

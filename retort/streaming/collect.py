@@ -14,19 +14,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from retort.functions.smiles import valid_smiles
-from retort.sources.files import MOLECULE_PAGE
+from retort.sources.files import BAD_PAGE, MOLECULE_PAGE, explode_molecule_pages
 
 
 def molecule_stream(spark: SparkSession, landing: str, max_files_per_trigger: int | None = None) -> DataFrame:
-    reader = spark.readStream.schema(MOLECULE_PAGE)
+    reader = spark.readStream.schema(MOLECULE_PAGE).option("columnNameOfCorruptRecord", BAD_PAGE)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     pages = reader.json(landing)
-    m = pages.select("page", F.posexplode("molecules").alias("offset", "m"))
-    ident = F.coalesce(F.col("m.molecule_chembl_id"),
-                       F.format_string("CHEMBL_UNKNOWN_%d_%d", F.col("page"), F.col("page") * 100))
-    mols = m.select(F.col("m.molecule_structures.canonical_smiles").alias("smiles"),
-                    ident.alias("compound_id"), F.coalesce(F.col("m.pref_name"), ident).alias("name"))
+    mols = explode_molecule_pages(pages).select("smiles", "compound_id", "name")
     return mols.where(F.col("smiles").isNotNull() & (F.length("smiles") > 0) & valid_smiles(F.col("smiles")))
 
 
