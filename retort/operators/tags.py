@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from retort import constants as K
 from retort.functions.smiles import token_kind, tokenize, valid_smiles
-from retort.functions.text import ptrim, slug
+from retort.functions.text import parse_answer, ptrim, slug
 from retort.operators.clean import dedupe_first
 
 
@@ -162,6 +162,19 @@ def answer_status(raw_text, landed_status=None) -> Column:
     return st
 
 
+def annotate(df: DataFrame, answers: DataFrame, key: str = "row_id", answer_key: str = "key", landed_status: str | None = None,
+             variant: str = "chembl", hint: str = K.CHEMBL_HINT) -> DataFrame:
+    """Enrich each compound with its landed answer (``raw_text`` and, where
+    given, the status it landed with); without one, the rule fallback (G11)
+    stands in for the model; then the source's gate. One answer row per key."""
+    joined = df.join(answers.withColumnRenamed(answer_key, key), key, "left")
+    status = answer_status("raw_text", landed_status)
+    answer = F.when(status == "missing", rule_tags("smiles", name="name", hint=F.lit(hint))).otherwise(parse_answer("raw_text"))
+    joined = joined.select(*df.columns, status.alias("status"), answer.alias("_answer"))
+    gate_status = F.when(F.col("status") == "missing", F.lit("ok")).otherwise(F.col("status"))
+    return joined.withColumn("tags", gate_tags("_answer", gate_status, variant)).drop("_answer")
+
+
 def exclude_seen(df: DataFrame, seen: DataFrame, key: str = "smiles", order=()) -> DataFrame:
     """C1 + E1: rows whose key was not collected before (left anti join), each
     key once: the first in ``order`` where that is given."""

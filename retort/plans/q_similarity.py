@@ -26,15 +26,38 @@ shared AS (
 """
 
 
-@register("similar_docs", SHINGLES_SQL + f"""
-SELECT ref_id, doc_id, round(i / (sa + sb - i), 6) AS jaccard FROM shared WHERE i * 100 >= (sa + sb - i) * {THRESHOLD}""")
+PAIRS_SQL = SHINGLES_SQL + f"""
+SELECT ref_id, doc_id, round(i / (sa + sb - i), 6) AS jaccard FROM shared WHERE i * 100 >= (sa + sb - i) * {THRESHOLD}"""
+
+
+@register("similar_docs", PAIRS_SQL)
 def q_similar_docs(spark, sf):
     d = read_table(spark, sf, "documents")
     out = S.similar(d, threshold=THRESHOLD)
     return out.select("ref_id", "doc_id", F.round("jaccard", 6).alias("jaccard"))
 
 
-@register("similar_lsh")
+@register("similar_lsh", PAIRS_SQL)
 def q_similar_lsh(spark, sf):
     d = read_table(spark, sf, "documents")
     return S.similar_lsh(d, threshold=THRESHOLD).select("ref_id", "doc_id", F.round("jaccard", 6).alias("jaccard"))
+
+
+REF_THRESHOLD, REF_N = 5, 3
+
+
+@register("similar_refs", f"""WITH texts AS (SELECT 'd' AS side, doc_id AS id, text FROM documents UNION ALL SELECT 'r', item_id, text FROM benchmark),
+w AS (SELECT side, id, list_filter(regexp_split_to_array(lower(text), '[ \\t\\n\\r]+'), lambda x: length(x) > 0) AS words FROM texts),
+sets AS (SELECT side, id, CASE WHEN len(words) >= {K}
+                      THEN list_distinct(list_transform(range(1, len(words) - {K - 2}), lambda i: array_to_string(words[i:i + {K - 1}], ' ')))
+                      ELSE [array_to_string(words, ' ')] END AS sh FROM w WHERE len(words) > 0),
+long AS (SELECT side, id, len(sh) AS s, unnest(sh) AS g FROM sets),
+shared AS (SELECT a.id AS ref_id, b.id AS doc_id, count(*) AS i, any_value(a.s) AS sa, any_value(b.s) AS sb
+           FROM long a JOIN long b ON a.g = b.g AND a.side = 'r' AND b.side = 'd' GROUP BY a.id, b.id)
+SELECT ref_id, doc_id, round(i / (sa + sb - i), 6) AS jaccard FROM shared WHERE i * 100 >= (sa + sb - i) * {REF_THRESHOLD}
+QUALIFY row_number() OVER (PARTITION BY ref_id ORDER BY i / (sa + sb - i) DESC, doc_id) <= {REF_N}""")
+def q_similar_refs(spark, sf):
+    """The three documents nearest to each benchmark passage, from five per cent up."""
+    items = read_table(spark, sf, "benchmark").select(F.col("item_id").alias("doc_id"), "text")
+    out = S.similar(read_table(spark, sf, "documents"), refs=items, threshold=REF_THRESHOLD, n=REF_N)
+    return out.select("ref_id", "doc_id", F.round("jaccard", 6).alias("jaccard"))

@@ -172,11 +172,13 @@ def q_sample_cycle_dedupe(spark, sf):
                       "compound_id", "name")
 
 
-COLLECT_PLAN = [("promo", "PROMO", 100), ("broken", None, None), ("standard", "STANDARD", 50), ("small", "SMALL", None)]
+COLLECT_PLAN = [("promo", "PROMO", 100), ("broken", None, None), ("standard", "STANDARD", 50), ("small", "SMALL", None),
+                ("medium", "MEDIUM", None), ("large", "LARGE", 200), ("economy", "ECONOMY", None)]
 
 
 @register("collect_union", BASE + """,
-plan(rank, pname, src, cap) AS (VALUES (0, 'promo', 'PROMO', 100), (2, 'standard', 'STANDARD', 50), (3, 'small', 'SMALL', 1000000000)),
+plan(rank, pname, src, cap) AS (VALUES (0, 'promo', 'PROMO', 100), (2, 'standard', 'STANDARD', 50), (3, 'small', 'SMALL', 1000000000),
+  (4, 'medium', 'MEDIUM', 1000000000), (5, 'large', 'LARGE', 200), (6, 'economy', 'ECONOMY', 1000000000)),
 ranked AS (SELECT c.*, row_number() OVER (PARTITION BY c.source ORDER BY ordinal) AS rn FROM compounds c)
 SELECT pname AS plan_source, CAST(rank AS INTEGER) AS source_rank, count(*) AS n, min(ordinal) AS min_ordinal, max(ordinal) AS max_ordinal
 FROM ranked JOIN plan ON ranked.source = plan.src WHERE rn <= cap GROUP BY pname, rank""")

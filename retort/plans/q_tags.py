@@ -13,8 +13,9 @@ from retort.operators import tags as G
 from retort.plans import adapters as A
 from retort.plans import oracle as O
 from retort.plans.catalog import register
-from retort.plans.oracle import BASE
+from retort.plans.oracle import BASE, clean_tags_sql
 from retort.session import read_table
+from retort.sources import collect as SC
 
 HINT = "array_to_string(applications, ' ')"
 
@@ -154,18 +155,6 @@ def q_gate_tags(spark, sf):
         F.array_join(G.gate_tags("answer", "status", "pubchem", hint="hint"), "|").alias("pubchem"))
 
 
-def annotate(df, answers, key="row_id", answer_key="conv_id", variant="chembl", hint=K.CHEMBL_HINT):
-    """Enrich each compound with its landed answer; without one, the
-    rule fallback (G11) stands in for the model; then the source's gate."""
-    joined = df.join(answers.withColumnRenamed(answer_key, key), key, "left")
-    status = G.answer_status("raw_text")
-    answer = F.when(status == "missing", G.rule_tags("smiles", name="name", hint=F.lit(hint))) \
-        .otherwise(T.parse_answer("raw_text"))
-    gate_status = F.when(status == "missing", F.lit("ok")).otherwise(status)
-    return joined.select(*df.columns, status.alias("status"),
-                         G.gate_tags(answer, gate_status, variant).alias("tags"))
-
-
 @register("annotate", BASE.rstrip() + ",\n" + ANSWERS + f""",
 joined AS ({O.smiles_view("(SELECT c.*, a.raw_text FROM cleaned c LEFT JOIN first_answers a ON c.row_id = a.conv_id)")}),
 st AS (SELECT *, {O.answer_status_sql('raw_text')} AS status,
@@ -176,10 +165,35 @@ SELECT row_id, status,
        array_to_string({O.gate_sql('answer', "(CASE WHEN status = 'missing' THEN 'ok' ELSE status END)", 'chembl')}, '|') AS tags
 FROM st""")
 def q_annotate(spark, sf):
-    out = annotate(_cleaned(spark, sf), _first_answers(spark, sf))
+    out = G.annotate(_cleaned(spark, sf), _first_answers(spark, sf), answer_key="conv_id")
     return out.select("row_id", "status", F.array_join("tags", "|").alias("tags"))
 
 
+@register("compound_dataset", BASE.rstrip() + ",\n" + ANSWERS + f""",
+landed AS (SELECT conv_id, arg_min(raw_text, turn) AS raw_text, arg_min(CASE WHEN turn % 5 = 0 THEN 'error' ELSE 'ok' END, turn) AS landed
+           FROM answers GROUP BY conv_id),
+joined AS ({O.smiles_view("(SELECT c.*, a.raw_text, a.landed FROM cleaned c LEFT JOIN landed a ON c.row_id = a.conv_id)")}),
+st AS (SELECT *, CASE WHEN landed = 'error' THEN 'error' ELSE {O.answer_status_sql('raw_text')} END AS status,
+              CASE WHEN raw_text IS NULL
+                   THEN {O.rule_tags_sql('smiles', 'valid', 'heavy', 'name', O._q(K.CHEMBL_HINT))}
+                   ELSE {O.parse_answer_sql('raw_text')} END AS answer FROM joined WHERE valid)
+SELECT smiles, compound_id, name, source, status,
+       array_to_string({clean_tags_sql(O.gate_sql('answer', "(CASE WHEN status = 'missing' THEN 'ok' ELSE status END)", 'chembl'))}, '|') AS applications
+FROM st""")
+def q_compound_dataset(spark, sf):
+    """The collection job end to end: sources in plan order, falsy and invalid SMILES out, each SMILES once,
+    landed answers with their status, rule tags where none landed, gate, clean tags."""
+    comp = A.compounds(spark, sf)
+    plan = [(src, lambda s=src: comp.where(F.col("source") == s), None) for src in A.SOURCE_ORDER]
+    rows = SC.collect_sources(plan).drop("plan_source")
+    rows = C.dedupe_first(C.drop_missing(rows, ["smiles"]))
+    rows = rows.where(valid_smiles("smiles"))
+    landed = A.answers(spark, sf).withColumn("landed", F.when(F.col("turn") % 5 == 0, "error").otherwise("ok"))
+    landed = landed.groupBy("conv_id").agg(F.min(F.struct("turn", "raw_text", "landed")).alias("a")).select("conv_id", "a.raw_text", "a.landed")
+    out = G.annotate(rows, landed, answer_key="conv_id", landed_status="landed")
+    return out.select("smiles", "compound_id", "name", "source", "status", F.array_join(T.clean_tags("tags"), "|").alias("applications"))
+
+
 def json_answers(spark, sf):
     """Landed free-text answers built from part rows: JSON arrays (with
     non-string items), comma lists, broken JSON and plain text."""

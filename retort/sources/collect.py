@@ -36,23 +36,28 @@ def sample_compounds(spark: SparkSession, which: str, n: int, seen: DataFrame |
                         F.format_string(fmt, F.col("f.i")).alias("compound_id"), F.col("f.name").alias("name"))
 
 
-def collect_sources(plan) -> DataFrame:
+def collect_sources(plan, order: str = "ordinal", landing: str | None = None) -> DataFrame:
     """``plan`` is an ordered list of (name, build, cap) where ``build``
-    returns a DataFrame. A source that fails to build or to read is skipped
-    with a message; each is capped to its first ``cap`` rows (by the
-    source's own ``ordinal`` when present) and tagged with its plan rank;
-    the results are concatenated in plan order."""
+    returns a DataFrame. A source that fails to build or to be analysed is
+    skipped with a message; each is capped to its first ``cap`` rows by
+    ``order`` (a column every capped source must have) and tagged with its
+    plan rank; the results are concatenated in plan order. With ``landing``
+    each source is first written below that folder and read back, so one
+    that fails on any of its rows is skipped too."""
     frames = []
     for rank, (name, build, cap) in enumerate(plan):
         try:
             df = build()
-            df.limit(1).count()  # probe now, so a broken source is isolated
+            if cap is not None:
+                df = df.orderBy(order).limit(cap)
+            df.columns  # analysed here, so a source that is not there is isolated
+            if landing is not None:
+                path = f"{landing.rstrip('/')}/{rank}"
+                df.write.parquet(path)
+                df = df.sparkSession.read.schema(df.schema).parquet(path)
         except Exception as e:
             log.error("error collecting from %s: %s", name, e)
             continue
-        if cap is not None:
-            order = [F.col("ordinal")] if "ordinal" in df.columns else []
-            df = (df.orderBy(*order) if order else df).limit(cap)
         frames.append(df.withColumn("source_rank", F.lit(rank)).withColumn("plan_source", F.lit(name)))
     if not frames:
         raise ValueError("no source could be collected")

@@ -104,3 +104,46 @@ def test_candidates_of_long_runs(spark):
     for (t,) in [("Compound name 7 and more 8x 9",), ("éa bc 12 d 3",), ("A 1 b  22c x 5",)]:
         p = r"\b[A-Z][a-z]*(?:\s+[a-z]+)*\s+\d+\b"
         assert one(spark, P.pattern_matches(F.col("x"), p), value=t) == re.findall(p, t, re.I)
+
+
+def test_candidates_match_python_re_on_all_documents(spark, sf_dir):
+    import re
+
+    from retort.plans import adapters as A
+    text = lambda r: " ".join(x for x in (r.title, r.abstract) if x)
+    rows = A.patents(spark, sf_dir).select("title", "abstract", P.candidates(T.join_text("title", "abstract"), n=1000).alias("c")).collect()
+    for r in rows:
+        t, want = text(r), []
+        for p in K.CHEMICAL_PATTERNS:
+            want += [x.strip() for x in (m[0] for m in re.finditer(p, t, re.I)) if 3 < len(x.strip()) < 50]
+        for p in K.CHEMICAL_INDICATORS:
+            want += [m[1].strip() for m in re.finditer(p, t, re.I) if m[1].strip()]
+        assert r.c == list(dict.fromkeys(want))[:1000]
+
+
+def test_similar_sets_keep_copies_together(spark):
+    from retort.operators import similarity as SIM
+    base = " ".join(f"w{i}" for i in range(200))
+    rows = [(i, base) for i in range(40)] + [(100, base + " end"), (101, "other words that are nowhere else"), (102, ""), (103, None)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    members, pairs = SIM.similar_sets(df)
+    assert pairs.count() == 1 and members.select("set").distinct().count() == 3
+    assert SIM.similar(df).count() == 40 * 39 // 2 + 40 == SIM.similar_lsh(df).count()
+    refs = spark.createDataFrame([(7, base)], "doc_id long, text string")
+    assert [(r.ref_id, r.doc_id) for r in SIM.similar(df, refs=refs, n=2).orderBy("doc_id").collect()] == [(7, 0), (7, 1)]
+
+
+def test_annotate_takes_the_landed_status(spark):
+    df = spark.createDataFrame([(1, "CCO", "ethanol"), (2, "C", "x"), (3, "N", "y")], "row_id int, smiles string, name string")
+    landed = spark.createDataFrame([(1, "solvent, fuel", "ok"), (2, "solvent, fuel", "error")], "key int, raw_text string, landed string")
+    got = {r.row_id: r for r in G.annotate(df, landed, landed_status="landed").collect()}
+    assert (got[1].status, got[2].status, got[3].status) == ("ok", "error", "missing")
+    assert "solvent" in got[1].tags and "solvent" not in got[2].tags
+
+
+def test_a_source_that_breaks_late_is_skipped(spark, tmp_path):
+    from retort.sources.collect import collect_sources
+    bad = lambda: spark.range(100).select(F.col("id").alias("ordinal"), F.when(F.col("id") == 99, F.raise_error(F.lit("late"))).otherwise(F.lit("C")).alias("smiles"))
+    good = lambda: spark.range(5).select(F.col("id").alias("ordinal"), F.lit("CC").alias("smiles"))
+    got = collect_sources([("bad", bad, None), ("good", good, 3)], landing=str(tmp_path / "l")).collect()
+    assert [(r.plan_source, r.ordinal) for r in sorted(got, key=lambda r: r.ordinal)] == [("good", 0), ("good", 1), ("good", 2)]
