@@ -109,10 +109,3 @@ def multi_hot(df: DataFrame, classes: DataFrame, key: str = "row_id", col: str =
     """
     hot = df.select(key, F.explode(F.array_distinct(col)).alias("label"))
     return hot.join(classes, "label").select(key, "label_id")
-
-
-def multi_hot_vector(df: DataFrame, classes, key: str = "row_id", col: str = "applications") -> DataFrame:
-    """D7 (dense form) for a known, small class list (python list)."""
-    arr = F.array(*[F.lit(c) for c in classes])
-    vec = F.transform(arr, lambda c: F.array_contains(F.col(col), c).cast("int"))
-    return df.select(key, vec.alias("labels"))

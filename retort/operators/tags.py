@@ -82,18 +82,27 @@ def heavy_atoms(smiles) -> Column:
     return F.size(heavy)
 
 
+def _bind(value: Column, fn) -> Column:
+    """``fn`` of a value that the row works out once, however often ``fn`` names it."""
+    return F.element_at(F.transform(F.array(value), fn), 1)
+
+
 def structure_class(smiles) -> Column:
     """The structure tag of the rule fallback (NULL when none applies)."""
     s = _c(smiles)
-    n = heavy_atoms(s)
-    bio = (F.contains(s, F.lit("N"))
-           & (F.contains(s, F.lit("C(=O)")) | F.contains(s, F.lit("c1")) | F.contains(s, F.lit("n1")))
-           & (n > 5))
-    small = F.contains(s, F.lit("O")) & (n < 10) & (n > 1)
-    return (F.when(~valid_smiles(s) | (n <= 0), F.lit(None).cast("string"))
-            .when(bio, F.lit(K.STRUCTURE_BIOACTIVE))
-            .when(small, F.lit(K.STRUCTURE_SMALL))
-            .otherwise(F.lit(K.STRUCTURE_GENERIC)))
+
+    def tag(x: Column) -> Column:
+        n = x["n"]
+        bio = (F.contains(s, F.lit("N"))
+               & (F.contains(s, F.lit("C(=O)")) | F.contains(s, F.lit("c1")) | F.contains(s, F.lit("n1")))
+               & (n > 5))
+        small = F.contains(s, F.lit("O")) & (n < 10) & (n > 1)
+        return (F.when(~x["ok"] | (n <= 0), F.lit(None).cast("string"))
+                .when(bio, F.lit(K.STRUCTURE_BIOACTIVE))
+                .when(small, F.lit(K.STRUCTURE_SMALL))
+                .otherwise(F.lit(K.STRUCTURE_GENERIC)))
+
+    return _bind(F.struct(valid_smiles(s).alias("ok"), heavy_atoms(s).alias("n")), tag)
 
 
 def rule_tags(smiles, name=None, hint=None, error_context=None, mapping=K.APPLICATION_MAPPING) -> Column:
@@ -108,18 +117,16 @@ def rule_tags(smiles, name=None, hint=None, error_context=None, mapping=K.APPLIC
         parts.append(F.array(F.lit(K.ERROR_TAG_FORMAT % error_context)))
     if hint is not None:
         h = _c(hint)
-        cat = hint_category(h, mapping)
+        cat = F.nullif(hint_category(h, mapping), F.lit("unknown"))
         parts.append(F.when(h.isNull() | (F.length(h) == 0), F.array().cast("array<string>"))
-                     .otherwise(F.array(slug(h), F.when(cat != "unknown", cat)))
-                     )
+                     .otherwise(F.array(slug(h), cat)))
     if name is not None:
         parts.append(name_categories(_c(name), mapping))
-    base = F.filter(F.concat(*parts), lambda x: x.isNotNull()) if parts else F.array().cast("array<string>")
-    struct_tag = structure_class(smiles)
-    with_struct = F.when((F.size(base) <= 1) & struct_tag.isNotNull(),
-                         F.concat(base, F.array(struct_tag))).otherwise(base)
-    out = F.array_sort(F.array_distinct(with_struct))
-    return F.when(F.size(out) > 0, out).otherwise(F.array(F.lit(K.FALLBACK_EMPTY)))
+    present = lambda arr: F.filter(arr, lambda x: x.isNotNull())
+    base = present(F.concat(*parts)) if parts else F.array().cast("array<string>")
+    with_struct = _bind(base, lambda b: F.when(F.size(b) <= 1, F.concat(b, present(F.array(structure_class(smiles))))).otherwise(b))
+    return _bind(F.array_sort(F.array_distinct(with_struct)),
+                 lambda out: F.when(F.size(out) > 0, out).otherwise(F.array(F.lit(K.FALLBACK_EMPTY))))
 
 
 def gate_tags(answer, status, variant: str, hint=None, mapping=K.APPLICATION_MAPPING) -> Column:
@@ -140,7 +147,7 @@ def gate_tags(answer, status, variant: str, hint=None, mapping=K.APPLICATION_MAP
         h = _c(hint)
         cat = hint_category(h, mapping)
         fail = F.concat(F.array(h, cat), confirmed)
-        ok = F.concat(ans, F.array(h, F.when(cat != "unknown", cat)))
+        ok = F.concat(ans, F.array(h, F.nullif(cat, F.lit("unknown"))))
     else:
         on_fail, on_ok = K.GATE_VARIANTS[variant]
         fail = F.concat(F.array(*[F.lit(t) for t in on_fail]), confirmed)

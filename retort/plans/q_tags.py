@@ -14,7 +14,7 @@ from retort.plans import adapters as A
 from retort.plans import oracle as O
 from retort.plans.catalog import register
 from retort.plans.oracle import BASE, clean_tags_sql
-from retort.session import read_table
+from retort.session import read_table, spread
 from retort.sources import collect as SC
 
 HINT = "array_to_string(applications, ' ')"
@@ -242,7 +242,7 @@ FROM (SELECT doc_id, list_filter([{", ".join(f"CASE WHEN {O._contains_any_sql('l
                                  lambda x: x IS NOT NULL) AS f
       FROM documents)""")
 def q_keyword_flags(spark, sf):
-    d = read_table(spark, sf, "documents")
+    d = spread(read_table(spark, sf, "documents").select("doc_id", "text"))
     return d.select("doc_id", F.array_join(T.keyword_flags("text", rules=TEXT_RULES), "|").alias("tags"))
 
 

@@ -56,10 +56,22 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return path
 
 
+def scratch_root(spark: SparkSession) -> str:
+    """This application's own folder under the shared checkpoint folder."""
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/retort/{spark.sparkContext.applicationId}"
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh, unique folder under the shared checkpoint folder."""
-    root = ensure_checkpoint_dir(spark)
-    return os.path.join(root, "retort", f"{name}-{uuid.uuid4().hex[:12]}")
+    """A fresh, unique folder for one intermediate table."""
+    return f"{scratch_root(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def clear_scratch(spark: SparkSession) -> bool:
+    """Delete the intermediate tables of this application, in whatever store
+    they lie. To be called once its results are written: frames that
+    operators returned may still read them until then."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(scratch_root(spark))
+    return path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -67,11 +79,7 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def spread(df: DataFrame) -> DataFrame:
-    """Round-robin the rows over the cluster when a frame has fewer
-    partitions than task slots (e.g. one large single-row-group file) and
-    the work per row is heavy; a frame that already spans the cluster is
-    returned unchanged."""
-    slots = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < slots:
-        return df.repartition(slots)
-    return df
+    """Deal the rows over the cluster's slots before heavy row work. By rule, not by
+    the scan's partition count: a file of one row group reads as many splits
+    of which a single one holds rows."""
+    return df.repartition(df.sparkSession.sparkContext.defaultParallelism)

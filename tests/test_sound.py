@@ -147,3 +147,9 @@ def test_a_source_that_breaks_late_is_skipped(spark, tmp_path):
     good = lambda: spark.range(5).select(F.col("id").alias("ordinal"), F.lit("CC").alias("smiles"))
     got = collect_sources([("bad", bad, None), ("good", good, 3)], landing=str(tmp_path / "l")).collect()
     assert [(r.plan_source, r.ordinal) for r in sorted(got, key=lambda r: r.ordinal)] == [("good", 0), ("good", 1), ("good", 2)]
+
+
+def test_scratch_is_the_applications_own(spark):
+    from retort.session import scratch_path, scratch_root
+    a, b = scratch_path(spark, "x"), scratch_path(spark, "x")
+    assert a != b and a.startswith(scratch_root(spark)) and spark.sparkContext.applicationId in a
