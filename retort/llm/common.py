@@ -1,33 +1,26 @@
-"""Helpers shared by the corpus operators: Arrow batches cut by bytes, scratch tables, span lists."""
+"""Helpers shared by the corpus operators: Arrow batches cut by bytes, intermediate tables."""
 
 from __future__ import annotations
 
-import hashlib
-import uuid
 from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from retort.session import ensure_checkpoint_dir
+from retort.session import scratch_path
 
 #: Python work goes over this many text bytes at a time, whatever the size of Spark's Arrow batches.
 SLICE_BYTES = 8 << 20
 
 
-def scratch_table(spark: SparkSession, name: str) -> str:
-    """A fresh folder for one intermediate table, under the shared folder in ``spark.checkpoint.dir``.
-    Spark's own readers and writers use it, so the scheme of that setting (file, hdfs, s3a) is kept."""
-    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/llm/{name}-{uuid.uuid4().hex}"
-
-
 def materialize(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` once as compressed Parquet in the shared folder and read it back: cuts lineage in a
-    way that outlives executors, and gives the planner the table's real size."""
-    path = scratch_table(df.sparkSession, name)
+    """Write ``df`` once as compressed Parquet in the shared folder that ``spark.checkpoint.dir`` names and
+    read it back: cuts lineage in a way that outlives executors, and gives the planner the table's real
+    size. Spark's own reader and writer do it, so any store will do."""
+    path = scratch_path(df.sparkSession, name)
     df.write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
@@ -66,13 +59,3 @@ def per_text(docs: DataFrame, schema: str, fn: Callable[[pa.RecordBatch], Iterab
                     yield from out
 
     return docs.select(*[F.col(c) for c in columns]).mapInArrow(run, schema)
-
-
-def span_list(spans: Iterable[tuple[str, int, int]], kinds: tuple[str, ...]) -> str:
-    """``kind:start:end`` by start, then by the kind's place in ``kinds``, comma-joined."""
-    rank = {k: i for i, k in enumerate(kinds)}
-    return ",".join(f"{k}:{a}:{b}" for k, a, b in sorted(spans, key=lambda s: (s[1], rank[s[0]], s[2])))
-
-
-def sha256_hex(text: str) -> str:
-    return hashlib.sha256(text.encode("utf-8", "surrogatepass")).hexdigest()

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from retort.llm import decontaminate, fingerprint, packing, pii, secrets, simhash, substring, tokens, toxicity, warc
-from retort.llm.common import scratch_table
+from retort.session import scratch_path
 
 TOKENIZER = "word_bpe_49k.json"
 
@@ -27,7 +27,7 @@ def op1_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_warc_chain(spark: SparkSession, sf_dir: str) -> DataFrame:
-    path = scratch_table(spark, "archive")
+    path = scratch_path(spark, "archive")
     warc.write_archive(spark.read.parquet(f"{sf_dir}/pages.parquet"), path)
     return warc.digest(warc.resolved(warc.read_archive(spark, path)))
 

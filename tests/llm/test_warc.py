@@ -6,7 +6,7 @@ import hashlib
 import pytest
 
 from retort.llm import warc
-from retort.llm.common import scratch_table
+from retort.session import scratch_path
 
 FAKE = warc.MAGIC + "WARC-Type: response\r\nWARC-Record-ID: <urn:page:999>\r\nContent-Length: 3\r\n\r\nabc"
 CUT = warc.GAP + warc.MAGIC
@@ -39,7 +39,7 @@ def small_splits(spark):
 
 @pytest.mark.parametrize("files,split", [(1, "128m"), (2, "701"), (2, "83")])
 def test_magic_inside_payloads(spark, small_splits, files, split):
-    path = scratch_table(spark, "test-archive")
+    path = scratch_path(spark, "test-archive")
     warc.write_archive(spark.createDataFrame(ROWS, "page_id long, url string, html string").coalesce(files), path)
     small_splits(split)
     records = warc.read_archive(spark, path, with_payload=split == "701")
@@ -53,7 +53,7 @@ def test_magic_inside_payloads(spark, small_splits, files, split):
 
 def test_pages(spark, sf_dir):
     pages = spark.read.parquet(f"{sf_dir}/pages.parquet")
-    path = scratch_table(spark, "test-archive")
+    path = scratch_path(spark, "test-archive")
     warc.write_archive(pages, path)
     got = sorted(map(tuple, warc.digest(warc.resolved(warc.read_archive(spark, path))).collect()))
     assert got == brute([(r.page_id, r.html) for r in pages.collect()])
@@ -62,17 +62,17 @@ def test_pages(spark, sf_dir):
 def test_null_ids_repeated_rows_and_empty_tables(spark):
     schema = "page_id long, url string, html string, digest string, id string"
     rows = [(None, None, "a", "x", "y"), (1, "u", "a", "x", "y"), (1, "u", "a", "x", "y"), (None, "u", "b", "x", "y")]
-    path = scratch_table(spark, "test-archive")
+    path = scratch_path(spark, "test-archive")
     warc.write_archive(spark.createDataFrame(rows, schema), path)
     got = warc.digest(warc.resolved(warc.read_archive(spark, path))).collect()
     assert sorted(((r.page_id, r.record_type, r.refers_to) for r in got), key=str) == [(1, "response", None), (1, "response", None), (None, "response", None), (None, "revisit", 1)]
-    path = scratch_table(spark, "test-archive")
+    path = scratch_path(spark, "test-archive")
     warc.write_archive(spark.createDataFrame([], schema), path)
     assert warc.read_archive(spark, path).count() == 0
 
 
 def test_chain_ends_at_a_broken_record(spark):
-    path = scratch_table(spark, "test-archive")
+    path = scratch_path(spark, "test-archive")
     good = f"{warc.MAGIC}WARC-Type: response\r\nWARC-Record-ID: <urn:page:1>\r\nContent-Length: 2\r\n\r\nok"
     cut = f"{warc.MAGIC}WARC-Type: response\r\nWARC-Record-ID: <urn:page:2>\r\nContent-Length: 99\r\n\r\nshort"
     spark.createDataFrame([(good,), (cut,)], "value string").coalesce(1).write.option("lineSep", warc.GAP).text(path)
