@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import functools
 import os
+import re
 from array import array
 from collections.abc import Iterable
 
@@ -22,6 +23,13 @@ from retort.llm.common import bytes_of, per_text
 CACHED_WORDS = 300_000
 #: Stops cut from a new word's end, and the ASCII letters and digits they may follow.
 STOPS = b".,;:!?"
+#: Words of ASCII and Latin-1 letters only: the tokenizer's normalizer lowers them and its pre-tokenizer
+#: keeps them whole, so they go straight to the library's model, byte by byte as its alphabet spells them.
+LETTERS = re.compile(rb"(?:[a-zA-Z]|\xc3[\x80-\x96\x98-\xb6\xb8-\xbf])+").fullmatch
+SHOWN = [*range(33, 127), *range(161, 173), *range(174, 256)]
+BYTE_LETTERS = {b: chr(b) for b in SHOWN} | {b: chr(256 + i) for i, b in enumerate(x for x in range(256) if x not in SHOWN)}
+#: Checked when an encoder is made, so that a tokenizer of another kind is refused.
+PROBE = "Once  upon a Time, the\tÉlan's <|endoftext|> cost: 12.50\n(naïve) ß! x.y <|EndOfText|>"
 ALNUM = frozenset(b"0123456789ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz")
 
 
@@ -35,10 +43,13 @@ class WordEncoder:
         self.tok = Tokenizer.from_file(path)
         self.tok.no_truncation()
         self.tok.no_padding()
+        self.model = self.tok.model
         self.dtype, self.cached = np.dtype(dtype), cached
         self.code = {2: "H", 4: "I"}[self.dtype.itemsize]
         self.young: dict[bytes, bytes] = {}
         self.old: dict[bytes, bytes] = {}
+        if np.frombuffer(self.ids(PROBE.encode()), self.dtype).tolist() != self.tok.encode(PROBE, add_special_tokens=False).ids:
+            raise ValueError(f"{path}: this tokenizer does not take a text word by word")
 
     @staticmethod
     def words(text: bytes) -> list[bytes]:
@@ -70,7 +81,12 @@ class WordEncoder:
                             young[part] = ids
             else:
                 new.add(w)
-        new, code = list(new), self.code
+        code, tokenize = self.code, self.model.tokenize
+        plain = [w for w in new if LETTERS(w)]
+        for w in plain:
+            letters = w.decode().lower().encode().decode("latin-1").translate(BYTE_LETTERS)
+            young[w] = array(code, [t.id for t in tokenize(letters)]).tobytes()
+        new = list(new.difference(plain))
         for i in range(0, len(new), 4096):
             part = new[i : i + 4096]
             encoded = self.tok.encode_batch_fast([w.decode("utf-8", "replace") for w in part], add_special_tokens=False)

@@ -29,6 +29,21 @@ def test_counts_match_the_library(spark, documents, awkward, tok):
     assert tokens.token_counts(awkward.limit(0), tokenizer_path(), 7).count() == 0
 
 
+def test_plain_words_by_the_model(tok):
+    import random
+    rnd, enc = random.Random(2), tokens.WordEncoder(tokenizer_path(), "<u4")
+    letters = "abcdefghijklmnopqrstuvwxyzABCXYZàáâãäåæçèéêëìíîïðñòóôõöøùúûüýþÿßÀÉÖØÞ"
+    for _ in range(4000):
+        word = "".join(rnd.choice(letters) for _ in range(rnd.randrange(1, 15)))
+        assert np.frombuffer(enc.ids(word.encode()), "<u4").tolist() == tok(word), word
+
+
+def test_tokenizers_that_keep_blanks_are_refused():
+    import public_tokenizers
+    with pytest.raises(ValueError):
+        tokens.WordEncoder(public_tokenizers.path("byte_bpe_50k.json"))
+
+
 def test_every_prefix_of_a_text(texts, tok):
     enc = tokens.WordEncoder(tokenizer_path(), "<u2", cached=50)  # so small that it is emptied again and again
     for text in [*ODD, *sorted(texts.values(), key=len)[:25]]:
