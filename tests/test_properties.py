@@ -31,11 +31,10 @@ def test_encode_decode_round_trip(spark):
         assert r.decoded == r.smiles
 
 
-def test_large_vocab_path_equals_inline(spark):
+def test_table_path_equals_fixed_list(spark):
     mols = spark.createDataFrame(list(enumerate(SAMPLES)), "row_id long, smiles string")
-    vocab = TK.build_vocab(mols)
-    a = {r.row_id: r.ids for r in TK.encode_tokens(mols, vocab).collect()}
-    b = {r.row_id: r.ids for r in TK.encode_tokens(mols, vocab, inline_limit=0).collect()}
+    a = {r.row_id: r.ids for r in TK.encode_tokens(mols).collect()}
+    b = {r.row_id: r.ids for r in TK.encode_tokens(mols, TK.default_vocab(spark)).collect()}
     assert a == b
 
 
