@@ -158,18 +158,27 @@ def remove_repeats(docs: DataFrame, window: int = 50, gram: int = GRAM, hot: int
     spans = bucketed.mapInArrow(sort, "text_key binary, a long, b long")
 
     def unpack(batches):
+        """A row for each different window of a super-k-mer, with the runs of words that it covers there:
+        a word said a thousand times over is one window in a thousand places."""
         for batch in batches:
             for part in byte_slices(batch, "packed", 1 << 20):
                 out = []
                 for key, place, start, data in zip(*(part.column(c).to_pylist() for c in ("text_key", "rank", "start", "packed"))):
-                    words = data.split(b" ")
-                    out += [(xxhash.xxh3_128_digest(b" ".join(words[i : i + window])), key, place, start + i) for i in range(len(words) - window + 1)]
+                    words, runs = data.split(b" "), {}
+                    for i in range(len(words) - window + 1):
+                        own = runs.setdefault(xxhash.xxh3_128_digest(b" ".join(words[i : i + window])), [])
+                        if own and own[-1]["b"] >= start + i:
+                            own[-1]["b"] = start + i + window
+                        else:
+                            own.append({"a": start + i, "b": start + i + window})
+                    out += [(h, key, place, own) for h, own in runs.items()]
                 cols = list(zip(*out)) if out else [[]] * 4
-                yield pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, t in zip(cols, (pa.binary(), pa.binary(), pa.int64(), pa.int64()))], names=["key", "text_key", "rank", "a"])
+                run = pa.list_(pa.struct([("a", pa.int64()), ("b", pa.int64())]))
+                yield pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, t in zip(cols, (pa.binary(), pa.binary(), pa.int64(), run))], names=["key", "text_key", "rank", "runs"])
 
-    windows = packed.where("hot").mapInArrow(unpack, "key binary, text_key binary, rank long, a long")
+    windows = packed.where("hot").mapInArrow(unpack, "key binary, text_key binary, rank long, runs array<struct<a: long, b: long>>")
     least = windows.groupBy("key").agg(F.min("rank").alias("least"))
-    late = windows.join(least, "key").where("least < rank").select("text_key", "a", (F.col("a") + window).alias("b"))
+    late = windows.join(least, "key").where("least < rank").select("text_key", F.explode("runs").alias("r")).select("text_key", "r.a", "r.b")
     covered = spans.unionByName(late).groupBy("text_key").agg(F.collect_list(F.struct("a", "b")).alias("spans"))  # of one text at most
     covered = materialize(covered, "covered-words")
 

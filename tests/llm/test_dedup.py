@@ -127,7 +127,7 @@ def test_repeats_of_crowded_passages(spark, hot):
     for i in range(40):
         s = rnd.randrange(250)
         rows.append((i, "\t".join([rnd.choice("xyz")] * rnd.randrange(5) + base[s : s + rnd.randrange(90)] + [rnd.choice("ab") for _ in range(rnd.randrange(20))])))
-    rows += rows[10:20]
+    rows += rows[10:20] + [(50 + i, "m " * (40 + i) + "n o p " + "m " * 30) for i in range(6)]
     df = spark.createDataFrame(rows, "doc_id long, text string")
     got = sorted(map(tuple, substring.digest(substring.remove_repeats(df, window=8, gram=3, hot=hot)).collect()), key=str)
     assert got == brute_repeats([(d, t or "") for d, t in rows], 8)
