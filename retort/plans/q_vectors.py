@@ -139,10 +139,15 @@ def q_linear_score(spark, sf):
 GCN_LAYERS = 2
 
 
-def _gcn_sql() -> str:
+def _adjacency_sql() -> str:
+    """CTEs up to adj(src, dst, norm) and the node features h0(node, dim, value)."""
+    return _gcn_sql(0).split("\nSELECT node")[0].rstrip().rstrip(",")
+
+
+def _gcn_sql(n_layers: int = GCN_LAYERS) -> str:
     layers = []
     prev = "h0"
-    for n in range(1, GCN_LAYERS + 1):
+    for n in range(1, n_layers + 1):
         layers.append(f"""h{n} AS (
   SELECT a.dst AS node, h.dim, greatest(sum(a.norm * h.value), 0.0) AS value
   FROM adj a JOIN {prev} h ON h.node = a.src GROUP BY a.dst, h.dim)""")
@@ -162,18 +167,43 @@ h0 AS (SELECT vec_id AS node, CAST(i - 1 AS INTEGER) AS dim, CAST(embedding[i] A
 SELECT node AS vec_id, dim, round(value, 6) AS value FROM {prev}"""
 
 
-@register("gcn_propagate", _gcn_sql())
-def q_gcn_propagate(spark, sf):
+def _graph(spark, sf):
+    """Node features (long form) and edges of the embeddings' ring-and-chord graph."""
     emb = read_table(spark, sf, "embeddings")
     n = emb.agg((F.max("vec_id") + 1).alias("n")).scalar()
     edges = emb.select(F.col("vec_id").alias("src"), ((F.col("vec_id") + 1) % n).alias("dst")).unionByName(
         emb.select(F.col("vec_id").alias("src"), ((F.col("vec_id") * 3 + 1) % n).alias("dst")))
     nodes = emb.select(F.col("vec_id").alias("node"), F.posexplode(F.slice("embedding", 1, NODE_DIM))
                        .alias("dim", "value"))
+    return emb, nodes, edges
+
+
+@register("gcn_propagate", _gcn_sql())
+def q_gcn_propagate(spark, sf):
+    _, nodes, edges = _graph(spark, sf)
     h = V.gcn_propagate(nodes, edges, layers=GCN_LAYERS)
     return h.select(F.col("node").alias("vec_id"), "dim", F.round("value", 6).alias("value"))
 
 
+GCN_OUT = 16   # output width of the weighted layer: the vectors below this id are its columns
+
+
+@register("gcn_layers", _adjacency_sql() + f""",
+w AS (SELECT CAST(i - 1 AS INTEGER) AS dim, CAST(vec_id AS INTEGER) AS dim_out, CAST(embedding[i] AS DOUBLE) AS w
+      FROM (SELECT vec_id, embedding, unnest(range(1, {NODE_DIM} + 1)) AS i FROM embeddings WHERE vec_id < {GCN_OUT})),
+hw AS (SELECT node, dim_out AS dim, sum(value * w) AS value FROM h0 JOIN w USING (dim) GROUP BY node, dim_out),
+h1 AS (SELECT a.dst AS node, h.dim, greatest(sum(a.norm * h.value), 0.0) AS value FROM adj a JOIN hw h ON h.node = a.src GROUP BY a.dst, h.dim),
+pooled AS (SELECT label, dim, avg(value) AS value FROM h1 JOIN embeddings ON vec_id = node GROUP BY label, dim)
+SELECT label, dim, round(value, 6) AS value FROM pooled""")
+def q_gcn_layers(spark, sf):
+    """One weighted layer, ReLU, then the mean over each label's nodes."""
+    emb, nodes, edges = _graph(spark, sf)
+    w = emb.where(F.col("vec_id") < GCN_OUT).select(F.col("vec_id").cast("int").alias("dim_out"), F.posexplode(F.slice("embedding", 1, NODE_DIM)).alias("dim_in", "w"))
+    h = V.gcn_propagate(nodes, edges, layers=1, weights=w.select("dim_in", "dim_out", F.col("w").cast("double").alias("w")))
+    h = h.join(emb.select(F.col("vec_id").alias("node"), "label"), "node")
+    return h.groupBy("label", "dim").agg(F.round(F.avg("value"), 6).alias("value"))
+
+
 def _cells(spark, sf):
     """Logits of both labels from the whole vector (nearest-centroid form, by vec_id parity), with targets."""
     emb = read_table(spark, sf, "embeddings")
