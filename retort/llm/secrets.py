@@ -45,8 +45,21 @@ BASE_RULES = (
     Rule("access", r"AKIA[A-Z0-9]+", 20),
     Rule("hex", r"[0-9a-f]+", 24),
 )
+#: What may stand around a line of a key (indents, quotes, comment and diff marks), line ends as they are
+#: or escaped, a line's rest, and the base64 alphabet.
+AROUND = r"""[\x20\t"',;>|#*+-]*+"""
+BREAK = r"(?:[\r\n]|\\[rn])"
+REST = r"""(?=[\x20\t"',;+]*+(?:[\r\n\\]|\Z))"""
+B64 = r"[A-Za-z0-9+/]"
+#: A key's text from its BEGIN line to its END line, which is the next mark of five dashes; where there is
+#: none, the header and base64 lines that follow, or base64 pieces too long for words on the same line.
+KEY_BODY = (
+    r"(?:[^-]*+(?:-(?!----)[^-]*+)*+-{5,}+END [A-Z0-9 ]*PRIVATE KEY-----"
+    rf"|(?:{AROUND}(?:{BREAK}{AROUND})++(?:[A-Z][A-Za-z]*+-[A-Z][A-Za-z-]*+:[^\r\n\\]*+|{B64}++={{0,2}}{REST})"
+    rf"|(?:[\x20\t]*+{B64}{{32,}}+={{0,2}})++(?:[\x20\t]++{B64}++={{0,2}}(?=\s*+\Z))?)*+)"
+)
 MORE_RULES = (
-    Rule("private_key", r"-----BEGIN [A-Z ]{0,30}PRIVATE KEY-----"),
+    Rule("private_key", r"-----BEGIN [A-Z0-9 ]*PRIVATE KEY-----" + KEY_BODY),
     Rule("forge", r"gh[pousr]_[A-Za-z0-9]{36,255}"),
     Rule("chat", r"xox[abprs]-[A-Za-z0-9-]{10,255}"),
     Rule("jwt", r"eyJ[A-Za-z0-9_-]{8,4096}\.[A-Za-z0-9_-]{8,4096}\.[A-Za-z0-9_-]{8,4096}"),

@@ -82,6 +82,34 @@ def test_masking_keeps_rows_and_clean_texts(documents, awkward):
         assert r.n_chars == (len(r.text) if "[SECRET]" in r.text else before[r.doc_id].n_chars)
 
 
+def check_masked(spark, cases):
+    """``cases``: (text, the text masked)."""
+    df = spark.createDataFrame([(i, t) for i, (t, _) in enumerate(cases)], "doc_id long, text string").coalesce(1)
+    got = {r.doc_id: r.text for r in secrets.mask_secrets(df).collect()}
+    for i, (text, want) in enumerate(cases):
+        assert got[i] == want, text
+
+
+def test_masking_takes_whole_keys(spark):
+    rnd = random.Random(3)
+    body = ["".join(rnd.choice("ABCwxyz0189+/") for _ in range(64)) for _ in range(40)] + ["Qd+/7w=="]
+    rule = next(r for r in secrets.RULES if r.kind == "private_key")
+    assert secrets.trigram_query(rule.pattern) == secrets.trigram_query("-----BEGIN [A-Z ]{0,30}PRIVATE KEY-----")
+    cases = [("the line -----BEGIN PRIVATE KEY----- starts a key", "the line [SECRET] starts a key")]
+    for label in ("", "RSA ", "OPENSSH "):
+        begin, end = f"-----BEGIN {label}PRIVATE KEY-----", f"-----END {label}PRIVATE KEY-----"
+        for ends in ("\n", "\r\n", "\\n", "\n    ", "\n> ", '\\n" +\n  "', " ", "\n\n"):
+            cases += [("before " + ends.join([begin, *body, end]) + " after the key", "before [SECRET] after the key"),
+                      ("before " + ends.join([begin, *body]), "before [SECRET]")]
+        head = ["Proc-Type: 4,ENCRYPTED", "DEK-Info: AES-128-CBC,0123", ""]
+        cases += [("\n".join(["a", begin, *head, *body, "", "some words after it"]), "a\n[SECRET]\n\nsome words after it"),
+                  ("\n".join([begin, *body[:3], "words of a text", begin, *body, end, "b"]), "[SECRET]\nwords of a text\n[SECRET]\nb"),
+                  ("\n".join("-" + x for x in (begin, *body, end)), "-[SECRET]")]
+    check_masked(spark, cases)
+    many = "-----BEGIN RSA PRIVATE KEY-----\nAAAA\n" * 50000
+    assert sum(1 for _ in rule.find(many)) == 50000 and sum(1 for _ in rule.find("-----BEGIN " + "A " * 500000)) == 0
+
+
 PII = ["a@b@c.d.e-f..g x@y", "1.2.3.4.5.6.7.8 256.1.1.1 01.002.3.4", "4111 1111-1111 1111 and 4111111111111112", "+49 (170) 123.45.67-89 +1 2", "+1234567890123456",
        "http://u@h.org/p ftp://x/~ann IBAN: DE89 3704 0044 0532 0130 00.", "@", "9" * 300, "0" * 16, "1-2-3-4-5-6-7-8-9-0-1-2-3-4"]
 
