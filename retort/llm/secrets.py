@@ -27,16 +27,17 @@ MAX_ALTERNATIVES = 64
 @dataclass(frozen=True)
 class Rule:
     """A kind, its regex, and the least length of the match or of one group. A match that is too short
-    is dropped; the search goes on after it."""
+    is dropped; the search goes on after it. The span starts where the group ``begin`` does."""
     kind: str
     pattern: str
     least: int = 0
     group: int = 0
+    begin: int = 0
 
     def find(self, text: str):
         for m in _compiled(self.pattern).finditer(text):
             if len(m[self.group]) >= self.least:
-                yield m.start(), m.end()
+                yield m.start(self.begin), m.end()
 
 
 #: The base kinds, in their order, and those the scan adds.
@@ -58,11 +59,15 @@ KEY_BODY = (
     rf"|(?:{AROUND}(?:{BREAK}{AROUND})++(?:[A-Z][A-Za-z]*+-[A-Z][A-Za-z-]*+:[^\r\n\\]*+|{B64}++={{0,2}}{REST})"
     rf"|(?:[\x20\t]*+{B64}{{32,}}+={{0,2}})++(?:[\x20\t]++{B64}++={{0,2}}(?=\s*+\Z))?)*+)"
 )
+#: The base64url alphabet of a token's parts.
+PART = r"[A-Za-z0-9_-]"
 MORE_RULES = (
     Rule("private_key", r"-----BEGIN [A-Z0-9 ]*PRIVATE KEY-----" + KEY_BODY),
-    Rule("forge", r"gh[pousr]_[A-Za-z0-9]{36,255}"),
-    Rule("chat", r"xox[abprs]-[A-Za-z0-9-]{10,255}"),
-    Rule("jwt", r"eyJ[A-Za-z0-9_-]{8,4096}\.[A-Za-z0-9_-]{8,4096}\.[A-Za-z0-9_-]{8,4096}"),
+    Rule("forge", r"gh[pousr]_[A-Za-z0-9]{36,}+"),
+    Rule("chat", r"xox[abprs]-[A-Za-z0-9-]{10,}+"),
+    # Looked for only at the left end of a run that two more parts follow, so each run is read a fixed
+    # number of times; characters of the run before eyJ are not in the span.
+    Rule("jwt", rf"(?<!{PART})(?={PART}++\.{PART}{{8,}}+\.{PART}{{8}}){PART}*?()eyJ{PART}{{8,}}+\.{PART}{{8,}}+\.{PART}{{8,}}+", begin=1),
 )
 RULES = BASE_RULES + MORE_RULES
 KINDS = tuple(r.kind for r in RULES)

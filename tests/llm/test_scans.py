@@ -110,6 +110,26 @@ def test_masking_takes_whole_keys(spark):
     assert sum(1 for _ in rule.find(many)) == 50000 and sum(1 for _ in rule.find("-----BEGIN " + "A " * 500000)) == 0
 
 
+def test_masking_takes_long_tokens(spark):
+    rules = {r.kind: r for r in secrets.RULES}
+    long, short = "Ab1_-" * 2000, "Ab1_-cd89"
+    cases = []
+    for parts in ((long, short, short), (short, long, short), (short, short, long), (long, long, long)):
+        cases += [(f"a {x}eyJ{'.'.join(parts)}. b", f"a {x}[SECRET]. b") for x in ("", "id_", "x.", "eyJshort.y.")]
+    cases += [("a ghp_" + "a1B" * 3000 + " b", "a [SECRET] b"), ("a xoxb-" + "a1-" * 3000 + " b", "a [SECRET] b")]
+    cases += [(t, t) for t in ("a eyJ" + long, f"a eyJ{long}.{long}", "eyJabc.eyJabc.eyJabc")]
+    check_masked(spark, cases)
+    for kind, capped in (("jwt", "eyJ[a-z]{8,9}"), ("chat", "xox[abprs]-[a-z]{10,255}"), ("forge", "gh[pousr]_[a-z]{36,255}")):
+        assert secrets.trigram_query(rules[kind].pattern) == secrets.trigram_query(capped)
+    old = re.compile(r"eyJ[A-Za-z0-9_-]{8,4096}\.[A-Za-z0-9_-]{8,4096}\.[A-Za-z0-9_-]{8,4096}")
+    rnd = random.Random(4)
+    for _ in range(20000):
+        text = "".join(rnd.choice(["eyJ", "abcdefgh", ".", ".", "a", " ", "_-"]) for _ in range(rnd.randrange(40)))
+        assert list(rules["jwt"].find(text)) == [m.span() for m in old.finditer(text)], text
+    for hard in ("eyJ" * 400000, "eyJ" * 200000 + "." + "eyJ" * 200000, "eyJabcdefgh." * 100000 + "a"):
+        assert all(b > a for a, b in rules["jwt"].find(hard))
+
+
 PII = ["a@b@c.d.e-f..g x@y", "1.2.3.4.5.6.7.8 256.1.1.1 01.002.3.4", "4111 1111-1111 1111 and 4111111111111112", "+49 (170) 123.45.67-89 +1 2", "+1234567890123456",
        "http://u@h.org/p ftp://x/~ann IBAN: DE89 3704 0044 0532 0130 00.", "@", "9" * 300, "0" * 16, "1-2-3-4-5-6-7-8-9-0-1-2-3-4"]
 
