@@ -18,6 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from retort.llm.common import bytes_of, per_text
+from retort.llm.prefixes import BYTE_LETTERS, PrefixCounter
 
 #: Words a worker keeps, in each of two generations.
 CACHED_WORDS = 300_000
@@ -26,10 +27,10 @@ STOPS = b".,;:!?"
 #: Words of ASCII and Latin-1 letters only: the tokenizer's normalizer lowers them and its pre-tokenizer
 #: keeps them whole, so they go straight to the library's model, byte by byte as its alphabet spells them.
 LETTERS = re.compile(rb"(?:[a-zA-Z]|\xc3[\x80-\x96\x98-\xb6\xb8-\xbf])+").fullmatch
-SHOWN = [*range(33, 127), *range(161, 173), *range(174, 256)]
-BYTE_LETTERS = {b: chr(b) for b in SHOWN} | {b: chr(256 + i) for i, b in enumerate(x for x in range(256) if x not in SHOWN)}
 #: Checked when an encoder is made, so that a tokenizer of another kind is refused.
 PROBE = "Once  upon a Time, the\tÉlan's <|endoftext|> cost: 12.50\n(naïve) ß! x.y <|EndOfText|>"
+#: Characters whose prefix counts a worker keeps.
+CACHED_PREFIXES = 2_000_000
 ALNUM = frozenset(b"0123456789ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz")
 
 
@@ -48,6 +49,8 @@ class WordEncoder:
         self.code = {2: "H", 4: "I"}[self.dtype.itemsize]
         self.young: dict[bytes, bytes] = {}
         self.old: dict[bytes, bytes] = {}
+        self.inside: dict[bytes, tuple[np.ndarray, np.ndarray]] = {}
+        self.kept = 0
         if np.frombuffer(self.ids(PROBE.encode()), self.dtype).tolist() != self.tok.encode(PROBE, add_special_tokens=False).ids:
             raise ValueError(f"{path}: this tokenizer does not take a text word by word")
 
@@ -100,6 +103,35 @@ class WordEncoder:
         words = self.words(text)
         return b"".join(map(self.learn(words).__getitem__, words))
 
+    @functools.cached_property
+    def counter(self) -> PrefixCounter:
+        return PrefixCounter(self.tok)
+
+    def prefixes(self, word: bytes) -> tuple[np.ndarray, np.ndarray]:
+        """Byte ends and exact token counts of a word's character prefixes, worked out once for each distinct word."""
+        if word not in self.inside:
+            text = word.decode()
+            counts = np.fromiter((n for _, n, _ in self.counter.walk(text)), np.int64, len(text))
+            if counts[-1] != len(self.learn([word])[word]) // self.dtype.itemsize:
+                raise ValueError("this tokenizer's prefixes do not follow from its merges")
+            if self.kept > CACHED_PREFIXES:
+                self.inside, self.kept = {}, 0
+            starts = np.flatnonzero(np.frombuffer(word, np.uint8) & 0xC0 != 0x80)
+            self.inside[word] = np.append(starts[1:], len(word)), counts
+            self.kept += len(text)
+        return self.inside[word]
+
+    def fit_inside(self, word: bytes, limit: int) -> int:
+        """Bytes of the word's longest character prefix with at most ``limit`` tokens; counts may fall again
+        as a prefix grows, so the walk ends where no longer prefix can fit."""
+        text, best = word.decode(), 0
+        for k, n, floor in self.counter.walk(text):
+            if n <= limit:
+                best = k
+            elif floor > limit:
+                break
+        return len(text[:best].encode())
+
     def ids_of(self, texts: list[bytes]) -> list[bytes]:
         split = [self.words(t) for t in texts]
         table = self.learn(set().union(*split)).__getitem__
@@ -118,7 +150,8 @@ class PrefixTable:
 
     ``ends`` are byte offsets of word ends and ``counts`` the tokens up to them; blanks add nothing, so
     the two arrays give the count of every prefix that ends outside a word. A prefix that ends within
-    a word adds the count of that one word's own prefix; no more than that word is ever encoded."""
+    a word adds the count of that word's own prefix, from a table made once for each distinct word
+    (``prefixes.py``); nothing is encoded again."""
 
     def __init__(self, text: bytes, enc: WordEncoder, words: list[bytes] | None = None, table: dict[bytes, bytes] | None = None):
         self._words, self._ends = enc.words(text) if words is None else words, None
@@ -145,22 +178,40 @@ class PrefixTable:
         """Tokens of ``text[:n_bytes]`` (a cut between characters)."""
         i = int(np.searchsorted(self.ends, n_bytes, side="right"))
         done = int(self.counts[i - 1]) if i else 0
-        start = int(self.ends[i - 1]) if i else 0
-        return done + len(self.enc.ids(self.text[start:n_bytes])) // self.enc.dtype.itemsize
+        inside = n_bytes - self.start(i) if i < len(self._words) else 0
+        if inside <= 0:
+            return done
+        ends, counts = self.enc.prefixes(self._words[i])
+        k = int(np.searchsorted(ends, inside))
+        if ends[k] != inside:
+            raise ValueError(f"{n_bytes} is not between characters")
+        return done + int(counts[k])
+
+    def start(self, i: int) -> int:
+        """The byte offset of word ``i``."""
+        return int(self.ends[i]) - len(self._words[i])
 
     def fit(self, limit: int) -> int:
         """Words of the longest prefix of whole words with at most ``limit`` tokens."""
         return int(np.searchsorted(self.counts, limit, side="right"))
 
+    def fit_bytes(self, limit: int) -> int:
+        """Bytes of the longest prefix of whole characters with at most ``limit`` tokens, blanks after it
+        included. The first word that does not fit holds its end: any prefix beyond has that word's tokens."""
+        i = self.fit(limit)
+        if i == len(self._words):
+            return len(self.text)
+        return self.start(i) + self.enc.fit_inside(self._words[i], limit - (int(self.counts[i - 1]) if i else 0))
+
 
 def token_counts(docs: DataFrame, path: str, limit: int) -> DataFrame:
-    """(doc_id, n_bytes, n_tokens, over_limit, fit_words) of every whole text.
+    """(doc_id, n_bytes, n_tokens, over_limit, fit_words, fit_bytes) of every whole text.
 
-    ``fit_words`` answers the truncation question: the words of the longest prefix of whole words that
-    keeps to ``limit`` tokens. A null or empty text has 0 bytes and 0 tokens; repeated rows give a row
+    ``fit_words`` and ``fit_bytes`` answer the truncation question: the words of the longest prefix of whole
+    words, and the bytes of the longest prefix of whole characters, that keep to ``limit`` tokens. A null or empty text has 0 bytes and 0 tokens; repeated rows give a row
     each; an empty table gives none; columns beyond ``doc_id`` and ``text`` are ignored."""
     def run(batch):
-        enc, size, total, fit = encoder(path, "<u2" if _small(path) else "<u4"), [], [], []
+        enc, size, total, fit, fit_bytes = encoder(path, "<u2" if _small(path) else "<u4"), [], [], [], []
         texts = bytes_of(batch)
         split = [enc.words(t) for t in texts]
         known = enc.learn(set().union(*split))
@@ -169,12 +220,14 @@ def token_counts(docs: DataFrame, path: str, limit: int) -> DataFrame:
             size.append(len(t))
             total.append(table.total)
             fit.append(table.fit(limit))
+            fit_bytes.append(table.fit_bytes(limit))
         return pa.RecordBatch.from_arrays(
             [batch.column("doc_id").cast(pa.int64()), pa.array(size, pa.int64()), pa.array(total, pa.int64()),
-             pa.array([n > limit for n in total], pa.bool_()), pa.array(fit, pa.int64())],
-            names=["doc_id", "n_bytes", "n_tokens", "over_limit", "fit_words"])
+             pa.array([n > limit for n in total], pa.bool_()), pa.array(fit, pa.int64()),
+             pa.array(fit_bytes, pa.int64())],
+            names=["doc_id", "n_bytes", "n_tokens", "over_limit", "fit_words", "fit_bytes"])
 
-    return per_text(docs, "doc_id long, n_bytes long, n_tokens long, over_limit boolean, fit_words long", run)
+    return per_text(docs, "doc_id long, n_bytes long, n_tokens long, over_limit boolean, fit_words long, fit_bytes long", run)
 
 
 @functools.lru_cache(maxsize=4)

@@ -57,6 +57,35 @@ def test_every_prefix_of_a_text(texts, tok):
             assert words == len(table.counts) or table.counts[words] > limit
 
 
+WHOLE = ["中文字符没有空格的长文本" * 8, "aGVsbG8gd29ybGQhIQ+/" * 8, "function(a,b){return'x'==a?b:can't()}" * 4, "e\u0301a\u0323\u0302o\u0302\u0323" * 4,
+         "\u1112\u1161\u11ab\u1100\u1173\u11af" * 5, "we'll'retry''s'vd'x're'", "İİẞΣσß<|endoftext|>ab<|endof<|startoftext|>", "a\x85b\xa0c\u2003d", "กำลังหิวข้าว" * 3,
+         "supercalifragilisticexpialidocious" * 3]
+
+
+def test_every_prefix_inside_a_word(tok):
+    import random
+    rnd, enc = random.Random(6), tokens.WordEncoder(tokenizer_path(), "<u2")
+    parts = ["'", "'", "r", "e", "l", "the", "ing", "é", "e\u0301", "\u0323", "中", "7", "!", "<|", "<|endoftext|>", "\xa0", "İ", "😀", "한", "\u1161", "K", " "]
+    texts = WHOLE + ["".join(rnd.choice(parts) for _ in range(rnd.randrange(1, 30))) for _ in range(400)]
+    for text in texts:
+        table = tokens.PrefixTable(text.encode(), enc)
+        counts = [len(tok(text[:k])) for k in range(len(text) + 1)]
+        assert [table.count(len(text[:k].encode())) for k in range(len(text) + 1)] == counts, text
+        for limit in {0, 1, 2, 7, counts[-1] - 1, counts[-1]} - {-1}:
+            best = max(k for k, n in enumerate(counts) if n <= limit)
+            assert table.fit_bytes(limit) == len(text[:best].encode()), (text, limit)
+
+
+def test_long_words_are_encoded_once(tok, monkeypatch):
+    enc, text = tokens.WordEncoder(tokenizer_path(), "<u2"), "中文字符没有空格的长文本" * 2000
+    table = tokens.PrefixTable(text.encode(), enc)
+    monkeypatch.setattr(enc, "learn", lambda words: enc.young)  # the library is not asked again
+    fit = table.fit_bytes(2048)
+    assert table.fit(2048) == 0 and fit > 0 and len(tok(text.encode()[:fit].decode())) <= 2048 < len(tok(text.encode()[: fit + 3].decode()))
+    for n in (3, 30000, 3 * len(text) - 3):
+        assert table.count(n) == len(tok(text.encode()[:n].decode()))
+
+
 def check_packing(rows, ids, window):
     by_doc, by_seq = {}, {}
     for r in rows:
