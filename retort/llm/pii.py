@@ -28,8 +28,17 @@ RUN = re.compile(r"[0-9]+")
 SPACED = re.compile(r"[0-9](?:[\x20-]?[0-9])*")
 PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 HOST = re.compile(r"[A-Za-z0-9._~%@:-]+(?:/[^\s<>\"']*)?")
-AFTER_CUE = re.compile(r"[\x20:#.]{1,8}(?:(?:no|nr|number)[\x20:#.]{1,4})?", re.I)
-IBAN = re.compile(r"[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]{4}){2,7}(?:\x20?[A-Z0-9]{1,3})?(?![A-Za-z0-9])")
+#: What stands between a cue and an account, of any length: blanks, marks, quotes, brackets, a word for "number".
+AFTER_CUE = re.compile(r"""[\s:#.=,;"'`()\[\]{}<>*_-]*+(?:(?:no|nr|num|number|code|id)(?![A-Za-z])[\s:#.=,;"'`()\[\]{}<>*_-]*+)?+""", re.I)
+#: As much as an IBAN may take; its end is found by length and check digits.
+IBAN = re.compile(r"[A-Z]{2}[0-9]{2}(?:[\x20\xa0-]?[A-Z0-9]){11,30}")
+IBAN_LENGTH = {c[:2]: int(c[2:]) for c in (
+    "AD24 AE23 AL28 AT20 AZ28 BA20 BE16 BG22 BH22 BR29 BY28 CH21 CR22 CY28 CZ24 DE22 DK18 DO28 EE20 EG29 ES24 FI18 FO18 FR27 GB22 GE22 GI23 GL18 "
+    "GR27 GT28 HR21 HU28 IE22 IL23 IQ23 IS26 IT27 JO30 KW30 KZ20 LB28 LC32 LI21 LT20 LU20 LV21 LY25 MC27 MD24 ME22 MK19 MR27 MT31 MU30 NL18 NO15 "
+    "PK24 PL28 PS29 PT25 QA29 RO24 RS22 SA24 SC31 SE24 SI19 SK24 SM27 ST25 SV28 TL23 TN24 TR26 UA29 VA22 VG24 XK20").split()}
+#: A plain number after account or acct: six digits at least, no part of an amount or a word, no date.
+PLAIN = re.compile(r"(?![0-9]{4}-[0-9]{2}-[0-9]{2}(?![0-9-]))[0-9](?:[\x20-]?[0-9])*+(?![A-Za-z0-9]|[.,][0-9])")
+PLAIN_DIGITS = 6
 PERSONAL_PATH = re.compile(r"/(?:~|@|u/|user/|users/|profile/|in/)[^/\s]+")
 
 _automaton = None
@@ -46,7 +55,7 @@ def anchors():
             a.add_word(d, ("digit", 1))
             a.add_word("+" + d, ("plus", 2))
         for c in CUES:
-            a.add_word(c, ("cue", len(c)))
+            a.add_word(c, ("iban" if c.lower() == "iban" else "account", len(c)))
         a.make_automaton()
         _automaton = a
     return _automaton
@@ -63,10 +72,24 @@ def luhn(digits: str) -> bool:
 
 
 def iban_ok(code: str) -> bool:
-    s = code.replace(" ", "")
+    s = re.sub(r"[\x20\xa0-]", "", code)
     return 15 <= len(s) <= 34 and int("".join(str(int(c, 36)) for c in s[4:] + s[:4])) % 97 == 1
 
 
+def iban_end(text: str, at: int) -> int | None:
+    """Where the IBAN at this place ends: at its country's length if that is a whole one, else at the longest
+    end of a group that is."""
+    if not (m := IBAN.match(text, at)):
+        return None
+    ends, size = [], 0
+    for i in range(at, m.end()):
+        if text[i] not in " \xa0-":
+            size += 1
+            if size >= 15 and not (text[i + 1 : i + 2].isascii() and text[i + 1 : i + 2].isalnum()):
+                ends.append((size == IBAN_LENGTH.get(m[0][:2]), i + 1))
+    return next((e for _, e in sorted(ends, reverse=True) if iban_ok(text[at:e])), None)
+
+
 def find(text: str) -> list[tuple[str, int, int]]:
     """Spans of one text (code points, end exclusive), by start and the order of KINDS.
 
@@ -114,8 +137,13 @@ def find(text: str) -> list[tuple[str, int, int]]:
                 rest = text[at + 3 : right]
                 if "@" in rest.split("/")[0] or PERSONAL_PATH.search(rest):
                     spans.append(("url", left, right))
-        elif (m := AFTER_CUE.match(text, end + 1)) and (n := IBAN.match(text, m.end())) and iban_ok(n[0]):
-            spans.append(("account", n.start(), n.end()))
+        else:
+            left = AFTER_CUE.match(text, end + 1).end()
+            right = iban_end(text, left)
+            if right is None and kind == "account" and (m := PLAIN.match(text, left)) and sum(c in DIGITS for c in m[0]) >= PLAIN_DIGITS:
+                right = m.end()
+            if right is not None:
+                spans.append(("account", left, right))
     rank = {k: i for i, k in enumerate(KINDS)}
     return sorted(spans, key=lambda s: (s[1], rank[s[0]], s[2]))
 

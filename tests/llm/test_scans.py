@@ -144,6 +144,27 @@ def test_pii(spark, documents, awkward):
     assert pii.find_pii(awkward.limit(0)).count() == 0
 
 
+DE, AT, BE, ES = "DE89 3704 0044 0532 0130 00", "AT61 1904 3002 3457 3201", "BE68 5390 0754 7034", "ES91 2100 0418 4502 0005 1332"
+
+
+def test_accounts_behind_cues():
+    def accounts(text):
+        return [text[a:b] for k, a, b in pii.find(text) if k == "account"]
+
+    for code in (DE, AT, BE, ES):
+        for x in (code, code.replace(" ", "")):
+            for cue in ('"iban": "', "IBAN=", "IBAN (", "IBAN\t", "iban\n  ", "IBAN" + " " * 50, "Account number: ", "{'iban':'", "IBAN no. ", "IBAN"):
+                for after in (" BIC", " 1234 and", " BIC GENODEF1", '"}', ")", ".", "", "\nBIC: X"):
+                    assert accounts(f"a {cue}{x}{after}") == [x], (cue, x, after)
+            assert accounts(f"IBAN {x[:-1]}{(int(x[-1]) + 1) % 10}") == []
+    for text in ("Account: 12345678", "account no. 12345678", "ACCT #12345678", '"account": "12345678"', "accountNumber=12345678.", "acct\n12345678"):
+        assert accounts(text) == ["12345678"], text
+    assert accounts("account 12-34-56 12345678, x") == ["12-34-56 12345678"]
+    for text in ("account 12345", "account 100000.50", "account on 12345678", "account: 2024-01-15", "account 1234567x", "IBAN 12345678"):
+        assert accounts(text) == [], text
+    assert len(pii.find("account" + " :" * 300000 + "iban" * 100000)) == 0
+
+
 def test_pii_on_random_strings():
     rnd = random.Random(1)
     for _ in range(3000):
