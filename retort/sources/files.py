@@ -2,8 +2,8 @@
 answers (A1-A5, A8, A10).
 
 JSON, SDF and answer readers declare their schema up front; CSV takes column
-names from each path's header. All read with Spark's splittable file sources
-unless a caller asks for records that span lines; nothing is parsed on the driver.
+names from each path's header. All but CSV, whose records may span lines, read
+with Spark's splittable file sources; nothing is parsed on the driver.
 """
 
 from __future__ import annotations
@@ -45,15 +45,16 @@ def write_compounds(df: DataFrame, path: str, fmt: str = "parquet") -> bool:
 
 
 # ------------------------------------------------------------------ A1
-def read_compound_csvs(spark: SparkSession, paths, multi_line: bool = False) -> DataFrame:
+def read_compound_csvs(spark: SparkSession, paths, multi_line: bool = True) -> DataFrame:
     """A1: read each CSV alone; a path that cannot be read or lacks
     ``smiles``/``applications`` is skipped with a warning; the rest are
     concatenated (required columns only). Nothing valid -> typed empty
     frame. ``applications`` is parsed from its list literal; rows whose
     literal does not parse get ``applications`` NULL and ``parse_ok``
-    false (quarantine) instead of failing the job. Files split across tasks;
-    ``multi_line`` reads quoted line breaks at the price of one task a file
-    (the sink escapes line breaks, so its own files never need it)."""
+    false (quarantine) instead of failing the job. Quoted line breaks in any
+    column are read, at the price of one task a file; ``multi_line`` false
+    splits files, and is right only where no value holds a line break (the
+    sink escapes those of list columns, and keeps those of strings)."""
     frames = []
     for p in ([paths] if isinstance(paths, str) else list(paths)):
         try:

@@ -48,6 +48,15 @@ def test_csv_keeps_quotes_and_skips_bad_literals(spark, tmp_path):
     assert one(spark, T.parse_list("x"), value="['a', \"it's\"]") == ["a", "it's"]
 
 
+def test_csv_keeps_rows_with_line_breaks_in_any_column(spark, tmp_path):
+    rows = [("two\nlines", "CCO", ["a", "x\ny"], "some\r\n\"quoted\" words, a, b"), ("plain", "C", ["b"], "c"), ("\n", "CC", ["c"], "ends\n")]
+    df = spark.createDataFrame(rows, "name string, smiles string, applications array<string>, description string")
+    assert SF.write_compounds(df, str(tmp_path / "out"), "csv")
+    other = write(tmp_path, "other.csv", 'name,smiles,applications,note\n"first\nsecond","N","[\'d\']","a\nC,O,P"\nx,O,not a list,y\n')
+    got = sorted((r.smiles, r.applications, r.parse_ok) for r in SF.read_compound_csvs(spark, [str(tmp_path / "out"), other]).collect())
+    assert got == [("C", ["b"], True), ("CC", ["c"], True), ("CCO", ["a", "x\ny"], True), ("N", ["d"], True), ("O", None, False)]
+
+
 PAGE = {"molecules": [{"molecule_structures": {"canonical_smiles": "CCO"}, "molecule_chembl_id": "X1", "pref_name": None}, {"molecule_structures": None}]}
 
 
