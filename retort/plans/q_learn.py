@@ -33,6 +33,17 @@ def multilabel_scores(spark, sf):
     return ML.score_multilabel(feats, ML.train_multilabel(feats, LABELS), "doc_id")
 
 
+def losses(s):
+    """Rows, positives, mean loss and accuracy of each split and label of scores; ``learned``: on the rows
+    trained on, the loss is not above that of guessing the base rate (null for held-out splits)."""
+    g = s.groupBy("split", "label").agg(F.count(F.lit(1)).alias("n"), F.sum("y").cast("bigint").alias("positives"),
+                                        F.avg(bce_with_logits(F.col("z"), F.col("y"))).alias("bce"),
+                                        F.avg((F.col("prediction") == F.col("y").cast("int")).cast("double")).alias("accuracy"))
+    p = F.col("positives") / F.col("n")
+    entropy = F.when((p > 0) & (p < 1), -p * F.log(p) - (1 - p) * F.log(1 - p)).otherwise(0.0)
+    return g.withColumn("learned", F.when(F.col("split") == "train", F.col("bce") <= entropy))
+
+
 @register("multilabel_scores")
 def q_multilabel_scores(spark, sf):
     return multilabel_scores(spark, sf)
@@ -48,11 +59,13 @@ s AS (SELECT {SPLIT_SQL} AS split, quality, toxic FROM j),
 c AS (SELECT split, 'quality' AS label, quality AS y FROM s UNION ALL SELECT split, 'toxic', toxic FROM s)
 SELECT split, label, count(*) AS n, CAST(sum(y) AS BIGINT) AS positives, true AS learned FROM c GROUP BY split, label""")
 def q_multilabel_loss(spark, sf):
-    """Rows and positives of each split and label; ``learned``: on the rows trained on, the loss is below
-    that of guessing the base rate (held-out splits state true: their loss is not a fixed fact)."""
-    s = multilabel_scores(spark, sf)
-    g = s.groupBy("split", "label").agg(F.count(F.lit(1)).alias("n"), F.sum("y").cast("bigint").alias("positives"),
-                                        F.avg(bce_with_logits(F.col("z"), F.col("y"))).alias("bce"))
-    p = F.col("positives") / F.col("n")
-    entropy = F.when((p > 0) & (p < 1), -p * F.log(p) - (1 - p) * F.log(1 - p)).otherwise(0.0)
-    return g.select("split", "label", "n", "positives", ((F.col("split") != "train") | (F.col("bce") <= entropy)).alias("learned"))
+    """Rows and positives of each split and label, and ``learned`` as SQL can state it: held-out splits
+    state true untested, since their loss is not a fixed fact; ``multilabel_losses`` has the losses."""
+    return losses(multilabel_scores(spark, sf)).select("split", "label", "n", "positives", F.coalesce("learned", F.lit(True)).alias("learned"))
+
+
+@register("multilabel_losses")
+def q_multilabel_losses(spark, sf):
+    """Loss and accuracy of each split and label, held-out ones too (no SQL: fitting is iterative)."""
+    return losses(multilabel_scores(spark, sf)).select(
+        "split", "label", "n", "positives", F.round("bce", 6).alias("bce"), F.round("accuracy", 6).alias("accuracy"), "learned")

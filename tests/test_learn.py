@@ -26,3 +26,15 @@ def test_multilabel_scores_shape_and_fit(spark, sf_dir):
         acc = t.where(F.col("prediction") == F.col("y").cast("int")).count() / t.count()
         pos = t.where(F.col("y") == 1).count() / t.count()
         assert acc >= max(pos, 1 - pos)
+
+
+def test_losses_of_every_split(spark, sf_dir):
+    scores = q_learn.multilabel_scores(spark, sf_dir).collect()
+    rows = q_learn.q_multilabel_losses(spark, sf_dir).collect()
+    assert {(r.split, r.label) for r in rows} == {(r.split, r.label) for r in scores}
+    for r in rows:
+        mine = [x for x in scores if (x.split, x.label) == (r.split, r.label)]
+        bce = sum(max(x.z, 0) - x.z * x.y + math.log1p(math.exp(-abs(x.z))) for x in mine) / len(mine)
+        assert r.n == len(mine) and abs(r.bce - bce) < 1e-3
+        assert abs(r.accuracy - sum(x.prediction == x.y for x in mine) / len(mine)) < 1e-3
+        assert r.learned is (True if r.split == "train" else None)
