@@ -16,12 +16,18 @@ them the same way.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from retort.session import scratch_path, spread
 
 SHINGLE_WORDS = 5
+#: Greatest probability that ``similar_lsh`` misses a pair at its threshold, and the bands it may take for
+#: bands of more than one row.
+MISS_RATE = 3e-6
+MOST_BANDS = 48
 _BLANKS = "[ \\t\\n\\r]+"
 
 
@@ -159,11 +165,27 @@ def similar(corpus: DataFrame, refs: DataFrame | None = None, threshold: int = 9
     return _expanded(members, pairs, sets, refs is not None, n)
 
 
+def banding(threshold: int, rows: int | None = None) -> tuple[int, int]:
+    """(bands, rows) that miss a pair of Jaccard threshold/100 with probability ``MISS_RATE`` at most (more
+    similar pairs less): four rows a band, or fewer where that would take more than ``MOST_BANDS`` bands."""
+    if not 0 < threshold <= 100:
+        raise ValueError("min-hash needs a threshold from 1 to 100; similar takes any")
+    for r in (4, 3, 2, 1) if rows is None else (rows,):
+        differ = 1 - (threshold / 100) ** r
+        bands = math.ceil(math.log(MISS_RATE) / math.log(differ)) if differ > 0 else 1
+        if bands <= MOST_BANDS:
+            break
+    return bands, r
+
+
 def similar_lsh(corpus: DataFrame, threshold: int = 90, key: str = "doc_id", text: str = "text",
-                k: int = SHINGLE_WORDS, bands: int = 12, rows: int = 4) -> DataFrame:
+                k: int = SHINGLE_WORDS, bands: int | None = None, rows: int | None = None) -> DataFrame:
     """C7 by banded min-hash, every candidate verified exactly: pairs like
     ``similar``'s. A pair of Jaccard j is missed with probability
-    (1 - j^rows)^bands, 3e-6 at 0.9 with the defaults."""
+    (1 - j^rows)^bands; by default both follow from the threshold, so that
+    no pair it asks for is missed with more than ``MISS_RATE`` (12 bands of
+    4 rows at 90). ``similar`` misses none."""
+    derived, rows = banding(int(threshold), rows)
     members, sets = _sets(corpus, None, key, text, k)
-    pairs = _verified(_band_candidates(sets, bands, rows), sets, int(threshold))
+    pairs = _verified(_band_candidates(sets, bands or derived, rows), sets, int(threshold))
     return _expanded(members, pairs, sets, False, None)

@@ -162,3 +162,19 @@ def test_scratch_is_the_applications_own(spark):
     from retort.session import scratch_path, scratch_root
     a, b = scratch_path(spark, "x"), scratch_path(spark, "x")
     assert a != b and a.startswith(scratch_root(spark)) and spark.sparkContext.applicationId in a
+
+
+def test_lsh_finds_the_pairs_of_any_threshold(spark):
+    from retort.operators import similarity as SIM
+    assert SIM.banding(90) == (12, 4) and SIM.banding(100) == (1, 4)
+    for t in range(1, 100):
+        bands, rows = SIM.banding(t)
+        assert (1 - (t / 100) ** rows) ** bands <= SIM.MISS_RATE
+    with pytest.raises(ValueError):
+        SIM.banding(0)
+    # pairs of 40 and 40 words with 30 in common: Jaccard 0.6 of single words
+    texts = [(2 * i + s, " ".join([f"a{i}x{j}" for j in range(30)] + [f"b{i}x{s}x{j}" for j in range(10)])) for i in range(60) for s in (0, 1)]
+    df = spark.createDataFrame(texts, "doc_id long, text string")
+    pairs = lambda d: sorted((r.ref_id, r.doc_id, r.jaccard) for r in d.collect())
+    assert pairs(SIM.similar_lsh(df, threshold=50, k=1)) == pairs(SIM.similar(df, threshold=50, k=1)) == [(2 * i, 2 * i + 1, 0.6) for i in range(60)]
+    assert len(pairs(SIM.similar_lsh(df, threshold=50, k=1, bands=12, rows=4))) < 60
