@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from retort.llm import decontaminate, fingerprint, packing, pii, secrets, simhash, substring, tokens, toxicity, warc
+from retort.llm import decontaminate, fingerprint, oracle, packing, periodic, pii, quality, ranking, secrets, simhash, substring, tokens, toxicity, warc
 from retort.session import scratch_path
 
 TOKENIZER = "word_bpe_49k.json"
@@ -66,8 +66,23 @@ def op10_super_kmers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring.digest(substring.remove_repeats(documents(spark, sf_dir), window=50))
 
 
+def op11_lexical_ranking(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ranking.rank(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"), k=50)
+
+
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return periodic.digest(periodic.periodic_runs(documents(spark, sf_dir), plant=True))
+
+
+def op13_quality_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.digest(quality.judge(quality.ledger(documents(spark, sf_dir))))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_simhash_dedup, op2_warc_chain, op3_mixture_packing, op4_quartile_digest, op5_toxicity, op6_benchmark_leaks, op7_secret_scan,
-                            op8_token_counts, op9_pii_anchors, op10_super_kmers)
+                            op8_token_counts, op9_pii_anchors, op10_super_kmers, op11_lexical_ranking, op12_periodic_runs, op13_quality_ledger)
+}
+ORACLE: dict[str, str] = {
+    "op11_lexical_ranking": oracle.RANKING,
+    "op13_quality_ledger": oracle.quality(quality.RULES, quality.PROSE.name, quality.PROSE.mask, quality.PROSE.rules, quality.BITS),
 }
-ORACLE: dict[str, str] = {}
