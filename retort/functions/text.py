@@ -19,6 +19,11 @@ def _c(col) -> Column:
     return F.col(col) if isinstance(col, str) else col
 
 
+def bind(value: Column, fn) -> Column:
+    """``fn`` of a value that the row works out once, however often ``fn`` names it, also inside lambdas."""
+    return F.element_at(F.transform(F.array(value), fn), 1)
+
+
 def ptrim(col) -> Column:
     """Trim like Python ``str.strip()`` (all Unicode whitespace)."""
     return F.regexp_replace(_c(col), _WS_EDGES, "")

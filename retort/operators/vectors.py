@@ -3,7 +3,8 @@ recombination, linear scoring, pooling, graph convolution, BCE loss
 (E8, E9, E11, D8-D11, I1).
 
 Per-token quantities (softmax, top-k) live in one row per token as arrays,
-so they are computed in place without a shuffle. Quantities that combine
+so they are computed in place without a shuffle. What a lambda names is bound
+first: a lambda works out an outer expression anew for each element. Quantities that combine
 rows (pooling, load, propagation, loss) are group-bys with partial
 aggregation. A weight table is reduced to one array by a scalar subquery
 (a model's matrix: parameters, not data).
@@ -15,6 +16,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from retort import constants as K
+from retort.functions.text import bind
 
 
 def _c(col) -> Column:
@@ -23,11 +25,13 @@ def _c(col) -> Column:
 
 def softmax_array(logits) -> Column:
     """E8 on one token's logits: exp(x - max) / sum(exp(x - max))."""
-    x = F.transform(_c(logits), lambda v: v.cast("double"))
-    m = F.array_max(x)
-    e = F.transform(x, lambda v: F.exp(v - m))
-    s = F.aggregate(e, F.lit(0.0), lambda acc, v: acc + v)
-    return F.transform(e, lambda v: v / s)
+    def exps(x: Column) -> Column:
+        return bind(F.array_max(x), lambda m: F.transform(x, lambda v: F.exp(v - m)))
+
+    def shares(e: Column) -> Column:
+        return bind(F.aggregate(e, F.lit(0.0), lambda acc, v: acc + v), lambda s: F.transform(e, lambda v: v / s))
+
+    return bind(bind(F.transform(_c(logits), lambda v: v.cast("double")), exps), shares)
 
 
 def softmax(df: DataFrame, group: str, logit: str, out: str = "prob") -> DataFrame:
@@ -41,12 +45,14 @@ def softmax(df: DataFrame, group: str, logit: str, out: str = "prob") -> DataFra
 def top_k_gate(probs, k: int = K.TOP_K, eps: float = K.GATE_EPS) -> Column:
     """The k largest probabilities (ties: lower expert id) with weights
     p / (sum of the kept p + eps); array of (expert_id, prob, weight)."""
-    p = _c(probs)
-    items = F.transform(p, lambda v, i: F.struct((-v).alias("neg"), i.alias("expert_id"), v.alias("prob")))
-    kept = F.slice(F.array_sort(items), 1, k)
-    total = F.aggregate(kept, F.lit(0.0), lambda acc, s: acc + s["prob"])
-    return F.transform(kept, lambda s: F.struct(s["expert_id"].alias("expert_id"), s["prob"].alias("prob"),
-                                                (s["prob"] / (total + F.lit(eps))).alias("weight")))
+    items = F.transform(_c(probs), lambda v, i: F.struct((-v).alias("neg"), i.alias("expert_id"), v.alias("prob")))
+
+    def weighted(kept: Column) -> Column:
+        total = F.aggregate(kept, F.lit(0.0), lambda acc, s: acc + s["prob"]) + F.lit(eps)
+        return bind(total, lambda t: F.transform(kept, lambda s: F.struct(
+            s["expert_id"].alias("expert_id"), s["prob"].alias("prob"), (s["prob"] / t).alias("weight"))))
+
+    return bind(F.slice(F.array_sort(items), 1, k), weighted)
 
 
 def routing_load(routes: DataFrame, n_experts: int = K.NUM_EXPERTS, coeff: float = K.LOAD_BALANCE_COEFF,
@@ -56,8 +62,8 @@ def routing_load(routes: DataFrame, n_experts: int = K.NUM_EXPERTS, coeff: float
     ``routes`` has one row per token with ``probs`` (array) and ``gates``
     (top-k array). Returns (expert_id, f_i, p_i, term = coeff * E * f_i * p_i).
     """
-    sel = F.transform(F.sequence(F.lit(0), F.lit(n_experts - 1)),
-                      lambda e: F.size(F.filter(_c(gates), lambda g: g["expert_id"] == e)).cast("double"))
+    sel = bind(_c(gates), lambda gs: F.transform(F.sequence(F.lit(0), F.lit(n_experts - 1)),
+                                                 lambda e: F.size(F.filter(gs, lambda g: g["expert_id"] == e)).cast("double")))
     per = routes.select(F.posexplode(F.arrays_zip(sel.alias("s"), _c(probs).alias("p"))).alias("expert_id", "z"))
     agg = per.groupBy("expert_id").agg(F.avg("z.s").alias("f_i"), F.avg("z.p").alias("p_i"))
     return agg.withColumn("term", F.lit(coeff * n_experts) * F.col("f_i") * F.col("p_i"))
@@ -91,8 +97,8 @@ def with_weights(df: DataFrame, W: DataFrame, name: str = "weights") -> DataFram
 def linear(x, rows) -> Column:
     """Scores x . w_k + b_k for each weight row, as an array in order of ``k``. ``rows`` is an array of
     structs (k, w, b), as ``with_weights`` adds it."""
-    xv = F.transform(_c(x), lambda v: v.cast("double"))
-    return F.transform(_c(rows), lambda r: F.aggregate(F.zip_with(xv, r["w"], lambda a, b: a * b), F.lit(0.0), lambda acc, v: acc + v) + r["b"])
+    return bind(F.transform(_c(x), lambda v: v.cast("double")), lambda xv: F.transform(
+        _c(rows), lambda r: F.aggregate(F.zip_with(xv, r["w"], lambda a, b: a * b), F.lit(0.0), lambda acc, v: acc + v) + r["b"]))
 
 
 def mean_pool(nodes: DataFrame, graph: str, vec: str) -> DataFrame:
