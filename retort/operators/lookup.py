@@ -92,7 +92,18 @@ def assign_batches(df: DataFrame, key: str, size: int = K.BATCH_SIZE, seed: int
     return out.drop("_h") if seed is not None else out
 
 
-def with_labels(df: DataFrame, labels: DataFrame, key: str = "row_id") -> DataFrame:
+def latest(df: DataFrame, key: str, order=(), columns=None) -> DataFrame:
+    """One row a key: the greatest in ``order`` (the last landed, say), ties by the other ``columns``, so the
+    choice never depends on partitioning. One aggregate, partial in each task; nulls come first in order."""
+    order = [order] if isinstance(order, str) else list(order)
+    rest = [c for c in (columns or df.columns) if c != key and c not in order]
+    if not order + rest:
+        return df.select(key).distinct()
+    best = df.groupBy(key).agg(F.max(F.struct(*order, *rest)).alias("_best"))
+    return best.select(key, *[F.col("_best")[c].alias(c) for c in order + rest if c in (columns or df.columns)])
+
+
+def with_labels(df: DataFrame, labels: DataFrame, key: str = "row_id", order=()) -> DataFrame:
     """Pair rows with their label vectors on a stable row key (never
-    on position)."""
-    return df.join(labels, key, "left")
+    on position). A key labelled more than once takes its ``latest`` labels."""
+    return df.join(latest(labels, key, order), key, "left")

@@ -3,7 +3,7 @@ C5, B5, G11).
 
 The keyword dictionary is small and fixed, so category lookups compile to
 one CASE expression per row (no join, no shuffle). A dictionary given as a
-table is joined on exact substrings (an equi-join Spark can hash-partition).
+table is joined on one anchor gram a keyword and verified in place.
 """
 
 from __future__ import annotations
@@ -13,8 +13,10 @@ from pyspark.sql import functions as F
 
 from retort import constants as K
 from retort.functions.smiles import token_kind, tokenize, valid_smiles
-from retort.functions.text import parse_answer, ptrim, slug
+from retort.functions.text import bind, parse_answer, ptrim, slug
 from retort.operators.clean import dedupe_first
+from retort.operators.lookup import latest
+from retort.session import scratch_path, spread
 
 
 def _c(col) -> Column:
@@ -47,32 +49,60 @@ def name_categories(col, mapping=K.APPLICATION_MAPPING) -> Column:
         F.filter(hits, lambda x: x.isNotNull()))
 
 
+#: Letters of the grams that keywords are filed under; shorter keywords are filed under themselves.
+ANCHOR = 3
+
+
+def _grams(text: Column, n: int) -> Column:
+    """Different n-letter grams of a text, linear in its length (none where it is shorter)."""
+    views = lambda c: [F.slice(c, j + 1, F.greatest(F.size(c) - (n - 1), F.lit(0))).alias(str(j)) for j in range(n)]
+    return bind(F.split(text, ""), lambda c: F.array_distinct(F.transform(
+        F.arrays_zip(*views(c)), lambda z: F.concat(*[z[str(j)] for j in range(n)]))))
+
+
+def keyword_index(dim: DataFrame) -> DataFrame:
+    """Each different keyword once, filed under an anchor: of its 3-letter grams the one that the fewest keywords
+    have (ties by text), or itself where it is shorter. (anchor, keyword, entries), where ``entries`` are the
+    (cat_rank, category) it stands for. A gram all keywords have is nobody's anchor but for want of others."""
+    words = (dim.where(F.length("keyword") > 0).groupBy(F.lower("keyword").alias("keyword"))
+             .agg(F.collect_set(F.struct("cat_rank", "category")).alias("entries")))  # one keyword's categories
+    own = F.when(F.length("keyword") < ANCHOR, F.array("keyword")).otherwise(_grams(F.col("keyword"), ANCHOR))
+    grams = words.select("keyword", F.explode(own).alias("anchor"))
+    counts = grams.groupBy("anchor").agg(F.count(F.lit(1)).alias("n"))
+    filed = grams.join(counts, "anchor").groupBy("keyword").agg(F.min(F.struct("n", "anchor"))["anchor"].alias("anchor"))
+    return words.join(filed, "keyword").select("anchor", "keyword", "entries")
+
+
 def categories_by_join(df: DataFrame, key: str, col: str, dim: DataFrame) -> DataFrame:
     """C2/C3 against a keyword table ``(cat_rank, category, keyword)`` of any
-    size: every substring of the lower-cased hint with a length some keyword
-    has is equi-joined to the lower-cased keywords.
+    size. Each keyword is filed under one anchor gram (``keyword_index``); the
+    grams of a hint, one for each letter, meet the anchors in one join, and
+    the candidates are verified in the hint itself. A hint that many rows
+    have is searched once.
 
     Returns ``(key, first_category, categories)``; rows without a hit get
-    'unknown' and an empty list. Meant for short hints (names, terms): the
-    substrings of a hint number its length times the keyword lengths.
+    'unknown' and an empty list. Of repeated keys each row gets the categories
+    of all the key's hints. The index is written once in the checkpoint folder, so the planner
+    knows its size: a small one is broadcast and no gram is shuffled, a large one is joined by gram.
     """
-    words = dim.where(F.length("keyword") > 0).select(F.lower("keyword").alias("keyword"), "cat_rank", "category").distinct()
-    lens = sorted(r[0] for r in words.select(F.length("keyword")).distinct().collect())  # one number a length
+    spark = df.sparkSession
+    path = scratch_path(spark, "keyword-index")
+    keyword_index(dim).write.parquet(path)
+    index = spark.read.parquet(path)
     low = F.lower(F.col(col))
-
-    def cut(n: int) -> Column:
-        starts = F.sequence(F.lit(1), F.length(low) - n + 1)
-        return F.when(F.length(low) >= n, F.transform(starts, lambda i: F.substring(low, i, n))).otherwise(F.array().cast("array<string>"))
-
-    subs = F.flatten(F.array(*[cut(n) for n in lens])) if lens else F.array().cast("array<string>")
-    grams = df.select(key, F.explode(F.array_distinct(subs)).alias("keyword"))
-    hits = grams.join(words, "keyword")
-    per_key = hits.groupBy(key).agg(
-        F.min(F.struct("cat_rank", "category"))["category"].alias("first_category"),
-        F.array_sort(F.collect_set(F.struct("cat_rank", "category")))["category"].alias("categories"))
-    return (df.select(key).join(per_key, key, "left")
-            .select(key, F.coalesce("first_category", F.lit("unknown")).alias("first_category"),
-                    F.coalesce("categories", F.array().cast("array<string>")).alias("categories")))
+    hints = df.where(F.length(col) > 0).select(low.alias("hint")).distinct()
+    text = F.col("hint")
+    sizes = [r[0] for r in index.select(F.length("anchor")).distinct().collect()]  # ANCHOR numbers at most
+    grams = F.concat(F.array().cast("array<string>"), *[_grams(text, n) for n in sorted(sizes)])
+    met = spread(hints).select("hint", F.explode_outer(grams).alias("anchor")).join(index, "anchor")
+    hits = met.where(F.contains(text, F.col("keyword"))).select("hint", F.explode("entries").alias("e"))
+    found = hits.groupBy("hint").agg(F.collect_set("e").alias("entries"))  # at most the categories there are
+    rows = df.select(key, low.alias("hint")).join(found, "hint").select(key, "entries")
+    per_key = rows.groupBy(key).agg(F.array_sort(F.array_distinct(F.flatten(F.collect_set("entries")))).alias("entries"))
+    none = F.array().cast("array<string>")
+    return df.select(key).join(per_key, key, "left").select(
+        key, F.coalesce(F.try_element_at("entries", F.lit(1))["category"], F.lit("unknown")).alias("first_category"),
+        F.coalesce(F.col("entries")["category"], none).alias("categories"))
 
 
 def heavy_atoms(smiles) -> Column:
@@ -82,11 +112,6 @@ def heavy_atoms(smiles) -> Column:
     return F.size(heavy)
 
 
-def _bind(value: Column, fn) -> Column:
-    """``fn`` of a value that the row works out once, however often ``fn`` names it."""
-    return F.element_at(F.transform(F.array(value), fn), 1)
-
-
 def structure_class(smiles) -> Column:
     """The structure tag of the rule fallback (NULL when none applies)."""
     s = _c(smiles)
@@ -102,7 +127,7 @@ def structure_class(smiles) -> Column:
                 .when(small, F.lit(K.STRUCTURE_SMALL))
                 .otherwise(F.lit(K.STRUCTURE_GENERIC)))
 
-    return _bind(F.struct(valid_smiles(s).alias("ok"), heavy_atoms(s).alias("n")), tag)
+    return bind(F.struct(valid_smiles(s).alias("ok"), heavy_atoms(s).alias("n")), tag)
 
 
 def rule_tags(smiles, name=None, hint=None, error_context=None, mapping=K.APPLICATION_MAPPING) -> Column:
@@ -124,8 +149,8 @@ def rule_tags(smiles, name=None, hint=None, error_context=None, mapping=K.APPLIC
         parts.append(name_categories(_c(name), mapping))
     present = lambda arr: F.filter(arr, lambda x: x.isNotNull())
     base = present(F.concat(*parts)) if parts else F.array().cast("array<string>")
-    with_struct = _bind(base, lambda b: F.when(F.size(b) <= 1, F.concat(b, present(F.array(structure_class(smiles))))).otherwise(b))
-    return _bind(F.array_sort(F.array_distinct(with_struct)),
+    with_struct = bind(base, lambda b: F.when(F.size(b) <= 1, F.concat(b, present(F.array(structure_class(smiles))))).otherwise(b))
+    return bind(F.array_sort(F.array_distinct(with_struct)),
                  lambda out: F.when(F.size(out) > 0, out).otherwise(F.array(F.lit(K.FALLBACK_EMPTY))))
 
 
@@ -170,11 +195,14 @@ def answer_status(raw_text, landed_status=None) -> Column:
 
 
 def annotate(df: DataFrame, answers: DataFrame, key: str = "row_id", answer_key: str = "key", landed_status: str | None = None,
-             variant: str = "chembl", hint: str = K.CHEMBL_HINT) -> DataFrame:
+             variant: str = "chembl", hint: str = K.CHEMBL_HINT, order=()) -> DataFrame:
     """Enrich each compound with its landed answer (``raw_text`` and, where
     given, the status it landed with); without one, the rule fallback (G11)
-    stands in for the model; then the source's gate. One answer row per key."""
-    joined = df.join(answers.withColumnRenamed(answer_key, key), key, "left")
+    stands in for the model; then the source's gate. A key answered more than
+    once takes the last landed answer, by the columns of ``order``; without
+    those, or on a tie, the greatest text, so that rows never multiply."""
+    columns = ["raw_text"] + ([landed_status] if landed_status else [])
+    joined = df.join(latest(answers.withColumnRenamed(answer_key, key), key, order, columns), key, "left")
     status = answer_status("raw_text", landed_status)
     answer = F.when(status == "missing", rule_tags("smiles", name="name", hint=F.lit(hint))).otherwise(parse_answer("raw_text"))
     joined = joined.select(*df.columns, status.alias("status"), answer.alias("_answer"))
