@@ -25,6 +25,7 @@ from retort.plans.q_patents import SDF_PROPS, _piece, sdf_props
 from retort.session import read_table, scratch_path
 from retort.sources import collect as SC
 from retort.sources import files as SF
+from retort.sources.csv_ranges import read_csv
 from retort.streaming.collect import collect_stream
 
 BROKEN_SIZE = 46   # records landed without their end marker
@@ -43,6 +44,18 @@ def q_csv_roundtrip(spark, sf):
     return df.select("smiles", F.array_join("applications", "|").alias("tags"), "parse_ok")
 
 
+@register("csv_line_breaks", """
+SELECT doc_id, md5(text) AS text_md5, source, len(string_split(text, chr(10))) AS n_lines FROM documents""")
+def q_csv_line_breaks(spark, sf):
+    """Texts of many lines as quoted values of one CSV file, read back in byte ranges."""
+    path = os.path.join(scratch_path(spark, "csv"), "texts")
+    docs = read_table(spark, sf, "documents").select("doc_id", "text", "source")
+    docs.coalesce(1).write.option("header", True).option("escape", '"').csv(path)
+    df = read_csv(spark, path)
+    return df.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.md5(F.col("text").cast("binary")).alias("text_md5"), "source",
+                     F.size(F.split("text", "\n")).cast("bigint").alias("n_lines"))
+
+
 def _sdf_text(spark, sf):
     props = sdf_props(spark, sf)
     comp = A.compounds(spark, sf).select(F.col("row_id").alias("mol_idx"), F.col("smiles").alias("SMILES"))

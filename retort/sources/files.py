@@ -2,8 +2,8 @@
 answers (A1-A5, A8, A10).
 
 JSON, SDF and answer readers declare their schema up front; CSV takes column
-names from each path's header. All but CSV, whose records may span lines, read
-with Spark's splittable file sources; nothing is parsed on the driver.
+names from each path's header. All read in splittable ranges, CSV records that
+span lines too; nothing is parsed on the driver.
 """
 
 from __future__ import annotations
@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from retort.functions.text import list_literal, parse_list, ptrim
+from retort.sources.csv_ranges import read_csv
 
 log = logging.getLogger("retort.sources")
 
@@ -45,21 +46,25 @@ def write_compounds(df: DataFrame, path: str, fmt: str = "parquet") -> bool:
 
 
 # ------------------------------------------------------------------ A1
-def read_compound_csvs(spark: SparkSession, paths, multi_line: bool = True) -> DataFrame:
+def read_compound_csvs(spark: SparkSession, paths, multi_line: bool = True, ranges: bool = True) -> DataFrame:
     """A1: read each CSV alone; a path that cannot be read or lacks
     ``smiles``/``applications`` is skipped with a warning; the rest are
     concatenated (required columns only). Nothing valid -> typed empty
     frame. ``applications`` is parsed from its list literal; rows whose
     literal does not parse get ``applications`` NULL and ``parse_ok``
     false (quarantine) instead of failing the job. Quoted line breaks in any
-    column are read, at the price of one task a file; ``multi_line`` false
-    splits files, and is right only where no value holds a line break (the
-    sink escapes those of list columns, and keeps those of strings)."""
+    column are read, in many tasks a file (``csv_ranges``). ``ranges`` false
+    leaves that to Spark's reader, one task a file; ``multi_line`` false
+    too splits files at any line break, which is right only where no value
+    holds one (the sink escapes those of list columns, and keeps those of
+    strings)."""
     frames = []
     for p in ([paths] if isinstance(paths, str) else list(paths)):
         try:
-            df = (spark.read.option("header", True).option("multiLine", multi_line).option("escape", '"')
-                  .csv(p))
+            if ranges and multi_line:
+                df = read_csv(spark, p)
+            else:
+                df = spark.read.option("header", True).option("multiLine", multi_line).option("escape", '"').csv(p)
             cols = df.columns
         except Exception as e:
             log.warning("could not process file %s: %s", p, e)
