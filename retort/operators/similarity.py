@@ -128,7 +128,8 @@ def _band(i: int, rows: int) -> Column:
 
 
 def _expanded(members: DataFrame, pairs: DataFrame, sets: DataFrame, refs: bool, n: int | None) -> DataFrame:
-    """Pairs of sets (and each set with itself) as pairs of documents."""
+    """Pairs of sets (and each set with itself) as pairs of documents. With ``n`` and no references, each
+    document's n best of those with larger ids."""
     pairs = pairs.unionByName(sets.where("is_ref and is_doc").select(F.col("set").alias("a"), F.col("set").alias("b"), F.lit(1.0).alias("jaccard")))
     left = members.where(F.col("side") == ("r" if refs else "d")).select(F.col("id").alias("ref_id"), F.col("set").alias("a"))
     right = members.where(F.col("side") == "d").select(F.col("id").alias("doc_id"), F.col("set").alias("b"))
@@ -151,15 +152,91 @@ def similar_sets(corpus: DataFrame, threshold: int = 90, key: str = "doc_id", te
     return members.select("id", "set"), pairs
 
 
+#: Thresholds that ``nearest`` tries first: references that have their n documents at one leave the search.
+STEPS = (90, 50, 20)
+
+
+def _bounded_candidates(refs: DataFrame, docs: DataFrame, pct: int) -> DataFrame:
+    """Pairs (a, b) of ranked sets (set, size, g, rn) that can reach ``pct``: they share a shingle of their prefixes,
+    their sizes allow it, and so do the shingles left after the first they share (position filter: of a and b at
+    places i and j at most 1 + min(|a| - i, |b| - j) are common)."""
+    cut = lambda df, s, p: df.where(F.col("rn") <= _prefix_len(F.col("size"), pct)).select(
+        F.col("set").alias(p), F.col("size").alias(f"s{p}"), F.col("rn").alias(f"i{p}"), "g")
+    near = (F.col("sb") * 100 >= F.col("sa") * pct) & (F.col("sa") * 100 >= F.col("sb") * pct)
+    most = F.least(F.col("sa") - F.col("ia"), F.col("sb") - F.col("ib")) + 1
+    room = most * (100 + pct) >= (F.col("sa") + F.col("sb")) * pct
+    met = cut(refs, "sa", "a").join(cut(docs, "sb", "b"), "g").where(near & room & (F.col("a") != F.col("b")))
+    return met.select("a", "b").distinct()
+
+
+def nearest(corpus: DataFrame, refs: DataFrame, n: int, threshold: int = 90, key: str = "doc_id", text: str = "text",
+            k: int = SHINGLE_WORDS, steps=STEPS) -> DataFrame:
+    """C7 with a maximum: the ``n`` documents most similar to each reference, (ref_id, doc_id, jaccard), from
+    ``threshold`` per cent up, ties by doc_id.
+
+    The bound rises where results fill: the search begins at the highest of ``steps``, whose prefixes are the
+    shortest, and only references that lack documents at one threshold go on to the next. Sets are
+    ranked, not documents: of the n best documents each is among its set's first n, and its set among the
+    first n sets by similarity and least id, so copies beyond those are never paired. What comes out, and
+    what is written on the way, grows with the references times n at most, and with the corpus."""
+    spark = corpus.sparkSession
+    members, sets = _sets(corpus, refs, key, text, k)
+    scratch = lambda df, name: spark.read.parquet(_written(df, name))
+    by_id = Window.partitionBy("set").orderBy("id")
+    docs = members.where("side = 'd'")
+    first = scratch(docs.withColumn("rn", F.row_number().over(by_id)).where(F.col("rn") <= n).select(F.col("set").alias("b"), F.col("id").alias("doc_id")), "first-members")
+    sizes = scratch(docs.groupBy(F.col("set").alias("b")).agg(F.count(F.lit(1)).alias("n"), F.min("id").alias("least")), "set-sizes")
+
+    long = sets.select("set", "size", "is_ref", "is_doc", F.explode_outer("h").alias("g"))
+    # only shingles of a reference can be shared with one; the order is by the corpus and the references alike
+    counts = long.groupBy("g").agg(F.count(F.lit(1)).alias("df"), F.bool_or("is_ref").alias("asked")).where((F.col("df") > 1) | F.col("asked"))
+    ranked = long.join(counts, "g", "left").withColumn("df", F.coalesce("df", F.lit(1)))
+    ranked = ranked.withColumn("rn", F.row_number().over(Window.partitionBy("set").orderBy("df", "g"))).where(F.coalesce("asked", F.lit(False)))
+    ranked = scratch(ranked.select("set", "size", "is_ref", "is_doc", "g", "rn"), "ranked-shingles")
+
+    ref_sets = sets.where("is_ref").select(F.col("set").alias("a"), "is_doc")
+    same = ref_sets.where("is_doc").select("a", F.col("a").alias("b"), F.lit(1.0).alias("jaccard"))
+    asked, found = ref_sets.select("a"), None
+    order = Window.partitionBy("a").orderBy(F.desc("jaccard"), "least")
+    so_far = Window.partitionBy("a").orderBy(F.desc("jaccard")).rangeBetween(Window.unboundedPreceding, Window.currentRow)
+    levels = [s for s in sorted(steps, reverse=True) if s > threshold] + [int(threshold)]
+    for level in levels:
+        mine = ranked.where("is_ref").join(asked.withColumnRenamed("a", "set"), "set", "left_semi")
+        pairs = _verified(_bounded_candidates(mine, ranked.where("is_doc"), level), sets, level)
+        pairs = pairs.unionByName(same.join(asked, "a", "left_semi")).join(sizes, "b")
+        best = pairs.withColumn("have", F.sum("n").over(so_far)).withColumn("rn", F.row_number().over(order)).where(F.col("rn") <= n)
+        done = scratch(best.select("a", "b", "jaccard", "have"), f"nearest-{level}")
+        if level == levels[-1]:
+            found = done if found is None else found.unionByName(done)
+            break
+        full = done.groupBy("a").agg(F.max("have").alias("have")).where(F.col("have") >= n).select("a")
+        part = done.join(full, "a", "left_semi")
+        found = part if found is None else found.unionByName(part)
+        asked = scratch(asked.join(full, "a", "left_anti"), "asked")
+        if asked.isEmpty():
+            break
+    rows = found.join(first, "b").withColumn("rn", F.row_number().over(Window.partitionBy("a").orderBy(F.desc("jaccard"), "doc_id"))).where(F.col("rn") <= n)
+    asking = members.where("side = 'r'").select(F.col("id").alias("ref_id"), F.col("set").alias("a"))
+    return asking.join(rows, "a").select("ref_id", "doc_id", "jaccard")
+
+
+def _written(df: DataFrame, name: str) -> str:
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return path
+
+
 def similar(corpus: DataFrame, refs: DataFrame | None = None, threshold: int = 90, n: int | None = None,
             key: str = "doc_id", text: str = "text", k: int = SHINGLE_WORDS) -> DataFrame:
     """Pairs (ref_id, doc_id, jaccard) with Jaccard >= threshold/100.
 
     ``refs`` None means a self-join of ``corpus`` (pairs with ref_id <
     doc_id). ``n`` keeps each reference's n most similar documents (ties by
-    id); None keeps all. Copies are expanded in the last step only;
+    id, see ``nearest``); None keeps all. Copies are expanded in the last step only;
     ``similar_sets`` leaves them together.
     """
+    if refs is not None and n is not None:
+        return nearest(corpus, refs, n, threshold, key, text, k)
     members, sets = _sets(corpus, refs, key, text, k)
     pairs = _verified(_prefix_candidates(sets, int(threshold)), sets, int(threshold))
     return _expanded(members, pairs, sets, refs is not None, n)

@@ -43,6 +43,22 @@ def q_similar_lsh(spark, sf):
     return S.similar_lsh(d, threshold=THRESHOLD).select("ref_id", "doc_id", F.round("jaccard", 6).alias("jaccard"))
 
 
+@register("similar_sets", SHINGLES_SQL + f""",
+classes AS (SELECT doc_id, min(doc_id) OVER (PARTITION BY list_sort(sh)) AS set_id, len(sh) AS s FROM sets),
+links AS (SELECT a.doc_id AS a, b.doc_id AS b FROM classes a JOIN shared p ON p.ref_id = a.doc_id JOIN classes b ON b.doc_id = p.doc_id
+          WHERE a.set_id = a.doc_id AND b.set_id = b.doc_id AND p.i * 100 >= (p.sa + p.sb - p.i) * {THRESHOLD}),
+degree AS (SELECT id, count(*) AS n FROM (SELECT a AS id FROM links UNION ALL SELECT b FROM links) GROUP BY id)
+SELECT c.doc_id, c.set_id, coalesce(d.n, 0) AS n_links FROM classes c LEFT JOIN degree d ON d.id = c.set_id""")
+def q_similar_sets(spark, sf):
+    """A row a document: the set of shingles it has (named by the least document that has it) and the number of
+    other sets similar to that. Copies are never paired."""
+    members, pairs = S.similar_sets(read_table(spark, sf, "documents"), threshold=THRESHOLD)
+    names = members.groupBy("set").agg(F.min("id").alias("set_id"))
+    degree = pairs.select(F.explode(F.array("a", "b")).alias("set")).groupBy("set").agg(F.count(F.lit(1)).alias("n"))
+    return members.join(names, "set").join(degree, "set", "left").select(
+        F.col("id").alias("doc_id"), "set_id", F.coalesce("n", F.lit(0)).alias("n_links"))
+
+
 REF_THRESHOLD, REF_N = 5, 3
 
 
