@@ -153,7 +153,7 @@ def similar_sets(corpus: DataFrame, threshold: int = 90, key: str = "doc_id", te
 
 
 #: Thresholds that ``nearest`` tries first: references that have their n documents at one leave the search.
-STEPS = (90, 50, 20)
+STEPS = (60,)
 
 
 def _bounded_candidates(refs: DataFrame, docs: DataFrame, pct: int) -> DataFrame:

@@ -42,7 +42,7 @@ _G = "PARTITION BY mol_id, depth, branch ORDER BY pos ROWS BETWEEN UNBOUNDED PRE
 
 GRAPH = BASE.rstrip() + f""",
 mols AS ({O.smiles_view("(SELECT row_id AS mol_id, smiles FROM present)")}),
-tok AS (
+tok AS MATERIALIZED (
   SELECT mol_id, CAST(i - 1 AS INTEGER) AS pos, toks[i] AS tok, kinds[i] AS kind
   FROM (SELECT mol_id, toks, kinds, unnest(range(1, len(toks) + 1)) AS i FROM mols WHERE valid)),
 s1 AS (
@@ -71,8 +71,8 @@ u5 AS (
                     OVER (PARTITION BY mol_id, depth, branch ORDER BY pos ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING),
                   max(pos) OVER (PARTITION BY mol_id)) AS sub_end
   FROM u4),
-st AS (SELECT * FROM u5 WHERE NOT is_anchor),
-atoms0 AS (
+st AS MATERIALIZED (SELECT * FROM u5 WHERE NOT is_anchor),
+atoms0 AS MATERIALIZED (
   SELECT mol_id, atom_idx, pos, tok, sym, element, sym <> element AS aromatic, bracket,
          CAST(CASE WHEN NOT bracket OR length(cpart) = 0 THEN 0
                    WHEN length(digits) > 0 THEN sgn * CAST(digits AS INTEGER) ELSE sgn * length(cpart) END AS INTEGER) AS charge,
@@ -98,7 +98,7 @@ ring AS (
   SELECT mol_id, arg_min(prev, pos) AS src, arg_max(prev, pos) AS dst, arg_min(sym, pos) AS symbol,
          true AS ring_closure, NULL::INTEGER AS sub_start, NULL::INTEGER AS sub_end
   FROM labels GROUP BY mol_id, tok, pair),
-b0 AS (SELECT * FROM chain UNION ALL SELECT * FROM ring),
+b0 AS MATERIALIZED (SELECT * FROM chain UNION ALL SELECT * FROM ring),
 clos AS (
   SELECT r.mol_id, ps.pos AS ps, pd.pos AS pd FROM ring r
   JOIN atoms0 ps ON ps.mol_id = r.mol_id AND ps.atom_idx = r.src
@@ -114,7 +114,7 @@ b2 AS (
                    WHEN symbol = '#' THEN 'TRIPLE' WHEN symbol = ':' THEN 'AROMATIC' ELSE 'Unknown' END AS bond_type
   FROM b1 b JOIN atoms0 sa ON sa.mol_id = b.mol_id AND sa.atom_idx = b.src
             JOIN atoms0 da ON da.mol_id = b.mol_id AND da.atom_idx = b.dst),
-b3 AS (SELECT *, CASE bond_type WHEN 'AROMATIC' THEN 1.5 WHEN 'DOUBLE' THEN 2.0 WHEN 'TRIPLE' THEN 3.0 WHEN 'SINGLE' THEN 1.0
+b3 AS MATERIALIZED (SELECT *, CASE bond_type WHEN 'AROMATIC' THEN 1.5 WHEN 'DOUBLE' THEN 2.0 WHEN 'TRIPLE' THEN 3.0 WHEN 'SINGLE' THEN 1.0
                  ELSE (CASE WHEN symbol = '$' THEN 4.0 ELSE 1.0 END) END AS bond_order FROM b2),
 ends AS (SELECT mol_id, src AS atom_idx, bond_type, bond_order FROM b3
          UNION ALL SELECT mol_id, dst AS atom_idx, bond_type, bond_order FROM b3),
@@ -127,7 +127,7 @@ atoms1 AS (
   SELECT a.*, coalesce(p.degree, 0) AS degree, CAST(floor(coalesce(p.valence_sum, 0)) AS INTEGER) AS used,
          coalesce(p.n_triple, 0) AS n_triple, coalesce(p.n_double, 0) AS n_double, coalesce(p.n_arom, 0) AS n_arom
   FROM atoms0 a LEFT JOIN per_atom p USING (mol_id, atom_idx)),
-atoms AS (
+atoms AS MATERIALIZED (
   SELECT *, explicit_h + implicit_h AS total_h,
          CASE WHEN n_triple > 0 OR n_double >= 2 THEN 'SP' WHEN n_double > 0 OR n_arom > 0 OR aromatic THEN 'SP2'
               ELSE 'SP3' END AS hybridization,
