@@ -4,7 +4,10 @@ An item of m characters that occurs in a text with at most e edits shares at lea
 its q-grams with the text, on diagonals (place in the text less place in the item) that differ by e at
 most. Shared q-grams are counted in bands of 2(e + 1) diagonals that overlap by half, so any such region
 lies whole in one band. Bands that reach the bound are verified by an alignment within the band; others
-cannot hold the item. Letters are compared in lower case and any white space as one kind of blank.
+cannot hold the item. Neighbouring bands of an item are verified together. Letters are compared in lower case
+and any white space as one kind of blank. Of the grams, q is the item's own: the longest up to ``Q`` with which
+its full number of edits leaves a shared gram. A text's place counts once in a band, however often the item
+repeats the gram there, which keeps the work on rules and other repeated letters in line with the text.
 
 The items are the query set. They are taken in blocks of at most ``block_bytes``, each block broadcast as
 an index of that bounded size, so a benchmark of any size is searched whole, block by block.
@@ -26,8 +29,11 @@ Q = 8
 MAX_EDITS = 0.10
 BLOCK_BYTES = 4 << 20
 BITS = 20
-#: Letters searched at a time.
+#: Letters searched at a time, and postings that they meet.
 LETTERS = 1 << 20
+POSTINGS = 1 << 20
+#: Diagonals aligned at a time.
+LANES = 1 << 12
 BETWEEN = chr(0xFFFF)
 MULTIPLIER = np.uint64(0x100000001B3)
 
@@ -71,59 +77,117 @@ def gram_hashes(x: np.ndarray, q: int) -> np.ndarray:
 
 
 @dataclass
-class Index:
-    """q-gram postings of a block of items."""
-    ids: list
-    items: list[np.ndarray]
+class Grams:
+    """Postings of the grams of ``q`` letters of the items that are filtered by that length. A posting is a stretch of
+    an item's places with the gram, from ``low`` to ``high``, no two neighbours more than a half band apart: a run of
+    one letter is a single posting, not one for each of its places."""
     q: int
-    edits: np.ndarray
-    bound: np.ndarray
     grams: np.ndarray
     first: np.ndarray
     item: np.ndarray
-    place: np.ndarray
+    low: np.ndarray
+    high: np.ndarray
     seen: np.ndarray
+    reach: int
 
     @classmethod
-    def build(cls, rows: list[tuple], q: int = Q, max_edits: float = MAX_EDITS) -> Index:
-        rows = [(i, x) for i, t in rows if len(x := fold(t or "")) >= 1]
-        ids, items = [i for i, _ in rows], [x for _, x in rows]
-        m = np.array([len(x) for x in items], np.int64)
-        edits = np.maximum(0, np.minimum(np.floor(max_edits * m), (m - q) // q)).astype(np.int64)
-        hashes = [gram_hashes(x, q) for x in items]
-        h = np.concatenate([*hashes, np.empty(0, np.uint64)])
-        item = np.repeat(np.arange(len(items)), [len(x) for x in hashes])
-        place = np.concatenate([np.arange(len(x)) for x in hashes] + [np.empty(0, np.int64)]).astype(np.int64)
-        order = np.argsort(h, kind="stable")
-        grams, start = np.unique(h[order], return_index=True)
+    def build(cls, q: int, numbers: list[int], items: list[np.ndarray], edits: np.ndarray) -> Grams:
+        hashes = [gram_hashes(items[k], q) for k in numbers]
+        h = np.concatenate(hashes)
+        item = np.repeat(np.array(numbers, np.int64), [len(x) for x in hashes])
+        place = np.concatenate([np.arange(len(x)) for x in hashes])
+        order = np.lexsort((place, item, h))
+        h, item, place = h[order], item[order], place[order]
+        starts = np.r_[True, (h[1:] != h[:-1]) | (item[1:] != item[:-1]) | (np.diff(place) > edits[item[1:]] + 1)]
+        at = np.flatnonzero(starts)
+        last = np.r_[at[1:], len(h)] - 1
+        grams, first = np.unique(h[at], return_index=True)
         seen = np.zeros(1 << BITS, bool)
         seen[grams >> np.uint64(64 - BITS)] = True
-        return cls(ids, items, q, edits, np.maximum(1, m - q + 1 - q * edits), grams, np.r_[start, len(h)], item[order], place[order], seen)
+        return cls(q, grams, np.r_[first, len(at)], item[at].astype(np.int32), place[at].astype(np.int32), place[last].astype(np.int32), seen,
+                   max(len(items[k]) + int(edits[k]) for k in numbers) + q)
 
-    def candidates(self, x: np.ndarray) -> np.ndarray:
-        """(item, band) pairs of the letters ``x`` that reach the bound; a band starts at diagonal
-        band * (edits + 1). Of several texts in a row a band may count letters of two, never fewer of one."""
+    def matches(self, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Places of ``x`` that hold a known gram, and its number."""
         h = gram_hashes(x, self.q)
         at = np.flatnonzero(self.seen[h >> np.uint64(64 - BITS)])
         if not len(at) or not len(self.grams):
-            return np.empty((0, 2), np.int64)
+            return np.empty(0, np.int64), np.empty(0, np.int64)
         g = np.minimum(np.searchsorted(self.grams, h[at]), len(self.grams) - 1)
         true = self.grams[g] == h[at]
-        at, g = at[true], g[true]
-        n = self.first[g + 1] - self.first[g]
-        post = np.repeat(self.first[g] - np.cumsum(n) + n, n) + np.arange(n.sum())
-        item = self.item[post]
-        band = (np.repeat(at, n) - self.place[post]) // (self.edits[item] + 1)
-        low = band.min(initial=0) - 1
-        width = np.int64(band.max(initial=0) - low + 1)
-        key = np.concatenate([item * width + band - low, item * width + band - 1 - low])
-        # a coarse count drops most keys before the exact one
-        slot = key & ((1 << 20) - 1)
-        key = key[np.bincount(slot, minlength=1 << 20)[slot] >= self.bound[np.concatenate([item, item])]]
-        key, count = np.unique(key, return_counts=True)
-        item, band = key // width, key % width + low
-        enough = count >= self.bound[item]
-        return np.stack([item[enough], band[enough]], 1)
+        return at[true], g[true]
+
+
+@dataclass
+class Index:
+    """q-gram postings of a block of items. Items without an edit to spare are looked up as they are."""
+    ids: list
+    items: list[np.ndarray]
+    edits: np.ndarray
+    bound: np.ndarray
+    reach: np.ndarray
+    grams: list[Grams]
+
+    @classmethod
+    def build(cls, rows: list[tuple], q: int = Q, max_edits: float = MAX_EDITS) -> Index:
+        rows = [(i, x) for i, t in rows if len(x := fold(t or "")) >= 1]
+        ids, items = [i for i, _ in rows], [x for _, x in rows]
+        m = np.array([len(x) for x in items], np.int64)
+        edits = np.floor(max_edits * m + 1e-9).astype(np.int64)
+        # the longest gram, up to q, that an item with all its edits still shares with the text
+        own = np.maximum(1, np.minimum(q, m // (edits + 1)))
+        numbers = {int(n): np.flatnonzero((own == n) & (edits > 0)).tolist() for n in np.unique(own[edits > 0])}
+        return cls(ids, items, edits, m - own + 1 - own * edits, m + 2 * (edits + 1), [Grams.build(n, ks, items, edits) for n, ks in numbers.items()])
+
+    def candidates(self, x: np.ndarray) -> list[tuple[int, int, int]]:
+        """(item, first, last diagonal) of stretches of bands of the letters ``x`` that reach the bound; bands that
+        follow one another are one stretch. Of several texts in a row a band may count letters of two, never
+        fewer of one."""
+        out = []
+        for grams in self.grams:
+            at, g = grams.matches(x)
+            n = grams.first[g + 1] - grams.first[g]
+            before, i = np.r_[0, np.cumsum(n)], 0
+            found = []
+            while i < len(at):  # parts of bounded postings, that overlap by what an item can reach
+                j = max(int(np.searchsorted(before, before[i] + POSTINGS, side="right")) - 1, int(np.searchsorted(at, at[i] + 2 * grams.reach)), i + 1)
+                found.append(self._bands(grams, at[i:j], g[i:j], n[i:j]))
+                i = len(at) if j >= len(at) else int(np.searchsorted(at, at[j] - grams.reach))
+            out += self._stretches(np.concatenate([*found, np.empty((0, 3), np.int64)]))
+        return out
+
+    def _bands(self, grams: Grams, at: np.ndarray, g: np.ndarray, n: np.ndarray) -> np.ndarray:
+        """(item, from, to) of bands that hold places enough; band b begins at diagonal b * (edits + 1)."""
+        post = np.repeat(grams.first[g] - np.cumsum(n) + n, n) + np.arange(n.sum())
+        item, place = grams.item[post].astype(np.int64), np.repeat(at, n)
+        # what a stretch of text as long as the item holds of it: a coarse count that drops most postings
+        length = self.reach[item]
+        slot = (item * np.int64(0x9E3779B1) + place // length) & ((1 << 20) - 1)
+        held = np.bincount(slot, minlength=1 << 20)
+        enough = held[slot] + np.maximum(held[(slot + 1) & ((1 << 20) - 1)], held[(slot - 1) & ((1 << 20) - 1)]) >= self.bound[item]
+        post, item, place = post[enough], item[enough], place[enough]
+        if not len(post):
+            return np.empty((0, 3), np.int64)
+        half = self.edits[item] + 1
+        low = (place - grams.high[post]) // half - 1
+        high = (place - grams.low[post]) // half + 1
+        # a place counts once for each band between: differences, summed by (item, band)
+        base = low.min()
+        width = np.int64(high.max() - base + 2)
+        key, which = np.unique(np.concatenate([item * width + low - base, item * width + high - base]), return_inverse=True)
+        count = np.cumsum(np.bincount(which, np.repeat([1, -1], len(post)), len(key)).astype(np.int64))
+        held = np.flatnonzero(count[:-1] >= self.bound[np.minimum(key[:-1] // width, len(self.bound) - 1)])
+        owner = key[held] // width
+        return np.stack([owner, key[held] - owner * width + base, key[held + 1] - owner * width + base], 1)
+
+    def _stretches(self, bands: np.ndarray) -> list[tuple[int, int, int]]:
+        out: list[tuple[int, int, int]] = []
+        for k, a, b in sorted(map(tuple, bands.tolist())):
+            if out and out[-1][0] == k and a <= out[-1][2]:
+                out[-1] = (k, out[-1][1], max(b, out[-1][2]))
+            else:
+                out.append((k, a, b))
+        return [(k, a * (int(self.edits[k]) + 1), (b + 1) * (int(self.edits[k]) + 1)) for k, a, b in out]
 
     def regions(self, texts: list[str]) -> list[list[tuple]]:
         """For each text, (item id, start, end, edits) of the items in it, one for each place."""
@@ -141,26 +205,25 @@ class Index:
         x = fold(BETWEEN.join(texts))
         first = np.cumsum([0] + [len(t) + 1 for t in texts])
         found: list[dict[int, list[tuple[int, int, int]]]] = [{} for _ in texts]
-        for k, band in self.candidates(x).tolist():
+        for k, start, end in self.candidates(x):
             edits, item = int(self.edits[k]), self.items[k]
-            start, width = band * (edits + 1), 2 * (edits + 1)
             a = max(0, int(np.searchsorted(first, start, side="right")) - 1)
-            while a < len(texts) and first[a] < start + width + len(item):
-                hit = align(item, x[first[a] : first[a + 1] - 1], start - int(first[a]), width, edits)
-                if hit:
-                    found[a].setdefault(k, []).append(hit)
+            while a < len(texts) and first[a] < end + len(item):
+                own = x[first[a] : first[a + 1] - 1]
+                low, high = max(start - int(first[a]), -edits - 1), min(end - int(first[a]), len(own) + 1)
+                if low < high:
+                    found[a].setdefault(k, []).extend(places(item, own, low, high - low, edits))
                 a += 1
-        for k, item in enumerate(self.items):  # items too short for a q-gram: whole occurrences
-            if len(item) < self.q:
-                n = len(x) - len(item) + 1
-                same = np.ones(max(0, n), bool)
-                for j, c in enumerate(item):
-                    same &= x[j : j + n] == c
-                for at in np.flatnonzero(same).tolist():
-                    a = int(np.searchsorted(first, at, side="right")) - 1
-                    at -= int(first[a])
-                    if at + len(item) <= len(texts[a]):
-                        found[a].setdefault(k, []).append((at, at + len(item), 0))
+        for k in np.flatnonzero(self.edits == 0).tolist():  # whole occurrences
+            item = self.items[k]
+            at = np.arange(max(0, len(x) - len(item) + 1))
+            for j, c in enumerate(item):
+                at = at[x[at + j] == c]
+            for start in at.tolist():
+                a = int(np.searchsorted(first, start, side="right")) - 1
+                start -= int(first[a])
+                if start + len(item) <= len(texts[a]):
+                    found[a].setdefault(k, []).append((start, start + len(item), 0))
         return [self._apart(hits) for hits in found]
 
     def _apart(self, found: dict[int, list[tuple[int, int, int]]]) -> list[tuple]:
@@ -177,6 +240,54 @@ class Index:
         return sorted(out, key=lambda r: (r[1], r[2], str(r[0])))
 
 
+def costs(item: np.ndarray, x: np.ndarray, diagonal: int, width: int, edits: int) -> np.ndarray | None:
+    """For each diagonal of [diagonal, diagonal + width] the least cost of ``item`` against a region of ``x`` that ends
+    there, or None where all are above ``edits``. Unit costs; the ends of the text's region are free."""
+    m = len(item)
+    step = np.arange(width + 1, dtype=np.int32)
+    lanes = diagonal + step
+    # costs by diagonal; cell (i, d) stands before x[i + d]
+    row = np.where((lanes >= 0) & (lanes <= len(x)), 0, m + 1).astype(np.int32)
+    window = np.full(m + width + 1, 0xFFFFFFFF, np.uint32)  # what lies outside the text equals nothing
+    a, b = max(0, diagonal), min(len(x), diagonal + len(window))
+    if a < b:
+        window[a - diagonal : b - diagonal] = x[a:b]
+    for i in range(m):
+        new = row + (window[i : i + width + 1] != item[i])  # from (i, d): item[i] against x[i + d]
+        np.minimum(new[:-1], row[1:] + 1, out=new[:-1])  # from (i, d + 1): item[i] left out
+        row = np.minimum.accumulate(new - step) + step  # from (i + 1, d - 1): a letter of x put in
+        if i % 16 == 15 and row.min() > edits:
+            return None
+    ends = lanes + m
+    return np.where((ends >= 0) & (ends <= len(x)), row, m + 1)
+
+
+def places(item: np.ndarray, x: np.ndarray, diagonal: int, width: int, edits: int) -> list[tuple[int, int, int]]:
+    """Places (start, end, edits) of ``item`` in ``x`` along diagonals [diagonal, diagonal + width). Within fewer
+    diagonals than the item has letters all places overlap and the best one stands for them; a wider stretch is
+    aligned at once, and again around each end that it may have, one after the other."""
+    if width < len(item) - 2 * edits:
+        hit = align(item, x, diagonal, width, edits)
+        return [hit] if hit else []
+    m, ends = len(item), []
+    for d in range(diagonal, diagonal + width, LANES):  # a path strays from its end's diagonal by the edits at most
+        n = min(LANES, diagonal + width - d)
+        cost = costs(item, x, d - edits, n + 2 * edits, edits)
+        if cost is not None:
+            ends.append(np.flatnonzero(cost[edits : edits + n] <= edits) + d + m)
+    ends = np.concatenate([*ends, np.empty(0, np.int64)])
+    out, i, base = [], 0, 0
+    while i < len(ends):
+        end = int(ends[i]) - base
+        hit = align(item, x[base : base + end + 4 * (edits + 1) + m], end - m - edits, 4 * (edits + 1), edits)
+        if hit:
+            out.append((hit[0] + base, hit[1] + base, hit[2]))
+            base += hit[1]
+        # a place apart from this one ends so much later
+        i = max(i + 1, int(np.searchsorted(ends, base + m - edits)) if hit else 0)
+    return out
+
+
 def align(item: np.ndarray, x: np.ndarray, diagonal: int, width: int, edits: int) -> tuple[int, int, int] | None:
     """The best place (start, end, edits) of ``item`` in ``x`` along diagonals [diagonal, diagonal + width),
     or None above ``edits``. Unit costs; the ends of the text's region are free."""
@@ -190,20 +301,10 @@ def align(item: np.ndarray, x: np.ndarray, diagonal: int, width: int, edits: int
     for start in whole[(x[whole] == item[0]) & (x[whole + m - 1] == item[-1])].tolist():
         if np.array_equal(x[start : start + m], item):  # an alignment without edits
             return start, start + m, 0
-    # costs by diagonal; cell (i, d) stands before x[i + d]
-    row = np.where((lanes >= 0) & (lanes <= len(x)), 0, m + 1)
-    window = np.full(m + width + 1, 0xFFFFFFFF, np.uint32)  # what lies outside the text equals nothing
-    a, b = max(0, diagonal), min(len(x), diagonal + len(window))
-    if a < b:
-        window[a - diagonal : b - diagonal] = x[a:b]
-    for i in range(m):
-        new = row + (window[i : i + width + 1] != item[i])  # from (i, d): item[i] against x[i + d]
-        np.minimum(new[:-1], row[1:] + 1, out=new[:-1])  # from (i, d + 1): item[i] left out
-        row = np.minimum.accumulate(new - step) + step  # from (i + 1, d - 1): a letter of x put in
-        if i % 16 == 15 and row.min() > edits:
-            return None
+    row = costs(item, x, diagonal, width, edits)
+    if row is None:
+        return None
     ends = lanes + m
-    row = np.where((ends >= 0) & (ends <= len(x)), row, m + 1)
     best = int(row.min())
     if best > edits:
         return None
@@ -220,7 +321,7 @@ def align(item: np.ndarray, x: np.ndarray, diagonal: int, width: int, edits: int
 
 def _indexes(benchmark: DataFrame, q: int, max_edits: float, block_bytes: int):
     """An index for each block of items; the driver holds one block at a time."""
-    items = benchmark.where(F.length("text") > 0).select(F.col("item_id").cast("long").alias("item_id"), "text")
+    items = benchmark.where(F.length("text") > 0).select(F.col("item_id").cast("long").alias("item_id"), "text").distinct()
     size = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     blocks = math.ceil(size / block_bytes)
     for b in range(blocks):
@@ -234,9 +335,9 @@ REGIONS = "doc_id long, item_id long, start long, end long, edits long"
 def leaks(docs: DataFrame, benchmark: DataFrame, q: int = Q, max_edits: float = MAX_EDITS, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """(doc_id, item_id, start, end, edits) of every benchmark item in every whole text, code points.
 
-    An item may have ``max_edits`` of its length in edits, less where its q-grams would not bound that. Items
-    shorter than q count only where they occur as they are. Null and empty texts and items give nothing;
-    repeated rows give their regions each; empty tables give none; other columns are not read."""
+    An item may have ``max_edits`` of its length in edits; one too short for a whole edit counts only where it
+    occurs as it is. Null and empty texts and items give nothing;
+    repeated documents give their regions each, repeated items once; empty tables give none; other columns are not read."""
     out = None
     for index in _indexes(benchmark, q, max_edits, block_bytes):
         def run(batch, index=index):

@@ -1,7 +1,7 @@
 import pytest
 
 #: Names that the operators use inside; a document table may have them too.
-CLASHING = ("fp", "queue", "run", "rank", "label", "spans", "score", "minimiser", "text_key", "row_key", "component_id", "n", "base")
+CLASHING = ("fp", "queue", "run", "rank", "label", "spans", "score", "minimiser", "text_key", "row_key", "_row_key", "key", "hash", "row", "component_id", "n", "base")
 
 
 def awkward_rows():

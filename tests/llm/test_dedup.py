@@ -81,6 +81,13 @@ def test_components_of_a_long_chain_and_a_hub(spark):
     assert components.connected_components(spark.createDataFrame([], "src long, dst long")).count() == 0
 
 
+def test_keep_one_orders_rows_that_differ_elsewhere(spark):
+    rows = [(1, "one text of some words", f"s{i}", "k", [f"x{i}"], {"a": i}) for i in range(6)] + [(1, "one text of some words", "s0", "k", ["x0"], {"a": 0})]
+    schema = "doc_id long, text string, source string, _row_key string, tags array<string>, m map<string, int>"
+    kept = {str(simhash.keep_one(spark.createDataFrame(part, schema).repartition(n)).collect()) for part, n in ((rows, 1), (rows[::-1], 4), (rows[3:] + rows[:3], 7))}
+    assert len(kept) == 1 and simhash.keep_one(spark.createDataFrame(rows, schema)).columns == ["doc_id", "text", "source", "_row_key", "tags", "m"]
+
+
 def test_keep_one_keeps_the_smallest_of_each_group(documents, awkward):
     want = {c for _, _, c in brute_components(pairs(documents))}
     kept = simhash.keep_one(documents.unionByName(documents.limit(9)))

@@ -3,6 +3,8 @@
 import hashlib
 import random
 import re
+import time
+import tracemalloc
 import zlib
 
 import numpy as np
@@ -201,6 +203,32 @@ def test_toxicity_folds_and_spares(awkward, spark):
     assert toxicity.score(awkward, toxicity.learn(awkward, odd)).count() == awkward.count()
 
 
+def test_toxicity_is_linear_in_matches():
+    model = toxicity.Model({"idiot": 2.0, "fool": 1.0}, {"moro": 1.5}, frozenset({"dear idiot", "idiot fool", "fool s day"}), 0.0, 1.0)
+    automaton, rnd = model.automaton(), random.Random(1)
+
+    def plain(words):
+        joined = f" {' '.join(words)} "
+        spared = [(m.start() + 1, m.start() + len(p)) for p in model.exceptions for m in re.finditer(f"(?=({re.escape(f' {p} ')}))", joined)]
+        return sorted((m.start() + 1, x) for w, x, tail in [(w, x, " ") for w, x in model.words.items()] + [(s, x, "") for s, x in model.stems.items()]
+                      for m in re.finditer(f"(?=({re.escape(f' {w}{tail}')}))", joined) if not any(a <= m.start() + 1 < b for a, b in spared))
+
+    for n in (0, 3, 200):
+        for _ in range(30):
+            words = [rnd.choice(["dear", "idiot", "fool", "s", "day", "moron", "x", "moro"]) for _ in range(n)]
+            assert sorted(model.hits(words, automaton)) == plain(words)
+    words = [rnd.choice(["dear", "idiot", "fool", "s"]) for _ in range(300000)]
+    start = time.time()
+    model.score(words, automaton)
+    assert time.time() - start < 20
+
+
+def test_long_schemes_keep_their_head():
+    text = "see " + "x" * 40 + "://user:pass@host.example/path and a://b"
+    spans = [s for s in pii.find(text) if s[0] == "url"]
+    assert spans and spans[0][1] == 4
+
+
 def edit_distance(item, x):
     row = np.zeros(len(x) + 1, int)
     for i, c in enumerate(item):
@@ -231,6 +259,44 @@ def test_leaks_match_full_alignment(spark, documents, sf_dir):
         assert not hits or min(h[3] for h in hits) == best
 
 
+@pytest.mark.parametrize("size", [9, 10, 12, 15, 19, 20, 22, 29, 30, 31, 40])
+def test_short_items_have_their_whole_budget(size):
+    rnd = random.Random(size)
+    item = "".join(rnd.choice("abcdefgh ") for _ in range(size - 2)) + "yz"
+    index = decontaminate.Index.build([(1, item), (2, "some other item that is not there at all, anywhere")])
+    assert index.edits[0] == size // 10
+    for _ in range(60):
+        s = list(item)
+        for _ in range(rnd.randint(0, size // 10 + 1)):
+            k = rnd.randrange(len(s))
+            s[k : k + 1] = rnd.choice([[], ["#"], [s[k], "#"]])
+        text = "#" * rnd.randint(0, 9) + "".join(s) + "#" * rnd.randint(0, 9)
+        best = edit_distance(index.items[0], decontaminate.fold(text))
+        hits = index.regions([text])[0]
+        assert bool(hits) == (best <= size // 10) and (not hits or hits[0][3] == best)
+
+
+def test_rules_in_items_and_texts():
+    """A line of dashes in every item and long ones in the text: bounded work, every place found."""
+    rnd = random.Random(1)
+    prose = lambda n: " ".join("".join(rnd.choice("abcdefghij") for _ in range(rnd.randint(2, 8))) for _ in range(n))
+    items = [(i, prose(20) + "\n" + "-" * 80 + "\n" + prose(20)) for i in range(50)]
+    index = decontaminate.Index.build(items)
+    changed = items[9][1][:60] + "x" + items[9][1][61:]
+    head = prose(100) + "-" * 20000
+    text = head + items[7][1] + "-" * 20000 + prose(50) + changed
+    tracemalloc.start()
+    start = time.time()
+    hits = index.regions([text])[0]
+    assert time.time() - start < 30 and tracemalloc.get_traced_memory()[1] < 300 << 20
+    tracemalloc.stop()
+    assert [(k, e) for k, _, _, e in hits] == [(7, 0), (9, 1)] and hits[0][1:3] == (len(head), len(head) + len(items[7][1]))
+    for unit, size in (("-", 80), ("-=", 40), ("abc ", 30)):
+        item, n = unit * size, 50
+        found = decontaminate.Index.build([(1, item)]).regions([item * n])[0]
+        assert found == [(1, i * len(item), (i + 1) * len(item), 0) for i in range(n)]
+
+
 def test_leaks_and_their_removal(spark, documents, awkward, sf_dir):
     bench = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
     items = {r.item_id: r.text for r in bench.collect()}
