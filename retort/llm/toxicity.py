@@ -13,6 +13,7 @@ from __future__ import annotations
 
 import math
 import re
+from bisect import bisect_right
 from collections import Counter
 from dataclasses import dataclass
 
@@ -70,7 +71,17 @@ class Model:
             else:
                 start = joined.rindex(" ", 0, end if kind == 0 else end + 1) + 1
                 found.append((start, x))
-        return [(s, x) for s, x in found if not any(a <= s < b for a, b in spared)]
+        if not spared:
+            return found
+        spans: list[list[int]] = []  # exceptions that overlap are one span
+        for a, b in sorted(spared):
+            if spans and a <= spans[-1][1]:
+                spans[-1][1] = max(spans[-1][1], b)
+            else:
+                spans.append([a, b])
+        starts = [a for a, _ in spans]
+        inside = lambda s: (i := bisect_right(starts, s)) and s < spans[i - 1][1]
+        return [(s, x) for s, x in found if not inside(s)]
 
     def feature(self, words: list[str], automaton) -> float:
         return math.log1p(100 * sum(x for _, x in self.hits(words, automaton)) / max(1, len(words)))
@@ -157,8 +168,9 @@ def _exceptions(sample: DataFrame, model: Model, toxic: int, clean: int) -> froz
             for text, y in zip(texts_of(batch), batch.column("toxic").to_pylist()):
                 words = fold(text)
                 joined = f" {' '.join(words)} "
-                for start, _ in model.hits(words, a):
-                    i = joined.count(" ", 0, start) - 1
+                i, at = -1, 0  # the number of the word at a hit, counted on from the hit before
+                for start, _ in sorted(model.hits(words, a)):
+                    i, at = i + joined.count(" ", at, start), start
                     for pair in (words[max(0, i - 1) : i + 1], words[i : i + 2]):
                         if len(pair) == 2:
                             seen[" ".join(pair), y] += 1
