@@ -129,8 +129,8 @@ def find(text: str) -> list[tuple[str, int, int]]:
                 if 10 <= sum(c in DIGITS for c in m[0]) <= 15:
                     spans.append(("phone", at, phone_end))
         elif kind == "scheme":
-            left = at
-            while left > max(0, at - 20) and text[left - 1] in SCHEME:
+            left = at  # back to the last sign that no scheme has: each letter is passed once
+            while left > 0 and text[left - 1] in SCHEME:
                 left -= 1
             if left < at and text[left].isalpha() and (m := HOST.match(text, at + 3)):
                 right = at + 3 + len(m[0].rstrip(".,;:!?)]"))
