@@ -19,6 +19,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from retort.llm.common import bytes_of, materialize, per_text
 from retort.llm.components import connected_components
@@ -145,7 +146,8 @@ def near_duplicates(docs: DataFrame, shingle: int = 3, radius: int = 3, tile: in
 
 def keep_one(docs: DataFrame, shingle: int = 3, radius: int = 3) -> DataFrame:
     """The rows of ``docs``, one of each group of near-duplicates: that with the smallest doc_id (nulls
-    last; of equal ids the one with the least text hash, of wholly equal rows any). All columns are kept."""
+    last; of equal ids the one with the least text hash, then the one with the least hash of all its
+    columns; wholly equal rows are one). All columns are kept, whatever their names."""
     keyed = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("th"), "text")
     fps = materialize(fingerprints(keyed, shingle, ("doc_id", "th")), "simhash")
     labels = classes(fps, radius)
@@ -153,6 +155,8 @@ def keep_one(docs: DataFrame, shingle: int = 3, radius: int = 3) -> DataFrame:
     best = fps.groupBy("fp").agg(F.min(order).alias("row"))
     best = labels.join(best, "fp").groupBy("label").agg(F.min("row").alias("row"))
     key = lambda i, t: F.concat_ws("#", F.coalesce(i.cast("string"), F.lit("null")), t.cast("string"))
-    best = materialize(best.select(key(F.col("row.doc_id"), F.col("row.th")).alias("_row_key")), "simhash-kept")
-    rows = docs.withColumn("_row_key", key(F.col("doc_id").cast("long"), F.xxhash64("text")))
-    return rows.join(best, "_row_key").dropDuplicates(["_row_key"]).drop("_row_key")
+    best = materialize(best.select(key(F.col("row.doc_id"), F.col("row.th")).alias("key")), "simhash-kept")
+    nested = lambda f: isinstance(f.dataType, (T.ArrayType, T.MapType, T.StructType))
+    whole = F.xxhash64(*[F.to_json(F.struct(f.name)) if nested(f) else F.col(f.name) for f in docs.schema.fields])
+    rows = docs.select(key(F.col("doc_id").cast("long"), F.xxhash64("text")).alias("key"), whole.alias("hash"), F.struct(*docs.columns).alias("row"))
+    return rows.join(best, "key").groupBy("key").agg(F.min_by("row", "hash").alias("row")).select("row.*")
