@@ -10,11 +10,12 @@ from retort.functions import text as T
 from retort.functions.smiles import valid_smiles
 from retort.operators import clean as C
 from retort.operators import tags as G
+from retort.operators.seen import SeenSet
 from retort.plans import adapters as A
 from retort.plans import oracle as O
 from retort.plans.catalog import register
 from retort.plans.oracle import BASE, clean_tags_sql
-from retort.session import read_table, spread
+from retort.session import read_table, scratch_path, spread
 from retort.sources import collect as SC
 
 HINT = "array_to_string(applications, ' ')"
@@ -257,6 +258,23 @@ def q_exclude_seen(spark, sf):
     return G.exclude_seen(later, seen, order=("source_rank", "ordinal")).select("row_id", "smiles")
 
 
+@register("seen_across_runs", BASE + """
+SELECT 1 AS run, row_id, smiles FROM present WHERE source = 'PROMO'
+QUALIFY row_number() OVER (PARTITION BY smiles ORDER BY source_rank, ordinal) = 1
+UNION ALL
+SELECT 2, row_id, smiles FROM present WHERE smiles NOT IN (SELECT smiles FROM present WHERE source = 'PROMO')
+QUALIFY row_number() OVER (PARTITION BY smiles ORDER BY source_rank, ordinal) = 1""")
+def q_seen_across_runs(spark, sf):
+    """Three collections over one seen-set: a source, then everything, then everything again (nothing is new)."""
+    df = C.drop_missing(A.compounds(spark, sf), ["smiles"])
+    path = scratch_path(spark, "seen")
+    seen = SeenSet(spark, path, path.rsplit("/", 1)[1].replace("-", "_"), buckets=16)
+    runs = [seen.admit(rows, order=("source_rank", "ordinal")).select(F.lit(i + 1).alias("run"), "row_id", "smiles")
+            for i, rows in enumerate((df.where(F.col("source") == "PROMO"), df, df))]
+    spark.sql(f"DROP TABLE {seen.name}")  # its files stay
+    return runs[0].unionByName(runs[1]).unionByName(runs[2])
+
+
 @register("strip_paren", """
 SELECT p_partkey AS term_id, term, coalesce(nullif(regexp_replace(regexp_replace(term, '\\s*\\([^)]*\\)\\s*$', ''), '^\\s+|\\s+$', '', 'g'), ''), term) AS cleaned
 FROM (SELECT p_partkey, CASE WHEN p_size = 1 THEN '(' || p_brand || ')'
