@@ -26,7 +26,7 @@ from retort.session import read_table, scratch_path
 from retort.sources import collect as SC
 from retort.sources import files as SF
 from retort.sources.csv_ranges import read_csv
-from retort.streaming.collect import collect_stream
+from retort.streaming.collect import collect_recent, collect_stream
 
 BROKEN_SIZE = 46   # records landed without their end marker
 NO_STRUCT_SIZE = 47
@@ -237,3 +237,28 @@ def q_stream_dedupe(spark, sf):
     _land_molecule_pages(spark, sf, landing, which=1)
     collect_stream(spark, landing, sink, ckpt)
     return spark.read.parquet(sink).select("smiles")
+
+
+_LATE = "row_id % 4 = 3 AND row_id % 5 = 0"
+
+
+@register("stream_watermark", BASE.rstrip() + f""",
+v AS ({O.smiles_view("(SELECT row_id, smiles FROM present)")})
+SELECT 'kept' AS side, smiles, 1 AS n FROM v WHERE valid AND NOT ({_LATE}) GROUP BY smiles
+UNION ALL
+SELECT 'late', smiles, count(*) FROM v WHERE valid AND {_LATE} GROUP BY smiles""")
+def q_stream_watermark(spark, sf):
+    """Four landings an hour apart, the last with rows that are ten days late; a delay of twelve hours."""
+    root = scratch_path(spark, "stream")
+    landing, sink, late, ckpt = (os.path.join(root, x) for x in ("landing", "sink", "late", "checkpoint"))
+    df = C.drop_missing(A.compounds(spark, sf), ["smiles"])
+    hours = F.when(F.expr(_LATE), -240).otherwise(F.col("row_id") % 4)
+    rows = df.select("row_id", (F.lit(1735689600) + hours * 3600).cast("timestamp").alias("landed"), (F.col("row_id") / 100).cast("bigint").alias("page"), F.struct(
+        F.struct(F.col("smiles").alias("canonical_smiles")).alias("molecule_structures"), F.col("compound_id").alias("molecule_chembl_id"), F.col("name").alias("pref_name")).alias("m"))
+    for turn in range(4):
+        # a page holds at most 100 molecules: a bounded group
+        pages = rows.where(F.col("row_id") % 4 == turn).groupBy("page", "landed").agg(F.collect_list("m").alias("molecules"))
+        pages.write.mode("append").json(landing)
+        collect_recent(spark, landing, sink, late, ckpt, delay="12 hours")
+    count = lambda path, side: spark.read.parquet(path).groupBy("smiles").agg(F.count(F.lit(1)).cast("int").alias("n")).select(F.lit(side).alias("side"), "smiles", "n")
+    return count(sink, "kept").unionByName(count(late, "late"))

@@ -164,18 +164,19 @@ IDENTIFIER_PAGE = T.StructType([
 ])
 
 
-def explode_molecule_pages(pages: DataFrame) -> DataFrame:
+def explode_molecule_pages(pages: DataFrame, keep=()) -> DataFrame:
     """A3 body: one row per molecule; a NULL structure object gives NULL
     SMILES (no failure); missing id -> CHEMBL_UNKNOWN_<page>_<offset>;
     missing name -> the id. A page without its number counts as page 0; an
-    empty page has no rows. The stream takes the same rows."""
-    m = pages.select(F.coalesce("page", F.lit(0)).alias("page"), F.posexplode("molecules").alias("offset", "m"))
+    empty page has no rows. The stream takes the same rows. ``keep`` names
+    columns of the page that its rows carry on."""
+    m = pages.select(F.coalesce("page", F.lit(0)).alias("page"), F.posexplode("molecules").alias("offset", "m"), *keep)
     ident = F.coalesce(F.col("m.molecule_chembl_id"),
                        F.format_string("CHEMBL_UNKNOWN_%d_%d", F.col("page"), F.col("page") * 100))
     return m.select("page", "offset",
                     F.col("m.molecule_structures.canonical_smiles").alias("smiles"),
                     ident.alias("compound_id"),
-                    F.coalesce(F.col("m.pref_name"), ident).alias("name"))
+                    F.coalesce(F.col("m.pref_name"), ident).alias("name"), *keep)
 
 
 def read_molecule_pages(spark: SparkSession, path: str, pretty: bool = False) -> DataFrame:
