@@ -35,3 +35,17 @@ def dense_index(df: DataFrame, order_cols, name: str = "idx", start: int = 0) ->
     return (tagged.join(F.broadcast(offsets), "_pid")
             .withColumn(name, F.col("_off") + pos + F.lit(start))
             .drop("_pid", "_mid", "_off"))
+
+
+def running_total(df: DataFrame, order_cols, value: str, name: str = "before") -> DataFrame:
+    """Add ``name`` = the sum of ``value`` over all rows before this one in ``order_cols`` order, a total order. Like
+    ``dense_index`` without a global window: sums for each range of the sorted rows, then within the range."""
+    ensure_checkpoint_dir(df.sparkSession)
+    tagged = df.orderBy(*order_cols).withColumn("_pid", F.spark_partition_id()).checkpoint(eager=True)
+    sums = tagged.groupBy("_pid").agg(F.sum(value).alias("_sum"))
+    before = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
+    # one row per partition: a bounded broadcast
+    offsets = sums.select("_pid", F.coalesce(F.sum("_sum").over(before), F.lit(0)).alias("_off"))
+    own = Window.partitionBy("_pid").orderBy(*order_cols).rowsBetween(Window.unboundedPreceding, -1)
+    return (tagged.withColumn("_own", F.coalesce(F.sum(value).over(own), F.lit(0)))
+            .join(F.broadcast(offsets), "_pid").withColumn(name, F.col("_off") + F.col("_own")).drop("_pid", "_own", "_off"))

@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from retort import constants as K
-from retort.operators.indexing import dense_index
+from retort.operators.indexing import dense_index, running_total
 from retort.functions.text import ptrim
 
 
@@ -61,15 +61,20 @@ def sample_n(df: DataFrame, n: int, key: str, seed: int = K.SPLIT_SEED) -> DataF
 
 def cap(df: DataFrame, key: str, order, per_key: int, total: int) -> DataFrame:
     """At most ``per_key`` rows per key (first in ``order``), then the
-    first ``total`` rows over keys in key order.
+    first ``total`` rows over keys in key order (a null key comes first).
 
     ``row_number() <= per_key`` is planned as a WindowGroupLimit, which
     drops rows per key before and after the shuffle, so a hot key costs
-    ``per_key`` rows per map task, not its full size.
+    ``per_key`` rows per map task, not its full size. The overall target is
+    an allowance a key: what the keys before it leave, from counts and a
+    running total over keys. No task sees all rows, however large ``total``.
     """
+    counts = df.groupBy(F.col(key).alias("_key")).agg(F.least(F.count(F.lit(1)), F.lit(per_key)).alias("_n"))
+    left = running_total(counts, ["_key"], "_n", "_before").where(F.col("_before") < total)
+    left = left.select("_key", F.least("_n", F.lit(total) - F.col("_before")).alias("_may"))
     w = Window.partitionBy(key).orderBy(*order)
     ranked = df.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") <= per_key)
-    return ranked.orderBy(key, "_rn").limit(total).drop("_rn")
+    return ranked.join(left, F.col(key).eqNullSafe(F.col("_key"))).where(F.col("_rn") <= F.col("_may")).drop("_rn", "_key", "_may")
 
 
 def per_key_cap(n_keys: int, target: int) -> int:
