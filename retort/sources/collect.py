@@ -21,14 +21,12 @@ _SAMPLES = {
 def sample_compounds(spark: SparkSession, which: str, n: int, seen: DataFrame | None = None) -> DataFrame:
     """The inline sample table cycled ``i % len`` up to ``n`` rows;
     SMILES already ``seen`` are skipped and each SMILES is kept once (the
-    first ``i``), so at most len(samples) rows come out however large n is.
+    first ``i``), so at most len(samples) rows come out however large n is:
+    those of the first cycle, for later ones repeat them.
     """
     rows, source, fmt = _SAMPLES[which]
-    lit = spark.createDataFrame([(j, s, name, list(apps)) for j, (s, name, apps) in enumerate(rows)],
-                                "j INT, smiles STRING, name STRING, applications ARRAY<STRING>")
-    cyc = spark.range(n).select(F.col("id").alias("i"), (F.col("id") % len(rows)).cast("int").alias("j"))
-    # the literal side has len(samples) rows: a bounded broadcast
-    df = cyc.join(F.broadcast(lit), "j")
+    df = spark.createDataFrame([(i, s, name, list(apps)) for i, (s, name, apps) in enumerate(rows[:n])],
+                               "i BIGINT, smiles STRING, name STRING, applications ARRAY<STRING>")
     if seen is not None:
         df = df.join(seen.select("smiles").distinct(), "smiles", "left_anti")
     first = df.groupBy("smiles").agg(F.min(F.struct("i", "name", "applications")).alias("f"))

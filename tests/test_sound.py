@@ -178,3 +178,16 @@ def test_lsh_finds_the_pairs_of_any_threshold(spark):
     pairs = lambda d: sorted((r.ref_id, r.doc_id, r.jaccard) for r in d.collect())
     assert pairs(SIM.similar_lsh(df, threshold=50, k=1)) == pairs(SIM.similar(df, threshold=50, k=1)) == [(2 * i, 2 * i + 1, 0.6) for i in range(60)]
     assert len(pairs(SIM.similar_lsh(df, threshold=50, k=1, bands=12, rows=4))) < 60
+
+
+@pytest.mark.parametrize("n", [0, 3, 10, 25, 10**12])
+def test_samples_cycle_without_making_every_row(spark, n):
+    from retort.sources import collect as SC
+
+    first = {}
+    for i in range(min(n, 100)):
+        s, name, apps = K.PHARMA_SAMPLES[i % len(K.PHARMA_SAMPLES)]
+        first.setdefault(s, (K.PHARMA_ID_FORMAT % i, name, list(apps)))
+    seen = spark.createDataFrame([(K.PHARMA_SAMPLES[1][0],)], "smiles string")
+    got = {r.smiles: (r.compound_id, r.name, r.applications) for r in SC.sample_compounds(spark, "pharma", n, seen).collect()}
+    assert got == {k: v for k, v in first.items() if k != K.PHARMA_SAMPLES[1][0]}
