@@ -2,8 +2,10 @@
 
 Distinct fingerprints are dealt into tiles by their population count (set bits). Two fingerprints within
 ``radius`` bits differ by at most ``radius`` in population count, so only tiles whose counts are that
-close are compared, with numpy exclusive-or and bit counts; inside a tile the same bound on the count of
-the lower half skips more. Every pair within the radius is compared, none is estimated.
+close are compared, with numpy exclusive-or and bit counts; inside a pair of tiles the same bound on the
+counts of the fingerprints' halves or quarters skips more. Every pair within the radius is compared, none
+is estimated. Tiles grow with the number of fingerprints, so that each travels to some 64 others at most
+(``tile_size``), and come in rows of a few thousand, so that no row grows with them.
 
 The rows compared are distinct fingerprints, so exact copies cost one row. A pair of tiles gives a
 spanning forest of its links, at most one fewer than the rows in it, so a large group of near copies
@@ -24,11 +26,15 @@ from pyspark.sql import types as T
 from retort.llm.common import bytes_of, materialize, per_text
 from retort.llm.components import connected_components
 
-#: Fingerprints in a tile.
+#: Fingerprints in a tile at least, and in a row of one; the most in a tile.
 TILE = 16384
+LARGEST = 1 << 20
+#: Tiles above this size are told apart by four counts, others by two.
+FINE = 1 << 15
+#: Pairs of fingerprints for a task, before the counts of their parts are looked at.
+TASK_CELLS = 1 << 34
 #: Cells of one comparison block.
 CELLS = 1 << 22
-HALF = np.uint64(0xFFFFFFFF)
 
 
 def simhash(text: bytes, shingle: int = 3) -> int:
@@ -58,78 +64,125 @@ def fingerprints(docs: DataFrame, shingle: int = 3, columns: tuple[str, ...] = (
     return per_text(docs, ", ".join(f"{c} long" for c in columns) + ", fp long", run, (*columns, "text"))
 
 
-def forest(a: np.ndarray, b: np.ndarray, radius: int, same: bool) -> list[tuple[int, int]]:
+def _counts(x: np.ndarray, parts: int) -> np.ndarray:
+    """Population counts of ``parts`` equal stretches of each fingerprint."""
+    width = 64 // parts
+    mask = np.uint64((1 << width) - 1)
+    return np.stack([np.bitwise_count((x >> np.uint64(i * width)) & mask) for i in range(parts)], axis=1).astype(np.int16)
+
+
+def _cells(x: np.ndarray, parts: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Fingerprints ordered by their counts: (order, the different counts, where each begins)."""
+    counts = _counts(x, parts)
+    order = np.lexsort(counts.T[::-1])
+    counts = counts[order]
+    begin = np.flatnonzero(np.r_[True, (counts[1:] != counts[:-1]).any(axis=1)]) if len(x) else np.empty(0, np.int64)
+    return order, counts[begin], np.r_[begin, len(x)]
+
+
+def forest(a: np.ndarray, b: np.ndarray, radius: int, same: bool) -> np.ndarray:
     """Places (in a, in b) of links that connect what all links within ``radius`` connect.
-    ``same``: b is a."""
+    ``same``: b is a. The differences of the counts of a fingerprint's stretches add up to at most the
+    differing bits, so only cells of counts that are that close are compared."""
+    parts = 4 if min(len(a), len(b)) > FINE else 2
     shift = 0 if same else len(a)
-    label = np.arange(len(a) + (0 if same else len(b)))
-    low_a, low_b = np.bitwise_count(a & HALF).astype(np.int64), np.bitwise_count(b & HALF).astype(np.int64)
-    by_a, by_b = np.argsort(low_a, kind="stable"), np.argsort(low_b, kind="stable")
-    sorted_a, sorted_b = low_a[by_a], low_b[by_b]
-    out = []
-    for x in np.unique(sorted_a):
-        rows = by_a[np.searchsorted(sorted_a, x) : np.searchsorted(sorted_a, x, side="right")]
-        cols = by_b[np.searchsorted(sorted_b, x - radius) : np.searchsorted(sorted_b, x + radius, side="right")]
-        if not len(cols):
+    parent = np.arange(len(a) + (0 if same else len(b)))
+
+    def root(x):
+        top = parent[x]
+        while (parent[top] != top).any():
+            top = parent[top]
+        parent[x] = top
+        return top
+
+    order_a, cells_a, at_a = _cells(a, parts)
+    order_b, cells_b, at_b = _cells(b, parts)
+    sorted_b, out = b[order_b], []
+    for i, cell in enumerate(cells_a):
+        near = np.flatnonzero(np.abs(cells_b - cell).sum(axis=1) <= radius)
+        if not len(near):
             continue
-        there, step = b[cols], max(1, CELLS // len(cols))
-        for i in range(0, len(rows), step):
-            here = rows[i : i + step]
+        cols = np.concatenate([np.arange(at_b[k], at_b[k + 1]) for k in near])
+        rows, there = order_a[at_a[i] : at_a[i + 1]], sorted_b[cols]
+        step = max(1, CELLS // len(cols))
+        for j in range(0, len(rows), step):
+            here = rows[j : j + step]
             r, c = np.nonzero(np.bitwise_count(a[here][:, None] ^ there[None, :]) <= radius)
-            if not len(r):
-                continue
-            heads = np.flatnonzero(np.r_[True, r[1:] != r[:-1]])
-            for s, e in zip(heads, np.r_[heads[1:], len(r)]):
-                node, hits = here[r[s]], cols[c[s:e]]
-                mine, theirs = label[node], label[hits + shift]
-                new, first = np.unique(theirs, return_index=True)
-                keep = new != mine
-                if keep.any():
-                    out += [(int(node), int(hits[k])) for k in first[keep]]
-                    label[np.isin(label, new[keep])] = mine
-    return out
-
-
-def links(distinct: DataFrame, radius: int, tile: int = TILE) -> DataFrame:
+            u, v = here[r], order_b[cols[c]] + shift
+            while len(u):
+                ru, rv = root(u), root(v)
+                apart = ru != rv
+                u, v, ru, rv = u[apart], v[apart], ru[apart], rv[apart]
+                # each larger root goes under one smaller root, by the link that shows it
+                hi, first = np.unique(np.maximum(ru, rv), return_index=True)
+                parent[hi] = np.minimum(ru, rv)[first]
+                out.append(np.stack([u[first], v[first] - shift], axis=1))
+    return np.concatenate(out) if out else np.empty((0, 2), np.int64)
+
+
+def tile_size(n: int) -> int:
+    """Fingerprints in a tile: a 64th of all, from ``TILE`` to ``LARGEST``. A fingerprint travels to each
+    tile that its own is compared with, so it is exchanged some 64 times at most until tiles are largest,
+    and n / LARGEST times from there on."""
+    return min(LARGEST, max(TILE, -(-n // 64)))
+
+
+def links(distinct: DataFrame, radius: int, tile: int | None = None) -> DataFrame:
     """(src, dst): links of distinct fingerprints (column ``fp``) that connect all pairs within ``radius``."""
     spark = distinct.sparkSession
     counted = distinct.select("fp", F.bit_count("fp").alias("p"))
     sizes = {r.p: r.n for r in counted.groupBy("p").agg(F.count("*").alias("n")).collect()}  # 65 rows at most
+    tile = tile or tile_size(sum(sizes.values()))
     per = [math.ceil(sizes.get(p, 0) / tile) for p in range(65)]
     first = [sum(per[:p]) for p in range(66)]  # tiles are numbered by population count
     lowest = [first[max(0, p - radius)] for p in range(65)]
     highest = [first[min(65, p + radius + 1)] - 1 for p in range(65)]
-    pairs = sum(n * (highest[p] - first[p] + 1) for p, n in enumerate(per))
-    if not pairs:
+    if not sizes:
         return spark.createDataFrame([], "src long, dst long")
+    size = [sizes.get(p, 0) for p in range(65)]
+    cells = sum(n * sum(size[p : p + radius + 1]) for p, n in enumerate(size))
+    pairs = sum(n * (highest[p] - first[p] + 1) for p, n in enumerate(per))
+    tasks = min(pairs, max(32, math.ceil(cells / TASK_CELLS)))
     of = lambda values: F.element_at(F.array(*map(F.lit, values)), F.col("p") + 1)
     number = of(first[:65]) + F.pmod(F.xxhash64("fp"), of([max(1, n) for n in per])).cast("int")
-    tiles = materialize(counted.select("p", number.alias("tile"), "fp").groupBy("p", "tile").agg(F.collect_list("fp").alias("fps")), "tiles")
-    n = max(1, math.ceil(pairs / 8))
-    left = tiles.select(F.col("tile").alias("t"), F.explode(F.sequence("tile", of(highest))).alias("u"), F.col("fps").alias("a"))
-    right = tiles.select(F.explode(F.sequence(of(lowest), F.col("tile"))).alias("t"), F.col("tile").alias("u"), F.col("fps").alias("b"))
-    compared = left.repartition(n, "t", "u").join(right.repartition(n, "t", "u"), ["t", "u"])
+    part = F.pmod(F.hash("fp"), F.lit(math.ceil(tile / TILE)))  # rows of some TILE fingerprints, whatever a tile's size
+    tiles = counted.select("p", number.alias("tile"), part.alias("part"), "fp").groupBy("p", "tile", "part").agg(F.collect_list("fp").alias("fps"))
+    tiles = materialize(tiles, "tiles")
+    left = tiles.select(F.col("tile").alias("t"), F.explode(F.sequence("tile", of(highest))).alias("u"), F.lit(0).alias("side"), "fps")
+    right = tiles.select(F.explode(F.sequence(of(lowest), F.col("tile"))).alias("t"), F.col("tile").alias("u"), F.lit(1).alias("side"), "fps").where("t < u")
+    dealt = left.unionByName(right).repartition(tasks, "t", "u").sortWithinPartitions("t", "u", "side")
+
+    def compare(parts):
+        a, b = (np.concatenate([x for s, x in parts if s == side] or [np.empty(0, np.uint64)]) for side in (0, 1))
+        same = not len(b)
+        b = a if same else b
+        found = forest(a, b, radius, same)
+        return pa.RecordBatch.from_arrays([pa.array(a[found[:, 0]].view(np.int64)), pa.array(b[found[:, 1]].view(np.int64))], names=["src", "dst"])
 
     def run(batches):
+        pair, held = None, []
         for batch in batches:
-            t, u = batch.column("t").to_pylist(), batch.column("u").to_pylist()
-            for i in range(batch.num_rows):
-                a = batch.column("a")[i].values.to_numpy(zero_copy_only=False).view(np.uint64)
-                b = a if t[i] == u[i] else batch.column("b")[i].values.to_numpy(zero_copy_only=False).view(np.uint64)
-                found = np.array(forest(a, b, radius, t[i] == u[i]), np.int64).reshape(-1, 2)
-                yield pa.RecordBatch.from_arrays([pa.array(a[found[:, 0]].view(np.int64)), pa.array(b[found[:, 1]].view(np.int64))], names=["src", "dst"])
+            keys = zip(batch.column("t").to_pylist(), batch.column("u").to_pylist(), batch.column("side").to_pylist())
+            for i, (t, u, side) in enumerate(keys):
+                if (t, u) != pair and held:
+                    yield compare(held)
+                    held = []
+                pair = (t, u)
+                held.append((side, batch.column("fps")[i].values.to_numpy(zero_copy_only=False).view(np.uint64)))
+        if held:
+            yield compare(held)
 
-    return compared.mapInArrow(run, "src long, dst long")
+    return dealt.mapInArrow(run, "src long, dst long")
 
 
-def classes(fps: DataFrame, radius: int, tile: int = TILE) -> DataFrame:
+def classes(fps: DataFrame, radius: int, tile: int | None = None) -> DataFrame:
     """(fp, label): every distinct fingerprint and the least fingerprint that links reach from it."""
     distinct = fps.select("fp").distinct()
     linked = connected_components(links(distinct, radius, tile))
     return distinct.join(linked.withColumnRenamed("node", "fp"), "fp", "left").select("fp", F.coalesce("component", "fp").alias("label"))
 
 
-def near_duplicates(docs: DataFrame, shingle: int = 3, radius: int = 3, tile: int = TILE) -> DataFrame:
+def near_duplicates(docs: DataFrame, shingle: int = 3, radius: int = 3, tile: int | None = None) -> DataFrame:
     """(doc_id, fingerprint, component_id) of every row.
 
     ``component_id`` is the smallest doc_id reachable over links of at most ``radius`` differing bits. Null

@@ -56,7 +56,7 @@ def test_simhash_on_awkward_rows(awkward):
     assert simhash.near_duplicates(awkward.limit(0)).count() == 0
 
 
-def test_forest_connects_what_all_pairs_connect():
+def test_forest_connects_what_all_pairs_connect(monkeypatch):
     rng = np.random.default_rng(4)
     base = rng.integers(0, 1 << 63, 6, dtype=np.uint64)
     x = np.unique(np.concatenate([b ^ (np.uint64(1) << rng.integers(0, 64, 40).astype(np.uint64)) ^ (np.uint64(1) << rng.integers(0, 64, 40).astype(np.uint64)) for b in base]))
@@ -69,9 +69,40 @@ def test_forest_connects_what_all_pairs_connect():
         return {frozenset(i for i, v in enumerate(label) if v == k) for k in set(label)}
 
     every = [(i, j) for i in range(len(x)) for j in range(i) if int(x[i] ^ x[j]).bit_count() <= 3]
-    found = simhash.forest(x, x, 3, True)
-    assert len(found) < len(x) and classes(found) == classes(every)
-    assert all(int(x[a] ^ x[b]).bit_count() <= 3 for a, b in found)
+    for fine in (simhash.FINE, 10):  # by two counts, by four
+        monkeypatch.setattr(simhash, "FINE", fine)
+        found = simhash.forest(x, x, 3, True).tolist()
+        assert len(found) < len(x) and classes(found) == classes(every)
+        assert all(int(x[a] ^ x[b]).bit_count() <= 3 for a, b in found)
+        half = len(x) // 2
+        across = [(a, b + half) for a, b in simhash.forest(x[:half], x[half:], 3, False).tolist()]
+        assert classes(across) == classes([(i, j) for i, j in every if j < half <= i])
+
+
+def test_links_in_tiles_of_many_rows(spark, monkeypatch):
+    """Tiles of several rows each give the links of one tile; a group of near copies among random ones."""
+    rng = np.random.default_rng(9)
+    x = rng.integers(0, 1 << 63, 3000, dtype=np.uint64)
+    x = np.unique(np.r_[x, x[:900] ^ np.uint64(5), x[:1] ^ (np.uint64(1) << np.arange(64, dtype=np.uint64))])
+    df = spark.createDataFrame([(v,) for v in x.view(np.int64).tolist()], "fp long")
+    monkeypatch.setattr(simhash, "TILE", 16)
+    got = [sorted(map(tuple, simhash.classes(df, 3, tile).collect())) for tile in (1 << 20, 200, 50)]
+    assert got[0] == got[1] == got[2]
+    monkeypatch.undo()
+    assert got[0] == sorted(map(tuple, simhash.classes(df, 3).collect()))
+    v = x.tolist()
+    near = {(i, j) for i in range(len(v)) for j in np.flatnonzero(np.bitwise_count(x ^ x[i]) <= 3).tolist()}
+    label = dict(got[0])
+    signed = x.view(np.int64).tolist()
+    assert all(label[signed[i]] == label[signed[j]] for i, j in near)
+    assert len(set(label.values())) == len(x) - 900 - 64
+
+
+def test_exchange_of_tiles_is_bounded():
+    """Bytes that the tiles of n random fingerprints send: eight a fingerprint for each tile compared with."""
+    for n, most in ((2_300_000, 64), (23_000_000, 64), (230_000_000, 256)):
+        assert 8 * n * -(-n // simhash.tile_size(n)) <= 8 * n * most
+        assert simhash.TILE <= simhash.tile_size(n) <= simhash.LARGEST
 
 
 def test_components_of_a_long_chain_and_a_hub(spark):
