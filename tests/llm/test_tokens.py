@@ -1,6 +1,7 @@
 """Token counts and packing against the tokenizer itself."""
 
 import zlib
+from fractions import Fraction
 
 import numpy as np
 import pytest
@@ -142,3 +143,59 @@ def test_round_robin_carries_deficits():
         for token in (0, 1, n // 2, n - 1):
             r = rr.round_of(q, token)
             assert rr.served(np.array([r]))[q, 0] <= token < rr.served(np.array([r + 1]))[q, 0]
+
+
+def brute_stream(mixture, node):
+    """Deficit round-robin by hand: the (queue, token) stream of a node."""
+    if node < mixture.leaves:
+        return [(node, i) for i in range(mixture.T[node])]
+    rr, own = mixture.rounds(node), mixture.children[node]
+    streams = [brute_stream(mixture, c) for c in own]
+    total = sum(mixture.w[c] for c in own)
+    deficit, at, out = [Fraction(int(x)) for x in rr.ahead], [0] * len(own), []
+    while any(at[i] < len(x) for i, x in enumerate(streams)):
+        for i, c in enumerate(own):
+            deficit[i] += Fraction(mixture.window * mixture.w[c], total)
+            spend = int(deficit[i]) // int(rr.grain[i]) * int(rr.grain[i])
+            deficit[i] -= spend
+            out += streams[i][at[i] : at[i] + spend]
+            at[i] += spend
+    return out
+
+
+@pytest.mark.parametrize("scale", [1, 1 << 40])  # weights of 64 bits and beyond
+def test_mixture_is_round_robin_over_a_thousand_sources(scale):
+    rng = np.random.default_rng(5)
+    totals = [20000, 3000, *rng.integers(1, 150, 1000).tolist()]
+    mixture = packing.Mixture(totals, [n * scale for n in totals], 256)
+    stream = brute_stream(mixture, mixture.root)
+    assert len(stream) == sum(totals)
+    where = {x: i for i, x in enumerate(stream)}
+    docs = [(q, a, min(90, n - a)) for q, n in enumerate(totals) for a in range(0, n, 90)]
+    order = rng.permutation(len(docs))
+    queue, first, n = (np.array([docs[i][k] for i in order], np.int64) for k in range(3))
+    got = {}
+    for part in np.array_split(np.arange(len(docs)), 7):  # any slice places its own documents
+        for d, start, length, at in zip(*(x.tolist() for x in mixture.place(queue[part], first[part], n[part]))):
+            assert at // 256 == (at + length - 1) // 256
+            got |= {(int(queue[part][d]), int(first[part][d]) + start + i): at + i for i in range(length)}
+    assert got == where
+
+
+def test_shares_with_many_small_sources():
+    """A third of all tokens in one source beside 100,000 small ones: its share in each window, and little memory."""
+    import tracemalloc
+
+    small = [64 + i % 90 for i in range(100_000)]
+    hot = sum(small) // 2
+    mixture = packing.Mixture([hot, *small], [hot, *small], 4096)
+    first = np.arange(0, hot, 400)
+    _, _, length, at = mixture.place(np.zeros(len(first), np.int64), first, np.minimum(400, hot - first))
+    held = np.bincount(at // 4096, weights=length)
+    last = (hot + sum(small)) // 4096
+    assert abs(held[: last - 20] / 4096 - 1 / 3).max() <= (packing.GRAIN + 2) / 4096
+    tracemalloc.start()
+    queue = np.arange(1, 5001) * 20
+    _, _, length, _ = mixture.place(queue, np.zeros(5000, np.int64), np.array(small)[queue - 1])
+    assert length.sum() == np.array(small)[queue - 1].sum() and tracemalloc.get_traced_memory()[1] < 300 << 20
+    tracemalloc.stop()
