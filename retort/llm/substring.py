@@ -7,9 +7,11 @@ equal minimisers, so they meet there, where sorting finds for each window its ea
 * Exact copies of a text are one text: every copy but the earliest loses all its windows.
 * Minimisers that only one text has cannot hold shared windows; a first pass over (minimiser, text) counts
   finds them, so only super-k-mers of shared minimisers are packed and sent.
-* A bucket with more super-k-mers than ``hot`` (a boilerplate passage that a third of the rows hold) is not
+* A bucket with more words than ``hot`` (a boilerplate passage that a third of the rows hold) is not
   gathered in one task: its windows are keyed by their 128-bit hash and go through an aggregated minimum and
   a join, both of which split.
+* A super-k-mer is cut at ``LONGEST`` windows (one word said on and on would be a single one), and a bucket
+  is sorted as numbers of words, so a task holds ``hot`` words whatever the texts.
 """
 
 from __future__ import annotations
@@ -24,8 +26,10 @@ from retort.llm.common import byte_slices, bytes_of, materialize
 
 #: Words of the m-grams that minimisers are taken from.
 GRAM = 12
-#: Super-k-mers of one minimiser that a task sorts at once.
-HOT = 1000
+#: Windows of a super-k-mer at most; longer ones are cut.
+LONGEST = 512
+#: Words in the super-k-mers of one minimiser that a task sorts at once.
+HOT = 1 << 17
 ODD = np.uint64(0x9E3779B97F4A7C15)
 LAST = (1 << 63) - 1
 
@@ -47,41 +51,66 @@ def super_kmers(words: list[bytes], window: int, gram: int) -> tuple[np.ndarray,
         step = width - have
         least = np.minimum(least[:-step], least[step:])
     first = np.flatnonzero(np.r_[True, least[1:] != least[:-1]])
-    return least[first].view(np.int64), first, np.diff(np.r_[first, len(least)])
+    n = np.diff(np.r_[first, len(least)])
+    # a long one goes in parts that share window - 1 words, so each window is in one part
+    parts = -(-n // LONGEST)
+    at = np.repeat(first, parts) + LONGEST * (np.arange(parts.sum()) - np.repeat(np.cumsum(parts) - parts, parts))
+    return np.repeat(least[first], parts).view(np.int64), at, np.minimum(LONGEST, np.repeat(first + n, parts) - at)
+
+
+def names_of(words: np.ndarray, window: int) -> np.ndarray:
+    """A name for the ``window`` words from each place on: equal names, equal words. ``words`` are numbers;
+    the names of 1, 2, 4, ... words are paired and sorted, the last pair overlaps."""
+    have = 1
+    while have < window:
+        step = min(have, window - have)
+        left, right = words[:-step], words[step:]
+        order = np.lexsort((right, left))
+        a, b = left[order], right[order]
+        rank = np.cumsum(np.r_[0, (a[1:] != a[:-1]) | (b[1:] != b[:-1])])
+        words = np.empty(len(left), np.int64)
+        words[order] = rank
+        have += step
+    return words
+
+
+def _settle(rows, window: int):
+    """Of one minimiser's (text, rank, start, packed): (text, from, to) of words that a window covers which
+    an earlier rank has. All windows are named by sorting their words, so equal ones meet exactly."""
+    if len({r[0] for r in rows}) < 2:
+        return
+    number: dict[bytes, int] = {}
+    words = [[number.setdefault(w, len(number)) for w in r[3].split(b" ")] for r in rows]
+    n = np.array([len(w) for w in words])
+    flat = np.fromiter((x for w in words for x in w), np.int64, int(n.sum()))
+    begin = np.cumsum(n) - n
+    names = names_of(flat, window)
+    own = np.repeat(np.arange(len(rows)), n - window + 1)  # windows inside one packed string
+    place = np.arange(len(own)) - np.repeat(np.cumsum(n - window + 1) - (n - window + 1), n - window + 1)
+    name = names[begin[own] + place]
+    rank = np.array([r[1] for r in rows], np.int64)
+    best = np.full(int(names.max()) + 1, LAST, np.int64)
+    np.minimum.at(best, name, rank[own])
+    late = np.flatnonzero(best[name] < rank[own])
+    if not len(late):
+        return
+    first = np.r_[True, (own[late][1:] != own[late][:-1]) | (place[late][1:] != place[late][:-1] + 1)]
+    heads = late[first]
+    tails = late[np.r_[np.flatnonzero(first)[1:] - 1, len(late) - 1]]
+    for i, x, y in zip(own[heads].tolist(), place[heads].tolist(), place[tails].tolist()):
+        yield rows[i][0], rows[i][2] + x, rows[i][2] + y + window
 
 
 def _earliest(groups, window: int):
-    """From (minimiser, text, rank, start, packed) rows sorted by minimiser: (text, from, to) of words that
-    a window covers which an earlier rank has. One minimiser's rows are held at a time."""
-    def settle(rows):
-        if len({r[1] for r in rows}) < 2:
-            return
-        cut, best = [], {}
-        for text, rank, start, packed in ((r[1], r[2], r[3], r[4]) for r in rows):
-            words = packed.split(b" ")
-            keys = [b" ".join(words[i : i + window]) for i in range(len(words) - window + 1)]
-            cut.append((text, rank, start, keys))
-            for k in keys:
-                if rank < best.get(k, LAST + 1):
-                    best[k] = rank
-        for text, rank, start, keys in cut:
-            a = None
-            for i, k in enumerate(keys):
-                if best[k] < rank:
-                    a = i if a is None else a
-                elif a is not None:
-                    yield text, start + a, start + i - 1 + window
-                    a = None
-            if a is not None:
-                yield text, start + a, start + len(keys) - 1 + window
-
+    """``_settle`` over (minimiser, text, rank, start, packed) rows sorted by minimiser. One minimiser's rows
+    are held at a time: ``hot`` words at most."""
     rows, at = [], None
     for r in groups:
         if r[0] != at:
-            yield from settle(rows)
+            yield from _settle(rows, window)
             rows, at = [], r[0]
-        rows.append(r)
-    yield from settle(rows)
+        rows.append(r[1:])
+    yield from _settle(rows, window)
 
 
 def remove_repeats(docs: DataFrame, window: int = 50, gram: int = GRAM, hot: int = HOT) -> DataFrame:
@@ -115,7 +144,7 @@ def remove_repeats(docs: DataFrame, window: int = 50, gram: int = GRAM, hot: int
     # Copies give the same super-k-mers, so a minimiser is shared if more than one distinct text has it.
     pieces = rows.select("text_key", "text").mapInArrow(cut, "text_key binary, minimiser long, start long, windows long")
     pieces = materialize(pieces, "super-k-mers")
-    shared = pieces.groupBy("minimiser").agg(F.min(F.xxhash64("text_key")).alias("a"), F.max(F.xxhash64("text_key")).alias("b"), F.count("*").alias("n")).where("a != b").select("minimiser", "n")
+    shared = pieces.groupBy("minimiser").agg(F.min(F.xxhash64("text_key")).alias("a"), F.max(F.xxhash64("text_key")).alias("b"), F.sum(F.col("windows") + F.lit(window - 1)).alias("n")).where("a != b").select("minimiser", "n")
     wanted = pieces.join(materialize(shared, "shared-minimisers"), "minimiser").select("text_key", F.struct("minimiser", "start", "windows", (F.col("n") > hot).alias("hot")).alias("piece"))
     wanted = wanted.groupBy("text_key").agg(F.collect_set("piece").alias("pieces"))  # of one text at most
     wanted = materialize(wanted.join(texts, "text_key"), "wanted-pieces")

@@ -175,3 +175,22 @@ def test_repeats_on_awkward_rows(awkward):
     got = sorted(map(tuple, substring.digest(substring.remove_repeats(awkward)).collect()), key=str)
     assert got == brute_repeats(pairs(awkward), 50)
     assert substring.remove_repeats(awkward.limit(0)).count() == 0
+
+
+def test_windows_get_names_by_sorting():
+    rng = np.random.default_rng(2)
+    for window in (1, 2, 3, 7, 8, 50):
+        x = np.r_[rng.integers(0, 2, 150), np.zeros(120, np.int64), np.tile([0, 1, 2], 40)]
+        names = substring.names_of(x, window)
+        want = [tuple(x[i : i + window].tolist()) for i in range(len(x) - window + 1)]
+        assert len(names) == len(want) and len(set(names.tolist())) == len(set(want)) == len(set(zip(names.tolist(), want)))
+
+
+@pytest.mark.parametrize("hot", [substring.HOT, 400])
+def test_one_word_said_on_and_on(spark, hot):
+    """Super-k-mers longer than their bound are cut and lose no window."""
+    rows = [(i, "m " * (3000 + 7 * i) + f"x{i % 3} " + "m " * (i % 4) + "end") for i in range(9)] + [(20, "a b " * 900), (21, "z " + "a b " * 700)]
+    got = sorted(map(tuple, substring.digest(substring.remove_repeats(spark.createDataFrame(rows, "doc_id long, text string"), hot=hot)).collect()), key=str)
+    assert got == brute_repeats(rows, 50)
+    m, start, n = substring.super_kmers([b"m"] * 3000, 50, 12)
+    assert n.max() <= substring.LONGEST and n.sum() == 2951 and (start[1:] == (start + n)[:-1]).all() and len(set(m)) == 1
