@@ -109,3 +109,15 @@ def multi_hot(df: DataFrame, classes: DataFrame, key: str = "row_id", col: str =
     """
     hot = df.select(key, F.explode(F.array_distinct(col)).alias("label"))
     return hot.join(classes, "label").select(key, "label_id")
+
+
+def multi_hot_rows(df: DataFrame, classes: DataFrame, key: str = "row_id", col: str = "applications",
+                   width: int = 1 << 20) -> DataFrame:
+    """D7 (wide form): each row's 0/1 vector over all classes as the ascending places of its ones,
+    ``(key, segment, hot)``. A segment covers ``width`` classes and counts its places from its own start,
+    so a vector has an int index for any number of classes; a row always has segment 0, empty if the row
+    has no label. Rows with one key are one vector."""
+    bits = multi_hot(df, classes, key, col).select(
+        key, F.floor(F.col("label_id") / width).cast("int").alias("segment"), (F.col("label_id") % width).cast("int").alias("place"))
+    every = df.select(key, F.lit(0).alias("segment"), F.lit(None).cast("int").alias("place"))
+    return bits.unionByName(every).groupBy(key, "segment").agg(F.sort_array(F.collect_set("place")).alias("hot"))

@@ -81,6 +81,18 @@ def q_multi_hot(spark, sf):
     return C.multi_hot(df, C.label_classes(df))
 
 
+@register("multi_hot_rows", BASE + """,
+classes AS (
+  SELECT row_number() OVER (ORDER BY label) - 1 AS label_id, label
+  FROM (SELECT DISTINCT unnest(applications) AS label FROM cleaned)),
+bits AS (SELECT row_id, label_id FROM (SELECT row_id, unnest(list_distinct(applications)) AS label FROM cleaned) JOIN classes USING (label))
+SELECT c.row_id, coalesce(string_agg(CAST(label_id AS VARCHAR), ' ' ORDER BY label_id), '') AS hot
+FROM cleaned c LEFT JOIN bits b ON c.row_id = b.row_id GROUP BY c.row_id""")
+def q_multi_hot_rows(spark, sf):
+    df = cleaned(spark, sf)
+    return C.multi_hot_rows(df, C.label_classes(df)).select("row_id", F.array_join("hot", " ").alias("hot"))
+
+
 @register("parse_list", BASE + """
 SELECT row_id, array_to_string(from_json(replace(lit, '''', '"'), '["VARCHAR"]'), '|') AS parsed
 FROM (SELECT row_id, '[' || array_to_string(list_transform(applications, lambda x: '''' || x || ''''), ', ') || ']' AS lit

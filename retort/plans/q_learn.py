@@ -10,11 +10,14 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from retort import constants as K
+from retort.functions.smiles import tokenize
+from retort.operators import clean as C
 from retort.operators import learn as ML
 from retort.operators import lookup as L
 from retort.operators.similarity import words
 from retort.operators.vectors import bce_with_logits
 from retort.plans.catalog import register
+from retort.plans.q_clean import BASE, cleaned
 from retort.session import read_table
 
 LABELS = ["quality", "toxic"]
@@ -69,3 +72,35 @@ def q_multilabel_losses(spark, sf):
     """Loss and accuracy of each split and label, held-out ones too (no SQL: fitting is iterative)."""
     return losses(multilabel_scores(spark, sf)).select(
         "split", "label", "n", "positives", F.round("bce", 6).alias("bce"), F.round("accuracy", 6).alias("accuracy"), "learned")
+
+
+JOINT_FEATURES = 1 << 10
+
+
+def labelled_compounds(spark, sf):
+    """(rows, classes): cleaned compounds with the places of their SMILES tokens and of all their labels, split."""
+    df = cleaned(spark, sf)
+    classes = C.label_classes(df)
+    terms = df.select("row_id", ML.hashed_terms(tokenize("smiles"), JOINT_FEATURES).alias("terms"))
+    rows = terms.join(C.multi_hot_rows(df, classes).select("row_id", "hot"), "row_id")
+    return L.split(rows, "row_id").checkpoint(eager=True), classes
+
+
+@register("multilabel_joint", BASE + f""",
+classes AS (
+  SELECT row_number() OVER (ORDER BY label) - 1 AS label_id, label
+  FROM (SELECT DISTINCT unnest(applications) AS label FROM cleaned)),
+train AS (SELECT row_id, applications FROM (
+  SELECT row_id, applications, {SPLIT_SQL} AS split
+  FROM (SELECT *, CAST(('0x' || left(md5('{K.SPLIT_SEED}:' || CAST(row_id AS VARCHAR)), 8)) AS BIGINT) % 10000 AS b FROM cleaned)) WHERE split = 'train'),
+hot AS (SELECT label, count(*) AS positives FROM (SELECT unnest(list_distinct(applications)) AS label FROM train) GROUP BY label)
+SELECT c.label, (SELECT count(*) FROM train) AS n, coalesce(positives, 0) AS positives, true AS learned
+FROM classes c LEFT JOIN hot h ON c.label = h.label""")
+def q_multilabel_joint(spark, sf):
+    """Every application label in one optimiser: rows and positives trained on, and ``learned``: the label's
+    training loss is not above that of guessing its rate (a label of all or no training rows: under 1/n)."""
+    rows, classes = labelled_compounds(spark, sf)
+    train = rows.where(F.col("split") == "train")
+    weights, _ = ML.train_joint(train, JOINT_FEATURES, classes.count(), max_passes=20)
+    fits = F.col("bce") <= F.greatest(F.col("base") + 1e-9, 1 / F.col("n"))
+    return ML.joint_losses(train, weights).join(classes, "label_id").select("label", "n", "positives", fits.alias("learned"))
