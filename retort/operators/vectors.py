@@ -17,6 +17,10 @@ from pyspark.sql import functions as F
 
 from retort import constants as K
 from retort.functions.text import bind
+from retort.session import ensure_checkpoint_dir
+
+#: Edges of one vertex that a share of it holds.
+HUB_EDGES = 1 << 16
 
 
 def _c(col) -> Column:
@@ -117,33 +121,51 @@ def centroid_weights(df: DataFrame, label: str, vec: str) -> DataFrame:
     return per.select(F.col(label).alias("k"), w.alias("w"), b.alias("b"))
 
 
-def gcn_propagate(nodes: DataFrame, edges: DataFrame, layers: int = 2, node: str = "node",
-                  weights=None) -> DataFrame:
-    """H <- ReLU(D^-1/2 (A + I) D^-1/2 h W), ``layers`` times.
+def normalized_adjacency(nodes: DataFrame, edges: DataFrame, node: str = "node", hub: int = HUB_EDGES) -> tuple[DataFrame, DataFrame]:
+    """(adjacency, hubs) of D^-1/2 (A + I) D^-1/2, written once and partitioned by source vertex.
 
-    ``nodes``: long (node, dim, value); ``edges``: (src, dst) undirected
-    pairs, either direction, duplicates and self pairs ignored. ``weights``
-    (optional) is a small long table (dim_in, dim_out, w); identity when
-    None. One edge join and one partial aggregation per layer.
-    """
+    adjacency: (src, share, dst, norm). A vertex with more than ``hub`` edges is a hub and its edges are dealt
+    to several shares, so none is one task's; hubs: (src, shares), one row for ``hub`` edges at most."""
+    spark = nodes.sparkSession
+    ensure_checkpoint_dir(spark)
     e = edges.select(F.least("src", "dst").alias("a"), F.greatest("src", "dst").alias("b")) \
         .where(F.col("a") != F.col("b")).distinct()
     both = e.select(F.col("a").alias("src"), F.col("b").alias("dst")) \
         .unionByName(e.select(F.col("b").alias("src"), F.col("a").alias("dst")))
     ids = nodes.select(F.col(node).alias("src")).distinct()
-    loops = ids.select("src", F.col("src").alias("dst"))
-    adj = both.unionByName(loops)
+    adj = both.unionByName(ids.select("src", F.col("src").alias("dst")))
     deg = adj.groupBy("dst").agg(F.count(F.lit(1)).alias("deg"))
+    shares = F.ceil(F.col("ds") / hub)
     adj = (adj.join(deg.withColumnRenamed("dst", "src").withColumnRenamed("deg", "ds"), "src")
            .join(deg.withColumnRenamed("deg", "dd"), "dst")
-           .select("src", "dst", (F.lit(1.0) / F.sqrt(F.col("ds") * F.col("dd"))).alias("norm")))
+           .select("src", F.pmod(F.xxhash64("dst"), shares).cast("int").alias("share"), "dst",
+                   (F.lit(1.0) / F.sqrt(F.col("ds") * F.col("dd"))).alias("norm")))
+    # a fixed number of partitions: joins on (src, share) then move the values to the edges, not the edges
+    adj = adj.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "src", "share").checkpoint(eager=True)
+    hubs = deg.where(F.col("deg") > hub).select(F.col("dst").alias("src"), F.ceil(F.col("deg") / hub).cast("int").alias("shares"))
+    return adj, hubs.checkpoint(eager=True)
+
+
+def gcn_propagate(nodes: DataFrame, edges: DataFrame, layers: int = 2, node: str = "node",
+                  weights=None, hub: int = HUB_EDGES) -> DataFrame:
+    """H <- ReLU(D^-1/2 (A + I) D^-1/2 h W), ``layers`` times.
+
+    ``nodes``: long (node, dim, value); ``edges``: (src, dst) undirected
+    pairs, either direction, duplicates and self pairs ignored. ``weights``
+    (optional) is a small long table (dim_in, dim_out, w); identity when
+    None. The edges are exchanged once for any number of layers; a layer
+    moves the values to them and aggregates the messages partially.
+    """
+    adj, hubs = normalized_adjacency(nodes, edges, node, hub)
     h = nodes.select(F.col(node).alias("src"), "dim", F.col("value").cast("double").alias("value"))
     for _ in range(layers):
         if weights is not None:
             h = (h.join(weights.withColumnRenamed("dim_in", "dim"), "dim")
                  .groupBy("src", "dim_out").agg(F.sum(F.col("value") * F.col("w")).alias("value"))
                  .withColumnRenamed("dim_out", "dim"))
-        msg = adj.join(h, "src").groupBy("dst", "dim").agg(F.sum(F.col("norm") * F.col("value")).alias("value"))
+        dealt = h.join(hubs, "src", "left").select(
+            "src", F.explode(F.sequence(F.lit(0), F.coalesce("shares", F.lit(1)) - 1)).alias("share"), "dim", "value")
+        msg = adj.join(dealt, ["src", "share"]).groupBy("dst", "dim").agg(F.sum(F.col("norm") * F.col("value")).alias("value"))
         h = msg.select(F.col("dst").alias("src"), "dim", F.greatest(F.col("value"), F.lit(0.0)).alias("value"))
     return h.withColumnRenamed("src", node)
 
