@@ -12,12 +12,15 @@ aggregation. A weight table is reduced to one array by a scalar subquery
 
 from __future__ import annotations
 
+import re
+import uuid
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from retort import constants as K
 from retort.functions.text import bind
-from retort.session import ensure_checkpoint_dir
+from retort.session import ensure_checkpoint_dir, scratch_path
 
 #: Edges of one vertex that a share of it holds.
 HUB_EDGES = 1 << 16
@@ -122,7 +125,7 @@ def centroid_weights(df: DataFrame, label: str, vec: str) -> DataFrame:
 
 
 def normalized_adjacency(nodes: DataFrame, edges: DataFrame, node: str = "node", hub: int = HUB_EDGES) -> tuple[DataFrame, DataFrame]:
-    """(adjacency, hubs) of D^-1/2 (A + I) D^-1/2, written once and partitioned by source vertex.
+    """(adjacency, hubs) of D^-1/2 (A + I) D^-1/2, written once as a table bucketed by source vertex.
 
     adjacency: (src, share, dst, norm). A vertex with more than ``hub`` edges is a hub and its edges are dealt
     to several shares, so none is one task's; hubs: (src, shares), one row for ``hub`` edges at most."""
@@ -140,8 +143,11 @@ def normalized_adjacency(nodes: DataFrame, edges: DataFrame, node: str = "node",
            .join(deg.withColumnRenamed("deg", "dd"), "dst")
            .select("src", F.pmod(F.xxhash64("dst"), shares).cast("int").alias("share"), "dst",
                    (F.lit(1.0) / F.sqrt(F.col("ds") * F.col("dd"))).alias("norm")))
-    # a fixed number of partitions: joins on (src, share) then move the values to the edges, not the edges
-    adj = adj.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "src", "share").checkpoint(eager=True)
+    # bucketed by what the layers join on: they move the values to the edges, not the edges
+    buckets, path = int(spark.conf.get("spark.sql.shuffle.partitions")), scratch_path(spark, "adjacency")
+    table = re.sub(r"\W", "_", path.rsplit("/", 1)[-1]) + f"_{uuid.uuid4().hex[:12]}"
+    adj.repartition(buckets, "src", "share").write.bucketBy(buckets, "src", "share").format("parquet").option("path", path).saveAsTable(table)
+    adj = spark.table(table)
     hubs = deg.where(F.col("deg") > hub).select(F.col("dst").alias("src"), F.ceil(F.col("deg") / hub).cast("int").alias("shares"))
     return adj, hubs.checkpoint(eager=True)
 

@@ -1,4 +1,4 @@
-"""Graph layers over one partitioned adjacency."""
+"""Graph layers over one bucketed adjacency."""
 
 import re
 
@@ -48,7 +48,7 @@ def test_layers_do_not_exchange_the_edges(spark):
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
     lines = plan.split("\n")
     depth = [re.search(r"[A-Za-z]", x).start() if x.strip() else 0 for x in lines]
-    scans = [i for i, x in enumerate(lines) if "Scan ExistingRDD[src" in x and "norm" in x]
+    scans = [i for i, x in enumerate(lines) if "FileScan" in x and "Bucketed: true" in x]
     assert len(scans) == 3
     for i in scans:
         above, at = [], i
