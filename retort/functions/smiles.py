@@ -86,13 +86,13 @@ def _rings_ok(toks: Column, kinds: Column) -> Column:
     """Ring labels pair up in order; the two ends of a pair lie on different atoms that are not neighbours
     in the chain already."""
     ends = F.filter(F.transform(kinds, lambda k, i: F.when(k == "ring", F.struct(
-        F.element_at(toks, i + 1).alias("label"), i.alias("pos"),
-        F.size(F.filter(F.slice(kinds, F.lit(1), i + 1), lambda x: x == "atom")).alias("atom")))), lambda e: e.isNotNull())
+        F.element_at(toks, i + 1).alias("label"), i.alias("pos")))), lambda e: e.isNotNull())
 
     def pair_ok(a: Column, b: Column) -> Column:
-        between = F.slice(kinds, a["pos"] + 1, b["pos"] - a["pos"])
-        next_to = (b["atom"] == a["atom"] + 1) & ~F.exists(between, lambda k: k.isin("close", "dot"))
-        return b.isNotNull() & (b["atom"] != a["atom"]) & ~next_to
+        # between the ends lies an atom (else they are on one), and a second one or a break of the chain (else
+        # they are neighbours)
+        between = F.filter(F.slice(kinds, a["pos"] + 2, b["pos"] - a["pos"] - 1), lambda k: k.isin("atom", "close", "dot"))
+        return b.isNotNull() & F.array_contains(between, "atom") & (F.size(between) > 1)
 
     def label_ok(own: Column) -> Column:
         return F.forall(F.transform(own, lambda e, j: F.when(j % 2 == 0, pair_ok(e, F.try_element_at(own, j + 2))).otherwise(True)), lambda ok: ok)

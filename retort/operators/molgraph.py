@@ -20,11 +20,19 @@ orders (triple or two doubles SP, double/aromatic SP2, else SP3);
 conjugated = aromatic, or single between two unsaturated atoms; in-ring
 = ring closure, or a tree bond crossed by a closure (bridge test on the
 depth-first tree: some closure has exactly one end in the child's
-subtree).
+subtree). That test is linear: both labels of a closure carry its mark, a
+running exclusive-or of the marks stands beside every token, and a subtree
+is a stretch of tokens, so its own exclusive-or is that of two running
+values. Closures within the subtree cancel; what is left is nonzero if one
+crosses. A mark has 128 hashed bits: crossing closures that cancel each
+other would take marks that add up to nothing by chance, 2^-128 a bond.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import or_
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -37,6 +45,8 @@ BRACKET_RE = K.BRACKET_ATOM
 BOND_NAME = {"-": "SINGLE", "/": "SINGLE", "\\": "SINGLE", "=": "DOUBLE", "#": "TRIPLE", ":": "AROMATIC"}
 ALLOWED_VALENCES = {"B": [3], "C": [4], "N": [3, 5], "O": [2], "P": [3, 5], "S": [2, 4, 6],
                     "F": [1], "Cl": [1], "Br": [1], "I": [1]}
+#: Hash seeds of a closure's mark, 64 bits each.
+MARKS = (0, 1)
 
 
 def _w(*parts):
@@ -69,7 +79,8 @@ def token_rows(mols: DataFrame, col: str = "smiles") -> DataFrame:
 
 def _structure(tokens: DataFrame) -> DataFrame:
     """Per token: depth, branch, atom index, the atom it attaches to
-    (``prev``), and the bond symbol written before it."""
+    (``prev``), the bond symbol written before it, a ring label's ``pair`` and
+    whether a closure crosses into the subtree that begins here (``crossed``)."""
     step = F.when(F.col("kind") == "open", 1).when(F.col("kind") == "close", -1).otherwise(0)
     by_pos = _w().orderBy("pos")
     t = (tokens
@@ -96,10 +107,10 @@ def _structure(tokens: DataFrame) -> DataFrame:
     u = u.withColumn("branch", F.sum((F.col("kind") == "open").cast("int")).over(
         _w("depth").orderBy("pos").rowsBetween(Window.unboundedPreceding, 0)))
     grp = _w("depth", "branch").orderBy("pos").rowsBetween(Window.unboundedPreceding, -1)
-    # value an atom leaves for later atoms of its group: (index, token,
-    # position); a dot leaves index -1
-    me = F.struct(F.col("atom_idx").alias("idx"), F.col("tok").alias("tok"), F.col("pos").alias("pos"))
-    dot = F.struct(F.lit(-1).alias("idx"), F.lit(None).cast("string").alias("tok"), F.lit(-1).alias("pos"))
+    # value an atom leaves for later atoms of its group: (index, token); a
+    # dot leaves index -1
+    me = F.struct(F.col("atom_idx").alias("idx"), F.col("tok").alias("tok"))
+    dot = F.struct(F.lit(-1).alias("idx"), F.lit(None).cast("string").alias("tok"))
     val = F.when(F.col("kind") == "atom", me).when(F.col("kind") == "dot", dot)
     u = u.withColumn("_bp", F.last(val, ignorenulls=True).over(grp))
     # hand the anchor's value (the branch point) to its '(' row
@@ -107,13 +118,22 @@ def _structure(tokens: DataFrame) -> DataFrame:
     val2 = val.when(F.col("kind") == "open", F.col("_bp_open"))
     u = u.withColumn("prev_atom", F.last(val2, ignorenulls=True).over(grp))
     u = u.withColumn("prev", F.col("prev_atom")["idx"])
-    # subtree end of an atom: the first ')' or '.' after it in its group
-    ahead = _w("depth", "branch").orderBy("pos").rowsBetween(1, Window.unboundedFollowing)
-    u = u.withColumn("_end", F.first(F.when(F.col("kind").isin("close", "dot"), F.col("pos") - 1),
-                                      ignorenulls=True).over(ahead))
-    u = u.withColumn("_last", F.max("pos").over(_w()))
-    u = u.withColumn("sub_end", F.coalesce("_end", "_last"))
-    return u.where(~F.col("is_anchor")).drop("_bp", "_bp_open", "_end", "_last", "is_anchor")
+    # ring labels pair up in order; a label that follows no atom has no place in the tree
+    ring = F.col("kind") == "ring"
+    u = u.withColumn("pair", F.when(ring, ((F.row_number().over(_w("tok").orderBy("pos")) + 1) / 2).cast("int")))
+    so_far = _w().orderBy("pos").rowsBetween(Window.unboundedPreceding, 0)
+    for i in MARKS:
+        mark = F.when(ring & (F.col("prev") >= 0), F.xxhash64("tok", "pair", F.lit(i))).otherwise(F.lit(0).cast("bigint"))
+        u = u.withColumn(f"_mark{i}", F.bit_xor(mark).over(so_far))
+    # subtree of an atom: up to the first ')' or '.' after it in its group, else to the last token
+    marks = [f"_mark{i}" for i in MARKS]
+    # (read backwards: a frame that reaches to the end of its group is worked out anew for each row)
+    ahead = _w("depth", "branch").orderBy(F.desc("pos")).rowsBetween(Window.unboundedPreceding, -1)
+    end = F.last(F.when(F.col("kind").isin("close", "dot"), F.struct(*marks)), ignorenulls=True).over(ahead)
+    last = F.last(F.struct(*marks)).over(_w().orderBy("pos").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
+    u = u.withColumn("_end", end).withColumn("_end", F.coalesce("_end", last))
+    u = u.withColumn("crossed", reduce(or_, [F.col(m) != F.col("_end")[m] for m in marks]))
+    return u.where(~F.col("is_anchor")).drop("_bp", "_bp_open", "_end", "is_anchor", *marks)
 
 
 def _bond_symbol(prev_tok: Column, prev_kind: Column) -> Column:
@@ -149,24 +169,19 @@ def _atom_props(t: DataFrame) -> DataFrame:
 
 
 def _chain_and_ring_bonds(s: DataFrame) -> DataFrame:
-    """One row per bond: mol_id, src, dst, endpoint tokens and positions,
-    symbol, ring_closure, and for tree bonds the child's subtree range."""
+    """One row per bond: mol_id, src, dst, endpoint tokens, symbol,
+    ring_closure, in_ring."""
     chain = (s.where((F.col("kind") == "atom") & F.col("prev").isNotNull() & (F.col("prev") >= 0))
              .select("mol_id", F.col("prev").alias("src"), F.col("atom_idx").alias("dst"),
                      F.col("prev_atom")["tok"].alias("src_tok"), F.col("tok").alias("dst_tok"),
-                     F.col("prev_atom")["pos"].alias("src_pos"), F.col("pos").alias("dst_pos"),
                      _bond_symbol(F.col("prev_tok"), F.col("prev_kind")).alias("symbol"),
-                     F.lit(False).alias("ring_closure"), F.col("pos").alias("sub_start"), "sub_end"))
-    labels = (s.where(F.col("kind") == "ring")
-              .withColumn("_k", F.row_number().over(_w("tok").orderBy("pos")))
-              .withColumn("_pair", ((F.col("_k") + 1) / 2).cast("int")))
+                     F.lit(False).alias("ring_closure"), F.col("crossed").alias("in_ring")))
     end = F.struct("pos", "prev_atom", _bond_symbol(F.col("prev_tok"), F.col("prev_kind")).alias("sym"))
-    ring = (labels.groupBy("mol_id", "tok", "_pair").agg(F.min(end).alias("a"), F.max(end).alias("b"))
+    ring = (s.where(F.col("kind") == "ring").groupBy("mol_id", "tok", "pair").agg(F.min(end).alias("a"), F.max(end).alias("b"))
             .select("mol_id", F.col("a.prev_atom.idx").alias("src"), F.col("b.prev_atom.idx").alias("dst"),
                     F.col("a.prev_atom.tok").alias("src_tok"), F.col("b.prev_atom.tok").alias("dst_tok"),
-                    F.col("a.prev_atom.pos").alias("src_pos"), F.col("b.prev_atom.pos").alias("dst_pos"),
                     F.coalesce("a.sym", "b.sym").alias("symbol"), F.lit(True).alias("ring_closure"),
-                    F.lit(None).cast("int").alias("sub_start"), F.lit(None).cast("int").alias("sub_end")))
+                    F.lit(True).alias("in_ring")))
     return chain.unionByName(ring)
 
 
@@ -193,14 +208,6 @@ def graph(mols: DataFrame, col: str = "smiles"):
     ensure_checkpoint_dir(mols.sparkSession)
     s = _structure(token_rows(mols, col)).checkpoint(eager=True)
     b = _chain_and_ring_bonds(s)
-    # in-ring: each tree bond against its molecule's closures (a short list)
-    mol = _w()
-    closures = F.collect_list(F.when(F.col("ring_closure"), F.struct(F.col("src_pos").alias("ps"),
-                                                                    F.col("dst_pos").alias("pd")))).over(mol)
-    b = b.withColumn("_cl", closures)
-    crossed = F.exists("_cl", lambda c: c["ps"].between(F.col("sub_start"), F.col("sub_end"))
-                       != c["pd"].between(F.col("sub_start"), F.col("sub_end")))
-    b = b.withColumn("in_ring", F.col("ring_closure") | crossed).drop("_cl")
     sym = F.col("symbol")
     implicit = F.when(_tok_aromatic(F.col("src_tok")) & _tok_aromatic(F.col("dst_tok")) & F.col("in_ring"),
                       F.lit("AROMATIC")).otherwise(F.lit("SINGLE"))
