@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from retort.functions.smiles import valid_smiles
@@ -43,10 +43,16 @@ def dedupe_first(df: DataFrame, key: str = "smiles", order=("source_rank", "ordi
     holding a third of all rows is reduced inside each map task before the
     shuffle instead of landing whole in one window task.
     """
+    return df.groupBy(key).agg(_first_row(df, key, order).alias("_first")).select(*_row_columns(df, key))
+
+
+def _first_row(df: DataFrame, key: str, order) -> Column:
     payload = [c for c in df.columns if c != key and c not in order]
-    first = F.min(F.struct(*[F.col(o) for o in order], *[F.col(c) for c in payload])).alias("_first")
-    out = df.groupBy(key).agg(first)
-    return out.select(key, *[F.col("_first")[c].alias(c) for c in list(order) + payload]).select(*df.columns)
+    return F.min(F.struct(*order, *payload))
+
+
+def _row_columns(df: DataFrame, key: str) -> list[Column]:
+    return [F.col(c) if c == key else F.col("_first")[c].alias(c) for c in df.columns]
 
 
 def with_clean_tags(df: DataFrame, col: str = "applications") -> DataFrame:
@@ -94,6 +100,29 @@ def profile_stages(df: DataFrame, key: str = "smiles") -> DataFrame:
              (F.col("deduped") - F.col("invalid")).alias("final"))
 
 
+def write_profiled(df: DataFrame, path: str, key: str = "smiles", order=("source_rank", "ordinal")) -> DataFrame:
+    """D4 with the write: the deduplicated, valid rows go to ``path`` as Parquet, and the stage counters of
+    ``profile_stages`` are observed on that same job, so no scan or job is made for them.
+
+    The aggregate that keeps each key's first row also counts its rows, and all counters are observed
+    behind it, in the stage that writes. There a task's counts are taken once; in a stage before a
+    shuffle, the tasks that run again after an executor was lost would count twice. Null and empty keys are counted in ``raw`` only
+    and not written; an empty frame writes no row and counts zeros. ``path`` must not exist. Returns one row: raw,
+    non_null, deduped, invalid, final (all long). Columns called ``_first``, ``_rows`` or ``_valid`` in ``df`` are kept."""
+    spark = df.sparkSession
+    present = F.col(key).isNotNull() & (F.length(key) > 0)
+    keyed = (df.groupBy(key).agg(_first_row(df, key, order).alias("_first"), F.count(F.lit(1)).alias("_rows"))
+             .withColumn("_valid", present & valid_smiles(F.col(key))))
+    seen = Observation()
+    n = lambda c: F.coalesce(F.sum(c), F.lit(0)).cast("bigint")
+    keyed = keyed.observe(seen, n(F.col("_rows")).alias("raw"), n(F.when(present, F.col("_rows"))).alias("non_null"),
+                          F.count_if(present).alias("deduped"), F.count_if(present & ~F.col("_valid")).alias("invalid"))
+    keyed.where("_valid").select(*_row_columns(df, key)).write.option("compression", "zstd").parquet(path)
+    got = seen.get
+    row = [got[c] for c in ("raw", "non_null", "deduped", "invalid")]
+    return spark.createDataFrame([(*row, row[2] - row[3])], "raw long, non_null long, deduped long, invalid long, final long")
+
+
 def label_classes(df: DataFrame, col: str = "applications") -> DataFrame:
     """Distinct labels in code-point order with a dense 0-based id."""
     labels = df.select(F.explode(col).alias("label")).distinct()

@@ -77,7 +77,7 @@ def q_heavy_atoms(spark, sf):
     return df.select("smiles", G.heavy_atoms("smiles").cast("bigint").alias("heavy"))
 
 
-@register("stage_counts", BASE + f""",
+STAGE_COUNTS = BASE + f""",
 per_key AS (SELECT smiles, count(*) AS c FROM compounds GROUP BY smiles),
 checked AS ({O.smiles_view("per_key")})
 SELECT CAST(sum(c) AS BIGINT) AS raw,
@@ -86,11 +86,23 @@ SELECT CAST(sum(c) AS BIGINT) AS raw,
        count(*) FILTER (WHERE smiles IS NOT NULL AND length(smiles) > 0 AND NOT valid) AS invalid,
        count(*) FILTER (WHERE smiles IS NOT NULL AND length(smiles) > 0)
          - count(*) FILTER (WHERE smiles IS NOT NULL AND length(smiles) > 0 AND NOT valid) AS final
-FROM checked""")
+FROM checked"""
+
+
+@register("stage_counts", STAGE_COUNTS)
 def q_stage_counts(spark, sf):
     return C.profile_stages(A.compounds(spark, sf))
 
 
+@register("stage_counts_written", f"""
+SELECT c.*, c.final AS written FROM ({STAGE_COUNTS}) c""")
+def q_stage_counts_written(spark, sf):
+    """The counters as they come with the write of the clean table, beside the rows that it holds."""
+    path = scratch_path(spark, "clean")
+    counts = C.write_profiled(A.compounds(spark, sf), path)
+    return counts.withColumn("written", F.lit(spark.read.parquet(path).count()).cast("bigint"))
+
+
 @register("rule_tags", BASE + f"""
 SELECT row_id, array_to_string({O.rule_tags_sql('smiles', 'valid', 'heavy', 'name', O._q(K.CHEMBL_HINT))}, '|') AS tags
 FROM ({O.smiles_view("cleaned")})""")
