@@ -9,8 +9,8 @@ and any white space as one kind of blank. Of the grams, q is the item's own: the
 its full number of edits leaves a shared gram. A text's place counts once in a band, however often the item
 repeats the gram there, which keeps the work on rules and other repeated letters in line with the text.
 
-The items are the query set. They are taken in blocks of at most ``block_bytes``, each block broadcast as
-an index of that bounded size, so a benchmark of any size is searched whole, block by block.
+The items are the query set. They are broadcast in blocks of some ``block_bytes``, and the documents are read once,
+however many blocks there are: a worker builds one block's index at a time and runs a stretch of texts through it.
 """
 
 from __future__ import annotations
@@ -23,11 +23,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from retort.llm.common import byte_slices, per_text, texts_of
+from retort.llm.common import byte_slices, texts_of
 
 Q = 8
 MAX_EDITS = 0.10
 BLOCK_BYTES = 4 << 20
+#: Of several blocks, texts that a worker holds while it takes one block after the other.
+STRETCH_BYTES = 64 << 20
 BITS = 20
 #: Letters searched at a time, and postings that they meet.
 LETTERS = 1 << 20
@@ -319,14 +321,40 @@ def align(item: np.ndarray, x: np.ndarray, diagonal: int, width: int, edits: int
     return end - length, end, int(back.min())
 
 
-def _indexes(benchmark: DataFrame, q: int, max_edits: float, block_bytes: int):
-    """An index for each block of items; the driver holds one block at a time."""
-    items = benchmark.where(F.length("text") > 0).select(F.col("item_id").cast("long").alias("item_id"), "text").distinct()
+def _blocks(benchmark: DataFrame, block_bytes: int) -> list:
+    """The items in broadcast blocks of (item ids, text): a text is in one block, once, with all its ids. The driver
+    holds one block at a time; an index, which is some 25 times larger, is built by the workers and not sent."""
+    items = (benchmark.where(F.length("text") > 0).groupBy("text")
+             .agg(F.collect_set(F.struct(F.col("item_id").cast("long").alias("id"))).alias("ids")))
     size = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    blocks = math.ceil(size / block_bytes)
-    for b in range(blocks):
-        rows = items.where(F.pmod(F.xxhash64("text"), F.lit(blocks)) == b).collect()
-        yield items.sparkSession.sparkContext.broadcast(Index.build([tuple(r) for r in rows], q, max_edits))
+    n = math.ceil(size / block_bytes)
+    blocks = (items.where(F.pmod(F.xxhash64("text"), F.lit(n)) == b).collect() for b in range(n))
+    return [benchmark.sparkSession.sparkContext.broadcast([(tuple(i.id for i in r.ids), r.text) for r in rows]) for rows in blocks]
+
+
+def _searched(blocks: list, q: int, max_edits: float, batches):
+    """(slice, the regions of each of its texts) for every slice of the batches. One scan and one worker serve all
+    blocks: of several, a worker holds a single index at a time and takes each over a stretch of slices."""
+    only = Index.build(blocks[0].value, q, max_edits) if len(blocks) == 1 else None
+
+    def search(parts):
+        found = [[[] for _ in range(part.num_rows)] for part in parts]
+        for block in blocks:
+            index = only or Index.build(block.value, q, max_edits)
+            for part, regions in zip(parts, found):
+                for own, more in zip(regions, index.regions(texts_of(part))):
+                    own += more
+        return zip(parts, found)
+
+    held, size = [], 0
+    for part in (part for batch in batches for part in byte_slices(batch, "text")):
+        held.append(part)
+        size += part.nbytes
+        if only or size >= STRETCH_BYTES:
+            yield from search(held)
+            held, size = [], 0
+    if held:
+        yield from search(held)
 
 
 REGIONS = "doc_id long, item_id long, start long, end long, edits long"
@@ -337,26 +365,28 @@ def leaks(docs: DataFrame, benchmark: DataFrame, q: int = Q, max_edits: float =
 
     An item may have ``max_edits`` of its length in edits; one too short for a whole edit counts only where it
     occurs as it is. Null and empty texts and items give nothing;
-    repeated documents give their regions each, repeated items once; empty tables give none; other columns are not read."""
-    out = None
-    for index in _indexes(benchmark, q, max_edits, block_bytes):
-        def run(batch, index=index):
-            found = index.value.regions(texts_of(batch))
-            rows = [(d, *r) for d, regions in zip(batch.column("doc_id").to_pylist(), found) for r in regions]
-            return pa.RecordBatch.from_arrays([pa.array(list(c), pa.int64()) for c in (zip(*rows) if rows else [[]] * 5)], names=["doc_id", "item_id", "start", "end", "edits"])
+    repeated documents give their regions each, repeated items once; items with one text give its regions each;
+    empty tables give none; other columns are not read."""
+    blocks = _blocks(benchmark, block_bytes)
+    if not blocks:
+        return docs.sparkSession.createDataFrame([], REGIONS)
 
-        part = per_text(docs, REGIONS, run)
-        out = part if out is None else out.unionByName(part)
-    return docs.sparkSession.createDataFrame([], REGIONS) if out is None else out
+    def run(batches):
+        for part, found in _searched(blocks, q, max_edits, batches):
+            rows = [(d, i, *r) for d, regions in zip(part.column("doc_id").to_pylist(), found) for ids, *r in regions for i in ids]
+            yield pa.RecordBatch.from_arrays([pa.array(list(c), pa.int64()) for c in (zip(*rows) if rows else [[]] * 5)], names=["doc_id", "item_id", "start", "end", "edits"])
+
+    return docs.select("doc_id", "text").mapInArrow(run, REGIONS)
 
 
 def drop_leaks(docs: DataFrame, benchmark: DataFrame, q: int = Q, max_edits: float = MAX_EDITS, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """The rows of ``docs`` that hold no benchmark item, with all their columns."""
-    for index in _indexes(benchmark, q, max_edits, block_bytes):
-        def run(batches, index=index):
-            for batch in batches:
-                for part in byte_slices(batch, "text"):
-                    yield part.filter(pa.array([not found for found in index.value.regions(texts_of(part))], pa.bool_()))
-
-        docs = docs.mapInArrow(run, docs.schema)
-    return docs
+    blocks = _blocks(benchmark, block_bytes)
+    if not blocks:
+        return docs
+
+    def run(batches):
+        for part, found in _searched(blocks, q, max_edits, batches):
+            yield part.filter(pa.array([not regions for regions in found], pa.bool_()))
+
+    return docs.mapInArrow(run, docs.schema)

@@ -349,3 +349,20 @@ def test_fingerprints_on_awkward_rows(awkward):
 def test_short_digests(text):
     assert len(fingerprint.digest(text)) == 1 + fingerprint.BUCKETS // 4
     assert fingerprint.likeness(fingerprint.digest(text), fingerprint.digest(text)) == 1
+
+
+def test_leaks_read_once_for_any_blocks(spark):
+    rnd = random.Random(8)
+    word = lambda: "".join(rnd.choice("abcdefghijklmnop") for _ in range(rnd.randint(2, 9)))
+    items = [" ".join(word() for _ in range(12)) for _ in range(40)]
+    docs = [(i, " ".join([word() for _ in range(30)] + [items[i % 40]] * (i % 3 == 0) + [items[i * 7 % 40]] * (i % 5 == 0))) for i in range(200)]
+    bench = spark.createDataFrame([(k, t) for k, t in enumerate(items)] + [(100 + k, items[0]) for k in range(3)] + [(None, items[1])], "item_id long, text string")
+    df = spark.createDataFrame(docs, "doc_id long, text string").repartition(2)
+    one, many = (decontaminate.leaks(df, bench, block_bytes=n) for n in (4 << 20, 700))
+    rows = sorted(map(tuple, one.collect()), key=str)
+    assert rows == sorted(map(tuple, many.collect()), key=str)
+    assert {(d, i) for d, i, *_ in rows} == {(d, i) for d, t in docs for i, x in [*enumerate(items), *[(100 + k, items[0]) for k in range(3)], (None, items[1])] if x in t}
+    dropped = decontaminate.drop_leaks(df, bench, block_bytes=700)
+    for plan in (many, dropped):
+        assert plan._jdf.queryExecution().optimizedPlan().toString().count("MapInArrow") == 1
+    assert sorted(r.doc_id for r in dropped.collect()) == [d for d, t in docs if not any(x in t for x in items)]
