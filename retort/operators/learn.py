@@ -17,7 +17,7 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.ml.classification import LogisticRegression
+from pyspark.ml.classification import LogisticRegression, LogisticRegressionModel
 from pyspark.ml.feature import HashingTF
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.stat import Summarizer
@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from retort.operators.clean import union_sources
-from retort.session import ensure_checkpoint_dir
+from retort.session import ensure_checkpoint_dir, scratch_path
 
 NUM_FEATURES = 1 << 18
 MAX_ITER = 20
@@ -44,14 +44,19 @@ def featurize(df: DataFrame, tokens: str, num_features: int = NUM_FEATURES) -> D
 def train_multilabel(feats: DataFrame, labels, split: str = "split", train_value: str = "train",
                      max_iter: int = MAX_ITER, reg_param: float = REG_PARAM):
     """One fitted binary model per label column, trained on the ``train``
-    rows of a featurised frame."""
+    rows of a featurised frame.
+
+    A fitted model holds its training summary and through that the session, which tasks can't be sent once
+    something in it was observed; models are therefore saved and loaded, which leaves the summary behind."""
     train = feats.where(F.col(split) == train_value)
     models = {}
     for label in labels:
         lr = LogisticRegression(featuresCol="features", labelCol="_y", predictionCol="_pred",
                                 probabilityCol="_prob", rawPredictionCol="_raw",
                                 maxIter=max_iter, regParam=reg_param)
-        models[label] = lr.fit(train.withColumn("_y", F.col(label).cast("double")))
+        path = scratch_path(feats.sparkSession, "model")
+        lr.fit(train.withColumn("_y", F.col(label).cast("double"))).write().save(path)
+        models[label] = LogisticRegressionModel.load(path)
     return models
 
 

@@ -38,3 +38,13 @@ def test_losses_of_every_split(spark, sf_dir):
         assert r.n == len(mine) and abs(r.bce - bce) < 1e-3
         assert abs(r.accuracy - sum(x.prediction == x.y for x in mine) / len(mine)) < 1e-3
         assert r.learned is (True if r.split == "train" else None)
+
+
+def test_scores_after_an_observation(spark, sf_dir):
+    """A session that observed something can't be sent to tasks; a fitted model must not carry it there."""
+    from pyspark.sql import Observation
+
+    seen = Observation()
+    spark.range(3).observe(seen, F.count(F.lit(1)).alias("n")).collect()
+    assert seen.get["n"] == 3
+    assert {r.label for r in q_learn.q_multilabel_loss(spark, sf_dir).collect()} == {"quality", "toxic"}
