@@ -94,3 +94,20 @@ def test_states_compose_over_ranges(spark):
     got = R._states(spark.createDataFrame(effects, R.EFFECTS)).collect()
     assert {(r.file, r.range): (r.inside, r.from_range if r.inside else None) for r in got} == {k: v for k, v in want.items() if k[1] > 0}
     assert all(r.crlf == (int(r.file) % 2 == 0) for r in got)
+
+
+def test_line_breaks_are_written_and_read_by_many_tasks(spark, sf_dir, tmp_path):
+    """No task of csv_line_breaks holds the whole table: as many files as the scan has tasks."""
+    from pathlib import Path
+
+    from retort.plans import q_sources as Q
+    from retort.session import scratch_root
+
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    docs.repartition(6).write.parquet(str(tmp_path / "documents.parquet"))
+    before = set(Path(scratch_root(spark)).glob("csv-*/texts"))
+    got = Q.q_csv_line_breaks(spark, str(tmp_path))
+    (path,) = set(Path(scratch_root(spark)).glob("csv-*/texts")) - before
+    assert len(list(path.glob("part-*"))) > 1
+    want = docs.select("doc_id", F.md5(F.col("text").cast("binary")).alias("text_md5"), "source", F.size(F.split("text", "\n")).cast("bigint").alias("n_lines"))
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
