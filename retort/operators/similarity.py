@@ -1,14 +1,16 @@
 """Set-similarity search on word shingles (C7, re-aimed from a remote 2-D
 similarity service).
 
-Exact Jaccard >= t by prefix filtering: order every shingle by document
-frequency (rarest first, ties by text); a set of size s only needs its
-first s - ceil(t*s) + 1 shingles indexed, because two sets with Jaccard
->= t must share one of those. Candidates come from an equi-join on prefix
-shingles (plus the size filter t*|A| <= |B| <= |A|/t) and are verified
-exactly with ``array_intersect``. Common shingles sort last, so they
-rarely enter a prefix; the frequency join runs through AQE's skew split
-when one shingle is in a large share of documents.
+Exact Jaccard >= t by prefix filtering: order every shingle alike in all sets;
+a set of size s only needs its first s - ceil(t*s) + 1 shingles indexed,
+because two sets with Jaccard >= t must share one of those. Candidates come
+from an equi-join on prefix shingles (plus the size filter
+t*|A| <= |B| <= |A|/t and a bound by place) and are verified exactly with
+``array_intersect``. Any one order will do; here it is by counts of a fixed
+number of cells of hashes, so common shingles sort last and rarely enter a
+prefix, and every row orders its own: only prefixes travel, never all
+shingles. Documents with one and the same set share its row, so a thousand
+copies of a text are one set to join.
 
 ``similar_lsh`` finds candidates by banded min-hash instead and verifies
 them the same way.
@@ -17,9 +19,17 @@ them the same way.
 from __future__ import annotations
 
 import math
-
+from collections.abc import Iterator
+from hashlib import blake2b, md5
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark.ml.functions import array_to_vector
+from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from retort.session import scratch_path, spread
 
@@ -28,6 +38,10 @@ SHINGLE_WORDS = 5
 #: bands of more than one row.
 MISS_RATE = 3e-6
 MOST_BANDS = 48
+#: Words, or hashes, that Python works on at a time.
+WORDS = 1 << 20
+#: Cells that shingles are counted in to tell common ones, and numbers in one row of a partial sum.
+CELLS, SEGMENT = 1 << 20, 1 << 14
 _BLANKS = "[ \\t\\n\\r]+"
 
 
@@ -37,31 +51,51 @@ def words(text) -> Column:
     return F.filter(F.split(F.lower(t), _BLANKS), lambda w: F.length(w) > 0)
 
 
-def shingles_of(words_col, k: int = SHINGLE_WORDS) -> Column:
-    """Distinct k-word shingles of a word array column; fewer than k words
-    -> one shingle; no words -> empty set."""
-    w = words_col if isinstance(words_col, Column) else F.col(words_col)
-    n = F.size(w)
-    # k shifted views zipped position by position: linear in the text
-    m = F.greatest(n - k + 1, F.lit(1))
-    views = [F.slice(w, j + 1, m).alias(str(j)) for j in range(k)]
-    grams = F.transform(F.arrays_zip(*views), lambda z: F.concat_ws(" ", *[z[str(j)] for j in range(k)]))
-    return (F.when(n >= k, F.array_distinct(grams))
-            .when(n > 0, F.array(F.array_join(w, " ")))
-            .otherwise(F.array().cast("array<string>")))
-
-
-def with_shingles(df: DataFrame, key: str, text: str, k: int = SHINGLE_WORDS) -> DataFrame:
-    """(id, sh) per document with at least one word (work spread over the
-    cluster first).
-
-    Blank documents are dropped by a cheap test on the raw text, before the
-    spread: a filter on ``size(sh)`` would be pushed below the repartition
-    and build every document's shingles twice.
-    """
-    present = df.select(key, text).where(F.col(text).rlike(r"[^ \t\n\r]"))
-    w = spread(present).select(F.col(key).alias("id"), words(text).alias("_w"))
-    return w.select("id", shingles_of("_w", k).alias("sh"))
+def _mix(x: np.ndarray) -> np.ndarray:
+    """A one-to-one scramble of 64-bit numbers."""
+    for factor in (0xFF51AFD7ED558CCD, 0xC4CEB9FE1A85EC53):
+        x = (x ^ (x >> np.uint64(33))) * np.uint64(factor)
+    return x ^ (x >> np.uint64(33))
+
+
+def _pieces(column: pa.Array, limit: int = WORDS) -> Iterator[pa.Array]:
+    """Stretches of a list column with at most ``limit`` items (one row at least)."""
+    ends = np.cumsum(pc.fill_null(pc.list_value_length(column), 0).to_numpy(zero_copy_only=False), dtype=np.int64)
+    start, base = 0, 0
+    while start < len(column):
+        stop = max(start + 1, int(np.searchsorted(ends, base + limit, side="right")))
+        yield column.slice(start, stop - start)
+        start, base = stop, int(ends[stop - 1])
+
+
+def shingle_sets(words_column: pa.Array, k: int = SHINGLE_WORDS) -> Iterator[np.ndarray]:
+    """For each row of words (empty ones don't count) the ascending 64-bit hashes of its different k-word shingles; fewer
+    than k words: one shingle; none: no hash. Each different word is hashed once, shingles from their words' hashes."""
+    lengths = pc.fill_null(pc.list_value_length(words_column), 0).to_numpy(zero_copy_only=False)
+    coded = pc.list_flatten(words_column).dictionary_encode()
+    different, code = coded.dictionary.to_pylist(), coded.indices.to_numpy(zero_copy_only=False)
+    hashes = np.array([int.from_bytes(blake2b(w.encode(), digest_size=8).digest(), "little") for w in different], np.uint64)
+    there = np.array([w != "" for w in different], bool)[code]
+    number = np.bincount(np.repeat(np.arange(len(lengths)), lengths)[there], minlength=len(lengths))
+    x = hashes[code[there]]
+    grams, whole = x, max(0, len(x) - k + 1)
+    for j in range(1, k):
+        grams = _mix(grams[:whole]) + x[j : j + whole]
+    grams = _mix(grams[:whole])
+    for start, n in zip((np.cumsum(number) - number).tolist(), number.tolist()):
+        if n >= k:
+            own = np.sort(grams[start : start + n - k + 1])
+            yield own[np.r_[True, own[1:] != own[:-1]]]
+        else:
+            own = x[start : start + n]
+            for _ in range(n - 1):
+                own = np.r_[_mix(own[:1]) + own[1], own[2:]]
+            yield _mix(own ^ np.uint64(n))
+
+
+def _lists(parts: list[np.ndarray], kind) -> pa.Array:
+    ends = np.cumsum([0, *map(len, parts)])
+    return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate(parts) if parts else [], kind))
 
 
 def _prefix_len(size: Column, pct: int) -> Column:
@@ -69,29 +103,94 @@ def _prefix_len(size: Column, pct: int) -> Column:
     return size - F.floor((size * pct + 99) / 100).cast("int") + 1
 
 
-def _sets(corpus: DataFrame, refs: DataFrame | None, key: str, text: str, k: int) -> tuple[DataFrame, DataFrame]:
-    """Members (id, side, set) and sets (set, size, h), written once in the checkpoint folder.
+def _hashed(df: DataFrame, key: str, text: str, k: int, side: str) -> DataFrame:
+    """(id, side, set, size, h) per document with at least one word, the work spread over the cluster first. ``h``:
+    its shingles' hashes, ``set``: a 128-bit hash of those."""
+    present = df.select(F.col(key).alias("id"), F.lit(side).alias("side"), text).where(F.col(text).rlike(r"[^ \t\n\r]"))
+    split = spread(present).select("id", "side", F.split(F.lower(text), _BLANKS).alias("w"))
+    schema = T.StructType(split.schema.fields[:2]).add("set", T.BinaryType()).add("size", T.IntegerType()).add("h", T.ArrayType(T.LongType()))
 
-    Shingles are 64-bit hashes from here on. Documents with one and the same
-    set share its row, so a thousand copies of a text are one set to join."""
-    docs = with_shingles(corpus, key, text, k).withColumn("side", F.lit("d"))
-    if refs is not None:
-        docs = docs.unionByName(with_shingles(refs, key, text, k).withColumn("side", F.lit("r")))
-    h = F.array_sort(F.transform("sh", lambda x: F.xxhash64(x)))
-    path = scratch_path(corpus.sparkSession, "shingle-sets")
-    docs.select("id", "side", h.alias("h")).withColumn("set", F.md5(F.array_join("h", ","))).write.parquet(path)
-    rows = corpus.sparkSession.read.parquet(path)
-    sets = rows.dropDuplicates(["set"]).select("set", F.size("h").alias("size"), "h")
-    if refs is not None:
-        sides = rows.groupBy("set").agg(F.bool_or(F.col("side") == "r").alias("is_ref"), F.bool_or(F.col("side") == "d").alias("is_doc"))
-        sets = sets.join(sides, "set")
-    else:
-        sets = sets.withColumn("is_ref", F.lit(True)).withColumn("is_doc", F.lit(True))
-    return rows.select("id", "side", "set"), sets
+    def run(batches):
+        for batch in batches:
+            at = 0
+            for part in _pieces(batch.column("w")):
+                sets = list(shingle_sets(part, k))
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column(0).slice(at, len(part)), batch.column(1).slice(at, len(part)), pa.array([md5(s.tobytes()).digest() for s in sets], pa.binary()),
+                     pa.array([len(s) for s in sets], pa.int32()), _lists([s.view(np.int64) for s in sets], pa.int64())], names=schema.names)
+                at += len(part)
 
+    return split.mapInArrow(run, schema)
 
-def _verified(cand: DataFrame, sets: DataFrame, pct: int) -> DataFrame:
-    """(a, b, jaccard) of candidate pairs of sets that reach the threshold."""
+
+def _sets(corpus: DataFrame, refs: DataFrame | None, key: str, text: str, k: int) -> DataFrame:
+    """(id, side, set, size, h) of all documents, written once in the checkpoint folder."""
+    docs = _hashed(corpus, key, text, k, "d")
+    if refs is not None:
+        docs = docs.unionByName(_hashed(refs, key, text, k, "r"))
+    return corpus.sparkSession.read.parquet(_written(docs, "shingle-sets"))
+
+
+def _arrays(batch: pa.RecordBatch, column: str = "h") -> list[np.ndarray]:
+    """The rows of a list column as views of one array."""
+    values, lengths = pc.list_flatten(batch.column(column)).to_numpy(zero_copy_only=False), pc.list_value_length(batch.column(column)).to_numpy(zero_copy_only=False)
+    return np.split(values, np.cumsum(lengths)[:-1]) if len(lengths) else []
+
+
+def _cells(rows: DataFrame) -> np.ndarray:
+    """How many shingles of ``rows`` fall in each of ``CELLS`` cells of hashes: a fixed size whatever the input, added up
+    by Spark in segments of one partial sum a task."""
+    def run(batches):
+        total = np.zeros(CELLS)
+        for batch in batches:
+            total += np.bincount(pc.list_flatten(batch.column("h")).to_numpy(zero_copy_only=False) & (CELLS - 1), minlength=CELLS)
+        yield pa.RecordBatch.from_arrays([pa.array(range(CELLS // SEGMENT), pa.int32()), pa.array(list(total.reshape(-1, SEGMENT)), pa.list_(pa.float64()))], names=["segment", "part"])
+
+    tasks = rows.select("h").coalesce(rows.sparkSession.sparkContext.defaultParallelism)
+    sums = tasks.mapInArrow(run, "segment int, part array<double>").groupBy("segment").agg(Summarizer.sum(array_to_vector("part")).alias("total"))
+    total = np.zeros(CELLS, np.int64)
+    for r in sums.collect():  # CELLS numbers
+        total[r.segment * SEGMENT : (r.segment + 1) * SEGMENT] = r.total.toArray()
+    return total
+
+
+def _ranked(rows: DataFrame, pct: int, asked: bool = False) -> DataFrame:
+    """(set, size, is_ref, is_doc, g, rn): of each different set the prefix that a pair of ``pct`` per cent shares something
+    of, each shingle with its place. Shingles are ordered by how full their cell is, then by hash: one order for
+    all sets, in which common shingles come last. ``asked``: without the shingles whose cell no reference has."""
+    cells = _cells(rows)
+    wanted = _cells(rows.where("side = 'r'")) > 0 if asked else None
+
+    def run(batches):
+        for batch in batches:
+            g, rn = [], []
+            for h in _arrays(batch):
+                cell = h & (CELLS - 1)
+                order = np.lexsort((h, cells[cell]))[: len(h) - (len(h) * pct + 99) // 100 + 1]
+                place = np.arange(1, len(order) + 1, dtype=np.int32)
+                if wanted is not None:
+                    kept = wanted[cell[order]]
+                    order, place = order[kept], place[kept]
+                g.append(h[order])
+                rn.append(place)
+            ref = pc.equal(batch.column("side"), "r")
+            yield pa.RecordBatch.from_arrays([batch.column("set"), batch.column("size"), ref, pc.invert(ref), _lists(g, pa.int64()), _lists(rn, pa.int32())],
+                                             names=["set", "size", "is_ref", "is_doc", "g", "rn"])
+
+    each = rows.select("side", "set", "size", "h").mapInArrow(run, "set binary, size int, is_ref boolean, is_doc boolean, g array<bigint>, rn array<int>")
+    sets = each.groupBy("set").agg(F.first("size").alias("size"), F.bool_or("is_ref").alias("is_ref"), F.bool_or("is_doc").alias("is_doc"),
+                                   F.first(F.struct("g", "rn")).alias("p"))
+    path = _written(sets.select("set", "size", "is_ref", "is_doc", "p.g", "p.rn"), "prefixes")
+    long = rows.sparkSession.read.parquet(path).select("set", "size", "is_ref", "is_doc", F.explode(F.arrays_zip("g", "rn")).alias("z"))
+    return long.select("set", "size", "is_ref", "is_doc", "z.g", "z.rn")
+
+
+def _verified(cand: DataFrame, rows: DataFrame, pct: int) -> DataFrame:
+    """(a, b, jaccard) of candidate pairs of sets that reach the threshold. Only sets of a candidate travel."""
+    spark = rows.sparkSession
+    cand = spark.read.parquet(_written(cand, "candidates"))
+    met = cand.select(F.col("a").alias("set")).union(cand.select(F.col("b"))).distinct()
+    sets = spark.read.parquet(_written(rows.select("set", "h").join(met, "set", "left_semi").dropDuplicates(["set"]), "candidate-sets"))
     v = (cand.join(sets.select(F.col("set").alias("a"), F.col("h").alias("ha")), "a")
          .join(sets.select(F.col("set").alias("b"), F.col("h").alias("hb")), "b"))
     v = v.select("a", "b", F.size(F.array_intersect("ha", "hb")).alias("i"), F.size("ha").alias("sa"), F.size("hb").alias("sb"))
@@ -99,38 +198,49 @@ def _verified(cand: DataFrame, sets: DataFrame, pct: int) -> DataFrame:
     return v.select("a", "b", (F.col("i") / (F.col("sa") + F.col("sb") - F.col("i"))).alias("jaccard"))
 
 
-def _prefix_candidates(sets: DataFrame, pct: int) -> DataFrame:
-    """Pairs of different sets that share one of their rarest shingles, (a, b) with a of a reference."""
-    # every set is non-empty; explode_outer avoids an inferred, pushed-down size filter
-    long = sets.select("set", "size", "is_ref", "is_doc", F.explode_outer("h").alias("g"))
-    ranked = long.join(long.groupBy("g").agg(F.count(F.lit(1)).alias("df")), "g")
-    w = Window.partitionBy("set").orderBy("df", "g")
-    prefix = ranked.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") <= _prefix_len(F.col("size"), pct))
-    a = prefix.where("is_ref").select(F.col("set").alias("a"), F.col("size").alias("sa"), "g")
-    b = prefix.where("is_doc").select(F.col("set").alias("b"), F.col("size").alias("sb"), "g")
-    near = (F.col("sb") * 100 >= F.col("sa") * pct) & (F.col("sa") * 100 >= F.col("sb") * pct)
-    return a.join(b, "g").where(near & (F.col("a") != F.col("b"))).select("a", "b").distinct()
+def _band_keys(rows: DataFrame, bands: int, per_band: int) -> DataFrame:
+    """(set, band): the keys of each set's bands, of ``per_band`` min-hashes each. A min-hash is the least of the set's
+    hashes, scrambled with a seed of its own."""
+    seeds = _mix(np.arange(1, bands * per_band + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
 
+    def run(batches):
+        for batch in batches:
+            at = 0
+            for h in _pieces(batch.column("h")):
+                values, lengths = pc.list_flatten(h).to_numpy(zero_copy_only=False).view(np.uint64), pc.list_value_length(h).to_numpy(zero_copy_only=False)
+                first = np.cumsum(lengths) - lengths  # no set is empty
+                keys = np.tile(_mix(np.arange(1, bands + 1, dtype=np.uint64)), (len(h), 1))
+                for i, seed in enumerate(seeds):
+                    keys[:, i // per_band] = _mix(keys[:, i // per_band]) + np.minimum.reduceat(_mix(values ^ seed), first)
+                yield pa.RecordBatch.from_arrays([batch.column("set").slice(at, len(h)), _lists(list(keys.view(np.int64)), pa.int64())], names=["set", "bands"])
+                at += len(h)
 
-def _band_candidates(sets: DataFrame, bands: int, rows: int) -> DataFrame:
-    """Pairs of different sets that agree on all ``rows`` min-hashes of some band."""
-    keys = sets.select("set", "is_ref", "is_doc", F.explode(F.array(*[_band(i, rows) for i in range(bands)])).alias("band"))
-    a = keys.where("is_ref").select(F.col("set").alias("a"), "band")
-    b = keys.where("is_doc").select(F.col("set").alias("b"), "band")
-    return a.join(b, "band").where(F.col("a") != F.col("b")).select("a", "b").distinct()
+    each = rows.select("set", "h").mapInArrow(run, "set binary, bands array<bigint>")
+    return each.dropDuplicates(["set"]).select("set", F.explode("bands").alias("band"))
 
 
-def _band(i: int, rows: int) -> Column:
-    def least(n: int) -> Column:
-        return F.array_min(F.transform("h", lambda g: F.xxhash64(g, F.lit(n))))
+def _band_candidates(rows: DataFrame, bands: int, per_band: int) -> DataFrame:
+    """Pairs (a < b) of different sets that agree on all min-hashes of some band."""
+    keys = rows.sparkSession.read.parquet(_written(_band_keys(rows, bands, per_band), "bands"))
+    a, b = keys.withColumnRenamed("set", "a"), keys.withColumnRenamed("set", "b")
+    return a.join(b, "band").where(F.col("a") < F.col("b")).select("a", "b").distinct()
 
-    return F.xxhash64(F.lit(i), *[least(i * rows + r) for r in range(rows)])
 
+def _prefix_pairs(rows: DataFrame, pct: int) -> DataFrame:
+    """Pairs (a < b, jaccard) of different sets that reach the threshold."""
+    prefixes = _ranked(rows, pct)
+    return _verified(_bounded_candidates(prefixes, prefixes, pct).where("a < b"), rows, pct)
 
-def _expanded(members: DataFrame, pairs: DataFrame, sets: DataFrame, refs: bool, n: int | None) -> DataFrame:
+
+def _expanded(members: DataFrame, pairs: DataFrame, refs: bool, n: int | None) -> DataFrame:
     """Pairs of sets (and each set with itself) as pairs of documents. With ``n`` and no references, each
     document's n best of those with larger ids."""
-    pairs = pairs.unionByName(sets.where("is_ref and is_doc").select(F.col("set").alias("a"), F.col("set").alias("b"), F.lit(1.0).alias("jaccard")))
+    # a set that one document has pairs with itself for nothing
+    own = members.groupBy("set").agg(F.bool_or(F.col("side") == "r").alias("is_ref"), F.bool_or(F.col("side") == "d").alias("is_doc"), F.count(F.lit(1)).alias("n"))
+    same = own.where("is_ref and is_doc" if refs else "n > 1").select(F.col("set").alias("a"), F.col("set").alias("b"), F.lit(1.0).alias("jaccard"))
+    if not refs:
+        pairs = pairs.unionByName(pairs.select(F.col("b").alias("a"), F.col("a").alias("b"), "jaccard"))
+    pairs = pairs.unionByName(same)
     left = members.where(F.col("side") == ("r" if refs else "d")).select(F.col("id").alias("ref_id"), F.col("set").alias("a"))
     right = members.where(F.col("side") == "d").select(F.col("id").alias("doc_id"), F.col("set").alias("b"))
     out = pairs.join(left, "a").join(right, "b")
@@ -147,9 +257,8 @@ def similar_sets(corpus: DataFrame, threshold: int = 90, key: str = "doc_id", te
                  k: int = SHINGLE_WORDS) -> tuple[DataFrame, DataFrame]:
     """C7 without expansion: membership (id, set) and pairs of different sets
     (a < b, jaccard). No copy is paired with a copy."""
-    members, sets = _sets(corpus, None, key, text, k)
-    pairs = _verified(_prefix_candidates(sets, int(threshold)).where("a < b"), sets, int(threshold))
-    return members.select("id", "set"), pairs
+    rows = _sets(corpus, None, key, text, k)
+    return rows.select("id", "set"), _prefix_pairs(rows, int(threshold))
 
 
 #: Thresholds that ``nearest`` tries first: references that have their n documents at one leave the search.
@@ -180,21 +289,18 @@ def nearest(corpus: DataFrame, refs: DataFrame, n: int, threshold: int = 90, key
     first n sets by similarity and least id, so copies beyond those are never paired. What comes out, and
     what is written on the way, grows with the references times n at most, and with the corpus."""
     spark = corpus.sparkSession
-    members, sets = _sets(corpus, refs, key, text, k)
+    rows = _sets(corpus, refs, key, text, k)
+    members = rows.select("id", "side", "set")
     scratch = lambda df, name: spark.read.parquet(_written(df, name))
     by_id = Window.partitionBy("set").orderBy("id")
     docs = members.where("side = 'd'")
     first = scratch(docs.withColumn("rn", F.row_number().over(by_id)).where(F.col("rn") <= n).select(F.col("set").alias("b"), F.col("id").alias("doc_id")), "first-members")
     sizes = scratch(docs.groupBy(F.col("set").alias("b")).agg(F.count(F.lit(1)).alias("n"), F.min("id").alias("least")), "set-sizes")
 
-    long = sets.select("set", "size", "is_ref", "is_doc", F.explode_outer("h").alias("g"))
     # only shingles of a reference can be shared with one; the order is by the corpus and the references alike
-    counts = long.groupBy("g").agg(F.count(F.lit(1)).alias("df"), F.bool_or("is_ref").alias("asked")).where((F.col("df") > 1) | F.col("asked"))
-    ranked = long.join(counts, "g", "left").withColumn("df", F.coalesce("df", F.lit(1)))
-    ranked = ranked.withColumn("rn", F.row_number().over(Window.partitionBy("set").orderBy("df", "g"))).where(F.coalesce("asked", F.lit(False)))
-    ranked = scratch(ranked.select("set", "size", "is_ref", "is_doc", "g", "rn"), "ranked-shingles")
-
-    ref_sets = sets.where("is_ref").select(F.col("set").alias("a"), "is_doc")
+    ranked = _ranked(rows, int(threshold), asked=True)
+    ref_sets = members.groupBy(F.col("set").alias("a")).agg(F.bool_or(F.col("side") == "r").alias("is_ref"), F.bool_or(F.col("side") == "d").alias("is_doc")).where("is_ref")
+    ref_sets = scratch(ref_sets.select("a", "is_doc"), "reference-sets")
     same = ref_sets.where("is_doc").select("a", F.col("a").alias("b"), F.lit(1.0).alias("jaccard"))
     asked, found = ref_sets.select("a"), None
     order = Window.partitionBy("a").orderBy(F.desc("jaccard"), "least")
@@ -202,7 +308,7 @@ def nearest(corpus: DataFrame, refs: DataFrame, n: int, threshold: int = 90, key
     levels = [s for s in sorted(steps, reverse=True) if s > threshold] + [int(threshold)]
     for level in levels:
         mine = ranked.where("is_ref").join(asked.withColumnRenamed("a", "set"), "set", "left_semi")
-        pairs = _verified(_bounded_candidates(mine, ranked.where("is_doc"), level), sets, level)
+        pairs = _verified(_bounded_candidates(mine, ranked.where("is_doc"), level), rows, level)
         pairs = pairs.unionByName(same.join(asked, "a", "left_semi")).join(sizes, "b")
         best = pairs.withColumn("have", F.sum("n").over(so_far)).withColumn("rn", F.row_number().over(order)).where(F.col("rn") <= n)
         done = scratch(best.select("a", "b", "jaccard", "have"), f"nearest-{level}")
@@ -237,9 +343,12 @@ def similar(corpus: DataFrame, refs: DataFrame | None = None, threshold: int = 9
     """
     if refs is not None and n is not None:
         return nearest(corpus, refs, n, threshold, key, text, k)
-    members, sets = _sets(corpus, refs, key, text, k)
-    pairs = _verified(_prefix_candidates(sets, int(threshold)), sets, int(threshold))
-    return _expanded(members, pairs, sets, refs is not None, n)
+    rows = _sets(corpus, refs, key, text, k)
+    if refs is None:
+        return _expanded(rows.select("id", "side", "set"), _prefix_pairs(rows, int(threshold)), False, n)
+    prefixes = _ranked(rows, int(threshold), asked=True)
+    met = _bounded_candidates(prefixes.where("is_ref"), prefixes.where("is_doc"), int(threshold))
+    return _expanded(rows.select("id", "side", "set"), _verified(met, rows, int(threshold)), True, n)
 
 
 def banding(threshold: int, rows: int | None = None) -> tuple[int, int]:
@@ -263,6 +372,6 @@ def similar_lsh(corpus: DataFrame, threshold: int = 90, key: str = "doc_id", tex
     no pair it asks for is missed with more than ``MISS_RATE`` (12 bands of
     4 rows at 90). ``similar`` misses none."""
     derived, rows = banding(int(threshold), rows)
-    members, sets = _sets(corpus, None, key, text, k)
-    pairs = _verified(_band_candidates(sets, bands or derived, rows), sets, int(threshold))
-    return _expanded(members, pairs, sets, False, None)
+    members = _sets(corpus, None, key, text, k)
+    pairs = _verified(_band_candidates(members, bands or derived, rows), members, int(threshold))
+    return _expanded(members.select("id", "side", "set"), pairs, False, None)

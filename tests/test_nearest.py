@@ -62,3 +62,20 @@ def test_empty_tables(spark):
     none = spark.createDataFrame([], "doc_id long, text string")
     some = spark.createDataFrame([(1, "a b c d e f")], "doc_id long, text string")
     assert S.nearest(none, some, 3).count() == 0 and S.nearest(some, none, 3).count() == 0
+
+
+def test_only_prefixes_travel(spark):
+    """Of each different set the rows exchanged are its prefix's, not all its shingles; with references only what they may share."""
+    rng = random.Random(5)
+    words = [f"v{i}" for i in range(5000)]
+    docs = [(i, " ".join(rng.choice(words) for _ in range(rng.randint(1, 300)))) for i in range(60)]
+    docs += [(100 + i, t) for i, t in docs] + [(300, " \n "), (301, None), (302, "ÀB  c"), (303, "àb\tC")]
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    rows = S._sets(df, None, "doc_id", "text", 5)
+    sets = {frozenset(shingles(t)) for _, t in docs if t and t.strip()}
+    assert {(r.set, r["size"]) for r in rows.select("set", "size").collect()}.__len__() == len(sets) == 61
+    assert sum(r["size"] for r in rows.dropDuplicates(["set"]).collect()) == sum(map(len, sets))
+    ranked = S._ranked(rows, 90)
+    assert ranked.count() == sum(len(s) - -(-90 * len(s) // 100) + 1 for s in sets)
+    asked = S._sets(df, spark.createDataFrame([(1, docs[0][1])], "doc_id long, text string"), "doc_id", "text", 5)
+    assert S._ranked(asked, 5, asked=True).where("not is_ref").count() < sum(map(len, sets)) / 10
