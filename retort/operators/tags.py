@@ -43,10 +43,12 @@ def hint_category(col, mapping=K.APPLICATION_MAPPING) -> Column:
 def name_categories(col, mapping=K.APPLICATION_MAPPING) -> Column:
     """Every category with a keyword in the lower-cased name, in mapping
     order (empty for NULL)."""
-    low = F.lower(_c(col))
-    hits = F.array(*[F.when(_contains_any(low, words), F.lit(cat)) for cat, words in mapping])
-    return F.when(low.isNull(), F.array().cast("array<string>")).otherwise(
-        F.filter(hits, lambda x: x.isNotNull()))
+    def named(low: Column) -> Column:
+        hits = F.array(*[F.when(_contains_any(low, words), F.lit(cat)) for cat, words in mapping])
+        return F.when(low.isNull(), F.array().cast("array<string>")).otherwise(F.filter(hits, lambda x: x.isNotNull()))
+
+    # the filter is not compiled: an unbound name would be put together and lower-cased once a keyword
+    return bind(F.lower(_c(col)), named)
 
 
 #: Letters of the grams that keywords are filed under; shorter keywords are filed under themselves.

@@ -35,7 +35,7 @@ def q_hint_category(spark, sf):
 @register("name_categories", BASE + f"""
 SELECT row_id, array_to_string({O.name_categories_sql(HINT)}, '|') AS categories FROM compounds""")
 def q_name_categories(spark, sf):
-    df = A.compounds(spark, sf)
+    df = spread(A.compounds(spark, sf).select("row_id", "applications"))
     return df.select("row_id", F.array_join(G.name_categories(F.array_join("applications", " ")), "|")
                      .alias("categories"))
 

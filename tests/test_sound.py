@@ -191,3 +191,11 @@ def test_samples_cycle_without_making_every_row(spark, n):
     seen = spark.createDataFrame([(K.PHARMA_SAMPLES[1][0],)], "smiles string")
     got = {r.smiles: (r.compound_id, r.name, r.applications) for r in SC.sample_compounds(spark, "pharma", n, seen).collect()}
     assert got == {k: v for k, v in first.items() if k != K.PHARMA_SAMPLES[1][0]}
+
+
+def test_a_name_is_lowered_once(spark):
+    """The categories of a name test one bound value, not the name's expression again for each keyword."""
+    from retort.operators import tags as G
+    df = spark.createDataFrame([(["Drug", "ink"],), (None,), ([],)], "tags array<string>").select(G.name_categories(F.array_join("tags", " ")).alias("c"))
+    assert df._jdf.queryExecution().optimizedPlan().toString().count("lower(") == 1
+    assert [r.c for r in df.collect()][1:] == [[], []]
