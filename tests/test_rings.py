@@ -81,3 +81,11 @@ def test_large_molecules(spark):
     assert (count(0, True), count(0, False)) == (6 * units, units - 1)
     assert (count(1, True), count(1, False)) == (6 * units + units + 2, 0)
     assert (count(2, True), count(2, False)) == (0, 99999)
+
+
+def test_the_structure_shuffles_molecules_once(spark):
+    """Anchors keep the partitioning by molecule, so no window of the structure exchanges tokens."""
+    from retort.operators import molgraph as M
+    mols = spark.createDataFrame([(1, "c1ccccc1C(=O)O"), (2, "C1CC1.CN")], "mol_id long, smiles string")
+    plan = M._structure(M.token_rows(mols))._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1
