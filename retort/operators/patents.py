@@ -10,11 +10,14 @@ patterns run with ``(?iU)``.
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import or_
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from retort import constants as K
-from retort.functions.text import first_assignee, join_text, ptrim
+from retort.functions.text import bind, first_assignee, join_text, ptrim
 
 _W = "[A-Za-z0-9_]"
 _B = f"(?<!{_W})"
@@ -86,13 +89,45 @@ _JVM_EQUIVALENT = {
 }
 
 
-def pattern_matches(t: Column, p: str) -> Column:
+#: What a text must hold, folded, for a pattern to match it: one of some words, or what a cheaper pattern finds.
+#: Patterns that are not listed run on every text.
+_NEEDS = {
+    r"\b\d+[a-z]?-[a-z\-]+-\d+[a-z]?\b": ("-",),
+    r"\b(?:compound|drug|molecule|chemical)\s+\w+\b": ("compound", "drug", "molecule", "chemical"),
+    r"compound\s+([A-Z]\w*)": ("compound",),
+    r"formula\s+([A-Z][A-Za-z0-9]+)": ("formula",),
+    r"(\w+(?:ine|anol|acid|ate|ide))\s+(?:was|is|can|has)": r"(?U)(?:ine|anol|acid|ate|ide)\s+(?:was|is|can|has)",
+    r"synthesis\s+of\s+(\w+)": ("synthesis",),
+    r"preparation\s+of\s+(\w+)": ("preparation",),
+    r"active\s+ingredient\s+(\w+)": ("ingredient",),
+    r"therapeutic\s+agent\s+(\w+)": ("therapeutic",),
+    r"drug\s+(\w+)": ("drug",),
+    r"molecule\s+([A-Z]\w*)": ("molecule",),
+}
+
+
+def folded(t: Column) -> Column:
+    """Lower-cased text, with the four other letters that match an ASCII letter when case is ignored as that letter."""
+    return F.lower(F.translate(t, "\u017f\u0131\u0130\u212a", "siik"))
+
+
+def pattern_matches(t: Column, p: str, group: int = 0) -> Column:
     """All matches of one pattern, Python-``re`` semantics."""
     pattern, ends = _JVM_EQUIVALENT.get(p, (p, None))
-    found = F.regexp_extract_all(t, F.lit("(?iU)" + pattern), 0)
+    found = F.regexp_extract_all(t, F.lit("(?iU)" + pattern), group)
     return F.filter(found, lambda x: x.rlike(ends)) if ends else found
 
 
+def _matches(t: Column, fold: Column, p: str, group: int) -> Column:
+    """``pattern_matches``, run only on texts that hold what the pattern needs."""
+    found = pattern_matches(t, p, group)
+    needs = _NEEDS.get(p)
+    if needs is None:
+        return found
+    there = fold.rlike(needs) if isinstance(needs, str) else reduce(or_, [F.contains(fold, F.lit(w)) for w in needs])
+    return F.when(t.isNull(), F.lit(None)).when(there, found).otherwise(F.array().cast("array<string>"))
+
+
 def candidates(text, patterns=K.CHEMICAL_PATTERNS, indicators=K.CHEMICAL_INDICATORS, n: int = 5) -> Column:
     """G5 + G6: candidate chemical names from free text, Python-``re``
     semantics (case-insensitive, Unicode classes).
@@ -102,11 +137,16 @@ def candidates(text, patterns=K.CHEMICAL_PATTERNS, indicators=K.CHEMICAL_INDICAT
     order; first ``n``.
     """
     t = text if isinstance(text, Column) else F.col(text)
-    g5 = [F.filter(F.transform(pattern_matches(t, p), ptrim),
-                   lambda x: (F.length(x) > 3) & (F.length(x) < 50)) for p in patterns]
-    g6 = [F.filter(F.transform(F.regexp_extract_all(t, F.lit("(?iU)" + p), 1), ptrim),
-                   lambda x: F.length(x) > 0) for p in indicators]
-    return F.slice(F.array_distinct(F.concat(*g5, *g6)), 1, n)
+
+    def found(b: Column) -> Column:
+        g5 = [F.filter(F.transform(_matches(b["t"], b["fold"], p, 0), ptrim),
+                       lambda x: (F.length(x) > 3) & (F.length(x) < 50)) for p in patterns]
+        g6 = [F.filter(F.transform(_matches(b["t"], b["fold"], p, 1), ptrim),
+                       lambda x: F.length(x) > 0) for p in indicators]
+        return F.slice(F.array_distinct(F.concat(*g5, *g6)), 1, n)
+
+    # the text is put together and folded once a row
+    return bind(t, lambda s: bind(F.struct(s.alias("t"), folded(s).alias("fold")), found))
 
 
 def first_n(df: DataFrame, array_col: str, n: int, name: str = "name") -> DataFrame:

@@ -199,3 +199,17 @@ def test_a_name_is_lowered_once(spark):
     df = spark.createDataFrame([(["Drug", "ink"],), (None,), ([],)], "tags array<string>").select(G.name_categories(F.array_join("tags", " ")).alias("c"))
     assert df._jdf.queryExecution().optimizedPlan().toString().count("lower(") == 1
     assert [r.c for r in df.collect()][1:] == [[], []]
+
+
+def test_patterns_run_on_texts_that_hold_what_they_need(spark):
+    """Letters that match an ASCII letter only when case is ignored count as held; others' texts skip the pattern."""
+    from retort.operators import patents as P
+    import retort.constants as K
+    assert set(P._NEEDS) <= set(K.CHEMICAL_PATTERNS + K.CHEMICAL_INDICATORS)
+    texts = ["ſyntheſıs of glue", "The DRUG Xylo", "ethanİne İs", "preparatıon of ink", "therapeutİc agent x", "plain words", "benzoic acid was", "aKne", ""]
+    df = spark.createDataFrame([(t,) for t in texts], "x string")
+    for p in K.CHEMICAL_PATTERNS + K.CHEMICAL_INDICATORS:
+        g = 0 if p in K.CHEMICAL_PATTERNS else 1
+        x = F.col("x")
+        for r in df.select("x", P.pattern_matches(x, p, g).alias("want"), P._matches(x, P.folded(x), p, g).alias("got")).collect():
+            assert r.got == r.want, (p, r.x)
