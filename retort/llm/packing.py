@@ -30,11 +30,12 @@ from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from retort.llm.common import byte_slices, bytes_of, materialize
+from retort.llm.common import byte_slices, materialize
 from retort.llm.tokens import _small, encoder
 from retort.operators.indexing import dense_index
 
@@ -205,14 +206,15 @@ def encode(docs: DataFrame, path: str, eos: int) -> DataFrame:
         for batch in batches:
             for part in byte_slices(batch, "text"):
                 queues = part.column("queue").to_pylist()
-                ids = [x + end for x in enc.ids_of(bytes_of(part))]
+                ids = enc.ids_of(part.column("text"), end)
+                sizes = pc.binary_length(ids).to_numpy() // width
                 before = []
-                for q, x in zip(queues, ids):
+                for q, n in zip(queues, sizes.tolist()):
                     before.append(used[q])
-                    used[q] += len(x) // width
+                    used[q] += n
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([task] * len(ids), pa.int32()), part.column("queue"), pa.array(before, pa.int64()),
-                     part.column("doc_id").cast(pa.int64()), pa.array([len(x) // width for x in ids], pa.int64()), pa.array(ids, pa.binary())],
+                     part.column("doc_id").cast(pa.int64()), pa.array(sizes, pa.int64()), ids],
                     names=["run", "queue", "before", "doc_id", "n", "ids"])
 
     queue = F.coalesce(F.concat(F.lit("="), F.col("source").cast("string")), F.lit("")).alias("queue")

@@ -2,7 +2,9 @@
 
 The pre-tokenizer drops white space and no token spans it, so a text's tokens are those of its
 ASCII-blank-separated words in order. Words repeat, so each worker keeps a bounded table of words it
-has seen and gives only new ones to the library. The table is a cache: its size changes time, never results.
+has seen and gives only new ones to the library, plain ones many in a call. The table is a cache: its size
+changes time, never results. A slice's texts are cut into words, its words numbered and their ids laid end
+to end by Arrow; Python sees each distinct word of a slice once.
 """
 
 from __future__ import annotations
@@ -15,6 +17,7 @@ from collections.abc import Iterable
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 
 from retort.llm.common import bytes_of, per_text
@@ -22,15 +25,20 @@ from retort.llm.prefixes import BYTE_LETTERS, PrefixCounter
 
 #: Words a worker keeps, in each of two generations.
 CACHED_WORDS = 300_000
-#: Stops cut from a new word's end, and the ASCII letters and digits they may follow.
-STOPS = b".,;:!?"
+#: Stops cut from a new word's end, and the ASCII letters and digits they may follow. Apostrophes begin
+#: contractions; characters of special strings are left out too, when an encoder is made.
+STOPS = b"!\"#$%&()*+,-./:;=?@[\\]^_`{}~"
 #: Words of ASCII and Latin-1 letters only: the tokenizer's normalizer lowers them and its pre-tokenizer
 #: keeps them whole, so they go straight to the library's model, byte by byte as its alphabet spells them.
 LETTERS = re.compile(rb"(?:[a-zA-Z]|\xc3[\x80-\x96\x98-\xb6\xb8-\xbf])+").fullmatch
 #: Checked when an encoder is made, so that a tokenizer of another kind is refused.
-PROBE = "Once  upon a Time, the\tÉlan's <|endoftext|> cost: 12.50\n(naïve) ß! x.y <|EndOfText|>"
+PROBE = "Once  upon a Time, the\tÉlan's <|endoftext|> cost: 12.50\n(naïve) ß! x.y <|EndOfText|> ÀÖØöø"
+#: Plain words given to the library as one string.
+TOGETHER = 1024
 #: Characters whose prefix counts a worker keeps.
 CACHED_PREFIXES = 2_000_000
+#: Bytes of words between blanks as the model's alphabet spells them.
+SPELLED = BYTE_LETTERS | {32: " "}
 ALNUM = frozenset(b"0123456789ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz")
 
 
@@ -39,7 +47,7 @@ class WordEncoder:
 
     def __init__(self, path: str, dtype: str = "<u4", cached: int = CACHED_WORDS):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
 
         self.tok = Tokenizer.from_file(path)
         self.tok.no_truncation()
@@ -51,7 +59,16 @@ class WordEncoder:
         self.old: dict[bytes, bytes] = {}
         self.inside: dict[bytes, tuple[np.ndarray, np.ndarray]] = {}
         self.kept = 0
-        if np.frombuffer(self.ids(PROBE.encode()), self.dtype).tolist() != self.tok.encode(PROBE, add_special_tokens=False).ids:
+        special = "".join(t.content for t in self.tok.get_added_tokens_decoder().values()).encode()
+        self.stops = bytes(c for c in STOPS if c not in special)
+        #: The model alone, over words between blanks, and the ids that it ends a word with (none: not marked).
+        self.blanks, suffix = Tokenizer(self.model), getattr(self.model, "end_of_word_suffix", None)
+        self.blanks.pre_tokenizer = pre_tokenizers.CharDelimiterSplit(" ")
+        vocab = self.blanks.get_vocab(with_added_tokens=False)
+        self.final = np.zeros(max(vocab.values(), default=0) + 1, bool)
+        self.final[[i for t, i in vocab.items() if suffix and t.endswith(suffix)]] = True
+        probe = " ".join([PROBE, *(f"ab{chr(c)} É{chr(c) * 3} 7{chr(c)}." for c in self.stops), "ab" + self.stops.decode()])
+        if np.frombuffer(self.ids(probe.encode()), self.dtype).tolist() != self.tok.encode(probe, add_special_tokens=False).ids:
             raise ValueError(f"{path}: this tokenizer does not take a text word by word")
 
     @staticmethod
@@ -64,7 +81,7 @@ class WordEncoder:
         """The table, holding every word of ``words`` (distinct)."""
         if len(self.young) > self.cached:
             self.old, self.young = self.young, {}
-        young, old = self.young, self.old
+        young, old, stops = self.young, self.old, self.stops
         new, ended = set(), []
         for w in set(words).difference(young):
             ids = old.get(w)
@@ -72,7 +89,7 @@ class WordEncoder:
                 young[w] = ids
                 continue
             # a stop after a letter or digit is a piece of its own
-            stem = w.rstrip(STOPS)
+            stem = w.rstrip(stops)
             if len(stem) < len(w) and stem and (stem[-1] in ALNUM or len(stem) > 1 and stem[-2] == 0xC3 and stem[-1] not in (0x97, 0xB7)):
                 stop = w[len(stem):]
                 ended.append((w, stem, stop))
@@ -84,11 +101,11 @@ class WordEncoder:
                             young[part] = ids
             else:
                 new.add(w)
-        code, tokenize = self.code, self.model.tokenize
-        plain = [w for w in new if LETTERS(w)]
-        for w in plain:
-            letters = w.decode().lower().encode().decode("latin-1").translate(BYTE_LETTERS)
-            young[w] = array(code, [t.id for t in tokenize(letters)]).tobytes()
+        code = self.code
+        plain = [w for w in new if w.isalpha() or LETTERS(w)]
+        for i in range(0, len(plain), TOGETHER):
+            part = plain[i : i + TOGETHER]
+            young.update(zip(part, self.letters(part)))
         new = list(new.difference(plain))
         for i in range(0, len(new), 4096):
             part = new[i : i + 4096]
@@ -99,6 +116,17 @@ class WordEncoder:
             young[w] = young[stem] + young[stop]
         return young
 
+    def letters(self, words: list[bytes]) -> list[bytes]:
+        """The ids of words that ``LETTERS`` takes. The last token of each word bears the end-of-word mark and
+        no other does; where the model has no mark, each word goes by itself."""
+        spelled = b" ".join(words).decode().lower().encode().decode("latin-1").translate(SPELLED)
+        ids = np.array(self.blanks.encode_batch_fast([spelled], add_special_tokens=False)[0].ids, self.dtype)
+        ends = np.flatnonzero(self.final[ids]) + 1
+        if len(ends) != len(words) or ends[-1] != len(ids):
+            return [array(self.code, [t.id for t in self.model.tokenize(w)]).tobytes() for w in spelled.split(" ")]
+        packed, cuts = ids.tobytes(), (ends * self.dtype.itemsize).tolist()
+        return [packed[a:b] for a, b in zip([0, *cuts], cuts)]
+
     def ids(self, text: bytes) -> bytes:
         words = self.words(text)
         return b"".join(map(self.learn(words).__getitem__, words))
@@ -132,10 +160,24 @@ class WordEncoder:
                 break
         return len(text[:best].encode())
 
-    def ids_of(self, texts: list[bytes]) -> list[bytes]:
-        split = [self.words(t) for t in texts]
-        table = self.learn(set().union(*split)).__getitem__
-        return [b"".join(map(table, words)) for words in split]
+    def ids_of(self, texts: pa.Array, end: bytes = b"") -> pa.Array:
+        """The ids of each text (null: none) with ``end`` after them."""
+        lists = words_of(texts)
+        ends = np.asarray(lists.offsets, np.int64)[1:] - lists.offsets[0].as_py()
+        coded = lists.flatten().dictionary_encode()
+        words = coded.dictionary.cast(pa.binary()).to_numpy(zero_copy_only=False).tolist()
+        table = self.learn(words)
+        known = pa.array([*map(table.__getitem__, words), end], pa.binary())
+        # a word more in every text, its end
+        laid = known.take(pa.array(np.insert(coded.indices.to_numpy(), ends, len(words))))
+        at = np.frombuffer(laid.buffers()[1], np.int32)[np.append(0, ends + np.arange(1, len(ends) + 1))]
+        return pa.Array.from_buffers(pa.binary(), len(ends), [None, pa.py_buffer(at), laid.buffers()[2]])
+
+
+def words_of(texts: pa.Array) -> pa.ListArray:
+    """``WordEncoder.words`` of every text (null: none), with an empty word for blanks at a text's begin or end."""
+    texts = pc.fill_null(texts, "")
+    return pc.ascii_split_whitespace(pc.if_else(pc.match_substring(texts, "<|"), texts, pc.ascii_lower(texts)))
 
 
 @functools.lru_cache(maxsize=4)

@@ -4,6 +4,7 @@ import zlib
 from fractions import Fraction
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from tokenizers import Tokenizer
 
@@ -39,6 +40,46 @@ def test_plain_words_by_the_model(tok):
         assert np.frombuffer(enc.ids(word.encode()), "<u4").tolist() == tok(word), word
 
 
+def test_plain_words_go_to_the_library_together(tok):
+    """Thousands of new words are a handful of calls, not one each; a model without an end mark still takes them singly."""
+    import itertools
+
+    class Counted:
+        def __init__(self, inner):
+            self.inner, self.calls = inner, 0
+
+        def __getattr__(self, name):
+            self.calls += name in ("tokenize", "encode_batch_fast", "encode")
+            return getattr(self.inner, name)
+
+    words = ["".join(x) + tail for x, tail in zip(itertools.product("aeÉïNt", repeat=5), itertools.cycle(["", ".", "$$$", "),"]))]
+    want = [np.array(tok(w), "<u4").tobytes() for w in words]
+    enc = tokens.WordEncoder(tokenizer_path(), "<u4")
+    for name in ("tok", "model", "blanks"):
+        setattr(enc, name, Counted(getattr(enc, name)))
+    assert enc.ids_of(pa.array([" ".join(words)]))[0].as_py() == b"".join(want)
+    assert sum(getattr(enc, name).calls for name in ("tok", "model", "blanks")) < len(words) / 100
+    enc = tokens.WordEncoder(tokenizer_path(), "<u4")
+    enc.final[:] = False
+    assert enc.ids_of(pa.array(words[:500])).to_pylist() == want[:500]
+
+
+def test_ids_of_odd_texts(tok, texts):
+    rnd = np.random.default_rng(3)
+    parts = ["\t", " ", "  ", "\n", "\x0b", "\x1c", "\x85", "it's", "'", "ab", "É", "×", "7", "<|endoftext|>", "<|", "|>", "e\u0301", "\u0338", "İ", "Σ", "中", *"!\"#$%&()*+,-./:;=?@[\\]^_`{}~"]
+    odd = ["", " ", None, *ODD, *WHOLE, *list(texts.values())[:20]] + ["".join(rnd.choice(parts, rnd.integers(1, 12))) for _ in range(3000)]
+    enc = tokens.WordEncoder(tokenizer_path(), "<u4", cached=500)
+    got = enc.ids_of(pa.array(["left out", *odd, "left out"])[1:-1], b"\2\0\0\0")  # a slice of a batch
+    assert got.validate(full=True) is None
+    for text, ids in zip(odd, got.to_pylist()):
+        assert np.frombuffer(ids, "<u4").tolist() == [*tok(text or ""), 2], text
+    for none in ([None, ""], [" "]):
+        assert enc.ids_of(pa.array(none, pa.string()), b"\2\0\0\0").to_pylist() == [b"\2\0\0\0"] * len(none)
+    raw = pa.array([b"caf\xe9 A\xff\xc3 b", b"\xc3. \xe9"], pa.binary())  # Spark's strings may hold any bytes
+    text = pa.Array.from_buffers(pa.string(), len(raw), raw.buffers())
+    assert enc.ids_of(text).to_pylist() == [enc.ids(x) for x in raw.to_pylist()]
+
+
 def test_tokenizers_that_keep_blanks_are_refused():
     import public_tokenizers
     with pytest.raises(ValueError):
