@@ -16,12 +16,16 @@ from retort.session import scratch_path
 SLICE_BYTES = 8 << 20
 
 
-def materialize(df: DataFrame, name: str) -> DataFrame:
+def materialize(df: DataFrame, name: str, group_bytes: int | None = None) -> DataFrame:
     """Write ``df`` once as compressed Parquet in the shared folder that ``spark.checkpoint.dir`` names and
     read it back: cuts lineage in a way that outlives executors, and gives the planner the table's real
-    size. Spark's own reader and writer do it, so any store will do."""
+    size. Spark's own reader and writer do it, so any store will do. ``group_bytes``: of a row group, for rows
+    of megabytes; Parquet's writer else looks at its buffers after a hundred rows only."""
     path = scratch_path(df.sparkSession, name)
-    df.write.option("compression", "zstd").parquet(path)
+    writer = df.write.option("compression", "zstd")
+    if group_bytes:
+        writer = writer.options(**{"parquet.block.size": group_bytes, "parquet.block.size.row.check.min": 1, "parquet.page.size.row.check.min": 1})
+    writer.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

@@ -1,7 +1,8 @@
 """Ranked lexical search with per-term geometric blocking, exact.
 
 An item's score for a document is a sum over the item's terms of weight times impact, whole numbers all. The
-documents are indexed in *shards* (the rows of a slice of texts), each small enough for one task:
+documents are indexed in *shards* (the rows of a slice of texts), each small enough for one task. The arrays of a
+shard are stored compressed, so that Spark holds, writes and sends a fraction of them and a worker opens one shard at a time:
 
 * A shard holds its documents' impacts by term, and posting lists for the terms that can decide. A list is
   cut into blocks by geometry: its documents go to the most similar of a few pivots of the list (by sketches,
@@ -15,13 +16,15 @@ documents are indexed in *shards* (the rows of a slice of texts), each small eno
 
 The 50th best score starts from a bounded sample of shards: the 50th best of any part is a true lower bound
 of the whole's, so the sample decides speed and never results. Items are the query set, taken in blocks of
-bounded bytes; all documents are searched for each. Statistics cover all documents.
+bounded bytes and pairs of terms; all documents are searched for each. Statistics cover all documents.
 """
 
 from __future__ import annotations
 
 import math
+from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import chain, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -32,14 +35,22 @@ from retort.llm.common import byte_slices, bytes_of, materialize
 
 #: Text bytes of the items searched for at a time: bounds the vocabulary and weights that are broadcast.
 ITEM_BYTES = 1 << 20
+#: Pairs of terms of one item, over the items searched for at a time: bounds the width of all summaries together.
+ITEM_PAIRS = 1 << 22
+#: Text bytes of documents cut into terms at a time: bounds the terms that a worker holds as objects.
+TEXT_BYTES = 1 << 20
 #: Documents times terms of a shard's impact matrix.
-CELLS = 1 << 24
+CELLS = 1 << 23
+#: Documents whose rows of the matrix are made into sketches at a time.
+ROWS = 256
+#: Bytes of a row group of the stored shards: a reader and a writer hold one.
+GROUP_BYTES = 16 << 20
 #: Documents of a block; lists up to this long are a single block.
 BLOCK = 48
 #: Dimensions of the sketches that documents are clustered by.
 SKETCH = 24
-#: Shards, about, whose documents give the first lower bounds.
-SEEDS = 8
+#: Documents, about, whose shards give the first lower bounds.
+SEEDS = 1 << 14
 #: Rows of one item that meet in a task before the last: the best of each share go on.
 SHARES = 64
 LAST = (1 << 63) - 1
@@ -70,31 +81,68 @@ class Queries:
         for p in self.parts:
             for t in p.tolist():
                 found[t].append(p)
-        return [np.unique(np.concatenate(f)) for f in found]
+        return [f[0] if len(f) == 1 else np.unique(np.concatenate(f)) for f in found]
+
+
+def narrow(rows: list[tuple], pairs: int) -> Iterator[list[tuple]]:
+    """Items in runs of at most ``pairs`` pairs of terms of one item (one item at least)."""
+    run, total = [], 0
+    for row in rows:
+        more = len(set(terms((row[1] or "").encode()))) ** 2
+        if run and total + more > pairs:
+            yield run
+            run, total = [], 0
+        run.append(row)
+        total += more
+    if run:
+        yield run
+
+
+# ------------------------------------------------------------------ stored arrays
+def pack(x: np.ndarray) -> bytes:
+    return x.nbytes.to_bytes(8, "little") + pa.compress(x.tobytes(), codec="zstd", asbytes=True)
+
+
+def unpack(cell: pa.BinaryScalar, kind: type) -> np.ndarray:
+    data = cell.as_buffer()
+    size = int.from_bytes(data[:8].to_pybytes(), "little")
+    return np.frombuffer(pa.decompress(data[8:], size, codec="zstd"), kind) if size else np.empty(0, kind)
 
 
 # ------------------------------------------------------------------ postings
 POSTINGS = "doc_id array<long>, n binary, ends binary, term binary, tf binary"
 
 
+def counted(part: pa.RecordBatch, number: dict[bytes, int]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Term counts of all texts, and ascending keys (text times len(number), plus term) of the numbered terms with their counts."""
+    n, keys, times = [], [], []
+    for some in byte_slices(part, "text", TEXT_BYTES):
+        words = [terms(t) for t in bytes_of(some)]
+        here = np.array([len(w) for w in words], np.int64)
+        ids = np.fromiter(map(number.get, chain.from_iterable(words), repeat(-1)), np.int64, int(here.sum()))
+        key = np.repeat(np.arange(len(n), len(n) + len(here)), here) * len(number) + ids
+        key, tf = np.unique(key[ids >= 0], return_counts=True)
+        n += here.tolist()
+        keys.append(key)
+        times.append(tf)
+    return np.array(n, np.int64), np.concatenate(keys), np.concatenate(times)
+
+
 def postings(docs: DataFrame, queries, most: int) -> DataFrame:
     """Shards of at most ``most`` documents: ids, term counts n, and by document the vocabulary's terms in it."""
     def cut(batches):
+        number = queries.value.vocabulary
         for batch in batches:
             for piece in byte_slices(batch, "text"):
-                for k in range(0, piece.num_rows, most):
-                    part = piece.slice(k, most)
-                    words = [terms(t) for t in bytes_of(part)]
-                    n = np.array([len(w) for w in words], np.int64)
-                    number = queries.value.vocabulary
-                    ids = np.fromiter((number.get(w, -1) for ws in words for w in ws), np.int64, int(n.sum()))
-                    key = np.repeat(np.arange(len(n)), n) * len(number) + ids
-                    key, tf = np.unique(key[ids >= 0], return_counts=True)
+                step = math.ceil(piece.num_rows / math.ceil(piece.num_rows / most))
+                for k in range(0, piece.num_rows, step):
+                    part = piece.slice(k, step)
+                    n, key, tf = counted(part, number)
                     ends = np.searchsorted(key // len(number), np.arange(len(n)), side="right")
                     doc_id = part.column("doc_id").cast(pa.int64())
                     yield pa.RecordBatch.from_arrays(
                         [pa.ListArray.from_arrays(pa.array([0, len(n)], pa.int32()), doc_id),
-                         *[pa.array([x.tobytes()], pa.binary()) for x in (n, ends.astype(np.int64), (key % len(number)).astype(np.int32), tf.astype(np.int64))]],
+                         *[pa.array([pack(x)], pa.binary()) for x in (n, ends.astype(np.int64), (key % len(number)).astype(np.int32), tf.astype(np.int64))]],
                         names=["doc_id", "n", "ends", "term", "tf"])
 
     return docs.select("doc_id", "text").mapInArrow(cut, POSTINGS)
@@ -104,33 +152,31 @@ def shards(batches):
     """The rows of ``postings`` one by one: (ids, n, ends, term, tf)."""
     for batch in batches:
         for i in range(batch.num_rows):
-            yield (batch.column("doc_id")[i].values, np.frombuffer(batch.column("n")[i].as_py(), np.int64), np.frombuffer(batch.column("ends")[i].as_py(), np.int64),
-                   np.frombuffer(batch.column("term")[i].as_py(), np.int32), np.frombuffer(batch.column("tf")[i].as_py(), np.int64))
+            yield (batch.column("doc_id")[i].values, *[unpack(batch.column(c)[i], kind) for c, kind in (("n", np.int64), ("ends", np.int64), ("term", np.int32), ("tf", np.int64))])
 
 
 @dataclass
 class Statistics:
-    """N, L and the weights of the vocabulary's terms, over all documents, and the number of shards."""
+    """N, L and the weights of the vocabulary's terms, over all documents."""
     documents: int
     words: int
-    shards: int
     weight: np.ndarray
 
     @classmethod
     def gather(cls, rows: DataFrame, size: int) -> Statistics:
         def count(batches):
-            total = np.zeros(size + 3, np.int64)
+            total = np.zeros(size + 2, np.int64)
             for _, n, _, term, _ in shards(batches):
                 total[:size] += np.bincount(term, minlength=size)
-                total[size:] += ((n > 0).sum(), n.sum(), 1)
+                total[size:] += ((n > 0).sum(), n.sum())
             at = np.flatnonzero(total)
             yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(total[at])], names=["term", "n"])
 
         sums = rows.mapInArrow(count, "term long, n long").groupBy("term").agg(F.sum("n").alias("n")).collect()  # a row a term of the item block
         total = dict(map(tuple, sums))
-        documents, words, number = (total.get(size + i, 0) for i in range(3))
+        documents, words = (total.get(size + i, 0) for i in range(2))
         weight = [math.floor(1000 * math.log((2 * documents + 2) / (2 * total.get(t, 0) + 1))) for t in range(size)]
-        return cls(documents, words, number, np.array(weight, np.int64))
+        return cls(documents, words, np.array(weight, np.int64))
 
     def impacts(self, n: np.ndarray, ends: np.ndarray, tf: np.ndarray) -> np.ndarray:
         lengths, which = np.unique(n, return_inverse=True)
@@ -188,9 +234,9 @@ def best_of(found: DataFrame, k: int) -> DataFrame:
 
 
 def first_bounds(rows: DataFrame, queries, stats: Statistics, k: int) -> np.ndarray:
-    """For each item the k-th best score within a sample of about SEEDS shards, 0 where fewer documents match."""
+    """For each item the k-th best score within shards of about SEEDS documents, 0 where fewer documents match."""
     items = len(queries.value.ids)
-    sample = rows.where(F.pmod(F.xxhash64("ends", "term"), F.lit(max(1, math.ceil(stats.shards / SEEDS)))) == 0)
+    sample = rows.where(F.pmod(F.xxhash64("ends", "term"), F.lit(max(1, stats.documents // SEEDS))) == 0)
 
     def score(batches):
         best = Best(items, k, np.zeros(items, np.int64))
@@ -199,6 +245,7 @@ def first_bounds(rows: DataFrame, queries, stats: Statistics, k: int) -> np.ndar
             key, null = keys_of(ids)
             for i, p in enumerate(queries.value.parts):
                 best.add(i, x[:, p] @ stats.weight[p], key, null)
+            del x  # before the next one is made
         yield best.rows()
 
     last = best_of(sample.mapInArrow(score, FOUND), k).where(F.col("rank") == k).select("item", "score").collect()  # a row an item
@@ -235,20 +282,21 @@ def blocks_of(docs: np.ndarray, sketch: np.ndarray) -> tuple[np.ndarray, np.ndar
     return docs[order], np.flatnonzero(within % BLOCK == 0)
 
 
-def build_index(rows: DataFrame, queries, stats: Statistics, floor: np.ndarray) -> DataFrame:
+def build_index(rows: DataFrame, queries, stats: Statistics, floor: np.ndarray, packed: bool = False) -> DataFrame:
     """The stored shards: impacts by document, and blocked posting lists with summaries of the terms that some
-    item has to open at its first bound."""
+    item has to open at its first bound. The arrays are plain, or ``packed`` as the search reads them."""
     size = len(stats.weight)
-    rng = np.arange(size * SKETCH, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
-    signs = np.where((rng ^ rng >> np.uint64(29)) >> np.uint64(40) & np.uint64(1), 1, -1).reshape(size, SKETCH).astype(np.float32)
 
     def build(batches):
         q, partners = queries.value, queries.value.partners()
+        rng = np.arange(size * SKETCH, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+        signs = np.where((rng ^ rng >> np.uint64(29)) >> np.uint64(40) & np.uint64(1), 1, -1).reshape(size, SKETCH)
+        signs = signs.astype(np.float32) * (stats.weight * 1e-6).astype(np.float32)[:, None]
         for ids, n, ends, term, tf in shards(batches):
             impact = stats.impacts(n, ends, tf)
             x = matrix(len(n), size, ends, term, impact)
             x_max = x.max(axis=0, initial=0).astype(np.int64)
-            sketch = (x * (stats.weight * 1e-6).astype(np.float32)) @ signs
+            sketch = np.concatenate([x[k : k + ROWS].astype(np.float32) @ signs for k in range(0, max(1, len(n)), ROWS)])
             sketch /= np.maximum(np.linalg.norm(sketch, axis=1, keepdims=True), 1e-9)
             wanted = np.zeros(size, bool)
             for p, f in zip(q.parts, np.maximum(floor, 1).tolist()):
@@ -269,17 +317,20 @@ def build_index(rows: DataFrame, queries, stats: Statistics, floor: np.ndarray)
                 counts.append(len(first))
                 widths.append(summary.size)
                 base += len(members)
-            whole = lambda parts: np.concatenate([*parts, np.empty(0, np.int64)])
+            del x  # before the next one is made
+            whole = lambda parts: np.concatenate([*parts, np.empty(0, np.int32)])
             out |= {"ends": ends, "term": term, "impact": impact, "list_ends": np.cumsum(counts), "block_ends": whole(starts),
                     "block_docs": whole(docs), "summary_ends": np.cumsum(widths), "summary": whole(sums)}
             yield pa.RecordBatch.from_arrays([pa.ListArray.from_arrays(pa.array([0, len(n)], pa.int32()), ids),
-                                              *[pa.array([out[a].astype(kind).tobytes()], pa.binary()) for a, kind in ARRAYS.items()]], names=["doc_id", *ARRAYS])
+                                              *[pa.array([(pack if packed else np.ndarray.tobytes)(out[a].astype(kind))], pa.binary()) for a, kind in ARRAYS.items()]],
+                                             names=["doc_id", *ARRAYS])
 
     return rows.mapInArrow(build, INDEX)
 
 
 def search_index(index: DataFrame, queries, stats: Statistics, floor: np.ndarray, k: int) -> DataFrame:
-    """(item, doc_id, score) of each task's k best documents of each item with the first bound's score at least."""
+    """(item, doc_id, score) of each task's k best documents of each item with the first bound's score at least;
+    ``index`` is packed."""
     size = len(stats.weight)
 
     def search(batches):
@@ -288,7 +339,7 @@ def search_index(index: DataFrame, queries, stats: Statistics, floor: np.ndarray
         places: dict[tuple[int, int], np.ndarray] = {}
         for batch in batches:
             for i in range(batch.num_rows):
-                a = {c: np.frombuffer(batch.column(c)[i].as_py(), kind) for c, kind in ARRAYS.items()}
+                a = {c: unpack(batch.column(c)[i], kind) for c, kind in ARRAYS.items()}
                 key, null = keys_of(batch.column("doc_id")[i].values)
                 x = matrix(len(key), size, a["ends"], a["term"], a["impact"])
                 x_max = x.max(axis=0, initial=0).astype(np.int64)
@@ -300,11 +351,12 @@ def search_index(index: DataFrame, queries, stats: Statistics, floor: np.ndarray
                         j = number.get(t)
                         if j is None:  # a term that no document of the shard has
                             continue
-                        if (item, t) not in places:
+                        if partners[t] is not p and (item, t) not in places:
                             places[item, t] = np.searchsorted(partners[t], p)
                         first, last = (int(a["list_ends"][j - 1]) if j else 0), int(a["list_ends"][j])
                         low, high = (int(a["summary_ends"][j - 1]) if j else 0), int(a["summary_ends"][j])
-                        bound = a["summary"][low:high].reshape(last - first, -1)[:, places[item, t]] @ weights
+                        summary = a["summary"][low:high].reshape(last - first, -1)
+                        bound = (summary if partners[t] is p else summary[:, places[item, t]]) @ weights
                         for b in (first + np.flatnonzero(bound >= best.floor[item])[np.argsort(-bound[bound >= best.floor[item]], kind="stable")]).tolist():
                             if bound[b - first] < best.floor[item]:
                                 break  # the bound rose meanwhile; the blocks after this have no more
@@ -313,6 +365,7 @@ def search_index(index: DataFrame, queries, stats: Statistics, floor: np.ndarray
                             if len(docs):
                                 scored[docs] = True
                                 best.add(item, x[np.ix_(docs, p)] @ weights, key[docs], null[docs])
+                del a, x  # before the next ones are made
         yield best.rows()
 
     return index.mapInArrow(search, FOUND)
@@ -322,7 +375,7 @@ def search_index(index: DataFrame, queries, stats: Statistics, floor: np.ndarray
 RANKED = "item_id long, rank int, doc_id long, score long"
 
 
-def rank(docs: DataFrame, items: DataFrame, k: int = 50, item_bytes: int = ITEM_BYTES, cells: int = CELLS) -> DataFrame:
+def rank(docs: DataFrame, items: DataFrame, k: int = 50, item_bytes: int = ITEM_BYTES, cells: int = CELLS, item_pairs: int = ITEM_PAIRS) -> DataFrame:
     """(item_id, rank, doc_id, score) of the ``k`` best documents of each item, scores above 0 only, equal scores by
     ascending doc_id.
 
@@ -337,17 +390,18 @@ def rank(docs: DataFrame, items: DataFrame, k: int = 50, item_bytes: int = ITEM_
     out = None
     for b in range(blocks):
         block = [tuple(r) for r in items.where(F.pmod(F.xxhash64("text"), F.lit(blocks)) == b).collect()]  # item_bytes, about
-        built = Queries.build(sorted(block, key=str))
-        if not built.vocabulary:
-            continue
-        queries = spark.sparkContext.broadcast(built)
-        size = len(built.vocabulary)
-        rows = materialize(postings(docs, queries, max(16, cells // size)), "postings")
-        stats = Statistics.gather(rows, size)
-        floor = first_bounds(rows, queries, stats, k)
-        index = materialize(build_index(rows, queries, stats, floor), "blocked-index")
-        found = best_of(search_index(index, queries, stats, floor, k), k)
-        names = spark.createDataFrame(list(enumerate(built.ids)), "item long, item_id long")
-        part = found.join(F.broadcast(names), "item").select("item_id", F.col("rank").cast("int").alias("rank"), "doc_id", "score")
-        out = part if out is None else out.unionByName(part)
+        for run in narrow(sorted(block, key=str), item_pairs):
+            built = Queries.build(run)
+            if not built.vocabulary:
+                continue
+            queries = spark.sparkContext.broadcast(built)
+            size = len(built.vocabulary)
+            rows = materialize(postings(docs, queries, max(16, cells // size)), "postings", GROUP_BYTES)
+            stats = Statistics.gather(rows, size)
+            floor = first_bounds(rows, queries, stats, k)
+            index = materialize(build_index(rows, queries, stats, floor, packed=True), "blocked-index", GROUP_BYTES)
+            found = best_of(search_index(index, queries, stats, floor, k), k)
+            names = spark.createDataFrame(list(enumerate(built.ids)), "item long, item_id long")
+            part = found.join(F.broadcast(names), "item").select("item_id", F.col("rank").cast("int").alias("rank"), "doc_id", "score")
+            out = part if out is None else out.unionByName(part)
     return spark.createDataFrame([], RANKED) if out is None else out

@@ -3,12 +3,18 @@
 import math
 import random
 import re
+import tracemalloc
 from collections import Counter
+from pathlib import Path
+from types import SimpleNamespace
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.parquet as pq
 import pytest
 
 from retort.llm import ranking as R
+from retort.llm.common import materialize
 
 from .conftest import pairs
 
@@ -86,3 +92,62 @@ def test_summaries_bound_every_document_of_their_block(spark, documents, sf_dir)
                 assert (s == x[np.ix_(docs, partners[t])].max(axis=0)).all()
             blocks += len(members)
     assert blocks > 100
+
+
+class Plain:
+    """A table whose mapInArrow gives the function itself."""
+
+    def select(self, *columns):
+        return self
+
+    def mapInArrow(self, function, schema):
+        return function
+
+
+def test_a_worker_holds_one_shard_and_few_terms():
+    """Peaks over many texts: a matrix and what is made of it, whatever the number of texts; packed rows are small."""
+    rng = np.random.default_rng(3)
+    words = np.array([f"word{i}" for i in range(20000)])
+    draw = lambda n: " ".join(words[(20000 * rng.random(n) ** 3).astype(int)])
+    q = R.Queries.build([(i, draw(60)) for i in range(100)])
+    size, shared = len(q.vocabulary), SimpleNamespace(value=q)
+    batch = pa.RecordBatch.from_arrays([pa.array(range(8000), pa.int64()), pa.array([draw(150) for _ in range(8000)])], names=["doc_id", "text"])
+
+    def run(function, batches):
+        tracemalloc.start()
+        out = list(function(batches))
+        peak = tracemalloc.get_traced_memory()[1]
+        tracemalloc.stop()
+        return out, peak / 1e6
+
+    rows, cutting = run(R.postings(Plain(), shared, R.CELLS // size), [batch])
+    weight = np.full(size, 3000, np.int64)
+    stats = R.Statistics(8000, 8000 * 150, weight)
+    floor = np.ones(100, np.int64)
+    index, building = run(R.build_index(Plain(), shared, stats, floor, packed=True), rows)
+    found, searching = run(R.search_index(Plain(), shared, stats, floor, 50), index)
+    assert len(rows) >= 2 and found[0].num_rows == 5000
+    assert cutting < 30 and building < 90 and searching < 60, (cutting, building, searching)
+    plain = list(R.build_index(Plain(), shared, stats, floor)(rows))
+    assert sum(r.nbytes for r in index) < 0.6 * sum(r.nbytes for r in plain)
+    for a, kind in R.ARRAYS.items():
+        for x, y in zip(index, plain):
+            assert (R.unpack(x.column(a)[0], kind) == np.frombuffer(y.column(a)[0].as_py(), kind)).all()
+
+
+def test_row_groups_of_large_rows(spark):
+    rows = [(i, random.Random(i).randbytes(1 << 20)) for i in range(40)]
+    table = materialize(spark.createDataFrame(rows, "i long, x binary").coalesce(1), "large-rows", 4 << 20)
+    files = [pq.ParquetFile(p) for p in Path(table.inputFiles()[0].removeprefix("file://")).parent.glob("*.parquet")]
+    groups = [f.metadata.row_group(g).num_rows for f in files for g in range(f.metadata.num_row_groups)]
+    assert max(groups) <= 6 and sorted(map(tuple, table.collect())) == rows
+
+
+def test_items_of_many_terms_are_searched_in_runs(spark):
+    rng = random.Random(8)
+    words = [f"w{i}" for i in range(400)]
+    rows = [(i, " ".join(rng.choices(words, k=40))) for i in range(300)]
+    items = [(i, " ".join(rng.sample(words, 30))) for i in range(9)] + [(50, " ".join(words)), (51, "w1")]
+    assert [len(x) for x in R.narrow(items, 4 * 900)] == [4, 4, 1, 1, 1]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    assert ranked(R.rank(docs, spark.createDataFrame(items, "item_id long, text string"), k=5, item_pairs=4 * 900)) == brute(rows, items, 5)
